@@ -30,6 +30,9 @@ HASH_MISMATCH = "HASH_MISMATCH"
 ENTRY_WITHOUT_HASH = "ENTRY_WITHOUT_HASH"
 NOT_DELIVERED = "NOT_DELIVERED"
 
+# Errors of one image are handled in blocks of this many chunk positions.
+POSITIONS_PER_BLOCK = 1_000
+
 # ---- fixed values: error messages -------------------------------------------
 NO_CHUNKS_FIELD = "Manifest missing 'chunks' field"
 NO_TOTAL_FIELD = "Manifest missing 'total_chunks' field"
@@ -134,9 +137,14 @@ def renumber_chunks(landed: DataFrame, sequence: str = "sequence") -> DataFrame:
 # ---- single stages ----------------------------------------------------------
 
 def manifest_entries(records: DataFrame) -> DataFrame:
-    """(firmware_id, chunk_key, expected_hash): one row per manifest entry."""
+    """(firmware_id, chunk_key, expected_hash): one row per manifest entry.
+
+    The plain explode would add a filter on the map, pushed to where the map is
+    computed: a map built on the fly would be built twice.
+    """
     return (
-        records.select("firmware_id", F.explode("chunks").alias("chunk_key", "_entry"))
+        records.select("firmware_id", F.explode_outer("chunks").alias("chunk_key", "_entry"))
+        .filter(F.col("chunk_key").isNotNull())
         .select("firmware_id", "chunk_key", F.col("_entry.hash").alias("expected_hash"))
     )
 
@@ -260,8 +268,7 @@ def _checked_chunks(records: DataFrame, received: DataFrame) -> DataFrame:
     A left join: its delivered side can be split should a chunk be delivered
     very often. Entries of manifests that failed earlier are not expanded.
     """
-    checkable = records.filter(
-        _passed_signature() & F.col("chunks").isNotNull() & F.col("total_chunks").isNotNull())
+    checkable = records.filter(_passed_signature() & F.col("total_chunks").isNotNull())
     return match_chunks(delivered_hashes(received), manifest_entries(checkable), "left")
 
 
@@ -269,8 +276,9 @@ def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
     """One row per manifest: the verdict of the first stage that fails, or OK.
 
     Columns: firmware_id, firmware_version, verdict, error_count, total_chunks,
-    delivered, structure_error, bad_key, found_keys. Stages: signature,
-    structure, chunk count, chunk hashes, key sequence. A manifest that cannot
+    delivered, without_hash, last_position, structure_error, bad_key,
+    found_keys. Stages: signature, structure, chunk count, chunk hashes, key
+    sequence. A manifest that cannot
     be evaluated (an entry without hash, a key that is no integer) is malformed
     rather than violated. Sizes and algorithm are not verified.
     """
@@ -279,6 +287,7 @@ def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
         F.count("*").alias("delivered"),
         F.count_if(result.isin(MISSING_IN_MANIFEST, HASH_MISMATCH)).alias("bad_chunks"),
         F.count_if(result == ENTRY_WITHOUT_HASH).alias("without_hash"),
+        F.max(F.col("chunk_key").cast("int")).alias("last_position"),
     )
     heads = with_key_sequence(records).select(
         "firmware_id", "firmware_version", "total_chunks", "bad_key", "in_sequence", "found_keys",
@@ -305,7 +314,7 @@ def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
     )
     return joined.withColumn("verdict", verdict).select(
         "firmware_id", "firmware_version", "verdict", error_count.alias("error_count"),
-        "total_chunks", "delivered", "without_hash", "structure_error", "bad_key", "found_keys",
+        "total_chunks", "delivered", "without_hash", "last_position", "structure_error", "bad_key", "found_keys",
     )
 
 
@@ -333,8 +342,17 @@ def _stage_message(signature_error: str) -> Column:
     )
 
 
+def position_block(position: Column) -> Column:
+    """Number of the block of chunk positions that holds `position`.
+
+    Never NULL: as a nullable join key it would add a filter to one of two
+    equal scans, and their shuffle could no longer be shared.
+    """
+    return F.coalesce(F.floor(position / POSITIONS_PER_BLOCK).cast("bigint"), F.lit(0).cast("bigint"))
+
+
 def _chunk_message() -> Column:
-    index = F.col("chunk_key").cast("bigint")
+    index = F.col("position")
     prefix = lambda hash_: F.substring(hash_, 1, 16)
     return (
         F.when(F.col("result") == MISSING_IN_MANIFEST, F.format_string(MISSING_MESSAGE, index))
@@ -343,39 +361,53 @@ def _chunk_message() -> Column:
     )
 
 
-def chunk_errors(
-    records: DataFrame, received: DataFrame, verdicts: DataFrame | None = None,
+def firmware_errors(
+    records: DataFrame, received: DataFrame, signature_error: str = BAD_SIGNATURE,
+    verdicts: DataFrame | None = None,
 ) -> DataFrame:
-    """(firmware_id, position, message): every bad chunk of images that fail on chunks.
+    """(firmware_id, verdict, position, message): the error list of every image, as rows.
 
-    One row per error, `position` being the chunk index. Images that already
-    failed an earlier stage report no chunks.
+    A failed stage gives one message. Failed chunks give one each, in the order
+    of `position`, the chunk index. Bad chunks find their image by image and
+    block of positions, so the errors of one huge image are spread over as many
+    tasks as it has blocks.
     """
     if verdicts is None:
         verdicts = firmware_verdicts(records, received)
-    failed = verdicts.filter(F.col("verdict") == CHUNK_ERROR).select("firmware_id")
-    return (
+    on_chunks = F.col("verdict") == CHUNK_ERROR
+    last_block = F.when(on_chunks, position_block(F.col("last_position"))).otherwise(0)
+    blocks = F.sequence(F.lit(0).cast("bigint"), last_block.cast("bigint"))
+    failed = verdicts.filter(F.col("verdict") != OK).select(
+        "firmware_id", "verdict", _stage_message(signature_error).alias("_stage"),
+        F.explode(blocks).alias("_block"),
+    )
+    bad = (
         _checked_chunks(records, received)
         .filter(F.col("result").isin(MISSING_IN_MANIFEST, HASH_MISMATCH))
-        .join(failed, "firmware_id", "left_semi")
-        .select("firmware_id", F.col("chunk_key").cast("bigint").alias("position"),
-                _chunk_message().alias("message"))
+        .withColumn("position", F.col("chunk_key").cast("bigint"))
+        .select(
+            F.col("firmware_id").alias("_image"), position_block(F.col("position")).alias("_in_block"),
+            "position", _chunk_message().alias("message"),
+        )
+    )
+    same_block = (F.col("firmware_id") == F.col("_image")) & (F.col("_block") == F.col("_in_block"))
+    return (
+        failed.join(bad, same_block & F.col("_stage").isNull(), "left")
+        .withColumn("message", F.coalesce("_stage", "message"))
+        .filter(F.col("message").isNotNull())
+        .select(
+            "firmware_id", "verdict",
+            F.coalesce("position", F.lit(0).cast("bigint")).alias("position"), "message",
+        )
     )
 
 
-def firmware_errors(
-    records: DataFrame, received: DataFrame, signature_error: str = BAD_SIGNATURE,
-    verdicts: DataFrame | None = None,
+def chunk_errors(
+    records: DataFrame, received: DataFrame, verdicts: DataFrame | None = None,
 ) -> DataFrame:
-    """(firmware_id, verdict, position, message): the error list of every image, as rows."""
-    if verdicts is None:
-        verdicts = firmware_verdicts(records, received)
-    single = verdicts.filter(~F.col("verdict").isin(OK, CHUNK_ERROR)).select(
-        "firmware_id", "verdict", F.lit(0).cast("bigint").alias("position"),
-        _stage_message(signature_error).alias("message"))
-    chunks = chunk_errors(records, received, verdicts).select(
-        "firmware_id", F.lit(CHUNK_ERROR).alias("verdict"), "position", "message")
-    return single.unionByName(chunks)
+    """(firmware_id, position, message): every bad chunk of images that fail on chunks."""
+    errors = firmware_errors(records, received, verdicts=verdicts)
+    return errors.filter(F.col("verdict") == CHUNK_ERROR).drop("verdict")
 
 
 def first_errors(errors: DataFrame, count: int = 3) -> DataFrame:

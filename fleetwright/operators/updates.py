@@ -8,6 +8,7 @@ join, the verdict side having one row per image.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fleetwright.operators.firmware import position_block
 from fleetwright.schemas import (
     INSTALLED, MALFORMED_MANIFEST, OK, SECURITY_HOLD, SECURITY_VIOLATION, SUCCESS, TAMPER_EVENT,
     UPDATE_ERROR, VIOLATIONS,
@@ -16,10 +17,6 @@ from fleetwright.schemas import (
 # Our own message for a device whose image does not exist.
 NO_IMAGE = "Firmware image not found"
 
-# Chunk positions covered by one event row. An event with more goes on in
-# further rows, so no row or task has to hold an unbounded error list.
-POSITIONS_PER_EVENT = 1_000
-
 
 def _update_status() -> Column:
     """An image without a verdict cannot be fetched, which is an error, not a violation."""
@@ -57,9 +54,10 @@ def update_errors(targets: DataFrame, verdicts: DataFrame, errors: DataFrame) ->
 def event_details(errors: DataFrame) -> DataFrame:
     """(firmware_id, part, details): messages of violations, joined in index order.
 
-    One row per image and block of chunk positions, so a block is bounded.
+    One row per image and block of chunk positions: an event with a longer
+    error list goes on in further rows, so no row or task holds an unbounded one.
     """
-    part = F.floor(F.col("position") / POSITIONS_PER_EVENT).cast("bigint")
+    part = position_block(F.col("position"))
     listed = F.array_sort(F.collect_list(F.struct("position", "message")))
     return (
         errors.filter(F.col("verdict") != MALFORMED_MANIFEST)

@@ -266,8 +266,7 @@ def fleet_after_update(spark, folder):
 def chunk_stream_verify(spark, folder):
     """The documents file as a stream of arriving images, cut, verified, appended
     to a table, and the table read back."""
-    schema = tables.parquet_table(spark, folder, "documents").schema
-    arriving = chunk_verify.chunk_stream(spark, folder, schema, glob="documents.parquet").select(
+    arriving = chunk_verify.chunk_stream(spark, folder, views.DOCUMENTS, glob="documents.parquet").select(
         F.col("doc_id").alias("firmware_id"), F.col("text").alias("payload"), "arrived_at")
     chunks = views.faulty_chunks(firmware.chunk_images(arriving, CHUNK_SIZE, "arrived_at"))
     entries = firmware.manifest_entries(views.faulty_manifests(spark, folder))

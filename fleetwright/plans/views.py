@@ -16,6 +16,14 @@ from fleetwright.operators import firmware
 from fleetwright.schemas import CHUNK_SIZE, MANIFEST_ENTRY, PARTIAL, SUCCESS
 from fleetwright.sources.tables import parquet_table
 
+# Columns used of the star-schema tables. Small integer keys are read as bigint,
+# whichever integer width the files have.
+ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
+CUSTOMER = "c_custkey bigint, c_nationkey bigint"
+NATION = "n_nationkey bigint, n_regionkey bigint"
+REGION = "r_regionkey bigint, r_name string"
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
 # ---- fixed values -----------------------------------------------------------
 # Injected corruption: out-of-bounds signal and garbage voltage.
 BAD_SIGNAL = -999
@@ -32,7 +40,7 @@ def devices(spark: SparkSession, folder: str) -> DataFrame:
     number; operators that need neither have them pruned from the scan.
     """
     number = F.col("o_orderkey")
-    return parquet_table(spark, folder, "orders").select(
+    return parquet_table(spark, folder, "orders", ORDERS).select(
         device_id(number).alias("device_id"),
         F.round(F.lit(11.8) + (number % 241) * F.lit(0.01), 2).alias("battery_voltage"),
         (F.lit(10) + F.col("o_custkey") % 91).cast("int").alias("signal_strength"),
@@ -44,11 +52,11 @@ def devices(spark: SparkSession, folder: str) -> DataFrame:
 
 def with_region(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
     """Add `region` to rows that carry `home`."""
-    customer = parquet_table(spark, folder, "customer").select(
+    customer = parquet_table(spark, folder, "customer", CUSTOMER).select(
         F.col("c_custkey").alias("home"), F.col("c_nationkey").alias("n_nationkey"))
-    nation = parquet_table(spark, folder, "nation").select(
+    nation = parquet_table(spark, folder, "nation", NATION).select(
         "n_nationkey", F.col("n_regionkey").alias("r_regionkey"))
-    region = parquet_table(spark, folder, "region").select(
+    region = parquet_table(spark, folder, "region", REGION).select(
         "r_regionkey", F.col("r_name").alias("region"))
     return (
         rows.join(customer, "home", "left")
@@ -74,7 +82,7 @@ def regional_status(spark: SparkSession, folder: str) -> DataFrame:
     serves the join as well.
     """
     rows = devices(spark, folder).select("home", "update_status")
-    customer = parquet_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    customer = parquet_table(spark, folder, "customer", CUSTOMER).select("c_custkey", "c_nationkey")
     if fits_broadcast(customer):
         weighted = rows.withColumn("devices", F.lit(1).cast("bigint"))
         return with_region(spark, folder, weighted).select("region", "update_status", "devices")
@@ -130,7 +138,7 @@ def status_feed(spark: SparkSession, folder: str) -> DataFrame:
 
 def images(spark: SparkSession, folder: str) -> DataFrame:
     """(firmware_id, firmware_version, device_model, payload): one document each."""
-    return parquet_table(spark, folder, "documents").select(
+    return parquet_table(spark, folder, "documents", DOCUMENTS).select(
         F.col("doc_id").alias("firmware_id"),
         F.concat(F.lit("v1."), F.col("n_chars").cast("string")).alias("firmware_version"),
         F.concat_ws("-", "source", "lang").alias("device_model"),

@@ -19,6 +19,8 @@ def local_session(cores="*", shuffle_partitions: int = 8, **conf) -> SparkSessio
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Off, PySpark does not record the Python call site of every expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -4,9 +4,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """Table `name` of a folder of parquet tables, lazily."""
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+def parquet_table(
+    spark: SparkSession, folder: str, name: str, schema: StructType | str | None = None,
+) -> DataFrame:
+    """Table `name` of a folder of parquet tables, lazily.
+
+    With the columns stated no job has to open the files to find them out.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

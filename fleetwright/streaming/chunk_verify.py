@@ -7,7 +7,8 @@ from fleetwright.operators.firmware import delivered_hashes, match_chunks
 
 
 def chunk_stream(
-    spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 1_000, glob: str = "*.parquet",
+    spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 1_000,
+    glob: str = "*.parquet",
 ) -> DataFrame:
     """A file stream of a landing folder, with `arrived_at`: when the file was written."""
     return (

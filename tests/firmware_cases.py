@@ -1,0 +1,107 @@
+"""One small image per verdict, as plain Python values."""
+
+import hashlib
+
+from pyspark.sql.types import BooleanType, StructField, StructType
+
+from fleetwright.schemas import MANIFEST, RECEIVED_CHUNKS
+
+SIGNED_MANIFEST = StructType(MANIFEST.fields + [StructField("signature_valid", BooleanType())])
+
+
+def sha(data):
+    return hashlib.sha256(data).hexdigest()
+
+
+def manifest(chunks):
+    return {
+        "firmware_version": "v2.4.1", "device_model": "demo-device", "total_chunks": len(chunks),
+        "total_size": sum(map(len, chunks)), "algorithm": "SHA-256",
+        "chunks": {str(i): {"hash": sha(c), "index": i, "size": len(c)} for i, c in enumerate(chunks)},
+    }
+
+
+THREE = [b"one", b"two", b"three"]
+
+
+def _case(delivered=THREE, sent=THREE, signature_valid=True, change=lambda m: None):
+    record = manifest(sent)
+    change(record)
+    return record, list(delivered), signature_valid
+
+
+def _drop(field):
+    return lambda m: m.update({field: None})
+
+
+def _entry(key, value):
+    return lambda m: m["chunks"].update({key: value})
+
+
+def _without(key):
+    return lambda m: m["chunks"].pop(key)
+
+
+def _hash(key, hash_):
+    return lambda m: m["chunks"][key].update(hash=hash_)
+
+
+EXTRA = {"hash": sha(b"extra"), "index": 3, "size": 5}
+BAD = [b"one", b"TWO", b"THREE"]
+
+
+def _mismatch(index, sent, got):
+    return f"Chunk {index}: Hash mismatch. Expected {sha(sent)[:16]}..., got {sha(got)[:16]}..."
+
+
+SIGNATURE = "SIGNATURE VERIFICATION FAILED: Signature verification failed: "
+
+# name -> (manifest, delivered chunks, signature_valid), verdict, messages
+CASES = {
+    "intact": (_case(), "OK", []),
+    "bad signature and bad chunk": (_case(BAD, signature_valid=False), "SIGNATURE_FAILED", [SIGNATURE]),
+    "signature never checked": (_case(signature_valid=None), "SIGNATURE_FAILED", [SIGNATURE]),
+    "no chunks field": (_case(change=_drop("chunks")), "STRUCTURE_ERROR", ["Manifest missing 'chunks' field"]),
+    "no total field": (
+        _case(change=_drop("total_chunks")), "STRUCTURE_ERROR", ["Manifest missing 'total_chunks' field"]),
+    "two of three": (_case([b"one", b"two"]), "COUNT_MISMATCH", ["Chunk count mismatch: expected 3, got 2"]),
+    "nothing delivered": (_case([]), "COUNT_MISMATCH", ["Chunk count mismatch: expected 3, got 0"]),
+    "two altered": (
+        _case(BAD), "CHUNK_ERROR", [_mismatch(1, b"two", b"TWO"), _mismatch(2, b"three", b"THREE")]),
+    "swapped": (
+        _case([b"two", b"one", b"three"]), "CHUNK_ERROR",
+        [_mismatch(0, b"one", b"two"), _mismatch(1, b"two", b"one")]),
+    "entry missing": (_case(change=_without("1")), "CHUNK_ERROR", ["Chunk 1: Missing in manifest"]),
+    "entry missing and altered": (
+        _case([b"ONE", b"two", b"three"], change=_without("1")), "CHUNK_ERROR",
+        [_mismatch(0, b"one", b"ONE"), "Chunk 1: Missing in manifest"]),
+    "extra entry": (
+        _case(change=_entry("3", EXTRA)), "SEQUENCE_ERROR",
+        ["Chunk sequence error: expected [0, 1, 2], got [0, 1, 2, 3]"]),
+    "equal as number": (
+        _case(change=_entry("00", EXTRA)), "SEQUENCE_ERROR",
+        ["Chunk sequence error: expected [0, 1, 2], got [0, 0, 1, 2]"]),
+    "entry without hash": (_case(change=_hash("1", None)), "MALFORMED_MANIFEST", ["'hash'"]),
+    "key no number": (
+        _case(change=_entry("x1", EXTRA)), "MALFORMED_MANIFEST",
+        ["invalid literal for int() with base 10: 'x1'"]),
+    "bad chunk before bad key": (
+        _case(BAD, change=_entry("x1", EXTRA)), "CHUNK_ERROR",
+        [_mismatch(1, b"two", b"TWO"), _mismatch(2, b"three", b"THREE")]),
+    "empty": (_case([], []), "OK", []),
+    "empty manifest with an entry": (
+        _case([], [], change=_entry("0", EXTRA)), "SEQUENCE_ERROR", ["Chunk sequence error: expected [], got [0]"]),
+    "upper case hash": (
+        _case(change=_hash("0", sha(b"one").upper())), "CHUNK_ERROR",
+        [f"Chunk 0: Hash mismatch. Expected {sha(b'one').upper()[:16]}..., got {sha(b'one')[:16]}..."]),
+    "wrong size only": (_case(change=lambda m: m["chunks"]["0"].update(size=99)), "OK", []),
+}
+
+
+def tables(spark):
+    """(records, received) holding every case; firmware_id is the case number."""
+    records, received = [], []
+    for number, ((record, delivered, signed), _, _) in enumerate(CASES.values()):
+        records.append({"firmware_id": number, "signature_valid": signed, **record})
+        received += [(number, i, bytearray(c)) for i, c in enumerate(delivered)]
+    return spark.createDataFrame(records, SIGNED_MANIFEST), spark.createDataFrame(received, RECEIVED_CHUNKS)

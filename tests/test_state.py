@@ -1,0 +1,137 @@
+import pytest
+from pyspark.sql import functions as F
+
+from fleetwright.functions import ordering
+from fleetwright.operators import state
+from fleetwright.schemas import FLEET
+from tests.test_analytics import fleet_of
+
+
+@pytest.fixture(scope="module")
+def fleet(spark):
+    return fleet_of(spark, [
+        ("A", "Partial", 2), ("A", "Success", 2), ("B", "Partial", 2), ("B", "Success", 1),
+        ("C", "Success", 1), ("C", "SECURITY_HOLD", 1)])
+
+
+def statuses(df):
+    return {r["device_id"]: r["update_status"] for r in df.collect()}
+
+
+def test_recover_is_idempotent_and_leaves_holds(fleet):
+    once = state.recover(fleet)
+    counts = {r[0]: r[1] for r in once.groupBy("update_status").count().collect()}
+    assert counts == {"Recovered": 4, "Success": 4, "SECURITY_HOLD": 1}
+    assert statuses(state.recover(once)) == statuses(once)
+
+
+def test_recover_keeps_null_status(spark):
+    fleet = fleet_of(spark, [("A", None, 1)])
+    assert list(statuses(state.recover(fleet)).values()) == [None]
+
+
+def test_shard_report_has_every_shard(fleet):
+    report = state.recovery_shard_report(fleet, 16)
+    found = report.collect()
+    assert sorted(r["shard_id"] for r in found) == list(range(16))
+    assert sum(r["found"] for r in found) == 4
+    assert all((r["outcome"] == "EMPTY") == (r["found"] == 0) for r in found)
+    tally = state.recovery_tally(report).first()
+    assert tally["shards_recovered"] + tally["shards_empty"] == 16
+    assert tally["devices_recovered"] == 4
+
+
+def test_apply_status_ignores_unknown_devices(spark, fleet):
+    changes = spark.createDataFrame(
+        [("DEV-00000000", "Success"), ("DEV-unknown", "Success")], "device_id string, status string")
+    after = statuses(state.apply_status(fleet, changes))
+    assert after["DEV-00000000"] == "Success"
+    before = statuses(fleet)
+    assert {k for k in before if before[k] != after[k]} == {"DEV-00000000"}
+    assert len(after) == len(before)
+
+
+def test_apply_status_takes_the_last_change_of_a_device(spark, fleet):
+    changes = spark.createDataFrame(
+        [("DEV-00000002", "Success", 3), ("DEV-00000002", "Partial", 9), ("DEV-00000002", "Recovered", 4)],
+        "device_id string, status string, at int")
+    assert statuses(state.apply_status(fleet, changes, order="at"))["DEV-00000002"] == "Partial"
+    unordered = state.apply_status(fleet, changes.drop("at"))
+    assert unordered.count() == fleet.count()
+
+
+def test_security_hold(spark, fleet):
+    after = statuses(state.security_hold(fleet, spark.createDataFrame([("DEV-00000003",)], "device_id string")))
+    assert after["DEV-00000003"] == "SECURITY_HOLD"
+
+
+def test_row_index_is_the_global_order(spark):
+    ids = spark.range(10_000).select(F.sha2(F.col("id").cast("string"), 256).alias("device_id"))
+    numbered = ordering.with_row_index(ids.repartition(7), "device_id").collect()
+    assert [r["row_index"] for r in sorted(numbered, key=lambda r: r["device_id"])] == list(range(10_000))
+
+
+def test_row_index_splits_rows_of_one_value_by_the_next_key(spark, settings):
+    """A third of the rows share the first key; the second spreads them."""
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("firmware_id"), F.col("id").alias("seq"))
+    with settings(spark__sql__adaptive__coalescePartitions__enabled=False):
+        numbered = ordering.with_row_index(rows, "firmware_id", "seq")
+    assert numbered.select("row_index").distinct().count() == 30_000
+    largest = numbered.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 30_000 / 3
+
+
+def test_row_index_of_no_rows(spark):
+    assert ordering.with_row_index(spark.range(0), "id").count() == 0
+
+
+@pytest.mark.parametrize("limit,offset", [(10, 0), (10, 35), (2_000, 1_500), (5_000, 0), (100, 99_999)])
+def test_pages_of_both_plans(spark, limit, offset):
+    fleet = spark.range(4_000).select(
+        F.format_string("DEV-%08x", F.col("id")).alias("device_id"), F.lit("Partial").alias("update_status"))
+    page = sorted(r[0] for r in state.recovery_page(fleet, limit, offset).collect())
+    assert page == [f"DEV-{i:08x}" for i in range(4_000)][offset:offset + limit]
+
+
+def test_batch_ledger_ends_with_a_short_batch(spark):
+    rows = spark.range(1_201).withColumnRenamed("id", "device_id")
+    ledger = sorted(tuple(r) for r in state.batch_ledger(rows, "device_id").collect())
+    assert ledger == [(0, 500, 500), (1, 500, 1_000), (2, 201, 1_201)]
+
+
+def test_assigned_batches_are_consecutive_in_key_order(spark):
+    rows = spark.range(1_000).select(F.col("id").alias("device_id"), F.lit("x").alias("payload"))
+    assigned = state.assign_batches(rows, "device_id", batch_rows=300)
+    assert assigned.columns == ["device_id", "payload", "row_index", "batch_id"]
+    assert assigned.filter(F.col("batch_id") != F.floor(F.col("device_id") / 300)).count() == 0
+
+
+def test_key_violations(spark):
+    fleet = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "device_id string")
+    assert sorted(map(tuple, state.key_violations(fleet).collect()), key=str) == [("b", 2), (None, 1)]
+
+
+def test_sample_is_exact_and_repeatable(spark, testdata):
+    from fleetwright.plans import views
+    fleet = views.fleet(spark, str(testdata / "sf0.001"))
+    picks = [{r["device_id"] for r in state.sample_exact_n(rows, 50, seed=3).collect()}
+             for rows in (fleet, fleet.repartition(5))]
+    assert len(picks[0]) == 50 and picks[0] == picks[1]
+    assert picks[0] != {r["device_id"] for r in state.sample_exact_n(fleet, 50, seed=4).collect()}
+    assert state.sample_exact_n(fleet, 1_200).count() == 1_200
+    assert state.sample_exact_n(fleet, 10**6).count() == fleet.count()
+
+
+def test_sample_update_changes_exactly_n(fleet):
+    after = state.sample_update(fleet, 3, "battery_voltage", None, seed=1)
+    assert after.schema == fleet.schema or after.dtypes == fleet.dtypes
+    assert after.filter(F.col("battery_voltage").isNull()).count() == 3
+    assert after.count() == fleet.count()
+
+
+def test_empty_fleet(spark):
+    fleet = spark.createDataFrame([], FLEET)
+    assert state.recover(fleet).count() == 0
+    assert {r["outcome"] for r in state.recovery_shard_report(fleet, 4).collect()} == {"EMPTY"}
+    assert state.batch_ledger(fleet, "device_id").count() == 0
