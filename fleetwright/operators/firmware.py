@@ -5,7 +5,9 @@ Tables:
             (text, bytes, or an array of byte chunks)
   records   one manifest per row, see `schemas.MANIFEST`; verification also
             reads `signature_valid`
-  received  firmware_id, chunk_index, payload: chunks as delivered
+  received  firmware_id, chunk_index, payload: chunks as delivered, or
+            actual_hash in place of payload. chunk_index is the position in
+            the delivery, so it identifies a chunk; see `renumber_chunks`
 
 A manifest is one signed document, so work on a single manifest stays within
 its row. Work on delivered chunks is spread by (firmware_id, chunk) and reaches
@@ -122,16 +124,18 @@ def manifest_documents(records: DataFrame) -> DataFrame:
 
 
 def renumber_chunks(landed: DataFrame, sequence: str = "sequence") -> DataFrame:
-    """Chunk indexes from 0 for landed rows (firmware_id, `sequence`, payload).
+    """(firmware_id, chunk_index, actual_hash) for landed rows (firmware_id, `sequence`, payload).
 
     A chunk's index is its position in the delivery, so gaps in the landing
     sequence close. Positions come from global row numbers minus the first of
-    the image, so one huge image is numbered in parallel. Runs a job.
+    the image, so one huge image is numbered in parallel; the payload is hashed
+    first and not moved. Runs a job.
     """
-    numbered = with_row_index(landed, "firmware_id", sequence)
+    hashed = landed.select("firmware_id", sequence, F.sha2("payload", 256).alias("actual_hash"))
+    numbered = with_row_index(hashed, "firmware_id", sequence, "actual_hash")
     first = numbered.groupBy("firmware_id").agg(F.min("row_index").alias("_first"))
-    return numbered.join(first, "firmware_id").select(
-        "firmware_id", (F.col("row_index") - F.col("_first")).cast("int").alias("chunk_index"), "payload")
+    index = (F.col("row_index") - F.col("_first")).cast("int").alias("chunk_index")
+    return numbered.join(first, "firmware_id").select("firmware_id", index, "actual_hash")
 
 
 # ---- single stages ----------------------------------------------------------
@@ -151,10 +155,11 @@ def manifest_entries(records: DataFrame) -> DataFrame:
 
 def delivered_hashes(received: DataFrame, *keep: str) -> DataFrame:
     """(firmware_id, chunk_key, actual_hash) of delivered chunks, and columns to keep."""
+    hashed = "actual_hash" in received.columns
     return received.select(
         "firmware_id",
         F.col("chunk_index").cast("string").alias("chunk_key"),
-        F.sha2("payload", 256).alias("actual_hash"),
+        F.col("actual_hash") if hashed else F.sha2("payload", 256).alias("actual_hash"),
         *keep,
     )
 

@@ -33,12 +33,14 @@ def _digest() -> Column:
 
 
 def _spread(rows: DataFrame) -> DataFrame:
-    """One slot per core: the rows are small and each costs a modular power.
+    """Even partitions: the rows are small, but each costs a modular power.
 
-    The number is stated, or the adaptive planner would merge the small
-    partitions again.
+    The number is stated, or the adaptive planner would merge them again by
+    size. Cores alone would be too few while a cluster is still growing.
     """
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "firmware_id")
+    spark = rows.sparkSession
+    stated = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(stated, spark.sparkContext.defaultParallelism), "firmware_id")
 
 
 def sign_manifests(records: DataFrame, key: pss.PrivateKey) -> DataFrame:

@@ -264,16 +264,15 @@ def fleet_after_update(spark, folder):
 # ---- streaming --------------------------------------------------------------
 
 def chunk_stream_verify(spark, folder):
-    """The documents file as a stream of arriving images, cut, verified, appended
-    to a table, and the table read back."""
+    """The documents file as a stream of arriving images, cut into chunks, checked
+    against stored entries, and the results read back."""
+    entries, results, log = (scratch_path(spark, name) for name in ("entries", "verified", "verified_log"))
+    chunk_verify.save_entries(firmware.manifest_entries(views.faulty_manifests(spark, folder)), entries, 8)
     arriving = chunk_verify.chunk_stream(spark, folder, views.DOCUMENTS, glob="documents.parquet").select(
         F.col("doc_id").alias("firmware_id"), F.col("text").alias("payload"), "arrived_at")
     chunks = views.faulty_chunks(firmware.chunk_images(arriving, CHUNK_SIZE, "arrived_at"))
-    entries = firmware.manifest_entries(views.faulty_manifests(spark, folder))
-    results = chunk_verify.verify_stream(chunks, entries).drop("arrived_at")
-    path = scratch_path(spark, "verified_chunks")
-    chunk_verify.append_available(results, path, scratch_path(spark, "verified_chunks_log"))
-    return spark.read.parquet(path)
+    chunk_verify.verify_available(chunk_verify.new_hashes(chunks), entries, results, log, 8)
+    return spark.read.parquet(results).drop("batch")
 
 
 QUERIES: dict[str, Query] = {

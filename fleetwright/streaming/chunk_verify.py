@@ -1,10 +1,33 @@
-"""Verify firmware chunks as they arrive."""
+"""Verify firmware chunks as they arrive.
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+A micro-batch is small beside the manifest entries of all images, so it must not
+read them all: entries are stored by bucket of their image, and a batch reads
+the buckets its chunks fall into.
+"""
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from fleetwright.operators.firmware import delivered_hashes, match_chunks
 
+BUCKETS = 64
+
+
+def image_bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("firmware_id"), F.lit(buckets)).cast("int")
+
+
+def save_entries(entries: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Store manifest entries in a folder per bucket.
+
+    Rebalanced rather than repartitioned: a bucket with a huge image is written
+    by several tasks.
+    """
+    (
+        entries.withColumn("bucket", image_bucket(buckets)).hint("rebalance", "bucket")
+        .write.mode("errorifexists").partitionBy("bucket").parquet(path)
+    )
+
 
 def chunk_stream(
     spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 1_000,
@@ -20,32 +43,41 @@ def chunk_stream(
     )
 
 
-def verify_stream(chunks: DataFrame, entries: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Check streamed chunks (with `arrived_at`) against the manifest entries.
+def new_hashes(chunks: DataFrame, late: str = "1 hour") -> DataFrame:
+    """Hashes of streamed chunks (with `arrived_at`), repeats within `late` left out.
 
-    A chunk delivered again within `late` is reported once. The hash is part of
-    what makes a repeat, so a second delivery with other content is reported
-    too. State holds hashes of the last `late`, spread by image and chunk; the
-    payload is hashed before that shuffle.
+    The hash is part of what makes a repeat, so a second delivery with other
+    content is not hidden. The payload is hashed before the shuffle; the state
+    holds hashes of the last `late`, spread by image and chunk.
     """
-    hashes = (
+    return (
         delivered_hashes(chunks, "arrived_at")
         .withWatermark("arrived_at", late)
         .dropDuplicatesWithinWatermark(["firmware_id", "chunk_key", "actual_hash"])
     )
-    return match_chunks(hashes, entries, "left")
 
 
-def append_available(results: DataFrame, path: str, checkpoint: str) -> None:
-    """Process what has arrived since the last call, append it to `path`, and return.
+def verify_available(
+    hashes: DataFrame, entries_path: str, results_path: str, checkpoint: str, buckets: int = BUCKETS,
+) -> None:
+    """Check what has arrived since the last call, store the results, and return.
 
-    Runs the stream. The file sink's log with `checkpoint` makes every chunk
-    appear once, also after a failure half way through.
+    Runs the stream. Each micro-batch fills a folder of its own, and fills it
+    anew when it is repeated after a failure, so every chunk appears once.
     """
+    def check(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.drop("arrived_at").persist()
+        # At most `buckets` numbers come to the driver.
+        hit = [row[0] for row in batch.select(image_bucket(buckets)).distinct().collect()]
+        entries = batch.sparkSession.read.parquet(entries_path).filter(F.col("bucket").isin(hit)).drop("bucket")
+        results = match_chunks(batch, entries, "left")
+        results.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
+        batch.unpersist()
+
     query = (
-        results.writeStream.format("parquet").outputMode("append")
+        hashes.writeStream.foreachBatch(check)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(path)
+        .start()
     )
     query.awaitTermination()

@@ -144,9 +144,13 @@ def test_renumbering_closes_gaps(spark):
     landed = spark.createDataFrame(
         [(1, 10, bytearray(b"a")), (1, 40, bytearray(b"b")), (2, 7, bytearray(b"c")), (1, 41, bytearray(b"d"))],
         "firmware_id long, sequence long, payload binary")
-    rows = {(r["firmware_id"], r["chunk_index"]): bytes(r["payload"])
-            for r in firmware.renumber_chunks(landed).collect()}
-    assert rows == {(1, 0): b"a", (1, 1): b"b", (1, 2): b"d", (2, 0): b"c"}
+    received = firmware.renumber_chunks(landed)
+    rows = {(r["firmware_id"], r["chunk_index"]): r["actual_hash"] for r in received.collect()}
+    assert rows == {(1, 0): sha(b"a"), (1, 1): sha(b"b"), (1, 2): sha(b"d"), (2, 0): sha(b"c")}
+    records = spark.createDataFrame(
+        [{"firmware_id": 1, **manifest([b"a", b"b", b"d"])}, {"firmware_id": 2, **manifest([b"c"])}], MANIFEST)
+    verdicts = firmware.firmware_verdicts(records.withColumn("signature_valid", F.lit(True)), received)
+    assert [r["verdict"] for r in verdicts.collect()] == ["OK", "OK"]
 
 
 def huge_image(spark, chunks):

@@ -9,14 +9,14 @@ from tests.firmware_cases import CASES, tables
 @pytest.fixture()
 def landing(spark, tmp_path):
     records, received = tables(spark)
-    entries = firmware.manifest_entries(records)
-    paths = {name: str(tmp_path / name) for name in ("landing", "verified", "log")}
+    paths = {name: str(tmp_path / name) for name in ("entries", "landing", "verified", "log")}
+    chunk_verify.save_entries(firmware.manifest_entries(records), paths["entries"], 4)
 
     def run():
         chunks = chunk_verify.chunk_stream(spark, paths["landing"], RECEIVED_CHUNKS)
-        results = chunk_verify.verify_stream(chunks, entries).drop("arrived_at")
-        chunk_verify.append_available(results, paths["verified"], paths["log"])
-        return sorted(map(str, spark.read.parquet(paths["verified"]).collect()))
+        chunk_verify.verify_available(
+            chunk_verify.new_hashes(chunks), paths["entries"], paths["verified"], paths["log"], 4)
+        return sorted(map(str, spark.read.parquet(paths["verified"]).drop("batch").collect()))
 
     return records, received, paths["landing"], run
 
