@@ -59,7 +59,7 @@ def manifest_json(manifest_columns=F.col) -> Column:
     from one row: the JSON of a manifest is bounded by the manifest record.
     """
     col = manifest_columns
-    entries = F.array_sort(F.map_entries(col("chunks")))
+    entries = F.sort_array(F.map_entries(col("chunks")))
     chunks = F.concat(
         F.lit("{"),
         F.array_join(F.transform(entries, lambda e: _chunk_entry(e["key"], e["value"])), ","),

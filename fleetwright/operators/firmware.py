@@ -241,12 +241,12 @@ def with_key_sequence(records: DataFrame) -> DataFrame:
     """
     found, count = F.col("_found"), F.size("_found")
     bad_keys = F.filter(F.map_keys("chunks"), lambda k: k.try_cast("bigint").isNull())
+    # NULLs sort first, so one look tells whether any key is no integer.
+    any_bad = (count > 0) & F.get(found, F.lit(0)).isNull()
     complete = F.col("bad_key").isNull() & (count == F.col("total_chunks")) & (found == _consecutive(count))
     return (
-        records.withColumns({
-            "bad_key": F.try_element_at(bad_keys, F.lit(1)),
-            "_found": F.array_sort(_key_numbers()),
-        })
+        records.withColumn("_found", F.sort_array(_key_numbers()))
+        .withColumn("bad_key", F.when(any_bad, F.get(bad_keys, F.lit(0))))
         .withColumn("in_sequence", F.coalesce(complete, F.lit(False)))
         .withColumn("found_keys", F.when(~F.col("in_sequence"), found))
         .drop("_found")

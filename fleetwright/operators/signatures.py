@@ -7,6 +7,7 @@ the 32-byte digest and the signature and does the modular arithmetic.
 import os
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, BooleanType
 
@@ -14,6 +15,9 @@ from fleetwright.functions import pss
 from fleetwright.functions.canonical_json import manifest_json
 from fleetwright.operators.firmware import BAD_SIGNATURE, NO_PUBLIC_KEY
 
+# Tasks get the arithmetic with the UDF, so executors need not have this package.
+cloudpickle.register_pickle_by_value(pss)
+
 
 def load_public_key(path: str | None) -> pss.PublicKey | None:
     """The key of a PEM file, None when no file is there."""

@@ -5,9 +5,7 @@ from pathlib import Path
 
 import pytest
 
-ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
-os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(ROOT), os.environ.get("PYTHONPATH", "")]))
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from fleetwright.session import local_session  # noqa: E402
 
