@@ -127,11 +127,12 @@ def renumber_chunks(landed: DataFrame, sequence: str = "sequence") -> DataFrame:
     """(firmware_id, chunk_index, actual_hash) for landed rows (firmware_id, `sequence`, payload).
 
     A chunk's index is its position in the delivery, so gaps in the landing
-    sequence close. Positions come from global row numbers minus the first of
-    the image, so one huge image is numbered in parallel; the payload is hashed
+    sequence close; a row landed again, with the same number and content,
+    counts once. Positions come from global row numbers minus the first of the
+    image, so one huge image is numbered in parallel; the payload is hashed
     first and not moved. Runs a job.
     """
-    hashed = landed.select("firmware_id", sequence, F.sha2("payload", 256).alias("actual_hash"))
+    hashed = landed.select("firmware_id", sequence, F.sha2("payload", 256).alias("actual_hash")).distinct()
     numbered = with_row_index(hashed, "firmware_id", sequence, "actual_hash")
     first = numbered.groupBy("firmware_id").agg(F.min("row_index").alias("_first"))
     index = (F.col("row_index") - F.col("_first")).cast("int").alias("chunk_index")

@@ -14,6 +14,7 @@ from pyspark.sql.types import BinaryType, BooleanType
 from fleetwright.functions import pss
 from fleetwright.functions.canonical_json import manifest_json
 from fleetwright.operators.firmware import BAD_SIGNATURE, NO_PUBLIC_KEY
+from fleetwright.session import cut_lineage
 
 # Tasks get the arithmetic with the UDF, so executors need not have this package.
 cloudpickle.register_pickle_by_value(pss)
@@ -81,6 +82,10 @@ def audit_signatures(signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
 
 
 def with_signature_valid(signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
-    """Records ready for `firmware_verdicts`: `signature` replaced by `signature_valid`."""
-    audit = audit_signatures(signed, key).select("firmware_id", "signature_valid")
+    """Records ready for `firmware_verdicts`: `signature` replaced by `signature_valid`.
+
+    Runs a job: verification reads the records more than once, so the audit, one
+    boolean per image, is checkpointed rather than computed again each time.
+    """
+    audit = cut_lineage(audit_signatures(signed, key).select("firmware_id", "signature_valid"))
     return signed.drop("signature").join(audit, "firmware_id", "left")

@@ -79,9 +79,16 @@ def apply_status(fleet: DataFrame, changes: DataFrame, order: str | None = None)
 
 
 def security_hold(fleet: DataFrame, violations: DataFrame) -> DataFrame:
-    """Put the listed devices on security hold."""
-    held = violations.select("device_id", F.lit(SECURITY_HOLD).alias("status"))
-    return apply_status(fleet, held)
+    """Put the listed devices on security hold, however often they are listed."""
+    return _set_where(fleet, violations.select("device_id").distinct(), "update_status", F.lit(SECURITY_HOLD))
+
+
+def _set_where(fleet: DataFrame, keys: DataFrame, column: str, value: Column) -> DataFrame:
+    """`column` set to `value` for the rows of a frame of distinct keys."""
+    key = keys.columns[0]
+    listed = keys.withColumn("_listed", F.lit(True))
+    new = F.when(F.col("_listed"), value).otherwise(F.col(column))
+    return fleet.join(listed, key, "left").withColumn(column, new).select(*fleet.columns)
 
 
 def assign_batches(rows: DataFrame, *keys: str, batch_rows: int = LOAD_BATCH_ROWS) -> DataFrame:
@@ -127,11 +134,6 @@ def sample_update(
     fleet: DataFrame, n: int, column: str, value, seed=0, key: str = "device_id",
 ) -> DataFrame:
     """Set `column` to `value` on exactly `n` sampled devices, leave the others."""
-    chosen = _sampled_keys(fleet, n, seed, key).withColumn("_chosen", F.lit(True))
     new: Column = value if isinstance(value, Column) else F.lit(value)
     new = new.cast(fleet.schema[column].dataType)
-    return (
-        fleet.join(chosen, key, "left")
-        .withColumn(column, F.when(F.col("_chosen"), new).otherwise(F.col(column)))
-        .select(*fleet.columns)
-    )
+    return _set_where(fleet, _sampled_keys(fleet, n, seed, key), column, new)

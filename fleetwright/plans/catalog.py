@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fleetwright.operators import analytics, firmware, quality, signatures, state, updates
 from fleetwright.plans import views
 from fleetwright.schemas import CHUNK_SIZE, PARTIAL, RAW_FLEET, RECOVERY_ACTIONS, SUCCESS
-from fleetwright.session import scratch_path
+from fleetwright.session import cut_lineage, scratch_path
 from fleetwright.sources import sinks, tables
 from fleetwright.streaming import chunk_verify
 
@@ -201,13 +201,14 @@ def verdict_counts(spark, folder):
     return firmware.verdict_counts(_verdicts(spark, folder))
 
 
-def _signed(records: DataFrame) -> DataFrame:
-    """Records with their signature by the sample key."""
+def signed_manifests(records: DataFrame) -> DataFrame:
+    """Records with their signature by the sample key, made once."""
     key = signatures.load_private_key(_KEYS / "sample_private_key.pem")
-    return records.join(signatures.sign_manifests(records, key), "firmware_id")
+    return records.join(cut_lineage(signatures.sign_manifests(records, key)), "firmware_id")
 
 
-def _public_key():
+def public_key():
+    """The sample key's public half."""
     return signatures.load_public_key(_KEYS / "sample_public_key.pem")
 
 
@@ -218,12 +219,12 @@ def signature_audit(spark, folder):
     last = F.substring(signature, 256, 1)
     other = F.when(last == F.unhex(F.lit("00")), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
     shorter = F.substring(signature, 1, 255)
-    signed = _signed(views.manifests(spark, folder)).withColumns({
+    signed = signed_manifests(views.manifests(spark, folder)).withColumns({
         "total_size": F.col("total_size") + F.when(fault == 7, 1).otherwise(0),
         "signature": F.when(fault == 5, F.concat(shorter, other)).when(fault == 9, shorter)
         .when(fault == 11, F.lit(None)).otherwise(signature),
     })
-    return signatures.audit_signatures(signed, _public_key())
+    return signatures.audit_signatures(signed, public_key())
 
 
 def firmware_verdict_signed(spark, folder):
@@ -231,8 +232,8 @@ def firmware_verdict_signed(spark, folder):
     in twenty is signed before its manifest changes."""
     records, received = _delivery(spark, folder)
     tampered = F.when(F.col("firmware_id") % 20 == 11, F.lit("tampered")).otherwise(F.col("device_model"))
-    signed = _signed(records.drop("signature_valid")).withColumn("device_model", tampered)
-    audited = signatures.with_signature_valid(signed, _public_key())
+    signed = signed_manifests(records.drop("signature_valid")).withColumn("device_model", tampered)
+    audited = signatures.with_signature_valid(signed, public_key())
     return firmware.firmware_verdicts(audited, received).select("firmware_id", "verdict", "error_count")
 
 

@@ -50,10 +50,13 @@ def devices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def with_region(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+def with_region(
+    spark: SparkSession, folder: str, rows: DataFrame, customer: DataFrame | None = None,
+) -> DataFrame:
     """Add `region` to rows that carry `home`."""
-    customer = parquet_table(spark, folder, "customer", CUSTOMER).select(
-        F.col("c_custkey").alias("home"), F.col("c_nationkey").alias("n_nationkey"))
+    if customer is None:
+        customer = parquet_table(spark, folder, "customer", CUSTOMER)
+    customer = customer.select(F.col("c_custkey").alias("home"), F.col("c_nationkey").alias("n_nationkey"))
     nation = parquet_table(spark, folder, "nation", NATION).select(
         "n_nationkey", F.col("n_regionkey").alias("r_regionkey"))
     region = parquet_table(spark, folder, "region", REGION).select(
@@ -82,13 +85,13 @@ def regional_status(spark: SparkSession, folder: str) -> DataFrame:
     serves the join as well.
     """
     rows = devices(spark, folder).select("home", "update_status")
-    customer = parquet_table(spark, folder, "customer", CUSTOMER).select("c_custkey", "c_nationkey")
+    customer = parquet_table(spark, folder, "customer", CUSTOMER)
     if fits_broadcast(customer):
         weighted = rows.withColumn("devices", F.lit(1).cast("bigint"))
-        return with_region(spark, folder, weighted).select("region", "update_status", "devices")
+        return with_region(spark, folder, weighted, customer).select("region", "update_status", "devices")
     per_home = rows.groupBy("home").agg(
         *[F.count_if(F.col("update_status") == s).alias(s) for s in (PARTIAL, SUCCESS)])
-    counted = with_region(spark, folder, per_home)
+    counted = with_region(spark, folder, per_home, customer)
     status_rows = F.array(*[
         F.struct(F.lit(s).alias("update_status"), F.col(s).alias("devices")) for s in (PARTIAL, SUCCESS)])
     return (

@@ -142,7 +142,8 @@ def test_binary_is_cut_by_bytes(spark):
 
 def test_renumbering_closes_gaps(spark):
     landed = spark.createDataFrame(
-        [(1, 10, bytearray(b"a")), (1, 40, bytearray(b"b")), (2, 7, bytearray(b"c")), (1, 41, bytearray(b"d"))],
+        [(1, 10, bytearray(b"a")), (1, 40, bytearray(b"b")), (2, 7, bytearray(b"c")), (1, 41, bytearray(b"d")),
+         (1, 40, bytearray(b"b"))],
         "firmware_id long, sequence long, payload binary")
     received = firmware.renumber_chunks(landed)
     rows = {(r["firmware_id"], r["chunk_index"]): r["actual_hash"] for r in received.collect()}
