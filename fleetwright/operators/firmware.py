@@ -142,27 +142,30 @@ def renumber_chunks(landed: DataFrame, sequence: str = "sequence") -> DataFrame:
 # ---- single stages ----------------------------------------------------------
 
 def manifest_entries(records: DataFrame) -> DataFrame:
-    """(firmware_id, chunk_key, expected_hash): one row per manifest entry.
+    """(firmware_id, chunk_key, chunk_index, expected_hash): one row per manifest entry.
 
-    The plain explode would add a filter on the map, pushed to where the map is
-    computed: a map built on the fly would be built twice.
+    The index is NULL for a key that is not the plain decimal form of one: "00"
+    or "x1" names no chunk. The plain explode would add a filter on the map,
+    pushed to where the map is computed: a map built on the fly would be built
+    twice.
     """
+    number = F.col("chunk_key").try_cast("int")
     return (
         records.select("firmware_id", F.explode_outer("chunks").alias("chunk_key", "_entry"))
         .filter(F.col("chunk_key").isNotNull())
-        .select("firmware_id", "chunk_key", F.col("_entry.hash").alias("expected_hash"))
+        .select(
+            "firmware_id", "chunk_key",
+            F.when(number.cast("string") == F.col("chunk_key"), number).alias("chunk_index"),
+            F.col("_entry.hash").alias("expected_hash"),
+        )
     )
 
 
 def delivered_hashes(received: DataFrame, *keep: str) -> DataFrame:
-    """(firmware_id, chunk_key, actual_hash) of delivered chunks, and columns to keep."""
+    """(firmware_id, chunk_index, actual_hash) of delivered chunks, and columns to keep."""
     hashed = "actual_hash" in received.columns
-    return received.select(
-        "firmware_id",
-        F.col("chunk_index").cast("string").alias("chunk_key"),
-        F.col("actual_hash") if hashed else F.sha2("payload", 256).alias("actual_hash"),
-        *keep,
-    )
+    digest = F.col("actual_hash") if hashed else F.sha2("payload", 256).alias("actual_hash")
+    return received.select("firmware_id", "chunk_index", digest, *keep)
 
 
 def chunk_state() -> Column:
@@ -178,10 +181,10 @@ def chunk_state() -> Column:
 
 
 def match_chunks(delivered: DataFrame, entries: DataFrame, how: str) -> DataFrame:
-    """Join delivered hashes with manifest entries on image and chunk."""
+    """Join delivered hashes with manifest entries on image and chunk index."""
     listed = entries.withColumn("_listed", F.lit(True))
     return (
-        delivered.join(listed, ["firmware_id", "chunk_key"], how)
+        delivered.join(listed, ["firmware_id", "chunk_index"], how)
         .withColumn("result", chunk_state())
         .drop("_listed")
     )
@@ -192,7 +195,10 @@ def chunk_hash_check(records: DataFrame, received: DataFrame) -> DataFrame:
 
     One row per delivered chunk or manifest entry, whichever side lacks it.
     """
-    return match_chunks(delivered_hashes(received), manifest_entries(records), "full")
+    matched = match_chunks(delivered_hashes(received), manifest_entries(records), "full")
+    return matched.select(
+        "firmware_id", F.coalesce("chunk_key", F.col("chunk_index").cast("string")).alias("chunk_key"),
+        "actual_hash", "expected_hash", "result")
 
 
 def manifest_structure_check(records: DataFrame) -> DataFrame:
@@ -275,7 +281,8 @@ def _checked_chunks(records: DataFrame, received: DataFrame) -> DataFrame:
     very often. Entries of manifests that failed earlier are not expanded.
     """
     checkable = records.filter(_passed_signature() & F.col("total_chunks").isNotNull())
-    return match_chunks(delivered_hashes(received), manifest_entries(checkable), "left")
+    return match_chunks(
+        delivered_hashes(received), manifest_entries(checkable).drop("chunk_key"), "left")
 
 
 def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
@@ -293,7 +300,7 @@ def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
         F.count("*").alias("delivered"),
         F.count_if(result.isin(MISSING_IN_MANIFEST, HASH_MISMATCH)).alias("bad_chunks"),
         F.count_if(result == ENTRY_WITHOUT_HASH).alias("without_hash"),
-        F.max(F.col("chunk_key").cast("int")).alias("last_position"),
+        F.max("chunk_index").alias("last_position"),
     )
     heads = with_key_sequence(records).select(
         "firmware_id", "firmware_version", "total_chunks", "bad_key", "in_sequence", "found_keys",
@@ -390,7 +397,7 @@ def firmware_errors(
     bad = (
         _checked_chunks(records, received)
         .filter(F.col("result").isin(MISSING_IN_MANIFEST, HASH_MISMATCH))
-        .withColumn("position", F.col("chunk_key").cast("bigint"))
+        .withColumn("position", F.col("chunk_index").cast("bigint"))
         .select(
             F.col("firmware_id").alias("_image"), position_block(F.col("position")).alias("_in_block"),
             "position", _chunk_message().alias("message"),

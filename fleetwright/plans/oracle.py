@@ -359,5 +359,5 @@ ORACLE: dict[str, str] = {
                     ELSE 'SECURITY_HOLD' END AS update_status
         FROM fleet LEFT JOIN verdict ON firmware_id = home"""),
     "chunk_stream_verify": _sql(FAULTY, """
-        SELECT firmware_id, chunk_index::varchar AS chunk_key, actual_hash, expected_hash, result FROM checked"""),
+        SELECT firmware_id, chunk_index, actual_hash, expected_hash, result FROM checked"""),
 }

@@ -18,13 +18,14 @@ def image_bucket(buckets: int) -> Column:
 
 
 def save_entries(entries: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Store manifest entries in a folder per bucket.
+    """Store manifest entries that name a chunk, in a folder per bucket.
 
     Rebalanced rather than repartitioned: a bucket with a huge image is written
     by several tasks.
     """
     (
-        entries.withColumn("bucket", image_bucket(buckets)).hint("rebalance", "bucket")
+        entries.filter(F.col("chunk_index").isNotNull()).drop("chunk_key")
+        .withColumn("bucket", image_bucket(buckets)).hint("rebalance", "bucket")
         .write.mode("errorifexists").partitionBy("bucket").parquet(path)
     )
 
@@ -53,7 +54,7 @@ def new_hashes(chunks: DataFrame, late: str = "1 hour") -> DataFrame:
     return (
         delivered_hashes(chunks, "arrived_at")
         .withWatermark("arrived_at", late)
-        .dropDuplicatesWithinWatermark(["firmware_id", "chunk_key", "actual_hash"])
+        .dropDuplicatesWithinWatermark(["firmware_id", "chunk_index", "actual_hash"])
     )
 
 

@@ -139,7 +139,7 @@ def test_errors_are_limited_before_they_meet(spark, settings):
 def test_hashes_are_shuffled_once_for_verdicts_and_errors(spark, folder, settings):
     with settings(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__autoBroadcastJoinThreshold=-1):
         plan = run_plan(QUERIES["firmware_errors"](spark, folder))
-    assert len(re.findall(r"ReusedExchange \[firmware_id#\d+L?, chunk_key", plan)) == 2
+    assert len(re.findall(r"ReusedExchange \[firmware_id#\d+L?, chunk_index", plan)) == 2
     hashed = [line for line in plan.splitlines() if "Project" in line and "AS actual_hash" in line]
     assert len(hashed) == 1
 

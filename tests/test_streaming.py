@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from fleetwright.operators import firmware
 from fleetwright.schemas import RECEIVED_CHUNKS
@@ -25,7 +26,8 @@ def test_stream_equals_batch_over_two_arrivals(landing):
     records, received, path, run = landing
     batch = firmware.chunk_hash_check(records, received).filter("result != 'NOT_DELIVERED'")
     expected = sorted(map(str, batch.select(
-        "firmware_id", "chunk_key", "actual_hash", "expected_hash", "result").collect()))
+        "firmware_id", F.col("chunk_key").cast("int").alias("chunk_index"), "actual_hash", "expected_hash",
+        "result").collect()))
     received.filter("chunk_index = 0").write.parquet(path)
     first = run()
     assert 0 < len(first) < len(expected)
