@@ -96,14 +96,14 @@ def manifest_records(images: DataFrame, size: int = CHUNK_SIZE) -> DataFrame:
     """One complete manifest per image, built within its row: no shuffle."""
     pieces = images.select(
         "firmware_id", "firmware_version", "device_model", _pieces(images, size).alias("_pieces"))
-    entry = lambda piece, i: F.struct(
-        i.cast("string"),
-        F.struct(
+
+    def entry(piece: Column, i: Column) -> Column:
+        return F.struct(i.cast("string"), F.struct(
             F.sha2(piece.cast("binary"), 256).alias("hash"),
             i.cast("int").alias("index"),
             F.octet_length(piece).cast("int").alias("size"),
-        ),
-    )
+        ))
+
     total = F.aggregate(
         "_pieces", F.lit(0).cast("bigint"), lambda sum_, piece: sum_ + F.octet_length(piece))
     return pieces.select(
@@ -366,11 +366,10 @@ def position_block(position: Column) -> Column:
 
 def _chunk_message() -> Column:
     index = F.col("position")
-    prefix = lambda hash_: F.substring(hash_, 1, 16)
+    expected, actual = F.substring("expected_hash", 1, 16), F.substring("actual_hash", 1, 16)
     return (
         F.when(F.col("result") == MISSING_IN_MANIFEST, F.format_string(MISSING_MESSAGE, index))
-        .when(F.col("result") == HASH_MISMATCH, F.format_string(
-            MISMATCH_MESSAGE, index, prefix(F.col("expected_hash")), prefix(F.col("actual_hash"))))
+        .when(F.col("result") == HASH_MISMATCH, F.format_string(MISMATCH_MESSAGE, index, expected, actual))
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetwright.operators import analytics, firmware, quality, signatures, state, updates
 from fleetwright.plans import views
-from fleetwright.schemas import CHUNK_SIZE, PARTIAL, RAW_FLEET, RECOVERY_ACTIONS, SUCCESS
+from fleetwright.schemas import CHUNK_SIZE, PARTIAL, RAW_FLEET, RECOVERY_ACTIONS
 from fleetwright.session import cut_lineage, scratch_path
 from fleetwright.sources import sinks, tables
 from fleetwright.streaming import chunk_verify
@@ -53,6 +53,11 @@ def recovery_page(spark, folder):
     return state.recovery_page(views.devices(spark, folder), PAGE_ROWS, PAGE_START)
 
 
+def recovery_first_page(spark, folder):
+    """A page small enough for a top-k."""
+    return state.recovery_page(views.devices(spark, folder), SAMPLE_ROWS, 0)
+
+
 def recovery_shard_report(spark, folder):
     return state.recovery_shard_report(views.devices(spark, folder), SHARDS)
 
@@ -75,6 +80,11 @@ def batch_ledger(spark, folder):
     return state.batch_ledger(views.devices(spark, folder), "device_id")
 
 
+def batch_assignment(spark, folder):
+    rows = views.devices(spark, folder).select("device_id", "update_status")
+    return state.assign_batches(rows, "device_id").drop("row_index")
+
+
 def key_violations(spark, folder):
     return state.key_violations(views.devices(spark, folder))
 
@@ -149,6 +159,11 @@ def firmware_manifest(spark, folder):
     return firmware.manifest_totals(firmware_chunks(spark, folder), views.images(spark, folder))
 
 
+def chunk_renumber(spark, folder):
+    """Chunks landed under numbers with gaps, some of them twice."""
+    return firmware.renumber_chunks(views.landed_chunks(spark, folder))
+
+
 def manifest_json(spark, folder):
     return firmware.manifest_documents(views.manifests(spark, folder))
 
@@ -289,11 +304,13 @@ QUERIES: dict[str, Query] = {
     "regional_failure_rate": _counted(analytics.regional_failure_rate),
     "recovery_apply": recovery_apply,
     "recovery_page": recovery_page,
+    "recovery_first_page": recovery_first_page,
     "recovery_shard_report": recovery_shard_report,
     "recovery_tally": recovery_tally,
     "status_update_by_key": status_update_by_key,
     "security_hold": security_hold,
     "batch_ledger": batch_ledger,
+    "batch_assignment": batch_assignment,
     "key_violations": key_violations,
     "key_violations_feed": key_violations_feed,
     "sample_exact_n": sample_exact_n,
@@ -309,6 +326,7 @@ QUERIES: dict[str, Query] = {
     "integrity_check": integrity_check,
     "firmware_chunks": firmware_chunks,
     "firmware_manifest": firmware_manifest,
+    "chunk_renumber": chunk_renumber,
     "manifest_json": manifest_json,
     "manifest_structure_check": manifest_structure_check,
     "chunk_count_check": chunk_count_check,

@@ -230,6 +230,8 @@ ORACLE: dict[str, str] = {
     "recovery_page": _sql(DEVICE, """
         SELECT device_id FROM device WHERE update_status = 'Partial'
         ORDER BY device_id LIMIT 2500 OFFSET 2500"""),
+    "recovery_first_page": _sql(DEVICE, """
+        SELECT device_id FROM device WHERE update_status = 'Partial' ORDER BY device_id LIMIT 50"""),
     "recovery_shard_report": _sql(DEVICE, _SHARD_REPORT, "SELECT * FROM report"),
     "recovery_tally": _sql(DEVICE, _SHARD_REPORT, """
         SELECT count(*) FILTER (WHERE outcome = 'RECOVERED') AS shards_recovered,
@@ -253,6 +255,9 @@ ORACLE: dict[str, str] = {
         SELECT batch_id, count(*) AS rows_in_batch,
                (sum(count(*)) OVER (ORDER BY batch_id))::bigint AS running_total
         FROM numbered GROUP BY 1"""),
+    "batch_assignment": _sql(DEVICE, """
+        SELECT device_id, update_status, (row_number() OVER (ORDER BY device_id) - 1) // 500 AS batch_id
+        FROM device"""),
     "key_violations": _sql(DEVICE, """
         SELECT device_id, count(*) AS row_count FROM device
         GROUP BY 1 HAVING count(*) > 1 OR device_id IS NULL"""),
@@ -265,7 +270,8 @@ ORACLE: dict[str, str] = {
         SELECT device_id, region, battery_voltage, update_status,
                CASE WHEN device_id IN ({_SAMPLE}) THEN -999 ELSE signal_strength END::int AS signal_strength
         FROM fleet"""),
-    "corruption_classify": _sql(RAW, "SELECT device_id, battery_voltage, signal_strength, defects FROM classified"),
+    "corruption_classify": _sql(
+        RAW, "SELECT device_id, battery_voltage, signal_strength, defects FROM classified"),
     "corruption_counts": _sql(RAW, """
         SELECT 'MISSING' AS defect, count(*) AS row_count FROM flagged WHERE missing HAVING count(*) > 0
         UNION ALL
@@ -289,6 +295,14 @@ ORACLE: dict[str, str] = {
         FROM device"""),
     "firmware_chunks": _sql(CHUNK, "SELECT * FROM hashed"),
     "firmware_manifest": _sql(CHUNK, "SELECT * FROM manifest"),
+    "chunk_renumber": _sql(CHUNK, """
+        landed AS (
+          SELECT firmware_id, chunk_index * 3 + chunk_index % 2 AS sequence, hash FROM hashed
+          UNION ALL
+          SELECT firmware_id, chunk_index * 3, hash FROM hashed WHERE chunk_index % 2 = 0)""", """
+        SELECT firmware_id, (row_number() OVER (PARTITION BY firmware_id ORDER BY sequence) - 1)::int AS chunk_index,
+               hash AS actual_hash
+        FROM (SELECT DISTINCT * FROM landed)"""),
     "manifest_json": _sql(CHUNK, """
         part AS (
           SELECT firmware_id, string_agg(

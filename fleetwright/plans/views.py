@@ -154,10 +154,10 @@ def manifests(spark: SparkSession, folder: str) -> DataFrame:
     return firmware.manifest_records(images(spark, folder), CHUNK_SIZE)
 
 
-def _entry(hash_: Column, index: int) -> Column:
-    return F.struct(
-        hash_.cast("string").alias("hash"), F.lit(index).alias("index"), F.lit(0).alias("size"),
-    ).cast(MANIFEST_ENTRY)
+def _extra_entry(key: str) -> Column:
+    """The chunks map with one more entry."""
+    empty = F.struct(F.sha2(F.lit(""), 256).alias("hash"), F.lit(0).alias("index"), F.lit(0).alias("size"))
+    return F.map_concat("chunks", F.create_map(F.lit(key), empty.cast(MANIFEST_ENTRY)))
 
 
 def _first_entry(change) -> Column:
@@ -172,14 +172,12 @@ def faulty_manifests(spark: SparkSession, folder: str) -> DataFrame:
     the delivery, see `faulty_chunks`.
     """
     fault = F.col("firmware_id") % 20
-    extra = lambda key: F.map_concat(
-        "chunks", F.create_map(F.lit(key), _entry(F.sha2(F.lit(""), 256), 0)))
     chunks = (
-        F.when(fault == 9, extra("-1"))
+        F.when(fault == 9, _extra_entry("-1"))
         .when(fault == 12, F.lit(None))
         .when(fault == 14, _first_entry(lambda v: v.withField("hash", F.lit(None).cast("string"))))
-        .when(fault == 15, extra("x1"))
-        .when(fault == 16, extra("00"))
+        .when(fault == 15, _extra_entry("x1"))
+        .when(fault == 16, _extra_entry("00"))
         .when(fault == 17, F.map_filter("chunks", lambda k, v: k != "0"))
         .when(fault == 18, _first_entry(lambda v: v.withField("hash", F.upper(v["hash"]))))
         .when(fault == 19, _first_entry(lambda v: v.withField("size", F.lit(0))))
@@ -208,6 +206,17 @@ def faulty_chunks(chunks: DataFrame) -> DataFrame:
     )
 
 
+def landed_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """(firmware_id, sequence, payload): numbers with gaps, even chunks delivered twice."""
+    chunks = received_chunks(spark, folder)
+    copies = F.when(F.col("chunk_index") % 2 == 0, 2).otherwise(1)
+    number = F.col("chunk_index") * 3 + F.col("chunk_index") % 2
+    return (
+        chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+        .select("firmware_id", number.cast("bigint").alias("sequence"), "payload")
+    )
+
+
 def update_targets(spark: SparkSession, folder: str) -> DataFrame:
     """(device_id, firmware_id): the image each device is to install.
 

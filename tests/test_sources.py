@@ -44,11 +44,12 @@ def test_csv_header_must_match_the_schema(spark, tmp_path):
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, settings):
+    keys = ["firmware_id", "chunk_index"]
     chunks = spark.range(2_000).select(
         (F.col("id") % 50).alias("firmware_id"), (F.col("id") / 50).cast("int").alias("chunk_index"))
-    keys = ["firmware_id", "chunk_index"]
-    sinks.save_bucketed(chunks.withColumn("actual_hash", F.sha2(F.col("chunk_index").cast("string"), 256)), "landed_chunks", keys, 4)
-    sinks.save_bucketed(chunks.withColumn("expected_hash", F.sha2(F.col("chunk_index").cast("string"), 256)), "known_entries", keys, 4)
+    hash_ = F.sha2(F.col("chunk_index").cast("string"), 256)
+    sinks.save_bucketed(chunks.withColumn("actual_hash", hash_), "landed_chunks", keys, 4)
+    sinks.save_bucketed(chunks.withColumn("expected_hash", hash_), "known_entries", keys, 4)
     with settings(spark__sql__autoBroadcastJoinThreshold=-1):
         matched = firmware.match_chunks(spark.table("landed_chunks"), spark.table("known_entries"), "left")
         assert matched.filter("result = 'OK'").count() == 2_000

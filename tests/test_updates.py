@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from fleetwright.operators import firmware, updates
 from fleetwright.schemas import SECURITY_EVENTS
