@@ -96,17 +96,17 @@ def test_percentages_add_up(spark, testdata):
 
 def test_sql_over_a_registered_fleet(spark, fleet):
     """Aggregates inside windows, ordinals and CTEs, as an SQL user writes them."""
-    fleet.createOrReplaceTempView("ota_logs")
+    fleet.createOrReplaceTempView("fleet_rows")
     shares = spark.sql("""
         WITH counted AS (
           SELECT region, update_status, count(*) AS n, sum(count(*)) OVER (PARTITION BY region) AS total
-          FROM ota_logs GROUP BY 1, 2)
+          FROM fleet_rows GROUP BY 1, 2)
         SELECT region, update_status, round(n * 100D / total, 2) AS percentage FROM counted""")
     assert sorted(rows(shares)) == sorted(rows(analytics.regional_status_pct(fleet)))
     ranked = spark.sql("""
         WITH counted AS (
           SELECT region, update_status, count(*) AS device_count, sum(count(*)) OVER (PARTITION BY region) AS total
-          FROM ota_logs GROUP BY 1, 2)
+          FROM fleet_rows GROUP BY 1, 2)
         SELECT region, update_status, device_count, round(device_count / total * 100, 2) AS failure_rate_percentage,
                rank() OVER (PARTITION BY update_status ORDER BY device_count DESC) AS failure_rank
         FROM counted WHERE update_status = 'Partial'""")
