@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetwright.operators import analytics, firmware, quality, signatures, state, updates
 from fleetwright.plans import views
-from fleetwright.schemas import CHUNK_SIZE, PARTIAL, RAW_FLEET, RECOVERY_ACTIONS
+from fleetwright.schemas import CHUNK_SIZE, FLEET, PARTIAL, RECOVERY_ACTIONS
 from fleetwright.session import cut_lineage, scratch_path
 from fleetwright.sources import sinks, tables
 from fleetwright.streaming import chunk_verify
@@ -272,8 +272,7 @@ def security_events(spark, folder):
 
 
 def fleet_after_update(spark, folder):
-    rows = views.with_region(spark, folder, views.devices(spark, folder)).select(
-        *RAW_FLEET.names, F.col("home").alias("firmware_id"))
+    rows = views.located_devices(spark, folder).select(*FLEET.names, F.col("home").alias("firmware_id"))
     return updates.fleet_after_update(rows, _verdicts(spark, folder))
 
 

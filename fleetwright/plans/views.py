@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fleetwright.functions.columns import device_id
 from fleetwright.functions.sizing import fits_broadcast
 from fleetwright.operators import firmware
-from fleetwright.schemas import CHUNK_SIZE, MANIFEST_ENTRY, PARTIAL, SUCCESS
+from fleetwright.schemas import CHUNK_SIZE, FLEET, MANIFEST_ENTRY, PARTIAL, RAW_FLEET, SUCCESS
 from fleetwright.sources.tables import parquet_table
 
 # Columns used of the star-schema tables. Small integer keys are read as bigint,
@@ -33,46 +33,61 @@ BAD_VOLTAGE = "UNKNOWN"
 
 # ---- fleet ------------------------------------------------------------------
 
-def devices(spark: SparkSession, folder: str) -> DataFrame:
-    """Device columns without the region: one scan, no join.
+def orders(spark: SparkSession, folder: str) -> DataFrame:
+    return parquet_table(spark, folder, "orders", ORDERS)
+
 
-    `home` is the key the region is looked up by, `number` the plain device
-    number; operators that need neither have them pruned from the scan.
+def as_devices(rows: DataFrame) -> DataFrame:
+    """Order rows as devices; `region` is kept where the rows have it.
+
+    `home` is the customer number, `number` the plain device number; operators
+    that need neither have them pruned from the scan.
     """
     number = F.col("o_orderkey")
-    return parquet_table(spark, folder, "orders", ORDERS).select(
+    return rows.select(
         device_id(number).alias("device_id"),
         F.round(F.lit(11.8) + (number % 241) * F.lit(0.01), 2).alias("battery_voltage"),
         (F.lit(10) + F.col("o_custkey") % 91).cast("int").alias("signal_strength"),
         F.when(F.col("o_orderstatus") == "P", PARTIAL).otherwise(SUCCESS).alias("update_status"),
         F.col("o_custkey").alias("home"),
         number.alias("number"),
+        *[name for name in rows.columns if name == "region"],
     )
 
 
 def with_region(
     spark: SparkSession, folder: str, rows: DataFrame, customer: DataFrame | None = None,
 ) -> DataFrame:
-    """Add `region` to rows that carry `home`."""
+    """Add `region` to rows that carry `o_custkey`."""
     if customer is None:
         customer = parquet_table(spark, folder, "customer", CUSTOMER)
-    customer = customer.select(F.col("c_custkey").alias("home"), F.col("c_nationkey").alias("n_nationkey"))
+    customer = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     nation = parquet_table(spark, folder, "nation", NATION).select(
         "n_nationkey", F.col("n_regionkey").alias("r_regionkey"))
     region = parquet_table(spark, folder, "region", REGION).select(
         "r_regionkey", F.col("r_name").alias("region"))
     return (
-        rows.join(customer, "home", "left")
+        rows.join(customer, "o_custkey", "left")
         .join(nation, "n_nationkey", "left")
         .join(region, "r_regionkey", "left")
         .drop("n_nationkey", "r_regionkey")
     )
 
 
+def devices(spark: SparkSession, folder: str) -> DataFrame:
+    """Devices without the region: one scan, no join."""
+    return as_devices(orders(spark, folder))
+
+
+def located_devices(spark: SparkSession, folder: str) -> DataFrame:
+    """Devices with their region. The three plain order columns are joined, and
+    the wider device columns made of them afterwards."""
+    return as_devices(with_region(spark, folder, orders(spark, folder)))
+
+
 def fleet(spark: SparkSession, folder: str) -> DataFrame:
     """device_id, region, battery_voltage, signal_strength, update_status."""
-    rows = with_region(spark, folder, devices(spark, folder))
-    return rows.select("device_id", "region", "battery_voltage", "signal_strength", "update_status")
+    return located_devices(spark, folder).select(*FLEET.names)
 
 
 def regional_status(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,14 +99,13 @@ def regional_status(spark: SparkSession, folder: str) -> DataFrame:
     much of the fleet becomes one row per task, and its hash partitioning
     serves the join as well.
     """
-    rows = devices(spark, folder).select("home", "update_status")
     customer = parquet_table(spark, folder, "customer", CUSTOMER)
     if fits_broadcast(customer):
-        weighted = rows.withColumn("devices", F.lit(1).cast("bigint"))
-        return with_region(spark, folder, weighted, customer).select("region", "update_status", "devices")
-    per_home = rows.groupBy("home").agg(
+        located = as_devices(with_region(spark, folder, orders(spark, folder), customer))
+        return located.select("region", "update_status", F.lit(1).cast("bigint").alias("devices"))
+    per_customer = devices(spark, folder).groupBy(F.col("home").alias("o_custkey")).agg(
         *[F.count_if(F.col("update_status") == s).alias(s) for s in (PARTIAL, SUCCESS)])
-    counted = with_region(spark, folder, per_home, customer)
+    counted = with_region(spark, folder, per_customer, customer)
     status_rows = F.array(*[
         F.struct(F.lit(s).alias("update_status"), F.col(s).alias("devices")) for s in (PARTIAL, SUCCESS)])
     return (
@@ -117,8 +131,7 @@ def raw_devices(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_fleet(spark: SparkSession, folder: str) -> DataFrame:
     """The fleet as delivered, defects included."""
-    rows = with_region(spark, folder, corrupted(devices(spark, folder)))
-    return rows.select("device_id", "region", "battery_voltage", "signal_strength", "update_status")
+    return corrupted(located_devices(spark, folder)).select(*RAW_FLEET.names)
 
 
 def status_feed(spark: SparkSession, folder: str) -> DataFrame:

@@ -86,6 +86,7 @@ SKEW = dict(
     spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
     spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
     spark__sql__adaptive__coalescePartitions__enabled=False,
+    spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold=0,
     spark__sql__shuffle__partitions=16,
 )
 
@@ -109,9 +110,9 @@ def skewed_folder(spark, path):
 def test_hot_customer_is_split(spark, tmp_path, settings):
     folder = skewed_folder(spark, tmp_path)
     with settings(**SKEW):
-        fleet = views.with_region(spark, folder, views.devices(spark, folder))
+        fleet = views.fleet(spark, folder)
         plan = run_plan(fleet)
-        assert re.search(r"SortMergeJoin\(skew=true\) \[home#", plan)
+        assert re.search(r"SortMergeJoin\(skew=true\) \[o_custkey#", plan)
         skewed = sorted(map(tuple, analytics.region_status_counts(fleet).collect()))
         counted = analytics.region_status_counts(views.regional_status(spark, folder), weight="devices")
         assert sorted(map(tuple, counted.collect())) == skewed
