@@ -213,13 +213,18 @@ def _structure_error() -> Column:
     )
 
 
+def delivered_counts(received: DataFrame) -> DataFrame:
+    """(firmware_id, delivered, last_position) of the images with a chunk."""
+    return received.groupBy("firmware_id").agg(
+        F.count("*").alias("delivered"), F.max("chunk_index").alias("last_position"))
+
+
 def chunk_count_check(records: DataFrame, received: DataFrame) -> DataFrame:
     """(firmware_id, total_chunks, delivered, count_error) of manifests that state a count."""
-    counts = received.groupBy("firmware_id").agg(F.count("*").alias("delivered"))
     return (
         records.filter(F.col("total_chunks").isNotNull())
         .select("firmware_id", "total_chunks")
-        .join(counts, "firmware_id", "left")
+        .join(delivered_counts(received).drop("last_position"), "firmware_id", "left")
         .withColumn("delivered", F.coalesce("delivered", F.lit(0).cast("bigint")))
         .withColumn("count_error", F.when(F.col("total_chunks") != F.col("delivered"), _count_error()))
     )
@@ -291,16 +296,18 @@ def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
     Columns: firmware_id, firmware_version, verdict, error_count, total_chunks,
     delivered, without_hash, last_position, structure_error, bad_key,
     found_keys. Stages: signature, structure, chunk count, chunk hashes, key
-    sequence. A manifest that cannot
-    be evaluated (an entry without hash, a key that is no integer) is malformed
-    rather than violated. Sizes and algorithm are not verified.
+    sequence. A manifest that cannot be evaluated (an entry without hash, a key
+    that is no integer) is malformed rather than violated. Sizes and algorithm
+    are not verified.
+
+    Chunks are counted where they are read and only faulty ones after the
+    match: matched chunks lie spread over all tasks, so counting them there
+    would send nearly a row per chunk through a second shuffle.
     """
     result = F.col("result")
-    per_image = _checked_chunks(records, received).groupBy("firmware_id").agg(
-        F.count("*").alias("delivered"),
+    faults = _checked_chunks(records, received).filter(result != CHUNK_OK).groupBy("firmware_id").agg(
         F.count_if(result.isin(MISSING_IN_MANIFEST, HASH_MISMATCH)).alias("bad_chunks"),
         F.count_if(result == ENTRY_WITHOUT_HASH).alias("without_hash"),
-        F.max("chunk_index").alias("last_position"),
     )
     heads = with_key_sequence(records).select(
         "firmware_id", "firmware_version", "total_chunks", "bad_key", "in_sequence", "found_keys",
@@ -308,7 +315,8 @@ def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
         _structure_error().alias("structure_error"),
     )
     none = F.lit(0).cast("bigint")
-    joined = heads.join(per_image, "firmware_id", "left").withColumns({
+    counted = heads.join(delivered_counts(received), "firmware_id", "left").join(faults, "firmware_id", "left")
+    joined = counted.withColumns({
         name: F.coalesce(name, none) for name in ("delivered", "bad_chunks", "without_hash")})
     verdict = (
         F.when(~F.col("_signed"), SIGNATURE_FAILED)

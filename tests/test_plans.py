@@ -156,3 +156,16 @@ def test_payload_does_not_leave_its_task(spark, folder, settings):
 def test_samples_keep_only_n_rows_per_task(spark, folder):
     plan = plan_of(state.sample_exact_n(views.fleet(spark, folder), 50))
     assert "TakeOrderedAndProject(limit=50" in plan
+
+
+def test_reports_of_a_hot_device_combine_before_the_shuffle(spark, settings):
+    """A third of 200,000 reports come from one device."""
+    feed = spark.range(0, 200_000, 1, 8).select(
+        F.format_string("DEV-%08x", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))).alias("device_id"),
+        F.when(F.col("id") % 2 == 0, "Partial").otherwise("Success").alias("status"), F.col("id").alias("at"))
+    latest = state.last_status(feed, "at")
+    plan = plan_of(latest)
+    assert re.search(r"functions=\[max_by.*Exchange hashpartitioning\(device_id.*partial_max_by", plan, re.S)
+    found = {r[0]: r[1] for r in latest.filter("device_id = 'DEV-00000007'").collect()}
+    assert found == {"DEV-00000007": "Partial"}
+    assert latest.count() == feed.select("device_id").distinct().count()
