@@ -14,8 +14,11 @@ from fleetwright.schemas import (
     UPDATE_ERROR, VIOLATIONS,
 )
 
-# Our own message for a device whose image does not exist.
+# Our own texts: an image that does not exist, between messages, and after the
+# first part of a long list.
 NO_IMAGE = "Firmware image not found"
+SEPARATOR = " | "
+FURTHER_ERRORS = "%d further errors in the event details of the image"
 
 
 def _update_status() -> Column:
@@ -44,33 +47,53 @@ def update_outcomes(targets: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def update_errors(targets: DataFrame, verdicts: DataFrame, errors: DataFrame) -> DataFrame:
-    """(device_id, position, message): the whole error list of every update, as rows."""
-    found = targets.join(errors.select("firmware_id", "position", "message"), "firmware_id")
-    missing = targets.join(verdicts.select("firmware_id"), "firmware_id", "left_anti").select(
-        "device_id", F.lit(0).cast("bigint").alias("position"), F.lit(NO_IMAGE).alias("message"))
-    return found.select("device_id", "position", "message").unionByName(missing)
+    """(firmware_id, position, message, device_count): every error of the updates, once per image.
+
+    A device's own list is that of its image in `update_outcomes`. Repeating it
+    for each device would multiply the devices of an image with its errors.
+    """
+    hit = targets.groupBy("firmware_id").agg(F.count("*").alias("device_count"))
+    found = errors.join(hit, "firmware_id").select("firmware_id", "position", "message", "device_count")
+    missing = hit.join(verdicts.select("firmware_id"), "firmware_id", "left_anti").select(
+        "firmware_id", F.lit(0).cast("bigint").alias("position"), F.lit(NO_IMAGE).alias("message"),
+        "device_count")
+    return found.unionByName(missing)
 
 
 def event_details(errors: DataFrame) -> DataFrame:
-    """(firmware_id, part, details): messages of violations, joined in index order.
+    """(firmware_id, part, details, error_count): messages of violations, joined in index order.
 
-    One row per image and block of chunk positions: an event with a longer
-    error list goes on in further rows, so no row or task holds an unbounded one.
+    One row per image and block of chunk positions: a longer error list goes on
+    in further rows, so no row or task holds an unbounded one.
     """
     part = position_block(F.col("position"))
     listed = F.array_sort(F.collect_list(F.struct("position", "message")))
     return (
         errors.filter(F.col("verdict") != MALFORMED_MANIFEST)
         .groupBy("firmware_id", part.alias("part"))
-        .agg(F.array_join(F.transform(listed, lambda e: e["message"]), " | ").alias("details"))
+        .agg(
+            F.array_join(F.transform(listed, lambda e: e["message"]), SEPARATOR).alias("details"),
+            F.count("*").alias("error_count"),
+        )
     )
 
 
 def security_events(targets: DataFrame, errors: DataFrame, event_time: Column | None = None) -> DataFrame:
-    """One tamper event per violating device, with all messages of its image."""
+    """(device_id, event_type, firmware_id, details, timestamp): one tamper event per violating device.
+
+    `details` holds the messages of the image. Of a list that takes several rows
+    of `event_details` it holds the first, and says how many errors follow there.
+    """
     when = F.current_timestamp() if event_time is None else event_time
-    return targets.join(event_details(errors), "firmware_id").select(
-        "device_id", F.lit(TAMPER_EVENT).alias("event_type"), "part", "details", when.alias("timestamp"))
+    first = F.struct("details", "error_count")
+    per_image = event_details(errors).groupBy("firmware_id").agg(
+        F.min_by(first, "part").alias("first"), F.sum("error_count").alias("total"))
+    further = F.col("total") - F.col("first.error_count")
+    details = F.when(further == 0, F.col("first.details")).otherwise(
+        F.concat(F.col("first.details"), F.lit(SEPARATOR), F.format_string(FURTHER_ERRORS, further)))
+    described = per_image.select("firmware_id", details.alias("details"))
+    return targets.join(described, "firmware_id").select(
+        "device_id", F.lit(TAMPER_EVENT).alias("event_type"), "firmware_id", "details", when.alias("timestamp"))
 
 
 def fleet_after_update(fleet: DataFrame, verdicts: DataFrame) -> DataFrame:

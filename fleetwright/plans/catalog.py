@@ -266,6 +266,10 @@ def update_errors(spark, folder):
     return updates.update_errors(views.update_targets(spark, folder), *_verdicts_and_errors(spark, folder))
 
 
+def event_details(spark, folder):
+    return updates.event_details(firmware_errors(spark, folder))
+
+
 def security_events(spark, folder):
     when = F.to_timestamp_ntz(F.lit(EVENT_TIME))
     return updates.security_events(views.update_targets(spark, folder), firmware_errors(spark, folder), when)
@@ -340,6 +344,7 @@ QUERIES: dict[str, Query] = {
     "signature_audit": signature_audit,
     "update_outcomes": update_outcomes,
     "update_errors": update_errors,
+    "event_details": event_details,
     "security_events": security_events,
     "fleet_after_update": fleet_after_update,
     "chunk_stream_verify": chunk_stream_verify,

@@ -154,6 +154,12 @@ firmware_error AS (
          END
   FROM verdict WHERE verdict NOT IN ('OK', 'CHUNK_ERROR'))"""
 
+DETAIL = """
+detail AS (
+  SELECT firmware_id, position // 1000 AS part, string_agg(message, ' | ' ORDER BY position) AS details,
+         count(*) AS error_count
+  FROM firmware_error WHERE verdict <> 'MALFORMED_MANIFEST' GROUP BY 1, 2)"""
+
 TARGET = """
 target AS (SELECT device_id, home AS firmware_id FROM device)"""
 
@@ -355,17 +361,22 @@ ORACLE: dict[str, str] = {
                coalesce(verdict = 'OK', false) AS verification_passed, coalesce(error_count, 1) AS error_count
         FROM target t LEFT JOIN counted c ON c.firmware_id = t.firmware_id"""),
     "update_errors": _sql(ERRORS, DEVICE, TARGET, """
-        SELECT device_id, position, message FROM target JOIN firmware_error USING (firmware_id)
+        hit AS (SELECT firmware_id, count(*) AS device_count FROM target GROUP BY 1)""", """
+        SELECT firmware_id, position, message, device_count FROM hit JOIN firmware_error USING (firmware_id)
         UNION ALL
-        SELECT device_id, 0, 'Firmware image not found' FROM target
+        SELECT firmware_id, 0, 'Firmware image not found', device_count FROM hit
         WHERE firmware_id NOT IN (SELECT firmware_id FROM manifest)"""),
-    "security_events": _sql(ERRORS, DEVICE, TARGET, """
-        detail AS (
-          SELECT firmware_id, position // 1000 AS part, string_agg(message, ' | ' ORDER BY position) AS details
-          FROM firmware_error WHERE verdict <> 'MALFORMED_MANIFEST' GROUP BY 1, 2)""", """
-        SELECT device_id, 'FIRMWARE_TAMPER_DETECTED' AS event_type, part, details,
+    "event_details": _sql(ERRORS, DETAIL, "SELECT * FROM detail"),
+    "security_events": _sql(ERRORS, DEVICE, TARGET, DETAIL, """
+        described AS (
+          SELECT firmware_id, arg_min(details, part) || CASE
+                   WHEN count(*) = 1 THEN ''
+                   ELSE ' | ' || (sum(error_count) - arg_min(error_count, part))::bigint
+                        || ' further errors in the event details of the image' END AS details
+          FROM detail GROUP BY 1)""", """
+        SELECT device_id, 'FIRMWARE_TAMPER_DETECTED' AS event_type, firmware_id, details,
                TIMESTAMP '2024-01-01 00:00:00' AS "timestamp"
-        FROM target JOIN detail USING (firmware_id)"""),
+        FROM target JOIN described USING (firmware_id)"""),
     "fleet_after_update": _sql(FAULTY, FLEET, f"""
         SELECT {_FLEET_COLUMNS},
                CASE WHEN verdict = 'OK' THEN 'Success'

@@ -64,12 +64,10 @@ RECOVERY_ACTIONS = T.StructType(
     RAW_FLEET.fields + [T.StructField("recovery_action", T.StringType())]
 )
 
-# One event per violating device; `part` numbers the continuation rows of an
-# event whose error list is too long for one row.
 SECURITY_EVENTS = T.StructType([
     T.StructField("device_id", T.StringType()),
     T.StructField("event_type", T.StringType()),
-    T.StructField("part", T.LongType()),
+    T.StructField("firmware_id", T.LongType()),
     T.StructField("details", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
 ])

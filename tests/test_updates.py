@@ -38,14 +38,14 @@ def test_outcomes(case):
         assert (row["error_count"] == 0) == (status == "installed")
 
 
-def test_errors_are_whole(case):
+def test_errors_are_whole_and_once_per_image(case):
     targets, verdicts, errors = case
     found = {}
-    for row in updates.update_errors(targets, verdicts, errors).orderBy("device_id", "position").collect():
-        found.setdefault(row["device_id"], []).append(row["message"])
+    for row in updates.update_errors(targets, verdicts, errors).orderBy("firmware_id", "position").collect():
+        found.setdefault(row["firmware_id"], []).append(row["message"])
+        assert row["device_count"] == 2
     messages = [m for _, _, m in CASES.values()] + [[updates.NO_IMAGE]]
-    for n in range(2 * (NO_IMAGE + 1)):
-        assert found.get(f"DEV-{n:08x}", []) == messages[n // 2]
+    assert found == {n: m for n, m in enumerate(messages) if m}
 
 
 def test_one_event_per_violating_device(case):
@@ -59,7 +59,7 @@ def test_one_event_per_violating_device(case):
     for device, row in rows.items():
         messages = list(CASES.values())[int(device[4:], 16) // 2][2]
         assert row["details"] == " | ".join(messages)
-        assert (row["event_type"], row["part"]) == ("FIRMWARE_TAMPER_DETECTED", 0)
+        assert row["event_type"] == "FIRMWARE_TAMPER_DETECTED"
 
 
 def test_fleet_after_update(spark, case):
@@ -72,11 +72,15 @@ def test_fleet_after_update(spark, case):
         assert row["update_status"] == status[expected_status(int(row["device_id"][4:], 16) // 2)]
 
 
-def test_long_events_go_on_in_further_rows(spark):
+def test_long_error_lists_go_on_in_the_details(spark):
     records, received = huge_image(spark, 2_500)
     targets = spark.createDataFrame([("DEV-1", 1000), ("DEV-2", 5)], "device_id string, firmware_id long")
     errors = firmware.firmware_errors(records, received)
-    events = updates.security_events(targets, errors).orderBy("part").collect()
-    assert [(e["device_id"], e["part"]) for e in events] == [("DEV-1", 0), ("DEV-1", 1), ("DEV-1", 2)]
-    messages = [m for e in events for m in e["details"].split(" | ")]
+    parts = updates.event_details(errors).orderBy("part").collect()
+    assert [(p["firmware_id"], p["part"], p["error_count"]) for p in parts] == [
+        (1000, 0, 1_000), (1000, 1, 1_000), (1000, 2, 500)]
+    messages = [m for p in parts for m in p["details"].split(" | ")]
     assert [int(m.split()[1].rstrip(":")) for m in messages] == list(range(2_500))
+    event, = updates.security_events(targets, errors).collect()
+    assert event["device_id"] == "DEV-1"
+    assert event["details"] == parts[0]["details"] + " | 1500 further errors in the event details of the image"
