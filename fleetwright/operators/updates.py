@@ -15,10 +15,13 @@ from fleetwright.schemas import (
 )
 
 # Our own texts: an image that does not exist, between messages, and after the
-# first part of a long list.
+# beginning of a long list.
 NO_IMAGE = "Firmware image not found"
 SEPARATOR = " | "
-FURTHER_ERRORS = "%d further errors in the event details of the image"
+CONTINUED = "... %d errors, see the event details of the image"
+
+# Characters of error text an event carries for its device.
+DETAILS_LENGTH = 1_000
 
 
 def _update_status() -> Column:
@@ -81,17 +84,18 @@ def event_details(errors: DataFrame) -> DataFrame:
 def security_events(targets: DataFrame, errors: DataFrame, event_time: Column | None = None) -> DataFrame:
     """(device_id, event_type, firmware_id, details, timestamp): one tamper event per violating device.
 
-    `details` holds the messages of the image. Of a list that takes several rows
-    of `event_details` it holds the first, and says how many errors follow there.
+    `details` holds the messages of the image. A text beyond `DETAILS_LENGTH` is
+    not copied to every device: the event has its beginning and the number of
+    errors, and `event_details` has it whole, once per image.
     """
     when = F.current_timestamp() if event_time is None else event_time
-    first = F.struct("details", "error_count")
     per_image = event_details(errors).groupBy("firmware_id").agg(
-        F.min_by(first, "part").alias("first"), F.sum("error_count").alias("total"))
-    further = F.col("total") - F.col("first.error_count")
-    details = F.when(further == 0, F.col("first.details")).otherwise(
-        F.concat(F.col("first.details"), F.lit(SEPARATOR), F.format_string(FURTHER_ERRORS, further)))
-    described = per_image.select("firmware_id", details.alias("details"))
+        F.min_by("details", "part").alias("first"), F.max("part").alias("last_part"),
+        F.sum("error_count").alias("total"))
+    first = F.col("first")
+    whole = (F.col("last_part") == 0) & (F.length(first) <= DETAILS_LENGTH)
+    beginning = F.concat(F.substring(first, 1, DETAILS_LENGTH), F.format_string(CONTINUED, "total"))
+    described = per_image.select("firmware_id", F.when(whole, first).otherwise(beginning).alias("details"))
     return targets.join(described, "firmware_id").select(
         "device_id", F.lit(TAMPER_EVENT).alias("event_type"), "firmware_id", "details", when.alias("timestamp"))
 

@@ -368,15 +368,16 @@ ORACLE: dict[str, str] = {
         WHERE firmware_id NOT IN (SELECT firmware_id FROM manifest)"""),
     "event_details": _sql(ERRORS, DETAIL, "SELECT * FROM detail"),
     "security_events": _sql(ERRORS, DEVICE, TARGET, DETAIL, """
-        described AS (
-          SELECT firmware_id, arg_min(details, part) || CASE
-                   WHEN count(*) = 1 THEN ''
-                   ELSE ' | ' || (sum(error_count) - arg_min(error_count, part))::bigint
-                        || ' further errors in the event details of the image' END AS details
+        image_detail AS (
+          SELECT firmware_id, arg_min(details, part) AS first, max(part) AS last_part,
+                 sum(error_count)::bigint AS total
           FROM detail GROUP BY 1)""", """
-        SELECT device_id, 'FIRMWARE_TAMPER_DETECTED' AS event_type, firmware_id, details,
+        SELECT device_id, 'FIRMWARE_TAMPER_DETECTED' AS event_type, firmware_id,
+               CASE WHEN last_part = 0 AND length(first) <= 1000 THEN first
+                    ELSE left(first, 1000) || '... ' || total || ' errors, see the event details of the image'
+               END AS details,
                TIMESTAMP '2024-01-01 00:00:00' AS "timestamp"
-        FROM target JOIN described USING (firmware_id)"""),
+        FROM target JOIN image_detail USING (firmware_id)"""),
     "fleet_after_update": _sql(FAULTY, FLEET, f"""
         SELECT {_FLEET_COLUMNS},
                CASE WHEN verdict = 'OK' THEN 'Success'

@@ -19,8 +19,6 @@ def local_session(cores="*", shuffle_partitions: int = 8, **conf) -> SparkSessio
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Hash joins where every partition of a side is known to be this small.
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         # Off, PySpark does not record the Python call site of every expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

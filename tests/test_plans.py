@@ -86,7 +86,6 @@ SKEW = dict(
     spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
     spark__sql__adaptive__advisoryPartitionSizeInBytes="100KB",
     spark__sql__adaptive__coalescePartitions__enabled=False,
-    spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold=0,
     spark__sql__shuffle__partitions=16,
 )
 

@@ -83,4 +83,4 @@ def test_long_error_lists_go_on_in_the_details(spark):
     assert [int(m.split()[1].rstrip(":")) for m in messages] == list(range(2_500))
     event, = updates.security_events(targets, errors).collect()
     assert event["device_id"] == "DEV-1"
-    assert event["details"] == parts[0]["details"] + " | 1500 further errors in the event details of the image"
+    assert event["details"] == parts[0]["details"][:1_000] + "... 2500 errors, see the event details of the image"
