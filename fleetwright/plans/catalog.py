@@ -287,7 +287,9 @@ def chunk_stream_verify(spark, folder):
     against stored entries, and the results read back."""
     entries, results, log = (scratch_path(spark, name) for name in ("entries", "verified", "verified_log"))
     chunk_verify.save_entries(firmware.manifest_entries(views.faulty_manifests(spark, folder)), entries, 8)
-    arriving = chunk_verify.chunk_stream(spark, folder, views.DOCUMENTS, glob="documents.parquet").select(
+    # A pattern, as a stream takes a plain path for a folder, and the table may be one file.
+    path = f"{folder}/documents.{{parquet}}"
+    arriving = chunk_verify.chunk_stream(spark, path, views.DOCUMENTS).select(
         F.col("doc_id").alias("firmware_id"), F.col("text").alias("payload"), "arrived_at")
     chunks = views.faulty_chunks(firmware.chunk_images(arriving, CHUNK_SIZE, "arrived_at"))
     chunk_verify.verify_available(chunk_verify.new_hashes(chunks), entries, results, log, 8)

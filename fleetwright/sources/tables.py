@@ -12,7 +12,7 @@ def parquet_table(
     With the columns stated no job has to open the files to find them out.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return reader.parquet(f"{str(folder).rstrip('/')}/{name}.parquet")
 
 
 def csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -32,13 +32,11 @@ def save_entries(entries: DataFrame, path: str, buckets: int = BUCKETS) -> None:
 
 def chunk_stream(
     spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 1_000,
-    glob: str = "*.parquet",
 ) -> DataFrame:
-    """A file stream of a landing folder, with `arrived_at`: when the file was written."""
+    """A file stream of a landing folder (or path pattern), with `arrived_at`: when the file was written."""
     return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", glob)
         .parquet(path)
         .select("*", F.col("_metadata.file_modification_time").alias("arrived_at"))
     )
