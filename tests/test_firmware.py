@@ -162,6 +162,19 @@ def test_renumbering_closes_gaps(spark):
     assert [r["verdict"] for r in verdicts.collect()] == ["OK", "OK"]
 
 
+def test_renumbering_with_a_third_of_the_rows_copies_of_one(spark):
+    rows = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 10).cast("bigint").alias("firmware_id"),
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("sequence"))
+    landed = rows.withColumn("payload", F.col("sequence").cast("string").cast("binary"))
+    received = firmware.renumber_chunks(landed)
+    images = rows.distinct().groupBy("firmware_id").count()
+    found = firmware.delivered_counts(received).collect()
+    assert {(r["firmware_id"], r["delivered"], r["last_position"] + 1) for r in found} == {
+        (r["firmware_id"], r["count"], r["count"]) for r in images.collect()}
+    assert received.select("firmware_id", "chunk_index").distinct().count() == received.count()
+
+
 def huge_image(spark, chunks):
     """An image with `chunks` bad chunks beside 100 intact images of 20."""
     images = spark.range(100).select(

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetwright import session
+from fleetwright.functions import sizing
 from fleetwright.operators import firmware
 from fleetwright.sources import sinks, tables
 from tests.plan import plan_of
@@ -63,6 +64,26 @@ def test_scratch_paths_are_below_the_shared_folder(spark):
     assert a != b and a.startswith(folder)
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    class Remote:
+        conf = {}
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(Remote)
+    Remote.conf["spark.checkpoint.dir"] = "hdfs:///shared"
+    assert session.scratch_path(Remote, "x").startswith("hdfs:///shared/x-")
+
+
+def test_size_check_follows_the_broadcast_limit(spark, settings, testdata):
+    customer = tables.parquet_table(spark, testdata / "sf0.01", "customer")
+    assert sizing.fits_broadcast(customer)
+    with settings(spark__sql__autoBroadcastJoinThreshold=1_000):
+        assert not sizing.fits_broadcast(customer)
+    with settings(spark__sql__autoBroadcastJoinThreshold=-1):
+        assert not sizing.fits_broadcast(customer)
+
+
 def test_jdbc_options(spark, monkeypatch):
     """No database here: only what is handed to Spark's reader and writer."""
     calls = {}
