@@ -1,7 +1,5 @@
 """Session settings and the shared scratch folder."""
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,17 +26,13 @@ def local_session(cores="*", shuffle_partitions: int = 8, **conf) -> SparkSessio
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints and scratch tables.
+    """The folder the session names for checkpoints and scratch tables.
 
-    Only a local master may fall back to a temporary folder of this machine:
-    executors elsewhere could not see it.
+    Where none is named it is a folder of the warehouse, which every executor
+    reaches as well; never a temporary folder of one machine.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder all executors can reach")
-    return os.path.join(tempfile.gettempdir(), "fleetwright-scratch")
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -13,7 +13,8 @@ from fleetwright.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(
-        8, **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))})
+        8, **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+              "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
