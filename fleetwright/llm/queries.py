@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import quality_rules
+from fleetwright.llm import quality_rules, simhash
 from fleetwright.llm.common import documents
 from fleetwright.llm.sql import ORACLE
 
@@ -19,6 +19,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         base.alias("base_failed"), "kept")
 
 
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, folder))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
+    "op10_simhash": op10_simhash,
 }
