@@ -4,13 +4,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import quality_rules, simhash
+from fleetwright.llm import pii, quality_rules, simhash
 from fleetwright.llm.common import documents
 from fleetwright.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_spans(documents(spark, folder))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.cascade(documents(spark, folder))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -25,6 +29,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_pii": op3_pii,
     "op8_quality_rules": op8_quality_rules,
     "op10_simhash": op10_simhash,
 }
