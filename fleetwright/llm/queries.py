@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import pii, quality_rules, simhash
+from fleetwright.llm import packing, pii, quality_rules, simhash
 from fleetwright.llm.common import documents
 from fleetwright.llm.sql import ORACLE
 
@@ -23,6 +23,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         base.alias("base_failed"), "kept")
 
 
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(documents(spark, folder))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, folder))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -31,5 +35,6 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op8_quality_rules": op8_quality_rules,
+    "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
