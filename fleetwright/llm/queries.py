@@ -4,13 +4,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import packing, pii, quality_rules, simhash
+from fleetwright.llm import mixing, packing, pii, quality_rules, simhash
 from fleetwright.llm.common import documents
 from fleetwright.llm.sql import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(documents(spark, folder)).select(
+        "doc_id", "size", "source_size", "target", "taken",
+        F.transform("copies", lambda c: c["shard"]).alias("shards"))
+
+
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_spans(documents(spark, folder))
 
@@ -33,6 +39,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op3_pii": op3_pii,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,

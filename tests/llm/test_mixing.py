@@ -1,0 +1,142 @@
+"""Mixing: targets against plain resharing, the mix against its quotas and targets."""
+
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from fleetwright.llm import mixing
+from fleetwright.llm.queries import QUERIES
+
+
+def plain_targets(sizes, weights=(5, 2, 1), cap=3):
+    """Share by weight, stop what is above, share the excess among the others, again."""
+    names = sorted((n for n in sizes if n is not None)) + [None] * (None in sizes)
+    weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
+    target, open_ones, words = {}, set(names), float(sum(sizes.values()))
+    while open_ones:
+        level = words / sum(weight[n] for n in open_ones)
+        above = {n for n in open_ones if weight[n] * level > cap * sizes[n]}
+        if not above:
+            target.update({n: weight[n] * level for n in open_ones})
+            break
+        for n in above:
+            target[n] = cap * sizes[n]
+            words -= target[n]
+        open_ones -= above
+    return target
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 1, "b": 1, "c": 1000}, {"a": 10, "b": 5000, None: 3, "d": 0},
+    {"a": 7}, {None: 7}, {f"s{i}": (i * 37) % 101 + 1 for i in range(50)}, {"a": 0, "b": 0},
+])
+def test_targets(spark, sizes):
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    found = {r.source: r.target for r in mixing.targets(frame).collect()}
+    want = plain_targets(sizes)
+    assert found == {n: pytest.approx(want[n], abs=1e-6) for n in sizes}
+
+
+def test_query_meets_targets(spark, testdata):
+    folder = str(testdata / "sf0.01")
+    rows = QUERIES["op2_mixing"](spark, folder).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    size = {i: len(re.findall(r"[^\x20\x09-\x0D]+", d.text or "")) for i, d in docs.items()}
+    total = Counter()
+    for i, d in docs.items():
+        total[d.source] += size[i]
+    want, taken = plain_targets(total), Counter()
+    assert len(rows) == len(docs)
+    for r in rows:
+        source = docs[r.doc_id].source
+        assert (r.size, r.source_size) == (size[r.doc_id], total[source])
+        assert r.target == pytest.approx(want[source])
+        assert r.taken in [k * r.size for k in range(4)] and len(r.shards) * r.size == r.taken
+        taken[source] += r.taken
+    for source in total:
+        assert abs(taken[source] - want[source]) <= max(5, 0.01 * want[source])
+    again = {r.doc_id: (r.taken, r.shards) for r in QUERIES["op2_mixing"](spark, folder).collect()}
+    assert again == {r.doc_id: (r.taken, r.shards) for r in rows}
+
+
+def _documents(spark, count, hot=0.4):
+    rng = np.random.default_rng(1)
+    names = ["hot"] * int(count * hot) + [f"s{i % 7}" for i in range(count - int(count * hot))]
+    return spark.createDataFrame(
+        [(i, "w " * int(n), names[i]) for i, n in enumerate(rng.integers(1, 60, count))], "doc_id long, text string, source string")
+
+
+def test_blocks_go_to_shards_by_quota(spark):
+    """Every shard has its exact number of blocks, and all repeats of a block are dealt."""
+    quotas = spark.createDataFrame([(0, 1000), (1, 10), (2, 333), (3, 1)], "rank int, quota long")
+    runs = defaultdict(list)
+    shards = Counter()
+    for r in mixing.shard_quotas(quotas, shard_blocks=50).collect():
+        runs[r["rank"]].append((r.from_block, r.to_block))
+        shards[r.shard] += r.to_block - r.from_block
+    for rank, quota in ((0, 1000), (1, 10), (2, 333), (3, 1)):
+        ends = sorted(runs[rank])
+        assert ends[0][0] == 0 and ends[-1][1] == quota
+        assert all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    assert len(shards) == 27 and set(shards.values()) <= {49, 50}
+
+
+def test_shares_vary_as_in_a_fair_draw(spark):
+    """A shard's blocks of a source have the hypergeometric mean and spread."""
+    quotas = spark.createDataFrame([(0, 600), (1, 400)], "rank int, quota long")
+    draws = []
+    for seed in range(15):
+        draws += [r.to_block - r.from_block for r in mixing.shard_quotas(quotas, 100, seed).collect() if r["rank"] == 0]
+    assert np.mean(draws) == pytest.approx(60, abs=0.2)
+    assert np.var(draws) == pytest.approx(100 * .6 * .4 * 900 / 999, rel=0.35)
+
+
+def test_many_blocks(spark):
+    docs = _documents(spark, 3_000)
+    rows = mixing.mix(docs, block_words=500, shard_blocks=8).collect()
+    by_rank = defaultdict(Counter)
+    for r in rows:
+        assert [c.copy for c in r.copies] == list(range(len(r.copies)))
+        for c in r.copies:
+            by_rank[c.shard][r.source_size] += r.size
+    assert len(by_rank) > 10
+    taken, target = Counter(), {}
+    for r in rows:
+        taken[r.source_size] += r.taken
+        target[r.source_size] = r.target
+    assert all(abs(taken[s] - target[s]) <= 2 for s in target)
+
+
+def test_nearest_sum():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        sizes = rng.integers(1, 40, rng.integers(0, 9)).tolist()
+        room = int(rng.integers(0, 150))
+        taken = mixing.nearest_sum(sizes, room)
+        sums = [sum(s for k, s in enumerate(sizes) if m >> k & 1) for m in range(1 << len(sizes))]
+        assert abs(sum(np.array(sizes, int)[taken]) - room) == min(abs(s - room) for s in sums)
+
+
+def test_mixed_documents_are_the_taken_copies(spark):
+    docs = _documents(spark, 400)
+    want = {r.doc_id: r.taken // r.size for r in mixing.mix(docs, block_words=300).collect()}
+    mixed = mixing.mixed_documents(docs, block_words=300)
+    assert mixed.columns == docs.columns
+    found = Counter(r.doc_id for r in mixed.collect())
+    assert found == Counter({i: n for i, n in want.items() if n})
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "a", 1), (None, "x y", None, 1), (3, "", None, 1), (4, "z " * 20_000, "b", 1),
+            (5, "p q r", "b", 2), (5, "p q r", "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int")
+    found = mixing.mix(docs).collect()
+    assert len(found) == 6
+    assert {r.doc_id: r.size for r in found} == {1: 0, None: 2, 3: 0, 4: 20_000, 5: 3}
+    assert all(r.taken == 0 for r in found if r.size == 0)
+    assert sum(r.doc_id == 5 for r in found) == 2
+    assert mixing.mix(docs.limit(0)).collect() == []
+    assert mixing.mixed_documents(docs.limit(0)).collect() == []
+    assert mixing.mixed_documents(docs).columns == docs.columns
