@@ -4,9 +4,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import mixing, packing, pii, quality_rules, simhash
-from fleetwright.llm.common import documents
+from fleetwright.llm import mixing, packing, pii, quality_rules, simhash, toxicity
+from fleetwright.llm.common import documents, held_out
 from fleetwright.llm.sql import ORACLE
+from fleetwright.sources.tables import parquet_table
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -21,6 +22,15 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_spans(documents(spark, folder))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    labels = parquet_table(spark, folder, "labels").select("doc_id", "toxic")
+    model = toxicity.learn(docs, toxicity.learning_rows(labels, 5, 0))
+    scored = toxicity.scores(docs, model)
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
+                         toxicity.predicted(F.col("score")).alias("predicted"), "nearest")
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.cascade(documents(spark, folder))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -41,6 +51,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
