@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import mixing, packing, pii, quality_rules, simhash, toxicity
+from fleetwright.llm import ann, mixing, packing, pii, quality_rules, simhash, toxicity
 from fleetwright.llm.common import documents, held_out
 from fleetwright.llm.sql import ORACLE
 from fleetwright.sources.tables import parquet_table
@@ -31,6 +31,11 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          toxicity.predicted(F.col("score")).alias("predicted"), "nearest")
 
 
+def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = parquet_table(spark, folder, "embeddings", "vec_id bigint, embedding array<float>")
+    return ann.search(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.cascade(documents(spark, folder))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
+    "op6_ann": op6_ann,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
