@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import ann, mixing, packing, pii, quality_rules, simhash, toxicity
+from fleetwright.llm import ann, language, mixing, packing, pii, quality_rules, simhash, toxicity
 from fleetwright.llm.common import documents, held_out
 from fleetwright.llm.sql import ORACLE
 from fleetwright.sources.tables import parquet_table
@@ -12,6 +12,13 @@ from fleetwright.sources.tables import parquet_table
 __all__ = ["ORACLE", "QUERIES"]
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = language.learn(docs.select("doc_id", "text", "lang").filter(~held_out("doc_id", 4, 2)))
+    found = language.predict(docs, model)
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).select(
         "doc_id", "size", "source_size", "target", "taken",
@@ -54,6 +61,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
     "op2_mixing": op2_mixing,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
