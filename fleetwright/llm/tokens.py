@@ -12,14 +12,18 @@ import sys
 from array import array
 from itertools import chain
 
+import numpy as np
+
 # Python's \s holds every character a tokenizer takes for white space.
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _WIDE_SPACE = re.compile(r"\s\s|^\s|\s$")
 
-# Pieces remembered by a worker (about 200 bytes each), and the longest one kept.
-REMEMBERED, LONGEST = 600_000, 64
-# Pieces encoded at once.
-_TOGETHER = 20_000
+# Pieces a worker remembers in each of two generations (about 200 bytes each), the
+# longest one kept, and texts looked up together.
+REMEMBERED, LONGEST, TEXTS = 500_000, 64, 400
+# Pieces encoded as one text, with a mark behind each that tells their ids apart.
+_TOGETHER = 2_000
+_MARK = "\x01"
 
 
 def pieces(text: str) -> list[str]:
@@ -27,8 +31,32 @@ def pieces(text: str) -> list[str]:
     return _LONE_BLANK.split(text) if _WIDE_SPACE.search(text) else text.split(" ")
 
 
+def _packed(ids: list[int]) -> bytes:
+    values = array("I", ids)
+    if sys.byteorder == "big":
+        values.byteswap()
+    return values.tobytes()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that byte-level vocabularies write for each byte: itself where it
+    is printable, else one from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + n) for n, b in enumerate(others)}}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 class Encoder:
-    """Ids of texts; `blank_joins`: whether a blank belongs to the token behind it."""
+    """Ids of texts. `blank_joins`: a blank belongs to the token behind it, and case
+    counts; else blanks are dropped and letters lower-cased.
+
+    A new piece of Latin letters, maybe with full stops and commas behind, is one
+    unit of letters and one of marks, which go to the vocabulary's merges directly.
+    Other new pieces go through the whole tokenizer.
+    """
 
     def __init__(self, path: str, blank_joins: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -36,21 +64,74 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.blank = " " if blank_joins else ""
+        self.merge = self.tokenizer.model.tokenize
+        self.joins, self.blank = blank_joins, " " if blank_joins else ""
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+        self.mark = self._alone([" " + _MARK])[0]
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text by itself."""
+        return [_packed(found.ids) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        ids = []
-        for k in range(0, len(pieces), _TOGETHER):
-            for found in self.tokenizer.encode_batch_fast(pieces[k:k + _TOGETHER], add_special_tokens=False):
-                values = array("I", found.ids)
-                if sys.byteorder == "big":
-                    values.byteswap()
-                ids.append(values.tobytes())
-        return ids
+        """The ids of new pieces that each have a lone blank in front."""
+        ids, others = {}, []
+        for piece in pieces:
+            core = piece.rstrip(".,")
+            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
+                ids[piece] = self._letters(core) + self._marks(piece[len(core):])
+            else:
+                others.append(piece)
+        ids.update(zip(others, self._together(others)))
+        return [ids[piece] for piece in pieces]
+
+    def _letters(self, core: str) -> bytes:
+        found = self.known.get(core) or self.older.get(core)
+        if found is None:
+            unit = self.blank + core if self.joins else core.lower()
+            unit = unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            found = _packed([token.id for token in self.merge(unit)])
+        return found
+
+    def _marks(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            ids = self._alone([tail])[0]
+            if len(tail) > LONGEST:
+                return ids
+            self.tails[tail] = ids
+        return self.tails[tail]
+
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces that each have a lone blank in front.
+
+        Many are encoded as one text, which is faster, with a mark behind each: its
+        byte occurs in no other piece, so its last id ends a piece.
+        """
+        ids: dict[str, bytes] = {}
+        plain = [p for p in pieces if _MARK not in p]
+        groups = [plain[k:k + _TOGETHER] for k in range(0, len(plain), _TOGETHER)]
+        behind = f" {_MARK} "
+        joined = self._alone([self.blank + behind.join(group) + behind[:2] for group in groups])
+        for group, found in zip(groups, joined):
+            values = np.frombuffer(found, "<u4")
+            ends = np.flatnonzero(values == np.frombuffer(self.mark[-4:], "<u4")[0]) + 1
+            if len(ends) == len(group):
+                starts = np.r_[0, ends[:-1]]
+                ids.update(zip(group, [found[4 * a:4 * b - len(self.mark)] for a, b in zip(starts.tolist(), ends.tolist())]))
+        rest = [p for p in pieces if p not in ids]
+        ids.update(zip(rest, self._alone([self.blank + p for p in rest])))
+        return [ids[p] for p in pieces]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
+        ids = []
+        for k in range(0, len(texts), TEXTS):
+            ids += self._encode(texts[k:k + TEXTS])
+        return ids
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         # The first piece of a text has no blank before it; the others may have one.
         first, later = [], []
         for text in texts:
@@ -58,11 +139,18 @@ class Encoder:
             first.append(head)
             later.append(rest)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        missing = list(set(chain.from_iterable(later)).difference(known))
-        known.update(zip(missing, self._ids([self.blank + piece for piece in missing])))
-        heads = self._ids(first)
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = set(chain.from_iterable(later)).difference(known)
+        missing = []
+        for piece in new:
+            # What comes back passes on to the younger generation.
+            if (found := older.get(piece)) is None:
+                missing.append(piece)
+            else:
+                known[piece] = found
+        known.update(zip(missing, self._ids(missing)))
+        heads = self._alone(first)
         ids = [head + b"".join(map(known.__getitem__, rest)) for head, rest in zip(heads, later)]
         for piece in missing:
             if len(piece) > LONGEST:
