@@ -10,25 +10,13 @@ import os
 import re
 import sys
 from array import array
-from itertools import chain
-
-import numpy as np
 
 # Python's \s holds every character a tokenizer takes for white space.
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
-_WIDE_SPACE = re.compile(r"\s\s|^\s|\s$")
-
-# Pieces a worker remembers in each of two generations (about 200 bytes each), the
-# longest one kept, and texts looked up together.
-REMEMBERED, LONGEST, TEXTS = 500_000, 64, 400
-# Pieces encoded as one text, with a mark behind each that tells their ids apart.
-_TOGETHER = 2_000
-_MARK = "\x01"
 
-
-def pieces(text: str) -> list[str]:
-    """`text` cut at its lone blanks, which are left out."""
-    return _LONE_BLANK.split(text) if _WIDE_SPACE.search(text) else text.split(" ")
+# Pieces a worker remembers in each of two generations (about 200 bytes each), and
+# the longest one kept.
+REMEMBERED, LONGEST = 500_000, 64
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -49,6 +37,29 @@ def _byte_letters() -> dict[int, str]:
 _BYTE_LETTERS = _byte_letters()
 
 
+class _WideSpace(Exception):
+    """A piece is empty or has white space at its edge: a blank was not alone."""
+
+
+class _Known(dict):
+    """Ids by piece; what is missing is encoded and remembered."""
+
+    def __init__(self, encoder: "Encoder", older: dict):
+        super().__init__()
+        self.encoder, self.older = encoder, older
+
+    def __missing__(self, piece: str) -> bytes:
+        # What comes back passes on from the older generation to the younger.
+        ids = self.older.get(piece)
+        if ids is None:
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                raise _WideSpace
+            ids = self.encoder.piece_ids(piece)
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts. `blank_joins`: a blank belongs to the token behind it, and case
     counts; else blanks are dropped and letters lower-cased.
@@ -66,97 +77,55 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.merge = self.tokenizer.model.tokenize
         self.joins, self.blank = blank_joins, " " if blank_joins else ""
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {"": b""}
-        self.mark = self._alone([" " + _MARK])[0]
-
-    def _alone(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text by itself."""
-        return [_packed(found.ids) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of new pieces that each have a lone blank in front."""
-        ids, others = {}, []
-        for piece in pieces:
-            core = piece.rstrip(".,")
-            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
-                ids[piece] = self._letters(core) + self._marks(piece[len(core):])
-            else:
-                others.append(piece)
-        ids.update(zip(others, self._together(others)))
-        return [ids[piece] for piece in pieces]
-
-    def _letters(self, core: str) -> bytes:
-        found = self.known.get(core) or self.older.get(core)
-        if found is None:
-            unit = self.blank + core if self.joins else core.lower()
-            unit = unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            found = _packed([token.id for token in self.merge(unit)])
-        return found
+        self.known = _Known(self, {})
+        self.tails: dict[str, bytes] = {}
+
+    def _alone(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def piece_ids(self, piece: str) -> bytes:
+        """The ids of a piece that has a lone blank in front."""
+        core = piece.rstrip(".,")
+        if not core.isalpha() or not core.isascii() and max(core) >= "Ā":
+            return self._alone(self.blank + piece)
+        if len(core) < len(piece):
+            # The word without marks comes by itself as well.
+            return self.known[core] + self._marks(piece[len(core):])
+        unit = self.blank + core if self.joins else core.lower()
+        return _packed([t.id for t in self.merge(unit.encode().decode("latin-1").translate(_BYTE_LETTERS))])
 
     def _marks(self, tail: str) -> bytes:
-        if tail not in self.tails:
-            ids = self._alone([tail])[0]
-            if len(tail) > LONGEST:
-                return ids
-            self.tails[tail] = ids
-        return self.tails[tail]
-
-    def _together(self, pieces: list[str]) -> list[bytes]:
-        """The ids of pieces that each have a lone blank in front.
-
-        Many are encoded as one text, which is faster, with a mark behind each: its
-        byte occurs in no other piece, so its last id ends a piece.
-        """
-        ids: dict[str, bytes] = {}
-        plain = [p for p in pieces if _MARK not in p]
-        groups = [plain[k:k + _TOGETHER] for k in range(0, len(plain), _TOGETHER)]
-        behind = f" {_MARK} "
-        joined = self._alone([self.blank + behind.join(group) + behind[:2] for group in groups])
-        for group, found in zip(groups, joined):
-            values = np.frombuffer(found, "<u4")
-            ends = np.flatnonzero(values == np.frombuffer(self.mark[-4:], "<u4")[0]) + 1
-            if len(ends) == len(group):
-                starts = np.r_[0, ends[:-1]]
-                ids.update(zip(group, [found[4 * a:4 * b - len(self.mark)] for a, b in zip(starts.tolist(), ends.tolist())]))
-        rest = [p for p in pieces if p not in ids]
-        ids.update(zip(rest, self._alone([self.blank + p for p in rest])))
-        return [ids[p] for p in pieces]
+        ids = self.tails.get(tail)
+        if ids is None:
+            ids = self._alone(tail)
+            if len(tail) <= LONGEST:
+                self.tails[tail] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
         ids = []
-        for k in range(0, len(texts), TEXTS):
-            ids += self._encode(texts[k:k + TEXTS])
-        return ids
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        # The first piece of a text has no blank before it; the others may have one.
-        first, later = [], []
         for text in texts:
-            head, *rest = pieces(text)
-            first.append(head)
-            later.append(rest)
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = set(chain.from_iterable(later)).difference(known)
-        missing = []
-        for piece in new:
-            # What comes back passes on to the younger generation.
-            if (found := older.get(piece)) is None:
-                missing.append(piece)
-            else:
-                known[piece] = found
-        known.update(zip(missing, self._ids(missing)))
-        heads = self._alone(first)
-        ids = [head + b"".join(map(known.__getitem__, rest)) for head, rest in zip(heads, later)]
-        for piece in missing:
-            if len(piece) > LONGEST:
-                del known[piece]
+            if len(self.known) > REMEMBERED:
+                self.known = _Known(self, dict(self.known))
+            head, *rest = text.split(" ")
+            try:
+                if head != head.strip() or rest and not head:
+                    raise _WideSpace
+                # The first piece of a text has no blank before it.
+                ids.append(self._alone(head) + b"".join(map(self.known.__getitem__, rest)))
+            except _WideSpace:
+                ids.append(self._wide(text))
         return ids
 
+    def _wide(self, text: str) -> bytes:
+        """The ids of a text with white space of any kind and number."""
+        head, *rest = _LONE_BLANK.split(text)
+        if not rest:
+            return self._alone(head)
+        # Only the text's own end may be white space.
+        return self._alone(head) + b"".join(map(self.known.__getitem__, rest[:-1])) + self._alone(self.blank + rest[-1])
+
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
