@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fleetwright.llm.common import byte_texts, held_out, materialise
 
 # Bounds of learning: rows (expected; drawn by a hash of the id), and terms.
-SAMPLE_ROWS, MAX_TERMS = 12_000, 4_000
+SAMPLE_ROWS, MAX_TERMS = 12_000, 700
 # About one in ten million by chance; and rows a term must be in.
 MIN_CHI2, MIN_ROWS = 28.0, 3
 NEIGHBOURS, BLOCK_EXAMPLES = 15, 64
@@ -40,8 +40,6 @@ THRESHOLD = 0.5
 _SEED = 5
 # Lengths of word beginnings, in bytes, and what is stripped off a word.
 _BEGINNINGS, _EDGES = (5, 6, 7, 8), b".,;:!?\"'()[]|#*$%&<>"
-# Words a worker remembers the terms of.
-_REMEMBERED = 400_000
 # The distance two equal vectors count as having, and the prior's weight in a vote.
 _NEAR, _PRIOR = 0.05, 0.5
 
@@ -132,21 +130,26 @@ class Model:
 
 
 class Vectors:
-    """Unit TF-IDF vectors of texts; remembers which terms a word has."""
+    """Unit TF-IDF vectors of texts.
+
+    A word's terms all begin as the word does, so a look at its first bytes passes
+    over nearly all words.
+    """
 
     def __init__(self, terms: dict[bytes, int], idf: np.ndarray):
-        self.terms, self.idf, self.known = terms, idf, {}
+        self.terms, self.idf = terms, idf
+        self.heads = frozenset(t.removeprefix(b"^")[:_BEGINNINGS[0]] for t in terms)
 
     def of(self, text: bytes) -> dict[int, float]:
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
+        found = text.lower().split()
+        heads, first = self.heads, _BEGINNINGS[0]
+        some = [w for w in set(found) if w.strip(_EDGES)[:first] in heads] if heads else ()
         counts: dict[int, int] = {}
-        for word, n in words(text).items():
-            terms = self.known.get(word)
-            if terms is None:
-                terms = self.known[word] = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
-            for term in terms:
-                counts[term] = counts.get(term, 0) + n
+        for word in some:
+            n = found.count(word)
+            for term in word_terms(word):
+                if (number := self.terms.get(term)) is not None:
+                    counts[number] = counts.get(number, 0) + n
         return self.unit(counts)
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
