@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import ann, language, mixing, packing, pii, quality_rules, simhash, toxicity
+from fleetwright.llm import ann, language, language_model, mixing, packing, pii, quality_rules, simhash, toxicity
 from fleetwright.llm.common import documents, held_out
 from fleetwright.llm.sql import ORACLE
 from fleetwright.sources.tables import parquet_table
@@ -43,6 +43,12 @@ def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(vectors, F.col("vec_id") % 100 == 0, k=10)
 
 
+def op7_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    held = held_out("doc_id", 7, 2)
+    scored = language_model.score_documents(documents(spark, folder), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.cascade(documents(spark, folder))
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op6_ann": op6_ann,
+    "op7_language_model": op7_language_model,
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
