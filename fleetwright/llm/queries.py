@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import ann, language, language_model, mixing, packing, pii, quality_rules, simhash, toxicity
+from fleetwright.llm import ann, language, language_model, mixing, packing, pii, quality_rules, simhash, token_files, toxicity
 from fleetwright.llm.common import documents, held_out
 from fleetwright.llm.sql import ORACLE
 from fleetwright.sources.tables import parquet_table
@@ -38,6 +38,10 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
                          toxicity.predicted(F.col("score")).alias("predicted"), "nearest")
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(documents(spark, folder))
+
+
 def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
     vectors = parquet_table(spark, folder, "embeddings", "vec_id bigint, embedding array<float>")
     return ann.search(vectors, F.col("vec_id") % 100 == 0, k=10)
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
+    "op5_token_files": op5_token_files,
     "op6_ann": op6_ann,
     "op7_language_model": op7_language_model,
     "op8_quality_rules": op8_quality_rules,
