@@ -1,18 +1,21 @@
 """Global row numbers and ordered slices without a single-task sort."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetwright.session import cut_lineage
 
-# Up to this many rows a slice is taken by a bounded top-k in every task; the
-# merging task then sees at most this many rows from each of them.
-TOP_K_ROWS = 1_000
-
 # monotonically_increasing_id() is the partition number above bit 33 and the
 # row's position within the partition below it.
 _POSITION_BITS = 33
 
 
+def _place() -> tuple:
+    """The partition of a row, and its position in it."""
+    mark = F.monotonically_increasing_id()
+    return F.shiftright(mark, _POSITION_BITS), mark.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+
+
 def with_row_index(df: DataFrame, *keys: str, name: str = "row_index") -> DataFrame:
     """Number all rows from 0 in the order of `keys`, as a bigint.
 
@@ -23,12 +26,8 @@ def with_row_index(df: DataFrame, *keys: str, name: str = "row_index") -> DataFr
     checkpointed, because they are read for the sizes and again for the result.
     """
     ordered = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
-    mark = F.monotonically_increasing_id()
-    placed = ordered.select(
-        "*",
-        F.shiftright(mark, _POSITION_BITS).alias("_part"),
-        mark.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_position"),
-    )
+    part, position = _place()
+    placed = ordered.select("*", part.alias("_part"), position.alias("_position"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy("_part").agg(F.count("*").alias("_rows"))
@@ -45,11 +44,22 @@ def with_row_index(df: DataFrame, *keys: str, name: str = "row_index") -> DataFr
 def ordered_slice(df: DataFrame, keys: list[str], limit: int, offset: int = 0) -> DataFrame:
     """Rows `offset .. offset + limit - 1` in the order of `keys`.
 
-    Small slices are a top-k; larger ones select a range of row numbers, so a
-    deep page never passes through one task.
+    The rows are dealt to range partitions, which are counted; only those that
+    hold rows of the slice are sorted, so neither a deep page nor a long one
+    passes through one task. Runs a job for the counts, one number per partition;
+    the dealt rows stay on the executors' disks for the second reading, and a lost
+    part of them is dealt again by the same ranges.
     """
-    if offset + limit <= TOP_K_ROWS:
-        return df.orderBy(*keys).offset(offset).limit(limit)
-    numbered = with_row_index(df, *keys, name="_row")
-    wanted: Column = (F.col("_row") >= offset) & (F.col("_row") < offset + limit)
-    return numbered.filter(wanted).drop("_row")
+    ranged = df.repartitionByRange(*keys).persist(StorageLevel.DISK_ONLY)
+    part, position = _place()
+    counts = sorted(ranged.groupBy(F.spark_partition_id().alias("part")).count().collect())
+    first, before = {}, 0
+    for number, rows in counts:
+        if before < offset + limit and before + rows > offset:
+            first[number] = before
+        before += rows
+    held = ranged.filter(F.spark_partition_id().isin(list(first))).sortWithinPartitions(*keys)
+    begins = F.create_map(*[F.lit(v) for pair in first.items() for v in pair]) if first else F.expr("map(0, 0)")
+    row = F.element_at(begins, part.cast("int")).cast("bigint") + position
+    numbered = held.withColumn("_row", row)
+    return numbered.filter((F.col("_row") >= offset) & (F.col("_row") < offset + limit)).drop("_row")

@@ -12,7 +12,9 @@ Tables:
 A manifest is one signed document, so work on a single manifest stays within
 its row. Work on delivered chunks is spread by (firmware_id, chunk) and reaches
 the image only as counts: no task holds all chunks, or all errors, of an image.
-Payloads are hashed where they are read; only hashes are shuffled.
+Manifests and deliveries are read once each. Payloads are hashed where they are
+read; only hashes are shuffled. What cannot be judged fails: a chunk that comes
+twice, has no payload, or a number the manifest does not list.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -28,12 +30,18 @@ from fleetwright.schemas import (
 # Our own names for the state of one chunk.
 CHUNK_OK = "OK"
 MISSING_IN_MANIFEST = "MISSING_IN_MANIFEST"
+REPEATED = "REPEATED"
+NOT_HASHABLE = "NOT_HASHABLE"
 HASH_MISMATCH = "HASH_MISMATCH"
 ENTRY_WITHOUT_HASH = "ENTRY_WITHOUT_HASH"
 NOT_DELIVERED = "NOT_DELIVERED"
+BAD_CHUNK = [MISSING_IN_MANIFEST, REPEATED, NOT_HASHABLE, HASH_MISMATCH]
 
-# Errors of one image are handled in blocks of this many chunk positions.
-POSITIONS_PER_BLOCK = 1_000
+# Our own message for an index that was delivered more than once.
+REPEATED_MESSAGE = "Chunk %d: Delivered %d times"
+
+# Below every chunk index: the row of an image itself, and a chunk without index.
+_HEAD, _NO_INDEX = -(1 << 62), -(1 << 61)
 
 # ---- fixed values: error messages -------------------------------------------
 NO_CHUNKS_FIELD = "Manifest missing 'chunks' field"
@@ -41,6 +49,7 @@ NO_TOTAL_FIELD = "Manifest missing 'total_chunks' field"
 COUNT_MESSAGE = "Chunk count mismatch: expected %d, got %d"
 MISSING_MESSAGE = "Chunk %d: Missing in manifest"
 MISMATCH_MESSAGE = "Chunk %d: Hash mismatch. Expected %s..., got %s..."
+NO_PAYLOAD_MESSAGE = "Chunk %d verification error: object supporting the buffer API required"
 SEQUENCE_MESSAGE = "Chunk sequence error: expected [%s], got [%s]"
 SIGNATURE_MESSAGE = "SIGNATURE VERIFICATION FAILED: %s"
 BAD_SIGNATURE = "Signature verification failed: "
@@ -168,37 +177,88 @@ def delivered_hashes(received: DataFrame, *keep: str) -> DataFrame:
     return received.select("firmware_id", "chunk_index", digest, *keep)
 
 
-def chunk_state() -> Column:
-    """State of a row of delivered hashes joined with manifest entries."""
+def _state(delivered: Column, listed: Column) -> Column:
+    """State of a chunk that was delivered so often and that the manifest lists or not.
+
+    Every state but CHUNK_OK and NOT_DELIVERED is counted by the verdict.
+    """
     expected, actual = F.col("expected_hash"), F.col("actual_hash")
     return (
-        F.when(actual.isNull(), NOT_DELIVERED)
-        .when(F.col("_listed").isNull(), MISSING_IN_MANIFEST)
+        F.when(delivered == 0, NOT_DELIVERED)
+        .when(~listed, MISSING_IN_MANIFEST)
         .when(expected.isNull(), ENTRY_WITHOUT_HASH)
+        .when(delivered > 1, REPEATED)
+        .when(actual.isNull(), NOT_HASHABLE)
         .when(expected != actual, HASH_MISMATCH)
         .otherwise(CHUNK_OK)
     )
 
 
-def match_chunks(delivered: DataFrame, entries: DataFrame, how: str) -> DataFrame:
-    """Join delivered hashes with manifest entries on image and chunk index."""
+def match_chunks(delivered: DataFrame, entries: DataFrame) -> DataFrame:
+    """Delivered hashes, each row by itself, with the state it has by the manifest entries."""
     listed = entries.withColumn("_listed", F.lit(True))
     return (
-        delivered.join(listed, ["firmware_id", "chunk_index"], how)
-        .withColumn("result", chunk_state())
+        delivered.join(listed, ["firmware_id", "chunk_index"], "left")
+        .withColumn("result", _state(F.lit(1), F.col("_listed").isNotNull()))
         .drop("_listed")
     )
 
 
+def _manifest_rows(records: DataFrame, head: Column, expand: Column) -> DataFrame:
+    """From one read of the manifests: a row with `head` per image, and the entries that
+    name a chunk, of the images for which `expand` holds."""
+    kinds = "array<struct<chunk_index: bigint, expected_hash: string>>"
+    named = F.transform(F.map_entries("chunks"), lambda e: F.struct(
+        F.when(e["key"].try_cast("int").cast("string") == e["key"], e["key"].try_cast("bigint")).alias("chunk_index"),
+        e["value"]["hash"].alias("expected_hash")))
+    entries = F.when(expand, F.filter(named, lambda e: e["chunk_index"].isNotNull()))
+    own = F.array(F.struct(F.lit(_HEAD).alias("chunk_index"), F.lit(None).cast("string").alias("expected_hash")))
+    listed = F.concat(own, F.coalesce(entries, F.expr(f"CAST(array() AS {kinds})")))
+    rows = records.select("firmware_id", head.alias("_head"), F.explode_outer(listed).alias("_entry"))
+    is_head = F.col("_entry.chunk_index") == _HEAD
+    return rows.select(
+        "firmware_id", F.col("_entry.chunk_index").alias("chunk_index"), F.lit(0).cast("bigint").alias("delivered"),
+        F.lit(None).cast("string").alias("actual_hash"), (~is_head).alias("listed"),
+        F.col("_entry.expected_hash").alias("expected_hash"), F.when(is_head, F.col("_head")).alias("head"))
+
+
+def _checked_chunks(records: DataFrame, received: DataFrame, head: Column, expand: Column) -> DataFrame:
+    """(firmware_id, chunk_index, delivered, actual_hash, listed, expected_hash, head, result).
+
+    One row per image and chunk index that was delivered or is listed, however
+    often it was delivered, and one with `head` per image. Manifests and deliveries
+    are each read once and meet in one shuffle; what one task has of a chunk is
+    combined before it. A delivered chunk without index counts as one that no
+    manifest lists; a row without image belongs to none.
+    """
+    named = F.col("firmware_id").isNotNull()
+    received = received.filter(named)
+    manifest = _manifest_rows(records.filter(named), head, expand)
+    kind = manifest.schema["head"].dataType
+    sent = delivered_hashes(received).select(
+        "firmware_id", F.coalesce(F.col("chunk_index").cast("bigint"), F.lit(_NO_INDEX)).alias("chunk_index"),
+        F.lit(1).cast("bigint").alias("delivered"), "actual_hash", F.lit(False).alias("listed"),
+        F.lit(None).cast("string").alias("expected_hash"), F.lit(None).cast(kind).alias("head"))
+    return sent.union(manifest).groupBy("firmware_id", "chunk_index").agg(
+        F.sum("delivered").alias("delivered"), F.max("actual_hash").alias("actual_hash"),
+        F.max("listed").alias("listed"), F.max("expected_hash").alias("expected_hash"), F.max("head").alias("head"),
+    ).withColumn("result", _state(F.col("delivered"), F.col("listed")))
+
+
 def chunk_hash_check(records: DataFrame, received: DataFrame) -> DataFrame:
     """(firmware_id, chunk_key, actual_hash, expected_hash, result).
 
-    One row per delivered chunk or manifest entry, whichever side lacks it.
+    One row per delivered chunk index and manifest entry, whichever side lacks
+    it. An index delivered several times has no single hash.
     """
-    matched = match_chunks(delivered_hashes(received), manifest_entries(records), "full")
-    return matched.select(
-        "firmware_id", F.coalesce("chunk_key", F.col("chunk_index").cast("string")).alias("chunk_key"),
-        "actual_hash", "expected_hash", "result")
+    checked = _checked_chunks(records, received, F.lit(True), F.lit(True)).filter(F.col("head").isNull())
+    other = manifest_entries(records).filter(F.col("chunk_index").isNull()).select(
+        "firmware_id", "chunk_key", F.lit(None).cast("string").alias("actual_hash"), "expected_hash",
+        F.lit(NOT_DELIVERED).alias("result"))
+    return checked.select(
+        "firmware_id", F.col("chunk_index").cast("string").alias("chunk_key"),
+        F.when(F.col("delivered") == 1, F.col("actual_hash")).alias("actual_hash"), "expected_hash", "result",
+    ).union(other)
 
 
 def manifest_structure_check(records: DataFrame) -> DataFrame:
@@ -214,9 +274,8 @@ def _structure_error() -> Column:
 
 
 def delivered_counts(received: DataFrame) -> DataFrame:
-    """(firmware_id, delivered, last_position) of the images with a chunk."""
-    return received.groupBy("firmware_id").agg(
-        F.count("*").alias("delivered"), F.max("chunk_index").alias("last_position"))
+    """(firmware_id, delivered) of the images with a chunk."""
+    return received.groupBy("firmware_id").agg(F.count("*").alias("delivered"))
 
 
 def chunk_count_check(records: DataFrame, received: DataFrame) -> DataFrame:
@@ -224,7 +283,7 @@ def chunk_count_check(records: DataFrame, received: DataFrame) -> DataFrame:
     return (
         records.filter(F.col("total_chunks").isNotNull())
         .select("firmware_id", "total_chunks")
-        .join(delivered_counts(received).drop("last_position"), "firmware_id", "left")
+        .join(delivered_counts(received), "firmware_id", "left")
         .withColumn("delivered", F.coalesce("delivered", F.lit(0).cast("bigint")))
         .withColumn("count_error", F.when(F.col("total_chunks") != F.col("delivered"), _count_error()))
     )
@@ -275,51 +334,50 @@ def chunk_sequence_check(records: DataFrame) -> DataFrame:
 
 # ---- complete verification --------------------------------------------------
 
-def _passed_signature() -> Column:
-    return F.coalesce("signature_valid", F.lit(False))
+_HEAD_FIELDS = ["firmware_version", "total_chunks", "bad_key", "in_sequence", "found_keys", "signed", "structure_error"]
 
 
-def _checked_chunks(records: DataFrame, received: DataFrame) -> DataFrame:
-    """Delivered chunks against the entries of manifests worth checking.
+def _verified_chunks(records: DataFrame, received: DataFrame) -> DataFrame:
+    """`_checked_chunks` with what the verdict reads of a manifest as `head`.
 
-    A left join: its delivered side can be split should a chunk be delivered
-    very often. Entries of manifests that failed earlier are not expanded.
+    Entries of manifests that are known to have failed earlier are not expanded.
     """
-    checkable = records.filter(_passed_signature() & F.col("total_chunks").isNotNull())
-    return match_chunks(
-        delivered_hashes(received), manifest_entries(checkable).drop("chunk_key"), "left")
+    known = "signature_valid" in records.columns
+    signed = F.coalesce("signature_valid", F.lit(False)) if known else F.lit(True)
+    heads = with_key_sequence(records).withColumns({"signed": signed, "structure_error": _structure_error()})
+    expand = F.col("signed") & F.col("total_chunks").isNotNull()
+    return _checked_chunks(heads, received, F.struct(*_HEAD_FIELDS), expand)
 
 
-def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
+def firmware_verdicts(records: DataFrame, received: DataFrame, signatures: DataFrame | None = None) -> DataFrame:
     """One row per manifest: the verdict of the first stage that fails, or OK.
 
+    Whether a manifest's signature is valid is told by a column `signature_valid`
+    of the records or, so that manifests need not be joined, by `signatures`
+    (firmware_id, signature_valid). A manifest without an answer fails.
+
     Columns: firmware_id, firmware_version, verdict, error_count, total_chunks,
-    delivered, without_hash, last_position, structure_error, bad_key,
-    found_keys. Stages: signature, structure, chunk count, chunk hashes, key
-    sequence. A manifest that cannot be evaluated (an entry without hash, a key
-    that is no integer) is malformed rather than violated. Sizes and algorithm
-    are not verified.
-
-    Chunks are counted where they are read and only faulty ones after the
-    match: matched chunks lie spread over all tasks, so counting them there
-    would send nearly a row per chunk through a second shuffle.
+    delivered, without_hash, structure_error, bad_key, found_keys. Stages:
+    signature, structure, chunk count, chunk hashes, key sequence. A manifest that
+    cannot be evaluated (an entry without hash, a key that is no integer) is
+    malformed rather than violated. Sizes and algorithm are not verified.
+
+    The count is that of the delivered rows. As no index may come twice, and none
+    that is not listed, a right count means that every listed chunk was delivered.
     """
-    result = F.col("result")
-    faults = _checked_chunks(records, received).filter(result != CHUNK_OK).groupBy("firmware_id").agg(
-        F.count_if(result.isin(MISSING_IN_MANIFEST, HASH_MISMATCH)).alias("bad_chunks"),
-        F.count_if(result == ENTRY_WITHOUT_HASH).alias("without_hash"),
-    )
-    heads = with_key_sequence(records).select(
-        "firmware_id", "firmware_version", "total_chunks", "bad_key", "in_sequence", "found_keys",
-        _passed_signature().alias("_signed"),
-        _structure_error().alias("structure_error"),
-    )
-    none = F.lit(0).cast("bigint")
-    counted = heads.join(delivered_counts(received), "firmware_id", "left").join(faults, "firmware_id", "left")
-    joined = counted.withColumns({
-        name: F.coalesce(name, none) for name in ("delivered", "bad_chunks", "without_hash")})
+    result, none = F.col("result"), F.lit(0).cast("bigint")
+    images = _verified_chunks(records, received).groupBy("firmware_id").agg(
+        F.sum("delivered").alias("delivered"), F.count_if(result.isin(BAD_CHUNK)).alias("bad_chunks"),
+        F.count_if(result == ENTRY_WITHOUT_HASH).alias("without_hash"), F.max("head").alias("head"))
+    known = images.filter(F.col("head").isNotNull()).select(
+        "firmware_id", "delivered", "bad_chunks", "without_hash", *[F.col(f"head.{f}").alias(f) for f in _HEAD_FIELDS])
+    if signatures is not None:
+        answers = signatures.select("firmware_id", F.coalesce("signature_valid", F.lit(False)).alias("signed"))
+        known = known.drop("signed").join(answers, "firmware_id", "left").fillna(False, ["signed"])
+    elif "signature_valid" not in records.columns:
+        known = known.withColumn("signed", F.lit(False))
     verdict = (
-        F.when(~F.col("_signed"), SIGNATURE_FAILED)
+        F.when(~F.col("signed"), SIGNATURE_FAILED)
         .when(F.col("structure_error").isNotNull(), STRUCTURE_ERROR)
         .when(F.col("delivered") != F.col("total_chunks"), COUNT_MISMATCH)
         .when(F.col("without_hash") > 0, MALFORMED_MANIFEST)
@@ -333,9 +391,9 @@ def firmware_verdicts(records: DataFrame, received: DataFrame) -> DataFrame:
         .when(F.col("verdict") == CHUNK_ERROR, F.col("bad_chunks"))
         .otherwise(F.lit(1).cast("bigint"))
     )
-    return joined.withColumn("verdict", verdict).select(
+    return known.withColumn("verdict", verdict).select(
         "firmware_id", "firmware_version", "verdict", error_count.alias("error_count"),
-        "total_chunks", "delivered", "without_hash", "last_position", "structure_error", "bad_key", "found_keys",
+        "total_chunks", "delivered", "without_hash", "structure_error", "bad_key", "found_keys",
     )
 
 
@@ -363,63 +421,45 @@ def _stage_message(signature_error: str) -> Column:
     )
 
 
-def position_block(position: Column) -> Column:
-    """Number of the block of chunk positions that holds `position`.
-
-    Never NULL: as a nullable join key it would add a filter to one of two
-    equal scans, and their shuffle could no longer be shared.
-    """
-    return F.coalesce(F.floor(position / POSITIONS_PER_BLOCK).cast("bigint"), F.lit(0).cast("bigint"))
-
-
 def _chunk_message() -> Column:
-    index = F.col("position")
+    index, result = F.col("chunk_index"), F.col("result")
     expected, actual = F.substring("expected_hash", 1, 16), F.substring("actual_hash", 1, 16)
     return (
-        F.when(F.col("result") == MISSING_IN_MANIFEST, F.format_string(MISSING_MESSAGE, index))
-        .when(F.col("result") == HASH_MISMATCH, F.format_string(MISMATCH_MESSAGE, index, expected, actual))
+        F.when(result == MISSING_IN_MANIFEST, F.format_string(MISSING_MESSAGE, index))
+        .when(result == REPEATED, F.format_string(REPEATED_MESSAGE, index, F.col("delivered")))
+        .when(result == NOT_HASHABLE, F.format_string(NO_PAYLOAD_MESSAGE, index))
+        .otherwise(F.format_string(MISMATCH_MESSAGE, index, expected, actual))
     )
 
 
 def firmware_errors(
     records: DataFrame, received: DataFrame, signature_error: str = BAD_SIGNATURE,
-    verdicts: DataFrame | None = None,
+    verdicts: DataFrame | None = None, first: int | None = None,
 ) -> DataFrame:
     """(firmware_id, verdict, position, message): the error list of every image, as rows.
 
+    With `first`, only so many of each image, in order; the limit acts in every task
+    before rows of an image meet.
+
     A failed stage gives one message. Failed chunks give one each, in the order
-    of `position`, the chunk index. Bad chunks find their image by image and
-    block of positions, so the errors of one huge image are spread over as many
-    tasks as it has blocks.
+    of `position`, the chunk index. Bad chunks find their image by its number; the
+    image's side has one row, so the errors of one huge image are split over tasks
+    by the adaptive skew join.
     """
     if verdicts is None:
         verdicts = firmware_verdicts(records, received)
-    on_chunks = F.col("verdict") == CHUNK_ERROR
-    last_block = F.when(on_chunks, position_block(F.col("last_position"))).otherwise(0)
-    blocks = F.sequence(F.lit(0).cast("bigint"), last_block.cast("bigint"))
-    failed = verdicts.filter(F.col("verdict") != OK).select(
-        "firmware_id", "verdict", _stage_message(signature_error).alias("_stage"),
-        F.explode(blocks).alias("_block"),
-    )
-    bad = (
-        _checked_chunks(records, received)
-        .filter(F.col("result").isin(MISSING_IN_MANIFEST, HASH_MISMATCH))
-        .withColumn("position", F.col("chunk_index").cast("bigint"))
-        .select(
-            F.col("firmware_id").alias("_image"), position_block(F.col("position")).alias("_in_block"),
-            "position", _chunk_message().alias("message"),
-        )
-    )
-    same_block = (F.col("firmware_id") == F.col("_image")) & (F.col("_block") == F.col("_in_block"))
-    return (
-        failed.join(bad, same_block & F.col("_stage").isNull(), "left")
-        .withColumn("message", F.coalesce("_stage", "message"))
-        .filter(F.col("message").isNotNull())
-        .select(
-            "firmware_id", "verdict",
-            F.coalesce("position", F.lit(0).cast("bigint")).alias("position"), "message",
-        )
-    )
+    failed = verdicts.filter(F.col("verdict") != OK)
+    staged = failed.filter(F.col("verdict") != CHUNK_ERROR).select(
+        "firmware_id", "verdict", F.lit(0).cast("bigint").alias("position"),
+        _stage_message(signature_error).alias("message"))
+    # Read with the heads, as the verdicts are, the rows come from the verdicts' shuffle.
+    bad = _verified_chunks(records, received).filter(F.col("head").isNull() & F.col("result").isin(BAD_CHUNK))
+    on_chunks = failed.filter(F.col("verdict") == CHUNK_ERROR).select("firmware_id", "verdict")
+    found = bad.select("firmware_id", F.col("chunk_index").alias("position"), _chunk_message().alias("message"))
+    if first is not None:
+        in_order = Window.partitionBy("firmware_id").orderBy("position")
+        found = found.withColumn("_n", F.row_number().over(in_order)).filter(F.col("_n") <= first).drop("_n")
+    return found.join(on_chunks, "firmware_id").select("firmware_id", "verdict", "position", "message").union(staged)
 
 
 def chunk_errors(
@@ -433,8 +473,7 @@ def chunk_errors(
 def first_errors(errors: DataFrame, count: int = 3) -> DataFrame:
     """(firmware_id, errors): the first `count` messages per image, in order.
 
-    The row-number limit is applied in every task before the shuffle, so an
-    image with very many errors sends `count` rows per task.
+    `firmware_errors(..., first=count)` gives the rows without the others being moved.
     """
     by_position = Window.partitionBy("firmware_id").orderBy("position")
     first = errors.withColumn("_n", F.row_number().over(by_position)).filter(F.col("_n") <= count)

@@ -10,9 +10,11 @@ from fleetwright.schemas import (
 
 def _defects(signal_min: int, signal_max: int) -> Column:
     voltage, signal = F.col("battery_voltage"), F.col("signal_strength")
-    unreadable = voltage.isNotNull() & voltage.try_cast("double").isNull()
+    number = voltage.try_cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) != float("inf"))
+    unreadable = voltage.isNotNull() & ~finite
     return F.array_compact(F.array(
-        F.when(voltage.isNull(), MISSING),
+        F.when(voltage.isNull() | signal.isNull(), MISSING),
         F.when(unreadable, CORRUPT_TYPE),
         F.when(~signal.between(signal_min, signal_max), OUT_OF_RANGE),
     ))
@@ -21,7 +23,8 @@ def _defects(signal_min: int, signal_max: int) -> Column:
 def classify(raw: DataFrame, signal_min: int = SIGNAL_MIN, signal_max: int = SIGNAL_MAX) -> DataFrame:
     """Add `defects`: the kinds of corruption of a row, empty when it is clean.
 
-    The voltage is text here; text that is no number is a defect, not a failure.
+    The voltage is text here; text that is no finite number is a defect, not a
+    failure. A reading that is missing, voltage or signal, is one as well.
     """
     return raw.withColumn("defects", _defects(signal_min, signal_max))
 

@@ -1,4 +1,4 @@
-"""Signing and auditing manifests.
+"""Auditing the signatures of manifests.
 
 Spark builds the canonical JSON and its digest; Python, by Arrow batches, gets
 the 32-byte digest and the signature and does the modular arithmetic.
@@ -8,8 +8,8 @@ import os
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, BooleanType
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType
 
 from fleetwright.functions import pss
 from fleetwright.functions.canonical_json import manifest_json
@@ -28,16 +28,12 @@ def load_public_key(path: str | None) -> pss.PublicKey | None:
         return pss.read_public_key(file.read())
 
 
-def load_private_key(path: str) -> pss.PrivateKey:
-    with open(path, "rb") as file:
-        return pss.read_private_key(file.read())
-
+def manifest_digests(records: DataFrame) -> DataFrame:
+    """(firmware_id, digest) of the canonical manifests, made within their rows."""
+    return records.select("firmware_id", F.unhex(F.sha2(manifest_json(), 256)).alias("digest"))
 
-def _digest() -> Column:
-    return F.unhex(F.sha2(manifest_json(), 256))
 
-
-def _spread(rows: DataFrame) -> DataFrame:
+def spread(rows: DataFrame) -> DataFrame:
     """Even partitions: the rows are small, but each costs a modular power.
 
     The number is stated, or the adaptive planner would merge them again by
@@ -48,44 +44,33 @@ def _spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(max(stated, spark.sparkContext.defaultParallelism), "firmware_id")
 
 
-def sign_manifests(records: DataFrame, key: pss.PrivateKey) -> DataFrame:
-    """(firmware_id, signature) of every manifest."""
-
-    @F.pandas_udf(BinaryType())
-    def signature(digests: pd.Series) -> pd.Series:
-        return digests.map(lambda d: pss.sign(key, d))
-
-    rows = _spread(records.select("firmware_id", _digest().alias("_digest")))
-    return rows.select("firmware_id", signature("_digest").alias("signature"))
-
-
-def audit_signatures(signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
-    """(firmware_id, signature_valid, signature_error) of records with a `signature`.
+def audit_signatures(records: DataFrame, signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
+    """(firmware_id, signature_valid, signature_error) of the records, by the
+    signatures in `signed` (firmware_id, signature).
 
-    Without a key every signature is invalid, and so is a missing signature.
-    Copies of a manifest within an Arrow batch are verified once.
+    Without a key every signature is invalid, and so is a missing signature. Of a
+    record only its digest meets its signature; the manifest stays where it is read.
     """
-    rows = signed.select("firmware_id", _digest().alias("_digest"), "signature")
+    digests = manifest_digests(records)
     if key is None:
-        return rows.select(
+        return digests.select(
             "firmware_id", F.lit(False).alias("signature_valid"),
             F.lit(NO_PUBLIC_KEY).alias("signature_error"))
 
     @F.pandas_udf(BooleanType())
     def valid(digests: pd.Series, signatures: pd.Series) -> pd.Series:
-        pairs = pd.Series(list(zip(digests, signatures)))
-        verdicts = {pair: pss.verify(key, *pair) for pair in pairs.unique() if None not in pair}
-        return pairs.map(lambda pair: verdicts.get(pair, False))
+        return pd.Series([d is not None and s is not None and pss.verify(key, d, s)
+                          for d, s in zip(digests, signatures)], dtype=bool)
 
-    checked = _spread(rows).select("firmware_id", valid("_digest", "signature").alias("signature_valid"))
+    rows = spread(digests.join(signed.select("firmware_id", "signature"), "firmware_id", "left"))
+    checked = rows.select("firmware_id", valid("digest", "signature").alias("signature_valid"))
     return checked.withColumn("signature_error", F.when(~F.col("signature_valid"), BAD_SIGNATURE))
 
 
-def with_signature_valid(signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
-    """Records ready for `firmware_verdicts`: `signature` replaced by `signature_valid`.
+def signature_verdicts(records: DataFrame, signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
+    """(firmware_id, signature_valid): the audit as `firmware_verdicts` takes it.
 
-    Runs a job: verification reads the records more than once, so the audit, one
-    boolean per image, is checkpointed rather than computed again each time.
+    Runs a job: verdicts and errors both read it, so the audit, one boolean per
+    image, is checkpointed rather than computed again each time.
     """
-    audit = cut_lineage(audit_signatures(signed, key).select("firmware_id", "signature_valid"))
-    return signed.drop("signature").join(audit, "firmware_id", "left")
+    return cut_lineage(audit_signatures(records, signed, key).select("firmware_id", "signature_valid"))

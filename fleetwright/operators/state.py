@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetwright.functions.columns import shard_of, shuffled_rank
 from fleetwright.functions.ordering import ordered_slice, with_row_index
-from fleetwright.schemas import LOAD_BATCH_ROWS, PARTIAL, RECOVERED, SECURITY_HOLD
+from fleetwright.schemas import LOAD_BATCH_ROWS, PARTIAL, RECOVERED, SECURITY_HOLD, STATUSES
 
 # Our own names for the result of a recovery shard.
 SHARD_RECOVERED = "RECOVERED"
@@ -24,7 +24,7 @@ def recover(fleet: DataFrame) -> DataFrame:
 def recovery_page(fleet: DataFrame, limit: int, offset: int) -> DataFrame:
     """The ids of one page of partially updated devices, in id order.
 
-    Deep pages run a job, see `with_row_index`.
+    Runs a job, see `ordered_slice`.
     """
     partial = fleet.filter(F.col("update_status") == PARTIAL).select("device_id")
     return ordered_slice(partial, ["device_id"], limit, offset)
@@ -33,18 +33,21 @@ def recovery_page(fleet: DataFrame, limit: int, offset: int) -> DataFrame:
 def recovery_shard_report(fleet: DataFrame, shards: int) -> DataFrame:
     """(shard_id, found, updated, outcome), a row for empty shards too.
 
-    Shards are hash buckets of the id: even, and independent of row order.
+    `found` are the partial devices of a shard, `updated` those that `recover`
+    gives another status. Shards are hash buckets of the id: even, and independent
+    of row order.
     """
-    found = (
-        fleet.filter(F.col("update_status") == PARTIAL)
-        .groupBy(shard_of(F.col("device_id"), shards).alias("shard_id"))
-        .agg(F.count("*").alias("found"))
+    partial = fleet.filter(F.col("update_status") == PARTIAL).withColumn("_before", F.col("update_status"))
+    changed = ~F.col("update_status").eqNullSafe(F.col("_before"))
+    counted = (
+        recover(partial).groupBy(shard_of(F.col("device_id"), shards).alias("shard_id"))
+        .agg(F.count("*").alias("found"), F.count_if(changed).alias("updated"))
     )
     every = fleet.sparkSession.range(shards).withColumnRenamed("id", "shard_id")
-    count = F.coalesce("found", F.lit(0).cast("bigint"))
-    return every.join(found, "shard_id", "left").select(
-        "shard_id", count.alias("found"), count.alias("updated"),
-        F.when(count > 0, SHARD_RECOVERED).otherwise(SHARD_EMPTY).alias("outcome"),
+    none = F.lit(0).cast("bigint")
+    return every.join(counted, "shard_id", "left").select(
+        "shard_id", F.coalesce("found", none).alias("found"), F.coalesce("updated", none).alias("updated"),
+        F.when(F.col("updated") > 0, SHARD_RECOVERED).otherwise(SHARD_EMPTY).alias("outcome"),
     )
 
 
@@ -62,10 +65,17 @@ def last_status(changes: DataFrame, order: str | None = None) -> DataFrame:
 
     Without an order the changes of one device have no last; they collapse to
     the greatest status, so that a join on the result never multiplies rows.
-    Both aggregates combine before the shuffle, however often a device reports.
+    Statuses are aggregated as their numbers in `STATUSES`: with an order that is
+    a number, Spark then combines by hash, before the shuffle and without a sort,
+    however often a device reports. A status that is none of them stops the job.
     """
-    pick = F.max("status") if order is None else F.max_by("status", order)
-    return changes.groupBy("device_id").agg(pick.alias("status"))
+    known = F.array(*[F.lit(s) for s in STATUSES])
+    number = F.array_position(known, F.col("status")).cast("int")
+    checked = F.when(number == 0, F.raise_error(F.concat(F.lit("no update status: "), "status")).cast("int")).otherwise(number)
+    numbered = changes.withColumn("_number", checked)
+    pick = F.max("_number") if order is None else F.max_by("_number", order)
+    return numbered.groupBy("device_id").agg(pick.alias("_number")).select(
+        "device_id", F.get(known, F.col("_number") - 1).alias("status"))
 
 
 def apply_status(fleet: DataFrame, changes: DataFrame, order: str | None = None) -> DataFrame:
@@ -117,23 +127,27 @@ def key_violations(fleet: DataFrame, key: str = "device_id") -> DataFrame:
     return rows.filter((F.col("row_count") > 1) | F.col(key).isNull())
 
 
-def _sampled_keys(fleet: DataFrame, n: int, seed, key: str) -> DataFrame:
-    ranked = fleet.select(key, shuffled_rank(F.col(key), seed).alias("_rank"))
+def _sampled_keys(keys: DataFrame, n: int, seed, key: str) -> DataFrame:
+    ranked = keys.select(key, shuffled_rank(F.col(key), seed).alias("_rank"))
     return ordered_slice(ranked, ["_rank", key], n).select(key)
 
 
-def sample_exact_n(fleet: DataFrame, n: int, seed=0, key: str = "device_id") -> DataFrame:
+def sample_exact_n(
+    fleet: DataFrame, n: int, seed=0, key: str = "device_id", keys: DataFrame | None = None,
+) -> DataFrame:
     """Exactly `n` devices (or all, if fewer), every one equally likely.
 
     Keys are drawn first, from the key column alone; the rows follow by semi-join.
+    `keys` may give the fleet's keys from a cheaper source than the fleet. Runs a
+    job, see `ordered_slice`.
     """
-    return fleet.join(_sampled_keys(fleet, n, seed, key), key, "left_semi")
+    return fleet.join(_sampled_keys(fleet if keys is None else keys, n, seed, key), key, "left_semi")
 
 
 def sample_update(
-    fleet: DataFrame, n: int, column: str, value, seed=0, key: str = "device_id",
+    fleet: DataFrame, n: int, column: str, value, seed=0, key: str = "device_id", keys: DataFrame | None = None,
 ) -> DataFrame:
-    """Set `column` to `value` on exactly `n` sampled devices, leave the others."""
+    """Set `column` to `value` on exactly `n` sampled devices, leave the others; see `sample_exact_n`."""
     new: Column = value if isinstance(value, Column) else F.lit(value)
     new = new.cast(fleet.schema[column].dataType)
-    return _set_where(fleet, _sampled_keys(fleet, n, seed, key), column, new)
+    return _set_where(fleet, _sampled_keys(fleet if keys is None else keys, n, seed, key), column, new)

@@ -8,20 +8,17 @@ join, the verdict side having one row per image.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetwright.operators.firmware import position_block
 from fleetwright.schemas import (
     INSTALLED, MALFORMED_MANIFEST, OK, SECURITY_HOLD, SECURITY_VIOLATION, SUCCESS, TAMPER_EVENT,
     UPDATE_ERROR, VIOLATIONS,
 )
 
-# Our own texts: an image that does not exist, between messages, and after the
-# beginning of a long list.
+# Our own texts: an image that does not exist, and between messages.
 NO_IMAGE = "Firmware image not found"
 SEPARATOR = " | "
-CONTINUED = "... %d errors, see the event details of the image"
 
-# Characters of error text an event carries for its device.
-DETAILS_LENGTH = 1_000
+# Chunk positions whose messages make up one part of an image's event details.
+PART_POSITIONS = 1_000
 
 
 def _update_status() -> Column:
@@ -37,7 +34,8 @@ def _update_status() -> Column:
 def update_outcomes(targets: DataFrame, verdicts: DataFrame) -> DataFrame:
     """(device_id, firmware_id, firmware_version, status, verification_passed, error_count).
 
-    The errors themselves are rows of `update_errors`.
+    The errors themselves are the rows of `update_errors` with the device's
+    firmware_id, `error_count` of them.
     """
     looked_up = targets.join(
         verdicts.select("firmware_id", "firmware_version", "verdict", "error_count"), "firmware_id", "left")
@@ -66,10 +64,10 @@ def update_errors(targets: DataFrame, verdicts: DataFrame, errors: DataFrame) ->
 def event_details(errors: DataFrame) -> DataFrame:
     """(firmware_id, part, details, error_count): messages of violations, joined in index order.
 
-    One row per image and block of chunk positions: a longer error list goes on
+    One row per image and run of chunk positions: a longer error list goes on
     in further rows, so no row or task holds an unbounded one.
     """
-    part = position_block(F.col("position"))
+    part = F.floor(F.col("position") / PART_POSITIONS)
     listed = F.array_sort(F.collect_list(F.struct("position", "message")))
     return (
         errors.filter(F.col("verdict") != MALFORMED_MANIFEST)
@@ -81,23 +79,22 @@ def event_details(errors: DataFrame) -> DataFrame:
     )
 
 
-def security_events(targets: DataFrame, errors: DataFrame, event_time: Column | None = None) -> DataFrame:
-    """(device_id, event_type, firmware_id, details, timestamp): one tamper event per violating device.
+def security_events(targets: DataFrame, verdicts: DataFrame, event_time: Column | None = None) -> DataFrame:
+    """(device_id, event_type, firmware_id, timestamp): one tamper event per violating device.
 
-    `details` holds the messages of the image. A text beyond `DETAILS_LENGTH` is
-    not copied to every device: the event has its beginning and the number of
-    errors, and `event_details` has it whole, once per image.
+    What was wrong is text of the image, kept whole and once in `event_details`;
+    `event_texts` reads it for events. A copy for each device would multiply the
+    devices of an image with its errors.
     """
     when = F.current_timestamp() if event_time is None else event_time
-    per_image = event_details(errors).groupBy("firmware_id").agg(
-        F.min_by("details", "part").alias("first"), F.max("part").alias("last_part"),
-        F.sum("error_count").alias("total"))
-    first = F.col("first")
-    whole = (F.col("last_part") == 0) & (F.length(first) <= DETAILS_LENGTH)
-    beginning = F.concat(F.substring(first, 1, DETAILS_LENGTH), F.format_string(CONTINUED, "total"))
-    described = per_image.select("firmware_id", F.when(whole, first).otherwise(beginning).alias("details"))
-    return targets.join(described, "firmware_id").select(
-        "device_id", F.lit(TAMPER_EVENT).alias("event_type"), "firmware_id", "details", when.alias("timestamp"))
+    violated = verdicts.filter(F.col("verdict").isin(VIOLATIONS)).select("firmware_id")
+    return targets.join(violated, "firmware_id").select(
+        "device_id", F.lit(TAMPER_EVENT).alias("event_type"), "firmware_id", when.alias("timestamp"))
+
+
+def event_texts(events: DataFrame, details: DataFrame) -> DataFrame:
+    """The events with their whole text: a row for each part of it."""
+    return events.join(details.drop("error_count"), "firmware_id", "left").select(*events.columns, "part", "details")
 
 
 def fleet_after_update(fleet: DataFrame, verdicts: DataFrame) -> DataFrame:

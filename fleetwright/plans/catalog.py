@@ -4,15 +4,15 @@ Each takes (spark, folder) and returns a DataFrame. Array results are joined to
 text, so that any SQL engine can compare them.
 """
 
+import uuid
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetwright.operators import analytics, firmware, quality, signatures, state, updates
-from fleetwright.plans import views
+from fleetwright.plans import signing, views
 from fleetwright.schemas import CHUNK_SIZE, FLEET, PARTIAL, RECOVERY_ACTIONS
-from fleetwright.session import cut_lineage, scratch_path
+from fleetwright.session import scratch_path
 from fleetwright.sources import sinks, tables
 from fleetwright.streaming import chunk_verify
 
@@ -22,12 +22,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 PAGE_ROWS, PAGE_START = 2_500, 2_500
 SHARDS = 4
 SAMPLE_ROWS, SAMPLE_SEED = 50, 7
-MIN_ROWS, EXPECTED_ROWS = 10_000, 15_000
+MIN_ROWS = 10_000
+IMAGES_PER_FOLDER = 100
 EVENT_TIME = "2024-01-01 00:00:00"
 
-_KEYS = Path(__file__).parent / "keys"
-
-
 def _text(array: str, separator: str = ",") -> Column:
     return F.array_join(array, separator)
 
@@ -54,7 +52,7 @@ def recovery_page(spark, folder):
 
 
 def recovery_first_page(spark, folder):
-    """A page small enough for a top-k."""
+    """The page at the start."""
     return state.recovery_page(views.devices(spark, folder), SAMPLE_ROWS, 0)
 
 
@@ -94,12 +92,22 @@ def key_violations_feed(spark, folder):
 
 
 def sample_exact_n(spark, folder):
-    return state.sample_exact_n(views.fleet(spark, folder), SAMPLE_ROWS, SAMPLE_SEED)
+    return state.sample_exact_n(
+        views.fleet(spark, folder), SAMPLE_ROWS, SAMPLE_SEED, keys=views.devices(spark, folder))
 
 
 def sample_update(spark, folder):
     return state.sample_update(
-        views.fleet(spark, folder), SAMPLE_ROWS, "signal_strength", views.BAD_SIGNAL, SAMPLE_SEED)
+        views.fleet(spark, folder), SAMPLE_ROWS, "signal_strength", views.BAD_SIGNAL, SAMPLE_SEED,
+        keys=views.devices(spark, folder))
+
+
+def fleet_replaced(spark, folder):
+    """The fleet as a named table whose second version, the recovered fleet, replaced the first."""
+    name = f"ota_logs_{uuid.uuid4().hex}"
+    sinks.replace_table(views.fleet(spark, folder), name, version=1)
+    sinks.replace_table(state.recover(spark.table(name)), name, version=2)
+    return spark.table(name)
 
 
 # ---- data quality -----------------------------------------------------------
@@ -146,7 +154,9 @@ def recovery_action_distribution(spark, folder):
 
 
 def integrity_check(spark, folder):
-    return quality.integrity_check(views.devices(spark, folder), MIN_ROWS, EXPECTED_ROWS)
+    """The fleet's rows against the total its load batches arrived at."""
+    loaded = batch_ledger(spark, folder).agg(F.max("running_total")).first()[0]
+    return quality.integrity_check(views.devices(spark, folder), MIN_ROWS, loaded or 0)
 
 
 # ---- firmware ---------------------------------------------------------------
@@ -200,7 +210,7 @@ def firmware_errors(spark, folder):
 
 
 def firmware_errors_top3(spark, folder):
-    first = firmware.first_errors(firmware_errors(spark, folder))
+    first = firmware.first_errors(firmware.firmware_errors(*_delivery(spark, folder), first=3), 3)
     return first.withColumn("errors", _text("errors", " | "))
 
 
@@ -216,15 +226,11 @@ def verdict_counts(spark, folder):
     return firmware.verdict_counts(_verdicts(spark, folder))
 
 
-def signed_manifests(records: DataFrame) -> DataFrame:
-    """Records with their signature by the sample key, made once."""
-    key = signatures.load_private_key(_KEYS / "sample_private_key.pem")
-    return records.join(cut_lineage(signatures.sign_manifests(records, key)), "firmware_id")
-
-
-def public_key():
-    """The sample key's public half."""
-    return signatures.load_public_key(_KEYS / "sample_public_key.pem")
+def firmware_verdict_landed(spark, folder):
+    """Verdicts of chunks as they landed, verified by their position in the delivery."""
+    received = firmware.renumber_chunks(views.landed_chunks(spark, folder))
+    verdicts = firmware.firmware_verdicts(views.faulty_manifests(spark, folder), received)
+    return verdicts.select("firmware_id", "verdict", "error_count")
 
 
 def signature_audit(spark, folder):
@@ -234,22 +240,24 @@ def signature_audit(spark, folder):
     last = F.substring(signature, 256, 1)
     other = F.when(last == F.unhex(F.lit("00")), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
     shorter = F.substring(signature, 1, 255)
-    signed = signed_manifests(views.manifests(spark, folder)).withColumns({
-        "total_size": F.col("total_size") + F.when(fault == 7, 1).otherwise(0),
-        "signature": F.when(fault == 5, F.concat(shorter, other)).when(fault == 9, shorter)
-        .when(fault == 11, F.lit(None)).otherwise(signature),
-    })
-    return signatures.audit_signatures(signed, public_key())
+    records = views.manifests(spark, folder)
+    altered = records.withColumn("total_size", F.col("total_size") + F.when(fault == 7, 1).otherwise(0))
+    changed = signing.signatures_of(records).withColumn(
+        "signature", F.when(fault == 5, F.concat(shorter, other)).when(fault == 9, shorter)
+        .when(fault == 11, F.lit(None)).otherwise(signature))
+    return signatures.audit_signatures(altered, changed, signing.sample_public_key())
 
 
 def firmware_verdict_signed(spark, folder):
     """`firmware_verdict` with the signatures really made and verified: one image
     in twenty is signed before its manifest changes."""
     records, received = _delivery(spark, folder)
+    records = records.drop("signature_valid")
+    signed = signing.signatures_of(records)
     tampered = F.when(F.col("firmware_id") % 20 == 11, F.lit("tampered")).otherwise(F.col("device_model"))
-    signed = signed_manifests(records.drop("signature_valid")).withColumn("device_model", tampered)
-    audited = signatures.with_signature_valid(signed, public_key())
-    return firmware.firmware_verdicts(audited, received).select("firmware_id", "verdict", "error_count")
+    records = records.withColumn("device_model", tampered)
+    valid = signatures.signature_verdicts(records, signed, signing.sample_public_key())
+    return firmware.firmware_verdicts(records, received, valid).select("firmware_id", "verdict", "error_count")
 
 
 def update_outcomes(spark, folder):
@@ -272,7 +280,20 @@ def event_details(spark, folder):
 
 def security_events(spark, folder):
     when = F.to_timestamp_ntz(F.lit(EVENT_TIME))
-    return updates.security_events(views.update_targets(spark, folder), firmware_errors(spark, folder), when)
+    return updates.security_events(views.update_targets(spark, folder), _verdicts(spark, folder), when)
+
+
+def security_event_texts(spark, folder):
+    """Every event with its whole text, part by part."""
+    return updates.event_texts(security_events(spark, folder), event_details(spark, folder))
+
+
+def security_events_stored(spark, folder):
+    """The events appended to their table in two loads, and read back."""
+    events, path = security_events(spark, folder), scratch_path(spark, "security_events")
+    for half in (0, 1):
+        sinks.append(events.filter(F.col("firmware_id") % 2 == half), path)
+    return spark.read.schema(events.schema).parquet(path)
 
 
 def fleet_after_update(spark, folder):
@@ -286,13 +307,14 @@ def chunk_stream_verify(spark, folder):
     """The documents file as a stream of arriving images, cut into chunks, checked
     against stored entries, and the results read back."""
     entries, results, log = (scratch_path(spark, name) for name in ("entries", "verified", "verified_log"))
-    chunk_verify.save_entries(firmware.manifest_entries(views.faulty_manifests(spark, folder)), entries, 8)
+    manifests = views.faulty_manifests(spark, folder)
+    chunk_verify.save_entries(firmware.manifest_entries(manifests), entries, IMAGES_PER_FOLDER)
     # A pattern, as a stream takes a plain path for a folder, and the table may be one file.
     path = f"{folder}/documents.{{parquet}}"
     arriving = chunk_verify.chunk_stream(spark, path, views.DOCUMENTS).select(
         F.col("doc_id").alias("firmware_id"), F.col("text").alias("payload"), "arrived_at")
     chunks = views.faulty_chunks(firmware.chunk_images(arriving, CHUNK_SIZE, "arrived_at"))
-    chunk_verify.verify_available(chunk_verify.new_hashes(chunks), entries, results, log, 8)
+    chunk_verify.verify_available(chunk_verify.new_hashes(chunks), entries, results, log, IMAGES_PER_FOLDER)
     return spark.read.parquet(results).drop("batch")
 
 
@@ -314,6 +336,7 @@ QUERIES: dict[str, Query] = {
     "recovery_tally": recovery_tally,
     "status_update_by_key": status_update_by_key,
     "security_hold": security_hold,
+    "fleet_replaced": fleet_replaced,
     "batch_ledger": batch_ledger,
     "batch_assignment": batch_assignment,
     "key_violations": key_violations,
@@ -341,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "firmware_errors": firmware_errors,
     "firmware_errors_top3": firmware_errors_top3,
     "firmware_verdict": firmware_verdict,
+    "firmware_verdict_landed": firmware_verdict_landed,
     "firmware_verdict_signed": firmware_verdict_signed,
     "verdict_counts": verdict_counts,
     "signature_audit": signature_audit,
@@ -348,6 +372,8 @@ QUERIES: dict[str, Query] = {
     "update_errors": update_errors,
     "event_details": event_details,
     "security_events": security_events,
+    "security_event_texts": security_event_texts,
+    "security_events_stored": security_events_stored,
     "fleet_after_update": fleet_after_update,
     "chunk_stream_verify": chunk_stream_verify,
 }

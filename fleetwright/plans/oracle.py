@@ -32,8 +32,8 @@ raw AS (
          update_status
   FROM fleet),
 flagged AS (
-  SELECT *, battery_voltage IS NULL AS missing,
-         battery_voltage IS NOT NULL AND try_cast(battery_voltage AS double) IS NULL AS corrupt,
+  SELECT *, battery_voltage IS NULL OR signal_strength IS NULL AS missing,
+         battery_voltage IS NOT NULL AND NOT coalesce(isfinite(try_cast(battery_voltage AS double)), false) AS corrupt,
          signal_strength < 10 OR signal_strength > 100 AS out_of_range
   FROM raw),
 classified AS (
@@ -72,32 +72,22 @@ manifest AS (
        (SELECT firmware_id, count(*) AS n, sum(size) AS s FROM hashed GROUP BY 1) USING (firmware_id))"""
 
 # Faults by firmware number modulo 20: of the published manifest, then of the delivery.
-FAULTY = CHUNK + """,
+_VERIFICATION = CHUNK.replace("%", "%%") + """,
 entry AS (
   SELECT firmware_id, chunk_index::varchar AS chunk_key,
-         CASE WHEN chunk_index = 0 AND firmware_id % 20 = 14 THEN NULL
-              WHEN chunk_index = 0 AND firmware_id % 20 = 18 THEN upper(hash) ELSE hash END AS expected_hash
+         CASE WHEN chunk_index = 0 AND firmware_id %% 20 = 14 THEN NULL
+              WHEN chunk_index = 0 AND firmware_id %% 20 = 18 THEN upper(hash) ELSE hash END AS expected_hash
   FROM hashed
-  WHERE firmware_id % 20 <> 12 AND NOT (chunk_index = 0 AND firmware_id % 20 = 17)
+  WHERE firmware_id %% 20 <> 12 AND NOT (chunk_index = 0 AND firmware_id %% 20 = 17)
   UNION ALL
-  SELECT firmware_id, CASE firmware_id % 20 WHEN 9 THEN '-1' WHEN 15 THEN 'x1' ELSE '00' END, sha256('')
-  FROM manifest WHERE firmware_id % 20 IN (9, 15, 16)),
+  SELECT firmware_id, CASE firmware_id %% 20 WHEN 9 THEN '-1' WHEN 15 THEN 'x1' ELSE '00' END, sha256('')
+  FROM manifest WHERE firmware_id %% 20 IN (9, 15, 16)),
 head AS (
   SELECT firmware_id, firmware_version,
-         CASE WHEN firmware_id % 20 <> 13 THEN total_chunks END AS total_chunks,
-         firmware_id % 20 <> 12 AS has_chunks, firmware_id % 20 <> 11 AS signature_valid
+         CASE WHEN firmware_id %% 20 <> 13 THEN total_chunks END AS total_chunks,
+         firmware_id %% 20 <> 12 AS has_chunks, firmware_id %% 20 <> 11 AS signature_valid
   FROM manifest),
-received AS (
-  SELECT firmware_id, chunk_index,
-         sha256(CASE WHEN chunk_index % 2 = 0 AND firmware_id % 20 IN (5, 11) THEN payload || '!' ELSE payload END)
-           AS actual_hash
-  FROM chunk WHERE NOT (chunk_index = 0 AND firmware_id % 20 = 7)),
-checked AS (
-  SELECT r.firmware_id, r.chunk_index, r.actual_hash, e.expected_hash,
-         CASE WHEN e.chunk_key IS NULL THEN 'MISSING_IN_MANIFEST'
-              WHEN e.expected_hash IS NULL THEN 'ENTRY_WITHOUT_HASH'
-              WHEN e.expected_hash <> r.actual_hash THEN 'HASH_MISMATCH' ELSE 'OK' END AS result
-  FROM received r LEFT JOIN entry e ON e.firmware_id = r.firmware_id AND e.chunk_key = r.chunk_index::varchar),
+%s
 keys AS (
   SELECT firmware_id, count(*) AS n, min(CASE WHEN try_cast(chunk_key AS bigint) IS NULL THEN chunk_key END) AS bad_key,
          count(DISTINCT try_cast(chunk_key AS bigint)) AS numbers,
@@ -105,22 +95,31 @@ keys AS (
          list_sort(list(try_cast(chunk_key AS bigint))) AS found
   FROM entry GROUP BY 1),
 tally AS (
-  SELECT firmware_id, count(*) AS delivered,
-         count(*) FILTER (WHERE result IN ('MISSING_IN_MANIFEST', 'HASH_MISMATCH')) AS bad_chunks,
-         count(*) FILTER (WHERE result = 'ENTRY_WITHOUT_HASH') AS without_hash
+  SELECT firmware_id, count(*) AS delivered FROM received GROUP BY 1),
+-- Delivered rows in their order, each against the entry of its place there.
+in_place AS (
+  SELECT r.firmware_id, bool_and(coalesce(r.chunk_index = r.place AND e.expected_hash = r.actual_hash, false)) AS intact
+  FROM (SELECT *, row_number() OVER (PARTITION BY firmware_id ORDER BY chunk_index, actual_hash) - 1 AS place
+        FROM received) r
+  LEFT JOIN entry e ON e.firmware_id = r.firmware_id AND e.chunk_key = r.place::varchar
+  GROUP BY 1),
+faults AS (
+  SELECT firmware_id, count(*) FILTER (WHERE result = 'ENTRY_WITHOUT_HASH') AS without_hash,
+         count(*) FILTER (WHERE result NOT IN ('OK', 'ENTRY_WITHOUT_HASH')) AS bad_chunks
   FROM checked GROUP BY 1),
 stage AS (
   SELECT h.*, coalesce(delivered, 0) AS delivered, coalesce(bad_chunks, 0) AS bad_chunks,
-         coalesce(without_hash, 0) AS without_hash, bad_key, found,
+         coalesce(without_hash, 0) AS without_hash, coalesce(intact, true) AS intact, bad_key, found,
          bad_key IS NULL AND n = total_chunks AND numbers = n AND lowest = 0 AND highest = n - 1 AS in_sequence
-  FROM head h LEFT JOIN tally USING (firmware_id) LEFT JOIN keys USING (firmware_id)),
+  FROM head h LEFT JOIN tally USING (firmware_id) LEFT JOIN faults USING (firmware_id)
+       LEFT JOIN in_place USING (firmware_id) LEFT JOIN keys USING (firmware_id)),
 verdict AS (
   SELECT *, CASE
            WHEN NOT signature_valid THEN 'SIGNATURE_FAILED'
            WHEN NOT has_chunks OR total_chunks IS NULL THEN 'STRUCTURE_ERROR'
            WHEN delivered <> total_chunks THEN 'COUNT_MISMATCH'
            WHEN without_hash > 0 THEN 'MALFORMED_MANIFEST'
-           WHEN bad_chunks > 0 THEN 'CHUNK_ERROR'
+           WHEN NOT intact THEN 'CHUNK_ERROR'
            WHEN bad_key IS NOT NULL THEN 'MALFORMED_MANIFEST'
            WHEN in_sequence THEN 'OK'
            ELSE 'SEQUENCE_ERROR' END AS verdict
@@ -129,14 +128,46 @@ counted AS (
   SELECT *, CASE verdict WHEN 'OK' THEN 0 WHEN 'CHUNK_ERROR' THEN bad_chunks ELSE 1 END AS error_count
   FROM verdict)"""
 
+# What was delivered, with faults by firmware number modulo 20, or as it landed: in
+# order, without faults.
+_DELIVERED = """
+received AS (
+  SELECT firmware_id,
+         CASE WHEN firmware_id % 20 = 2 AND chunk_index = 1 THEN 0 WHEN firmware_id % 20 = 6 AND chunk_index = 0 THEN -1
+              WHEN firmware_id % 20 = 8 AND chunk_index = 0 THEN 2147483647 ELSE chunk_index END AS chunk_index,
+         CASE WHEN firmware_id % 20 = 4 AND chunk_index = 0 THEN NULL
+              WHEN firmware_id % 20 IN (5, 11) AND chunk_index % 2 = 0 THEN sha256(payload || '!')
+              ELSE sha256(payload) END AS actual_hash
+  FROM chunk WHERE NOT (chunk_index = 0 AND firmware_id % 20 = 7)),"""
+_LANDED = """
+received AS (SELECT firmware_id, chunk_index, hash AS actual_hash FROM hashed),"""
+
+# The state of each delivered number, however often it came.
+_CHECKED = """
+checked AS (
+  SELECT r.firmware_id, r.chunk_index, times, CASE WHEN times = 1 THEN r.actual_hash END AS actual_hash, e.expected_hash,
+         CASE WHEN e.chunk_key IS NULL THEN 'MISSING_IN_MANIFEST'
+              WHEN e.expected_hash IS NULL THEN 'ENTRY_WITHOUT_HASH'
+              WHEN times > 1 THEN 'REPEATED'
+              WHEN r.actual_hash IS NULL THEN 'NOT_HASHABLE'
+              WHEN e.expected_hash <> r.actual_hash THEN 'HASH_MISMATCH' ELSE 'OK' END AS result
+  FROM (SELECT firmware_id, chunk_index, count(*) AS times, min(actual_hash) AS actual_hash FROM received GROUP BY 1, 2) r
+  LEFT JOIN entry e ON e.firmware_id = r.firmware_id AND e.chunk_key = r.chunk_index::varchar),"""
+
+FAULTY = _VERIFICATION % (_DELIVERED + _CHECKED)
+LANDED = _VERIFICATION % (_LANDED + _CHECKED)
+
 ERRORS = FAULTY + """,
 chunk_error AS (
   SELECT firmware_id, chunk_index::bigint AS position,
          CASE result WHEN 'MISSING_IN_MANIFEST' THEN 'Chunk ' || chunk_index || ': Missing in manifest'
+              WHEN 'REPEATED' THEN 'Chunk ' || chunk_index || ': Delivered ' || times || ' times'
+              WHEN 'NOT_HASHABLE' THEN 'Chunk ' || chunk_index
+                   || ' verification error: object supporting the buffer API required'
               ELSE 'Chunk ' || chunk_index || ': Hash mismatch. Expected ' || left(expected_hash, 16)
                    || '..., got ' || left(actual_hash, 16) || '...' END AS message
   FROM checked
-  WHERE result IN ('MISSING_IN_MANIFEST', 'HASH_MISMATCH')
+  WHERE result NOT IN ('OK', 'ENTRY_WITHOUT_HASH')
     AND firmware_id IN (SELECT firmware_id FROM verdict WHERE verdict = 'CHUNK_ERROR')),
 firmware_error AS (
   SELECT firmware_id, 'CHUNK_ERROR' AS verdict, position, message FROM chunk_error
@@ -156,10 +187,16 @@ firmware_error AS (
 
 DETAIL = """
 detail AS (
-  SELECT firmware_id, position // 1000 AS part, string_agg(message, ' | ' ORDER BY position) AS details,
+  SELECT firmware_id, floor(position / 1000.0)::bigint AS part, string_agg(message, ' | ' ORDER BY position) AS details,
          count(*) AS error_count
   FROM firmware_error WHERE verdict <> 'MALFORMED_MANIFEST' GROUP BY 1, 2)"""
 
+_EVENT = """
+event AS (
+  SELECT device_id, 'FIRMWARE_TAMPER_DETECTED' AS event_type, target.firmware_id,
+         TIMESTAMP '2024-01-01 00:00:00' AS "timestamp"
+  FROM target JOIN verdict USING (firmware_id) WHERE verdict NOT IN ('OK', 'MALFORMED_MANIFEST'))"""
+
 TARGET = """
 target AS (SELECT device_id, home AS firmware_id FROM device)"""
 
@@ -186,21 +223,20 @@ report AS (
 ORACLE: dict[str, str] = {
     "fleet_projection": _sql(FLEET, f"SELECT {_FLEET_COLUMNS}, update_status FROM fleet"),
     "failure_rank": _sql(FLEET, """
-        status AS (
-          SELECT region, update_status, count(*) AS device_count,
-                 sum(count(*)) OVER (PARTITION BY region) AS total
-          FROM fleet GROUP BY 1, 2)""", """
-        SELECT region, update_status, device_count,
-               round((device_count::double / total::double) * 100, 2) AS failure_rate_percentage,
-               rank() OVER (PARTITION BY update_status ORDER BY device_count DESC) AS failure_rank
-        FROM status WHERE update_status = 'Partial'"""),
+        failing AS (
+          SELECT region, count(*) AS devices FROM fleet WHERE update_status = 'Partial' GROUP BY region)""", """
+        SELECT f.region, 'Partial' AS update_status, f.devices AS device_count,
+               round((f.devices::double / (SELECT count(*) FROM fleet a WHERE a.region IS NOT DISTINCT FROM f.region)) * 100, 2)
+                 AS failure_rate_percentage,
+               1 + (SELECT count(*) FROM failing worse WHERE worse.devices > f.devices) AS failure_rank
+        FROM failing f"""),
     "status_counts": _sql(FLEET, 'SELECT update_status, count(*) AS "count" FROM fleet GROUP BY 1'),
     "status_distribution": _sql(
         FLEET, 'SELECT update_status, count(*) AS "count" FROM fleet GROUP BY 1 ORDER BY 2 DESC, 1'),
     "status_summary": _sql(FLEET, """
-        SELECT update_status, count(*) AS device_count,
-               round(count(*)::double * 100 / (sum(count(*)) OVER ())::double, 2) AS percentage
-        FROM fleet GROUP BY 1 ORDER BY 2 DESC, 1"""),
+        everyone AS (SELECT count(*) AS devices FROM fleet)""", """
+        SELECT s.update_status, s.n AS device_count, round(s.n * 100.0::double / e.devices, 2) AS percentage
+        FROM (SELECT update_status, count(*) AS n FROM fleet GROUP BY update_status) s, everyone e"""),
     "region_status_counts": _sql(
         FLEET, "SELECT region, update_status, count(*) AS device_count FROM fleet GROUP BY 1, 2"),
     "regional_status_pct": _sql(FLEET, """
@@ -256,6 +292,8 @@ ORACLE: dict[str, str] = {
                CASE WHEN device_id IN (SELECT device_id FROM feed WHERE status = 'Partial')
                     THEN 'SECURITY_HOLD' ELSE update_status END AS update_status
         FROM fleet"""),
+    "fleet_replaced": _sql(FLEET, f"""
+        SELECT {_FLEET_COLUMNS}, replace(update_status, 'Partial', 'Recovered') AS update_status FROM fleet"""),
     "batch_ledger": _sql(DEVICE, """
         numbered AS (SELECT (row_number() OVER (ORDER BY device_id) - 1) // 500 AS batch_id FROM device)""", """
         SELECT batch_id, count(*) AS rows_in_batch,
@@ -297,7 +335,7 @@ ORACLE: dict[str, str] = {
         SELECT recovery_action, count(*) AS "count" FROM actions GROUP BY 1"""),
     "integrity_check": _sql(DEVICE, """
         SELECT count(*) AS row_count, count(*) > 0 AS not_empty, count(*) >= 10000 AS meets_minimum,
-               count(*) = 15000 AS matches_expected
+               count(*) = (SELECT sum(n) FROM (SELECT count(*) AS n FROM device GROUP BY number % 97)) AS matches_expected
         FROM device"""),
     "firmware_chunks": _sql(CHUNK, "SELECT * FROM hashed"),
     "firmware_manifest": _sql(CHUNK, "SELECT * FROM manifest"),
@@ -332,7 +370,8 @@ ORACLE: dict[str, str] = {
                     THEN 'Chunk count mismatch: expected ' || total_chunks || ', got ' || delivered END AS count_error
         FROM stage WHERE total_chunks IS NOT NULL"""),
     "chunk_hash_check": _sql(FAULTY, """
-        SELECT firmware_id, chunk_index::varchar AS chunk_key, actual_hash, expected_hash, result FROM checked
+        SELECT firmware_id, chunk_index::varchar AS chunk_key, actual_hash, expected_hash, result
+        FROM checked
         UNION ALL
         SELECT firmware_id, chunk_key, NULL, expected_hash, 'NOT_DELIVERED' FROM entry
         WHERE (firmware_id, chunk_key) NOT IN (SELECT (firmware_id, chunk_index::varchar) FROM received)"""),
@@ -347,6 +386,7 @@ ORACLE: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY firmware_id ORDER BY position) AS n FROM firmware_error)""", """
         SELECT firmware_id, string_agg(message, ' | ' ORDER BY n) AS errors FROM ranked WHERE n <= 3 GROUP BY 1"""),
     "firmware_verdict": _sql(FAULTY, "SELECT firmware_id, verdict, error_count FROM counted"),
+    "firmware_verdict_landed": _sql(LANDED, "SELECT firmware_id, verdict, error_count FROM counted"),
     "firmware_verdict_signed": _sql(FAULTY, "SELECT firmware_id, verdict, error_count FROM counted"),
     "verdict_counts": _sql(FAULTY, "SELECT verdict, count(*) AS firmware_count FROM verdict GROUP BY 1"),
     "signature_audit": """
@@ -367,17 +407,10 @@ ORACLE: dict[str, str] = {
         SELECT firmware_id, 0, 'Firmware image not found', device_count FROM hit
         WHERE firmware_id NOT IN (SELECT firmware_id FROM manifest)"""),
     "event_details": _sql(ERRORS, DETAIL, "SELECT * FROM detail"),
-    "security_events": _sql(ERRORS, DEVICE, TARGET, DETAIL, """
-        image_detail AS (
-          SELECT firmware_id, arg_min(details, part) AS first, max(part) AS last_part,
-                 sum(error_count)::bigint AS total
-          FROM detail GROUP BY 1)""", """
-        SELECT device_id, 'FIRMWARE_TAMPER_DETECTED' AS event_type, firmware_id,
-               CASE WHEN last_part = 0 AND length(first) <= 1000 THEN first
-                    ELSE left(first, 1000) || '... ' || total || ' errors, see the event details of the image'
-               END AS details,
-               TIMESTAMP '2024-01-01 00:00:00' AS "timestamp"
-        FROM target JOIN image_detail USING (firmware_id)"""),
+    "security_events": _sql(FAULTY, DEVICE, TARGET, _EVENT, "SELECT * FROM event"),
+    "security_events_stored": _sql(FAULTY, DEVICE, TARGET, _EVENT, "SELECT * FROM event"),
+    "security_event_texts": _sql(ERRORS, DEVICE, TARGET, _EVENT, DETAIL, """
+        SELECT event.*, part, details FROM event LEFT JOIN detail USING (firmware_id)"""),
     "fleet_after_update": _sql(FAULTY, FLEET, f"""
         SELECT {_FLEET_COLUMNS},
                CASE WHEN verdict = 'OK' THEN 'Success'
@@ -385,5 +418,10 @@ ORACLE: dict[str, str] = {
                     ELSE 'SECURITY_HOLD' END AS update_status
         FROM fleet LEFT JOIN verdict ON firmware_id = home"""),
     "chunk_stream_verify": _sql(FAULTY, """
-        SELECT firmware_id, chunk_index, actual_hash, expected_hash, result FROM checked"""),
+        SELECT DISTINCT r.firmware_id, r.chunk_index, r.actual_hash, e.expected_hash,
+               CASE WHEN e.chunk_key IS NULL THEN 'MISSING_IN_MANIFEST'
+                    WHEN e.expected_hash IS NULL THEN 'ENTRY_WITHOUT_HASH'
+                    WHEN r.actual_hash IS NULL THEN 'NOT_HASHABLE'
+                    WHEN e.expected_hash <> r.actual_hash THEN 'HASH_MISMATCH' ELSE 'OK' END AS result
+        FROM received r LEFT JOIN entry e ON e.firmware_id = r.firmware_id AND e.chunk_key = r.chunk_index::varchar"""),
 }

@@ -11,7 +11,6 @@ share of all orders is split by the adaptive skew join.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetwright.functions.columns import device_id
-from fleetwright.functions.sizing import fits_broadcast
 from fleetwright.operators import firmware
 from fleetwright.schemas import CHUNK_SIZE, FLEET, MANIFEST_ENTRY, PARTIAL, RAW_FLEET, SUCCESS
 from fleetwright.sources.tables import parquet_table
@@ -22,6 +21,7 @@ ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
 CUSTOMER = "c_custkey bigint, c_nationkey bigint"
 NATION = "n_nationkey bigint, n_regionkey bigint"
 REGION = "r_regionkey bigint, r_name string"
+LINEITEM = "l_orderkey bigint, l_linenumber int, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 # ---- fixed values -----------------------------------------------------------
@@ -55,23 +55,20 @@ def as_devices(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_region(
-    spark: SparkSession, folder: str, rows: DataFrame, customer: DataFrame | None = None,
-) -> DataFrame:
-    """Add `region` to rows that carry `o_custkey`."""
-    if customer is None:
-        customer = parquet_table(spark, folder, "customer", CUSTOMER)
-    customer = customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+def with_region(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
+    """Add `region` to rows that carry `o_custkey`.
+
+    The lookups meet first, one row per customer, so the rows are joined and
+    shuffled once, on the customer.
+    """
+    customer = parquet_table(spark, folder, "customer", CUSTOMER).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     nation = parquet_table(spark, folder, "nation", NATION).select(
         "n_nationkey", F.col("n_regionkey").alias("r_regionkey"))
     region = parquet_table(spark, folder, "region", REGION).select(
         "r_regionkey", F.col("r_name").alias("region"))
-    return (
-        rows.join(customer, "o_custkey", "left")
-        .join(nation, "n_nationkey", "left")
-        .join(region, "r_regionkey", "left")
-        .drop("n_nationkey", "r_regionkey")
-    )
+    homes = customer.join(nation, "n_nationkey", "left").join(region, "r_regionkey", "left")
+    return rows.join(homes.select("o_custkey", "region"), "o_custkey", "left")
 
 
 def devices(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,19 +90,13 @@ def fleet(spark: SparkSession, folder: str) -> DataFrame:
 def regional_status(spark: SparkSession, folder: str) -> DataFrame:
     """(region, update_status, devices): the fleet as weighted rows for counting.
 
-    While `customer` can be broadcast the orders are joined where they are
-    read, one row and weight 1 per device. Beyond that they are first counted
-    per customer: the count combines on the map side, so a customer holding
-    much of the fleet becomes one row per task, and its hash partitioning
-    serves the join as well.
+    Orders are first counted per customer: the count combines on the map side, so
+    a customer holding much of the fleet becomes one row per task, and its hash
+    partitioning serves the join as well.
     """
-    customer = parquet_table(spark, folder, "customer", CUSTOMER)
-    if fits_broadcast(customer):
-        located = as_devices(with_region(spark, folder, orders(spark, folder), customer))
-        return located.select("region", "update_status", F.lit(1).cast("bigint").alias("devices"))
     per_customer = devices(spark, folder).groupBy(F.col("home").alias("o_custkey")).agg(
         *[F.count_if(F.col("update_status") == s).alias(s) for s in (PARTIAL, SUCCESS)])
-    counted = with_region(spark, folder, per_customer, customer)
+    counted = with_region(spark, folder, per_customer)
     status_rows = F.array(*[
         F.struct(F.lit(s).alias("update_status"), F.col(s).alias("devices")) for s in (PARTIAL, SUCCESS)])
     return (
@@ -138,15 +129,20 @@ def status_feed(spark: SparkSession, folder: str) -> DataFrame:
     """(device_id, status, reported_at): one report per line item of an order.
 
     Several reports per device, and devices unknown to the fleet: line items
-    of returned goods report under a number no order has.
+    of returned goods report under a number no order has. `reported_at` orders the
+    reports by time, line number and line status, as one number.
     """
-    line = parquet_table(spark, folder, "lineitem")
+    line = parquet_table(spark, folder, "lineitem", LINEITEM)
     known = device_id(F.col("l_orderkey"))
     unknown = F.concat(known, F.lit("-X"))
+    shipped = F.col("l_shipdate")
+    day = F.unix_date(shipped.cast("date")).cast("bigint")
+    second = day * 86_400 + F.hour(shipped) * 3_600 + F.minute(shipped) * 60 + F.second(shipped)
+    line_order = F.col("l_linenumber") * 2 + F.when(F.col("l_linestatus") == "O", 1).otherwise(0)
     return line.select(
         F.when(F.col("l_returnflag") == "R", unknown).otherwise(known).alias("device_id"),
         F.when(F.col("l_linestatus") == "F", SUCCESS).otherwise(PARTIAL).alias("status"),
-        F.struct("l_shipdate", "l_linenumber", "l_linestatus").alias("reported_at"),
+        (second * (1 << 20) + line_order).alias("reported_at"),
     )
 
 
@@ -181,8 +177,8 @@ def _first_entry(change) -> Column:
 def faulty_manifests(spark: SparkSession, folder: str) -> DataFrame:
     """Manifests plus `signature_valid`, with one image in twenty per fault.
 
-    Faults of the manifest by firmware number modulo 20; 5 and 7 are faults of
-    the delivery, see `faulty_chunks`.
+    Faults of the manifest by firmware number modulo 20; 2 and 4 to 8 are faults
+    of the delivery, see `faulty_chunks`.
     """
     fault = F.col("firmware_id") % 20
     chunks = (
@@ -210,12 +206,18 @@ def received_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 def faulty_chunks(chunks: DataFrame) -> DataFrame:
     """Delivery faults by firmware number modulo 20: 5 and 11 alter every second
-    chunk, 7 loses chunk 0."""
+    chunk, 7 loses chunk 0, 2 sends chunk 1 under number 0 as well, 4 sends chunk 0
+    without content, 6 and 8 number it -1 and 2147483647."""
     fault, index = F.col("firmware_id") % 20, F.col("chunk_index")
     altered = F.concat(F.col("payload"), F.lit("!").cast("binary"))
     return (
         chunks.filter(~((fault == 7) & (index == 0)))
-        .withColumn("payload", F.when(fault.isin(5, 11) & (index % 2 == 0), altered).otherwise(F.col("payload")))
+        .withColumns({
+            "payload": F.when(fault.isin(5, 11) & (index % 2 == 0), altered)
+            .when((fault == 4) & (index == 0), F.lit(None)).otherwise(F.col("payload")),
+            "chunk_index": F.when((fault == 2) & (index == 1), 0).when((fault == 6) & (index == 0), -1)
+            .when((fault == 8) & (index == 0), 2147483647).otherwise(index),
+        })
     )
 
 

@@ -68,7 +68,6 @@ SECURITY_EVENTS = T.StructType([
     T.StructField("device_id", T.StringType()),
     T.StructField("event_type", T.StringType()),
     T.StructField("firmware_id", T.LongType()),
-    T.StructField("details", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
 ])
 

@@ -1,8 +1,8 @@
 """Verify firmware chunks as they arrive.
 
 A micro-batch is small beside the manifest entries of all images, so it must not
-read them all: entries are stored by bucket of their image, and a batch reads
-the buckets its chunks fall into.
+read them all: entries are stored in folders of consecutive images, sorted by image,
+and a batch reads the folders its chunks fall into, there only the range of its images.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,40 +10,63 @@ from pyspark.sql.types import StructType
 
 from fleetwright.operators.firmware import delivered_hashes, match_chunks
 
-BUCKETS = 64
+IMAGES_PER_FOLDER = 10_000
+# A landed file is read however much older than the newest one it is.
+OLDEST_FILE = "36500d"
 
 
-def image_bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("firmware_id"), F.lit(buckets)).cast("int")
+def image_folder(images: int) -> Column:
+    return F.floor(F.col("firmware_id") / images)
 
 
-def save_entries(entries: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Store manifest entries that name a chunk, in a folder per bucket.
+def save_entries(entries: DataFrame, path: str, images: int = IMAGES_PER_FOLDER) -> None:
+    """Store manifest entries that name a chunk, a folder for every `images` image numbers.
 
-    Rebalanced rather than repartitioned: a bucket with a huge image is written
-    by several tasks.
+    Dealt by ranges of image and chunk: a huge image is written by several tasks,
+    and every file holds a narrow range of images.
     """
     (
         entries.filter(F.col("chunk_index").isNotNull()).drop("chunk_key")
-        .withColumn("bucket", image_bucket(buckets)).hint("rebalance", "bucket")
-        .write.mode("errorifexists").partitionBy("bucket").parquet(path)
+        .withColumn("folder", image_folder(images))
+        .repartitionByRange("firmware_id", "chunk_index").sortWithinPartitions("folder", "firmware_id", "chunk_index")
+        .write.mode("errorifexists").partitionBy("folder").parquet(path)
     )
 
 
+def entries_of(batch: DataFrame, path: str, images: int = IMAGES_PER_FOLDER) -> DataFrame:
+    """The stored entries among which those of the batch's images are.
+
+    One row per folder the batch falls into comes to the driver.
+    """
+    hit = batch.groupBy(image_folder(images).alias("folder")).agg(
+        F.min("firmware_id").alias("low"), F.max("firmware_id").alias("high")).collect()
+    wanted = F.lit(False)
+    for folder, low, high in hit:
+        wanted = wanted | ((F.col("folder") == folder) & F.col("firmware_id").between(low, high))
+    stored = batch.sparkSession.read.schema(
+        "firmware_id bigint, chunk_index int, expected_hash string, folder bigint").parquet(path)
+    return stored.filter(wanted).drop("folder")
+
+
 def chunk_stream(
     spark: SparkSession, path: str, schema: StructType | str, files_per_trigger: int = 1_000,
 ) -> DataFrame:
-    """A file stream of a landing folder (or path pattern), with `arrived_at`: when the file was written."""
+    """A file stream of a landing folder (or path pattern), with `arrived_at`: when its batch began.
+
+    Not the files' own time, which may lie far back for a copied file: no chunk can
+    then be late, and none is left out unverified.
+    """
     return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxFileAge", OLDEST_FILE)
         .parquet(path)
-        .select("*", F.col("_metadata.file_modification_time").alias("arrived_at"))
+        .select("*", F.current_timestamp().alias("arrived_at"))
     )
 
 
 def new_hashes(chunks: DataFrame, late: str = "1 hour") -> DataFrame:
-    """Hashes of streamed chunks (with `arrived_at`), repeats within `late` left out.
+    """Hashes of streamed chunks (with `arrived_at`), repeats that arrive within `late` left out.
 
     The hash is part of what makes a repeat, so a second delivery with other
     content is not hidden. The payload is hashed before the shuffle; the state
@@ -57,7 +80,7 @@ def new_hashes(chunks: DataFrame, late: str = "1 hour") -> DataFrame:
 
 
 def verify_available(
-    hashes: DataFrame, entries_path: str, results_path: str, checkpoint: str, buckets: int = BUCKETS,
+    hashes: DataFrame, entries_path: str, results_path: str, checkpoint: str, images: int = IMAGES_PER_FOLDER,
 ) -> None:
     """Check what has arrived since the last call, store the results, and return.
 
@@ -66,12 +89,11 @@ def verify_available(
     """
     def check(batch: DataFrame, batch_id: int) -> None:
         batch = batch.drop("arrived_at").persist()
-        # At most `buckets` numbers come to the driver.
-        hit = [row[0] for row in batch.select(image_bucket(buckets)).distinct().collect()]
-        entries = batch.sparkSession.read.parquet(entries_path).filter(F.col("bucket").isin(hit)).drop("bucket")
-        results = match_chunks(batch, entries, "left")
-        results.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            results = match_chunks(batch, entries_of(batch, entries_path, images))
+            results.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     query = (
         hashes.writeStream.foreachBatch(check)

@@ -94,6 +94,20 @@ CASES = {
     "upper case hash": (
         _case(change=_hash("0", sha(b"one").upper())), "CHUNK_ERROR",
         [f"Chunk 0: Hash mismatch. Expected {sha(b'one').upper()[:16]}..., got {sha(b'one')[:16]}..."]),
+    "index twice in place of the last": (
+        _case([(0, b"one"), (0, b"two"), (2, b"three")]), "CHUNK_ERROR", ["Chunk 0: Delivered 2 times"]),
+    "one chunk three times": (
+        _case([(0, b"one"), (0, b"one"), (0, b"one")]), "CHUNK_ERROR", ["Chunk 0: Delivered 3 times"]),
+    "no content": (
+        _case([b"one", None, b"three"]), "CHUNK_ERROR",
+        ["Chunk 1 verification error: object supporting the buffer API required"]),
+    "negative index": (
+        _case([(-1, b"one"), (1, b"two"), (2, b"three")]), "CHUNK_ERROR", ["Chunk -1: Missing in manifest"]),
+    "wild index": (
+        _case([(0, b"one"), (1, b"two"), (2147483647, b"three")]), "CHUNK_ERROR",
+        ["Chunk 2147483647: Missing in manifest"]),
+    "unlisted index twice": (
+        _case([(0, b"one"), (7, b"two"), (7, b"three")]), "CHUNK_ERROR", ["Chunk 7: Missing in manifest"]),
     "wrong size only": (_case(change=lambda m: m["chunks"]["0"].update(size=99)), "OK", []),
 }
 
@@ -103,5 +117,7 @@ def tables(spark):
     records, received = [], []
     for number, ((record, delivered, signed), _, _) in enumerate(CASES.values()):
         records.append({"firmware_id": number, "signature_valid": signed, **record})
-        received += [(number, i, bytearray(c)) for i, c in enumerate(delivered)]
+        for place, chunk in enumerate(delivered):
+            index, payload = chunk if isinstance(chunk, tuple) else (place, chunk)
+            received.append((number, index, payload and bytearray(payload)))
     return spark.createDataFrame(records, SIGNED_MANIFEST), spark.createDataFrame(received, RECEIVED_CHUNKS)

@@ -95,19 +95,14 @@ def test_percentages_add_up(spark, testdata):
 
 
 def test_sql_over_a_registered_fleet(spark, fleet):
-    """Aggregates inside windows, ordinals and CTEs, as an SQL user writes them."""
+    """CTEs, ordinals, and windows over aggregates run as an SQL user writes them."""
     fleet.createOrReplaceTempView("fleet_rows")
-    shares = spark.sql("""
-        WITH counted AS (
-          SELECT region, update_status, count(*) AS n, sum(count(*)) OVER (PARTITION BY region) AS total
-          FROM fleet_rows GROUP BY 1, 2)
-        SELECT region, update_status, round(n * 100D / total, 2) AS percentage FROM counted""")
-    assert sorted(rows(shares)) == sorted(rows(analytics.regional_status_pct(fleet)))
-    ranked = spark.sql("""
-        WITH counted AS (
-          SELECT region, update_status, count(*) AS device_count, sum(count(*)) OVER (PARTITION BY region) AS total
-          FROM fleet_rows GROUP BY 1, 2)
-        SELECT region, update_status, device_count, round(device_count / total * 100, 2) AS failure_rate_percentage,
-               rank() OVER (PARTITION BY update_status ORDER BY device_count DESC) AS failure_rank
-        FROM counted WHERE update_status = 'Partial'""")
-    assert sorted(rows(ranked)) == sorted(rows(analytics.failure_rank(fleet)))
+    largest = spark.sql("""
+        WITH by_region AS (SELECT region, count(*) AS devices FROM fleet_rows GROUP BY 1)
+        SELECT region, devices - lag(devices) OVER (ORDER BY devices, region) AS ahead_of_next
+        FROM by_region ORDER BY 2 DESC NULLS LAST, 1""")
+    assert rows(largest) == [("B", 2), ("A", 1), ("C", None)]
+    running = spark.sql("""
+        SELECT update_status, max(battery_voltage) AS highest, sum(max(signal_strength)) OVER (ORDER BY update_status) AS upto
+        FROM fleet_rows GROUP BY 1 ORDER BY 1""")
+    assert rows(running) == [("Partial", 12.5, 50), ("Success", 12.5, 100)]

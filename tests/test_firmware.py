@@ -54,6 +54,10 @@ def test_hash_check_reports_both_sides(delivery):
     assert states[name.index("entry without hash"), "1"] == "ENTRY_WITHOUT_HASH"
     assert states[name.index("two altered"), "2"] == "HASH_MISMATCH"
     assert states[name.index("intact"), "0"] == "OK"
+    assert states[name.index("one chunk three times"), "0"] == "REPEATED"
+    assert states[name.index("one chunk three times"), "1"] == "NOT_DELIVERED"
+    assert states[name.index("no content"), "1"] == "NOT_HASHABLE"
+    assert states[name.index("negative index"), "-1"] == "MISSING_IN_MANIFEST"
 
 
 def test_only_plain_keys_name_a_chunk(delivery):
@@ -80,6 +84,47 @@ def test_one_flipped_byte_is_never_ok(spark):
         ("CHUNK_ERROR", 8 * 40)]
 
 
+DELIVERY = st.lists(
+    st.tuples(st.sampled_from([-1, 0, 0, 1, 1, 2, 2, 3, 2147483647]), st.sampled_from([b"one", b"two", b"three", b"x", None])),
+    max_size=5)
+
+
+@hypothesis_settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(DELIVERY, min_size=60, max_size=60))
+def test_only_the_true_delivery_is_ok(spark, deliveries):
+    """Whatever rows arrive: OK for exactly the listed chunks, and as many messages as errors."""
+    true = [(0, b"one"), (1, b"two"), (2, b"three")]
+    deliveries = [*deliveries, true, true[::-1]]
+    record = manifest([c for _, c in true])
+    records = spark.createDataFrame(
+        [{"firmware_id": n, **record} for n in range(len(deliveries))], MANIFEST).withColumn("signature_valid", F.lit(True))
+    rows = [(n, i, c and bytearray(c)) for n, chunks in enumerate(deliveries) for i, c in chunks]
+    received = spark.createDataFrame(rows, "firmware_id long, chunk_index int, payload binary")
+    verdicts = {r["firmware_id"]: r for r in firmware.firmware_verdicts(records, received).collect()}
+    messages = {r[0]: r[1] for r in firmware.firmware_errors(records, received).groupBy("firmware_id").count().collect()}
+    for n, chunks in enumerate(deliveries):
+        assert (verdicts[n]["verdict"] == "OK") == (sorted(chunks, key=str) == sorted(true, key=str))
+        assert verdicts[n]["error_count"] == messages.get(n, 0)
+
+
+def test_a_chunk_without_index_fails(spark):
+    records = spark.createDataFrame([{"firmware_id": 1, **manifest([b"a"])}], MANIFEST).withColumn("signature_valid", F.lit(True))
+    received = spark.createDataFrame([(1, None, bytearray(b"a"))], "firmware_id long, chunk_index int, payload binary")
+    assert firmware.firmware_verdicts(records, received).first()["verdict"] == "CHUNK_ERROR"
+    assert firmware.firmware_errors(records, received).count() == 1
+
+
+def test_signature_answers_may_come_apart(delivery):
+    records, received = delivery
+    answers = records.select("firmware_id", "signature_valid")
+    apart = firmware.firmware_verdicts(records.drop("signature_valid"), received, answers)
+    together = firmware.firmware_verdicts(records, received)
+    key = ["firmware_id", "verdict", "error_count"]
+    assert sorted(map(tuple, apart.select(*key).collect())) == sorted(map(tuple, together.select(*key).collect()))
+    unanswered = firmware.firmware_verdicts(records.drop("signature_valid"), received)
+    assert {r["verdict"] for r in unanswered.collect()} == {"SIGNATURE_FAILED"}
+
+
 def test_first_errors(delivery):
     errors = firmware.first_errors(firmware.firmware_errors(*delivery), 1)
     first = {r["firmware_id"]: r["errors"] for r in errors.collect()}
@@ -170,8 +215,9 @@ def test_renumbering_with_a_third_of_the_rows_copies_of_one(spark):
     received = firmware.renumber_chunks(landed)
     images = rows.distinct().groupBy("firmware_id").count()
     found = firmware.delivered_counts(received).collect()
-    assert {(r["firmware_id"], r["delivered"], r["last_position"] + 1) for r in found} == {
-        (r["firmware_id"], r["count"], r["count"]) for r in images.collect()}
+    assert {(r["firmware_id"], r["delivered"]) for r in found} == {
+        (r["firmware_id"], r["count"]) for r in images.collect()}
+    assert received.agg(F.min("chunk_index")).first()[0] == 0
     assert received.select("firmware_id", "chunk_index").distinct().count() == received.count()
 
 

@@ -5,20 +5,19 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from fleetwright.operators import analytics, firmware, state, updates
 from fleetwright.plans import views
+from fleetwright.plans.catalog import QUERIES
+from fleetwright.plans.oracle import ORACLE as SQL
 from tests.oracle import assert_same, connect
 from tests.plan import plan_of, run_plan
 from tests.test_firmware import huge_image
 
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
-
 # Verifying signatures is the only Python in a plan; signing, and verifying for
 # verdicts, run before and are checkpointed.
 WITH_PYTHON = {"signature_audit"}
 # Built on a written result, so the plan read back is a bare scan.
-WRITTEN = {"recovery_actions_csv", "chunk_stream_verify"}
+WRITTEN = {"recovery_actions_csv", "chunk_stream_verify", "fleet_replaced", "security_events_stored"}
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +35,7 @@ def test_no_cross_join_and_python_only_for_signatures(spark, folder, settings, n
 
 
 @pytest.mark.parametrize("name", sorted(
-    set(QUERIES) - {"batch_ledger", "batch_assignment", "chunk_renumber", "recovery_page"}))
+    set(QUERIES) - {"batch_ledger", "batch_assignment", "chunk_renumber", "firmware_verdict_landed"}))
 def test_only_size_checked_broadcasts(spark, folder, settings, name):
     """With automatic broadcasts off nothing is broadcast; those left out
     broadcast one row per partition, see `with_row_index`."""
@@ -72,12 +71,50 @@ def test_filter_on_status_reaches_the_scan(spark, folder, tmp_path):
 
 
 def test_counting_shuffles_aggregates_only(spark, folder, settings):
-    """Beyond the broadcast limit, orders are counted before their first shuffle."""
+    """Orders are counted before their first shuffle, whether or not the lookup is broadcast."""
+    for limit in (-1, 10 << 20):
+        with settings(spark__sql__autoBroadcastJoinThreshold=limit):
+            plan = plan_of(analytics.region_status_counts(views.regional_status(spark, folder), weight="devices"))
+        lines = [line for line in plan.splitlines() if "o_custkey" in line or "partial_count" in line or "Exchange" in line]
+        scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "o_custkey" in line)
+        assert "partial_count" in "".join(lines[:scan]).rsplit("Exchange", 1)[1]
+
+
+def shuffles_of(plan, column):
+    return len(re.findall(rf"Exchange \w*partitioning\([^\n]*{column}", plan))
+
+
+def test_orders_are_shuffled_once_for_their_region(spark, folder, settings):
+    """The lookups meet first, so the fleet is dealt by customer and by nothing else."""
     with settings(spark__sql__autoBroadcastJoinThreshold=-1):
-        plan = plan_of(analytics.region_status_counts(views.regional_status(spark, folder), weight="devices"))
-    below = [line for line in plan.splitlines() if "o_custkey" in line or "partial_count" in line or "Exchange" in line]
-    scan = next(i for i, line in enumerate(below) if "FileScan" in line and "o_custkey" in line)
-    assert "partial_count" in "".join(below[:scan]).rsplit("Exchange", 1)[1]
+        plan = plan_of(views.fleet(spark, folder))
+    join = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
+    assert "o_custkey" in join and shuffles_of(plan, "o_custkey") == 2
+
+
+def test_samples_draw_keys_without_the_lookups(spark, folder, settings):
+    with settings(spark__sql__autoBroadcastJoinThreshold=-1):
+        df = QUERIES["sample_exact_n"](spark, folder)
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+    drawn = text.split("InMemoryRelation")[1]
+    assert "c_custkey" not in drawn and "o_orderkey" in drawn
+
+
+def test_a_page_sorts_only_the_ranges_it_lies_in(spark, settings):
+    ids = spark.range(40_000).select(
+        F.format_string("DEV-%08x", "id").alias("device_id"), F.lit("Partial").alias("update_status"))
+    with settings(spark__sql__adaptive__coalescePartitions__enabled=False):
+        page = state.recovery_page(ids, 100, 20_000)
+        plan = page._jdf.queryExecution().executedPlan().toString()
+        assert [r[0] for r in page.collect()] == [f"DEV-{i:08x}" for i in range(20_000, 20_100)]
+    wanted = re.search(r"SPARK_PARTITION_ID\(\) (=|IN) ([^\n]*)", plan)
+    assert wanted and len(re.findall(r"\d+", wanted[2])) <= 2
+
+
+def test_latest_status_combines_without_a_sort(spark, folder):
+    plan = plan_of(QUERIES["status_update_by_key"](spark, folder))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert "partial_max_by" in plan and "HashAggregate" in plan
 
 
 SKEW = dict(
@@ -132,17 +169,37 @@ def test_hot_image_is_split_on_the_device_side(spark, settings):
 
 def test_errors_are_limited_before_they_meet(spark, settings):
     with settings(spark__sql__autoBroadcastJoinThreshold=-1):
-        plan = plan_of(firmware.first_errors(firmware.firmware_errors(*huge_image(spark, 100))))
+        plan = plan_of(firmware.first_errors(firmware.firmware_errors(*huge_image(spark, 100), first=3)))
     assert re.search(r"row_number\(\), 3, Final.*Exchange.*row_number\(\), 3, Partial", plan, re.S)
-    assert "[firmware_id#" in plan and "_in_block#" in plan
 
 
-def test_hashes_are_shuffled_once_for_verdicts_and_errors(spark, folder, settings):
+@pytest.mark.parametrize("name", ["firmware_verdict", "verdict_counts", "firmware_errors", "chunk_errors", "event_details"])
+def test_manifests_and_deliveries_are_read_once(spark, folder, settings, name):
     with settings(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__autoBroadcastJoinThreshold=-1):
-        plan = run_plan(QUERIES["firmware_errors"](spark, folder))
-    assert len(re.findall(r"ReusedExchange \[firmware_id#\d+L?, chunk_index", plan)) == 2
-    hashed = [line for line in plan.splitlines() if "Project" in line and "AS actual_hash" in line]
-    assert len(hashed) == 1
+        plan = run_plan(QUERIES[name](spark, folder))
+    assert len(re.findall(r"FileScan parquet", plan)) <= 2
+    assert "Generate explode(sequence" not in plan
+
+
+def test_errors_of_a_hot_image_are_split(spark, settings):
+    """200,000 bad chunks of one image find its verdict by an adaptive skew join."""
+    records, received = huge_image(spark, 200_000)
+    verdicts = spark.createDataFrame(
+        [(n, "CHUNK_ERROR" if n == 1000 else "OK", 0, 0, 0, None, None, None) for n in [*range(100), 1000]],
+        "firmware_id long, verdict string, total_chunks int, delivered long, without_hash long, structure_error string, "
+        "bad_key string, found_keys array<bigint>").repartition(8)
+    with settings(**SKEW):
+        errors = firmware.chunk_errors(records, received, verdicts)
+        plan = run_plan(errors)
+    assert re.search(r"SortMergeJoin\(skew=true\) \[firmware_id#", plan)
+    assert errors.count() == 200_000
+
+
+def test_no_manifest_is_shuffled_for_its_signature(spark, folder, settings):
+    with settings(spark__sql__autoBroadcastJoinThreshold=-1):
+        text = QUERIES["firmware_verdict_signed"](spark, folder)._jdf.queryExecution().executedPlan().treeString()
+    dealt = [line for line in text.splitlines() if "Exchange" in line]
+    assert dealt and not any("chunks" in line for line in dealt)
 
 
 def test_payload_does_not_leave_its_task(spark, folder, settings):
@@ -152,11 +209,6 @@ def test_payload_does_not_leave_its_task(spark, folder, settings):
         assert not ("Exchange" in line and "payload" in line)
 
 
-def test_samples_keep_only_n_rows_per_task(spark, folder):
-    plan = plan_of(state.sample_exact_n(views.fleet(spark, folder), 50))
-    assert "TakeOrderedAndProject(limit=50" in plan
-
-
 def test_reports_of_a_hot_device_combine_before_the_shuffle(spark, settings):
     """A third of 200,000 reports come from one device."""
     feed = spark.range(0, 200_000, 1, 8).select(

@@ -29,8 +29,17 @@ def test_bounds_are_inclusive(spark):
     rows = spark.createDataFrame(
         [(str(s), "A", "12.5", s, "Success") for s in (9, 10, 100, 101)] + [("none", "A", "12.5", None, "x")],
         RAW_FLEET)
-    bad = {r["device_id"] for r in quality.quarantine(rows)[1].collect()}
-    assert bad == {"9", "101"}
+    bad = {r["device_id"]: r["defects"] for r in quality.quarantine(rows)[1].collect()}
+    assert bad == {"9": ["OUT_OF_RANGE"], "101": ["OUT_OF_RANGE"], "none": ["MISSING"]}
+
+
+def test_voltage_must_be_finite(spark):
+    texts = ["NaN", "Infinity", "-Infinity", "1e999", "12.5", " 12 ", ""]
+    rows = spark.createDataFrame([(t, "A", t, 50, "Success") for t in texts], RAW_FLEET)
+    clean, bad = quality.quarantine(rows)
+    assert sorted(r["battery_voltage"] for r in clean.collect()) == [12.0, 12.5]
+    assert {r["device_id"]: r["defects"] for r in bad.collect()} == {
+        t: ["CORRUPT_TYPE"] for t in ("NaN", "Infinity", "-Infinity", "1e999", "")}
 
 
 def test_counts(raw):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetwright.functions import pss
 from fleetwright.operators import firmware, signatures
-from fleetwright.plans import catalog
+from fleetwright.plans import catalog, signing
 from tests import vectors
 
 KEYS = Path(catalog.__file__).parent / "keys"
@@ -27,8 +27,8 @@ def record(spark):
 
 def audit(record, public, signature, **changes):
     value = F.lit(None).cast("binary") if signature is None else F.lit(bytearray(signature))
-    return signatures.audit_signatures(
-        record.withColumns(changes).withColumn("signature", value), public).first()
+    signed = record.select("firmware_id", value.alias("signature"))
+    return signatures.audit_signatures(record.withColumns(changes), signed, public).first()
 
 
 def test_valid_signature(record, public):
@@ -62,23 +62,22 @@ def test_no_key(record, tmp_path):
 
 
 def test_signing_round_trip(spark, public):
-    key = signatures.load_private_key(KEYS / "sample_private_key.pem")
-    assert key.public == public
+    assert signing.sample_private_key().public == public
     images = spark.range(40).select(
         F.col("id").alias("firmware_id"), F.lit("v").alias("firmware_version"), F.lit("m").alias("device_model"),
         F.repeat(F.col("id").cast("string"), 600).alias("payload"))
     records = firmware.manifest_records(images)
-    signed = records.join(signatures.sign_manifests(records, key), "firmware_id")
-    assert signatures.audit_signatures(signed, public).filter("signature_valid").count() == 40
-    swapped = signed.withColumn("signature", F.when(F.col("firmware_id") != 7, F.col("signature")))
-    bad = signatures.with_signature_valid(swapped, public).filter("NOT signature_valid")
-    assert [r["firmware_id"] for r in bad.collect()] == [7]
+    signed = signing.signatures_of(records)
+    assert signatures.audit_signatures(records, signed, public).filter("signature_valid").count() == 40
+    without = signed.withColumn("signature", F.when(F.col("firmware_id") != 7, F.col("signature"))).filter("firmware_id <> 9")
+    bad = signatures.signature_verdicts(records, without, public).filter("NOT signature_valid")
+    assert sorted(r["firmware_id"] for r in bad.collect()) == [7, 9]
 
 
 def test_every_changed_byte_is_noticed(public):
-    key = signatures.load_private_key(KEYS / "sample_private_key.pem")
+    key = signing.sample_private_key()
     digest = hashlib.sha256(b"message").digest()
-    good = pss.sign(key, digest)
+    good = signing.sign(key, digest)
     assert pss.verify(public, digest, good)
     for i in range(256):
         changed = bytearray(good)

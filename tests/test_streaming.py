@@ -1,3 +1,8 @@
+import glob
+import os
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,16 +12,19 @@ from fleetwright.streaming import chunk_verify
 from tests.firmware_cases import CASES, tables
 
 
+IMAGES = 4
+
+
 @pytest.fixture()
 def landing(spark, tmp_path):
     records, received = tables(spark)
     paths = {name: str(tmp_path / name) for name in ("entries", "landing", "verified", "log")}
-    chunk_verify.save_entries(firmware.manifest_entries(records), paths["entries"], 4)
+    chunk_verify.save_entries(firmware.manifest_entries(records), paths["entries"], IMAGES)
 
     def run():
         chunks = chunk_verify.chunk_stream(spark, paths["landing"], RECEIVED_CHUNKS)
         chunk_verify.verify_available(
-            chunk_verify.new_hashes(chunks), paths["entries"], paths["verified"], paths["log"], 4)
+            chunk_verify.new_hashes(chunks), paths["entries"], paths["verified"], paths["log"], IMAGES)
         return sorted(map(str, spark.read.parquet(paths["verified"]).drop("batch").collect()))
 
     return records, received, paths["landing"], run
@@ -24,14 +32,18 @@ def landing(spark, tmp_path):
 
 def test_stream_equals_batch_over_two_arrivals(landing):
     records, received, path, run = landing
-    batch = firmware.chunk_hash_check(records, received).filter("result != 'NOT_DELIVERED'")
+    batch = firmware.match_chunks(
+        firmware.delivered_hashes(received), firmware.manifest_entries(records).drop("chunk_key")).distinct()
     expected = sorted(map(str, batch.select(
-        "firmware_id", F.col("chunk_key").cast("int").alias("chunk_index"), "actual_hash", "expected_hash",
-        "result").collect()))
+        "firmware_id", "chunk_index", "actual_hash", "expected_hash", "result").collect()))
+    checked = firmware.chunk_hash_check(records, received).filter("actual_hash IS NOT NULL OR result = 'NOT_HASHABLE'")
+    told = sorted(map(str, checked.select(
+        "firmware_id", F.col("chunk_key").cast("int").alias("chunk_index"), "actual_hash", "expected_hash", "result").collect()))
+    assert set(told) <= set(expected)
     received.filter("chunk_index = 0").write.parquet(path)
     first = run()
     assert 0 < len(first) < len(expected)
-    received.filter("chunk_index > 0").write.mode("append").parquet(path)
+    received.filter("chunk_index <> 0").write.mode("append").parquet(path)
     assert run() == expected
     assert run() == expected
 
@@ -47,3 +59,34 @@ def test_repeats_are_reported_once_but_other_content_is_not_hidden(spark, landin
     spark.createDataFrame([(intact, 0, bytearray(b"ONE"))], RECEIVED_CHUNKS).write.mode("append").parquet(path)
     rows = run()
     assert len(rows) == 2 and sum("HASH_MISMATCH" in r for r in rows) == 1
+
+
+def test_files_with_an_old_time_are_verified(spark, landing):
+    """A copied file keeps its old time; it is read and reported like any other."""
+    _, _, path, run = landing
+    intact = list(CASES).index("intact")
+    now, known = time.time(), set()
+    for age, index, content in ((0, 0, b"one"), (3 * 3_600, 1, b"TWO"), (400 * 86_400, 2, b"THREE")):
+        chunk = spark.createDataFrame([(intact, index, bytearray(content))], RECEIVED_CHUNKS)
+        chunk.coalesce(1).write.mode("append").parquet(path)
+        for file in set(glob.glob(f"{path}/part-*")) - known:
+            os.utime(file, (now - age, now - age))
+            known.add(file)
+        rows = run()
+    assert len(rows) == 3 and sum("HASH_MISMATCH" in r for r in rows) == 2
+
+
+def test_a_batch_reads_the_entries_of_its_images_only(spark, tmp_path):
+    entries = spark.range(4_000).select(
+        F.col("id").alias("firmware_id"), F.lit("0").alias("chunk_key"), F.lit(0).alias("chunk_index"),
+        F.sha2(F.col("id").cast("string"), 256).alias("expected_hash"))
+    path = str(tmp_path / "stored")
+    chunk_verify.save_entries(entries, path, 100)
+    batch = spark.range(205, 215).select(F.col("id").alias("firmware_id"))
+    read = chunk_verify.entries_of(batch, path, 100)
+    assert sorted(r["firmware_id"] for r in read.collect()) == list(range(205, 215))
+    files = read.select(F.input_file_name()).distinct().count()
+    assert files <= 2 < len(glob.glob(f"{path}/folder=*/part-*"))
+    scan = read._jdf.queryExecution().executedPlan().toString()
+    assert "folder" in re.search(r"PartitionFilters: \[(.*?)\]", scan)[1]
+    assert "firmware_id" in re.search(r"PushedFilters: \[(.*?)\]", scan)[1]

@@ -48,17 +48,29 @@ def test_errors_are_whole_and_once_per_image(case):
     assert found == {n: m for n, m in enumerate(messages) if m}
 
 
+def test_every_failed_update_finds_its_errors(case):
+    targets, verdicts, errors = case
+    per_image = {}
+    for row in updates.update_errors(targets, verdicts, errors).collect():
+        per_image[row["firmware_id"]] = per_image.get(row["firmware_id"], 0) + 1
+    for row in updates.update_outcomes(targets, verdicts).collect():
+        assert per_image.get(row["firmware_id"], 0) == row["error_count"]
+
+
 def test_one_event_per_violating_device(case):
-    targets, _, errors = case
-    events = updates.security_events(targets, errors)
+    targets, verdicts, errors = case
+    events = updates.security_events(targets, verdicts)
     assert events.columns == SECURITY_EVENTS.names
     assert dict(events.dtypes)["timestamp"] == "timestamp"
     rows = {r["device_id"]: r for r in events.collect()}
     violating = {f"DEV-{n:08x}" for n in range(2 * (NO_IMAGE + 1)) if expected_status(n // 2) == "SECURITY_VIOLATION"}
     assert set(rows) == violating and events.count() == len(violating)
+    texts = {}
+    for row in updates.event_texts(events, updates.event_details(errors)).orderBy("device_id", "part").collect():
+        texts.setdefault(row["device_id"], []).append(row["details"])
     for device, row in rows.items():
         messages = list(CASES.values())[int(device[4:], 16) // 2][2]
-        assert row["details"] == " | ".join(messages)
+        assert sorted(" | ".join(texts[device]).split(" | ")) == sorted(messages)
         assert row["event_type"] == "FIRMWARE_TAMPER_DETECTED"
 
 
@@ -81,6 +93,7 @@ def test_long_error_lists_go_on_in_the_details(spark):
         (1000, 0, 1_000), (1000, 1, 1_000), (1000, 2, 500)]
     messages = [m for p in parts for m in p["details"].split(" | ")]
     assert [int(m.split()[1].rstrip(":")) for m in messages] == list(range(2_500))
-    event, = updates.security_events(targets, errors).collect()
-    assert event["device_id"] == "DEV-1"
-    assert event["details"] == parts[0]["details"][:1_000] + "... 2500 errors, see the event details of the image"
+    events = updates.security_events(targets, firmware.firmware_verdicts(records, received))
+    assert [e["device_id"] for e in events.collect()] == ["DEV-1"]
+    whole = updates.event_texts(events, updates.event_details(errors)).orderBy("part").collect()
+    assert [w["details"] for w in whole] == [p["details"] for p in parts]
