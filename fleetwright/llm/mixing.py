@@ -172,13 +172,19 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     return _mix(narrow, weights, cap, block_words, shard_blocks, seed)
 
 
-def _mix(narrow, weights, cap, block_words, shard_blocks, seed):
+def _mix(narrow, weights, cap, block_words, shard_blocks, seed, carried=None):
+    """`mix` of the written rows `narrow`. `carried`, the same rows with one more column
+    `row`, keeps that column; it meets the plan's tables at the very end only."""
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     sources = materialise(
         targets(sizes, weights, cap).withColumn(
             "blocks", F.greatest(F.ceil(F.col("source_size") / block_words), F.lit(1)).cast("long")), "sources")
-    draw = F.xxhash64("doc_id", F.lit(seed))
-    dealt = _same_source(narrow, sources).withColumn("draw", draw).withColumn("block", F.pmod("draw", "blocks"))
+
+    def in_blocks(rows):
+        draw = F.xxhash64("doc_id", F.lit(seed))
+        return _same_source(rows, sources).withColumn("draw", draw).withColumn("block", F.pmod("draw", "blocks"))
+
+    dealt = in_blocks(narrow)
 
     # Whole repeats first; then blocks in their order up to the one that holds the target.
     rest = F.col("target") - F.floor(F.col("target") / F.greatest("source_size", F.lit(1))) * F.col("source_size")
@@ -217,8 +223,11 @@ def _mix(narrow, weights, cap, block_words, shard_blocks, seed):
     homes = _in_run(numbered, runs).groupBy("rank", "block").agg(
         F.max("repeats").alias("repeats"), F.max("part").alias("part"),
         F.sort_array(F.collect_list(F.struct("copy", "shard"))).alias("homes"))
+    # A row per block, and per document at an edge: written, so that their size is known.
+    homes, fitting = materialise(homes, "homes"), materialise(fitting, "fitting")
 
-    placed = dealt.join(homes, ["rank", "block"], "left").join(fitting, "place", "left")
+    final = dealt if carried is None else in_blocks(carried)
+    placed = final.join(homes, ["rank", "block"], "left").join(fitting, "place", "left")
     # The last, partial repeat goes to documents of whole blocks, and to those chosen at the edge.
     last = (F.col("part") == 2) | F.coalesce("fits", F.lit(False))
     copies = F.when(F.col("size") > 0, F.filter("homes", lambda h: (h["copy"] < F.col("repeats")) | last))
@@ -227,7 +236,7 @@ def _mix(narrow, weights, cap, block_words, shard_blocks, seed):
         F.xxhash64("doc_id", h["copy"], F.lit(seed + 1)).alias("draw")))
     return placed.withColumn("copies", copies).select(
         "doc_id", "place", "size", "source_size", "target",
-        (F.col("size") * F.size("copies")).alias("taken"), "copies")
+        (F.col("size") * F.size("copies")).alias("taken"), "copies", *(["row"] if carried is not None else []))
 
 
 def _in_run(numbered: DataFrame, runs: DataFrame) -> DataFrame:
@@ -252,8 +261,8 @@ def mixed_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", so
                                    F.col(key).alias("doc_id"), F.col(source).alias("source"),
                                    word_count(F.col(text)).alias("size"),
                                    F.monotonically_increasing_id().alias("place")), "documents")
-    plan = _mix(rows.drop("row"), **{"weights": WEIGHTS, "cap": MAX_REPEATS, "block_words": BLOCK_WORDS,
-                                     "shard_blocks": SHARD_BLOCKS, "seed": SEED, **options})
-    taken = plan.filter(F.size("copies") > 0).select("place", F.explode("copies").alias("copy"))
-    joined = rows.select("place", "row").join(taken, "place")
-    return joined.repartition("copy.shard").sortWithinPartitions("copy.shard", "copy.draw").select("row.*")
+    plan = _mix(rows.drop("row"), carried=rows, **{
+        "weights": WEIGHTS, "cap": MAX_REPEATS, "block_words": BLOCK_WORDS, "shard_blocks": SHARD_BLOCKS,
+        "seed": SEED, **options})
+    taken = plan.filter(F.size("copies") > 0).select("row", F.explode("copies").alias("copy"))
+    return taken.repartition("copy.shard").sortWithinPartitions("copy.shard", "copy.draw").select("row.*")
