@@ -1,6 +1,11 @@
 """Session settings and the shared scratch folder."""
 
+import os
+import site
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +30,29 @@ def local_session(cores="*", shuffle_partitions: int = 8, **conf) -> SparkSessio
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that do not see its folder.
+
+    Spark hands an archive of it to every worker. Nothing is done where the package is
+    installed, on PYTHONPATH, or in the folder that local workers start in.
+    """
+    home, context = Path(__file__).resolve().parents[1], spark.sparkContext
+    seen = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), *site.getsitepackages()]
+    if context.master.startswith("local["):
+        seen.append(os.getcwd())
+    if home in [Path(p).resolve() for p in seen if p] or context.applicationId in _SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp()) / "fleetwright.zip"
+    with zipfile.ZipFile(archive, "w") as zipped:
+        for file in sorted((home / "fleetwright").rglob("*.py")):
+            zipped.write(file, file.relative_to(home))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names for checkpoints and scratch tables.
 
