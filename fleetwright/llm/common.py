@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fleetwright.session import scratch_path
+from fleetwright.session import scratch_path, ship_package
 from fleetwright.sources.tables import parquet_table
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -17,6 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
     return parquet_table(spark, folder, "documents", DOCUMENTS)
 
 

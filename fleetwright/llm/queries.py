@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleetwright.llm import ann, language, language_model, mixing, packing, pii, quality_rules, simhash, token_files, toxicity
 from fleetwright.llm.common import documents, held_out
 from fleetwright.llm.sql import ORACLE
+from fleetwright.session import ship_package
 from fleetwright.sources.tables import parquet_table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -43,6 +44,7 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_ann(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
     vectors = parquet_table(spark, folder, "embeddings", "vec_id bigint, embedding array<float>")
     return ann.search(vectors, F.col("vec_id") % 100 == 0, k=10)
 

@@ -14,7 +14,7 @@ arithmetic is in integers throughout, so every machine reads what another wrote.
 import numpy as np
 
 # Lanes coded together, and groups of four bits each lane has predictions for per order.
-LANES, SLOT_BITS = 1_024, 11
+LANES, SLOT_BITS = 4_096, 9
 ORDERS = 3
 _SLOT = 16
 _MIX_RATE, _MOST_WEIGHT = 10, 1 << 18

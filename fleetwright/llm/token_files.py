@@ -45,7 +45,7 @@ VOCABULARY, END_ID = "word_bpe_49k.json", 1
 # A segment ends with the document that reaches this many ids; its blocks are as many
 # as there are lanes, if they then have a length between these.
 SEGMENT_IDS = 1 << 22
-SHORTEST_BLOCK, LONGEST_BLOCK = 256, 4_096
+SHORTEST_BLOCK, LONGEST_BLOCK = 256, 1_024
 
 _MAGIC = b"FTI1"
 _HEADER, _CRC = struct.Struct("<4sIIIIQI"), struct.Struct("<I")
