@@ -1,0 +1,96 @@
+"""Quality rules: features against plain counting, the cascade against all rules at once."""
+
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from fleetwright.llm import quality_rules
+from fleetwright.llm.quality_rules import FEATURES, RULES
+from tests.plan import plan_of
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_features(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    times = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if times[w] > 1 for j in range(i, i + 5)}
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    return {
+        "n_words": len(words), "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text or ""), "n_lines": len(lines),
+        "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
+    }
+
+
+def plain_kept(f):
+    n = f["n_words"]
+    return not (n < 10 or 100 * f["n_repeat_words"] > 20 * n or 100 * f["n_symbols"] > 30 * n
+                or 100 * f["n_dup_lines"] > 30 * f["n_lines"] or f["word_chars"] < 2 * n or f["word_chars"] > 12 * n)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="ab \n\t#é\x0b\x1c|", max_size=80), min_size=1, max_size=60))
+def test_features_are_plain_counts(spark, texts):
+    texts = texts + ["a b a b a b a b a b", "a a a a a a", "x y z w v q x y z w v", "a\r\na\r\nb", "p " * 400]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_rules.features(docs).collect():
+        assert {n: r[n] for n in FEATURES} == plain_features(texts[r.doc_id])
+
+
+def test_cascade_equals_all_rules(spark, testdata):
+    docs = spark.read.parquet(str(testdata / "sf0.01" / "documents.parquet"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = quality_rules.cascade(docs).collect()
+    assert {r.doc_id: r.kept for r in rows} == {i: plain_kept(plain_features(t)) for i, t in texts.items()}
+    assert all((r.failed_rule is None) == r.kept for r in rows)
+    left = {r.doc_id for r in quality_rules.survivors(docs).collect()}
+    assert left == {r.doc_id for r in rows if r.kept}
+
+
+def test_any_order_keeps_the_same(spark, testdata):
+    docs = spark.read.parquet(str(testdata / "sf0.001" / "documents.parquet"))
+    rows = quality_rules.features(docs)
+    found = [sorted(r.doc_id for r in rows.filter(quality_rules.failed_rule(list(order)).isNull()).collect())
+             for order in (RULES, RULES[::-1], RULES[2:] + RULES[:2])]
+    assert found[0] == found[1] == found[2] and found[0]
+
+
+def test_order_is_rejection_per_cost(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "few words" if i % 4 else "a word or two more than ten in one text here") for i in range(400)],
+                                 "doc_id long, text string")
+    order = quality_rules.measured_order(docs)
+    assert order[0].name == "few_words" and len(order) == len(RULES)
+    slow = {"few_words": 100.0, "repeated_words": 1.0, "symbols": 1.0, "repeated_lines": 1.0, "word_length": 1.0}
+    names = iter([n for r in RULES for n in (r.name, r.name)])
+    monkeypatch.setattr(quality_rules, "_seconds", lambda df: slow[next(names)])
+    docs = docs.union(spark.createDataFrame([(1000 + i, "# # # # # # # # # # # # word") for i in range(400)], docs.schema))
+    assert quality_rules.measured_order(docs)[0].name != "few_words"
+
+
+def test_first_failing_rule_is_named(spark):
+    docs = spark.createDataFrame([(1, "# # #"), (2, None), (3, "a good text of more than ten words which repeats nothing at all")],
+                                 "doc_id long, text string")
+    found = {r.doc_id: r.failed_rule for r in quality_rules.cascade(docs).collect()}
+    assert found[1] in ("few_words", "symbols", "word_length") and found[2] == "few_words" and found[3] is None
+
+
+def test_no_python_and_no_shuffle(spark, testdata):
+    docs = spark.read.parquet(str(testdata / "sf0.001" / "documents.parquet"))
+    plan = plan_of(quality_rules.features(docs))
+    assert not re.search("Python|Pandas|Arrow|Exchange|Generate", plan)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "x"), (None, "", "x"), (3, "w " * 100_000, None), (4, "same", "y"), (4, "same", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words string")
+    found = quality_rules.cascade(docs).collect()
+    assert len(found) == 5
+    by = {r.doc_id: r for r in found}
+    assert by[1].n_words == by[None].n_words == 0 and by[3].n_repeat_words == 100_000
+    assert quality_rules.cascade(docs.limit(0)).collect() == []
+    assert quality_rules.survivors(docs.limit(0)).collect() == []
