@@ -17,6 +17,8 @@ _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Pieces a worker remembers in each of two generations (about 200 bytes each), and
 # the longest one kept.
 REMEMBERED, LONGEST = 500_000, 64
+# Marks that, behind a word, are one unit together. Not the apostrophe, which may begin one.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -55,7 +57,8 @@ class _Known(dict):
             if not piece or piece[0].isspace() or piece[-1].isspace():
                 raise _WideSpace
             ids = self.encoder.piece_ids(piece)
-        if len(piece) <= LONGEST:
+        # Two words around a line's end seldom come back together.
+        if len(piece) <= LONGEST and "\n" not in piece:
             self[piece] = ids
         return ids
 
@@ -64,9 +67,10 @@ class Encoder:
     """Ids of texts. `blank_joins`: a blank belongs to the token behind it, and case
     counts; else blanks are dropped and letters lower-cased.
 
-    A new piece of Latin letters, maybe with full stops and commas behind, is one
-    unit of letters and one of marks, which go to the vocabulary's merges directly.
-    Other new pieces go through the whole tokenizer.
+    A new piece of Latin letters, maybe with marks behind, is one unit of letters and
+    one of marks, which go to the vocabulary's merges directly. A piece with a line's
+    end inside is two pieces, the second without a blank in front. Other new pieces go
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str, blank_joins: bool):
@@ -78,28 +82,41 @@ class Encoder:
         self.merge = self.tokenizer.model.tokenize
         self.joins, self.blank = blank_joins, " " if blank_joins else ""
         self.known = _Known(self, {})
-        self.tails: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def _alone(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _letters(self, unit: str) -> bytes:
+        unit = unit if self.joins else unit.lower()
+        return _packed([t.id for t in self.merge(unit.encode().decode("latin-1").translate(_BYTE_LETTERS))])
+
     def piece_ids(self, piece: str) -> bytes:
         """The ids of a piece that has a lone blank in front."""
-        core = piece.rstrip(".,")
+        if "\n" in piece:
+            first, *rest = piece.split("\n")
+            if any(not part or part[0].isspace() or part[-1].isspace() for part in (first, *rest)):
+                return self._alone(self.blank + piece)
+            end = self._bare("\n")
+            return self.known[first] + b"".join([end + self._bare(part) for part in rest])
+        core = piece.rstrip(_MARKS)
         if not core.isalpha() or not core.isascii() and max(core) >= "Ā":
             return self._alone(self.blank + piece)
         if len(core) < len(piece):
             # The word without marks comes by itself as well.
-            return self.known[core] + self._marks(piece[len(core):])
-        unit = self.blank + core if self.joins else core.lower()
-        return _packed([t.id for t in self.merge(unit.encode().decode("latin-1").translate(_BYTE_LETTERS))])
+            return self.known[core] + self._bare(piece[len(core):])
+        return self._letters(self.blank + core)
 
-    def _marks(self, tail: str) -> bytes:
-        ids = self.tails.get(tail)
+    def _bare(self, part: str) -> bytes:
+        """The ids of marks, a line's end, or a piece behind one: nothing in front."""
+        ids = self.bare.get(part)
         if ids is None:
-            ids = self._alone(tail)
-            if len(tail) <= LONGEST:
-                self.tails[tail] = ids
+            plain = part.isalpha() and (part.isascii() or max(part) < "Ā")
+            ids = self._letters(part) if plain else self._alone(part)
+            if len(self.bare) > REMEMBERED:
+                self.bare.clear()
+            if len(part) <= LONGEST:
+                self.bare[part] = ids
         return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
