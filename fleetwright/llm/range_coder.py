@@ -129,12 +129,13 @@ def encode(ids: np.ndarray, sizes: np.ndarray, groups: int) -> list[bytes]:
 
 def _encode_lanes(ids, starts, sizes, groups):
     lanes, interval = _Lanes(len(sizes), groups), _Interval(len(sizes))
-    # Twelve bits for a bit is the most a step can cost.
-    out = np.empty((len(sizes), int(sizes.max()) * groups * 6 + 16), np.uint8)
-    written = np.zeros(len(sizes), np.int64)
+    out, written = np.empty((len(sizes), int(sizes.max()) + 64), np.uint8), np.zeros(len(sizes), np.int64)
     before, earlier = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
     for token in range(int(sizes.max())):
         n = _active(sizes, token)
+        # Twelve bits for a bit is the most a step can cost.
+        if written.max() + 6 * groups + 16 > out.shape[1]:
+            out = np.concatenate([out, np.empty_like(out)], axis=1)
         value = ids[starts[:n] + token].astype(np.int64)
         for group in range(groups):
             shift = 4 * (groups - 1 - group)
@@ -158,6 +159,7 @@ def _encode_lanes(ids, starts, sizes, groups):
         if token % _BOUND_EVERY == 0:
             lanes.bound()
     # The top of the last interval ends the block.
+    out = np.concatenate([out, np.empty((len(sizes), 8), np.uint8)], axis=1)
     for k in range(8):
         out[np.arange(len(sizes)), written + k] = interval.high >> np.uint64(56 - 8 * k) & np.uint64(255)
     return [out[lane, :length + 8].tobytes() for lane, length in enumerate(written.tolist())]
