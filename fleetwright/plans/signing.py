@@ -4,11 +4,11 @@ Not a part of the engine, which only verifies. The key pair in `keys` was made f
 these queries and protects nothing.
 """
 
+import hashlib
+import sys
 from pathlib import Path
 from typing import NamedTuple
 
-import hashlib
-
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
@@ -18,6 +18,9 @@ from fleetwright.functions import pss
 from fleetwright.operators import signatures
 from fleetwright.session import cut_lineage
 
+# Tasks get the arithmetic with the UDF, as for the verification.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _KEYS = Path(__file__).parent / "keys"
 _HASH_BYTES = 32
 
