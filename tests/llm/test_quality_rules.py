@@ -3,9 +3,7 @@
 import re
 from collections import Counter
 
-import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from fleetwright.llm import quality_rules
 from fleetwright.llm.quality_rules import FEATURES, RULES

@@ -3,7 +3,6 @@
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from fleetwright.llm import simhash
 from fleetwright.llm.components import component_roots
