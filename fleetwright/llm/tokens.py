@@ -16,7 +16,7 @@ _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 # Pieces a worker remembers in each of two generations (about 200 bytes each), and
 # the longest one kept.
-REMEMBERED, LONGEST = 500_000, 64
+REMEMBERED, LONGEST = 300_000, 64
 # Marks that, behind a word, are one unit together. Not the apostrophe, which may begin one.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
