@@ -49,6 +49,13 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.to_pylist()]
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most `rows` rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Whole runs of equal `key` of a partition sorted by it.
 

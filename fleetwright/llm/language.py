@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from fleetwright.llm.common import byte_texts, materialise
+from fleetwright.llm.common import byte_texts, in_slices, materialise
 
 UNKNOWN = "und"
 # Bound of learning: rows per language (expected; drawn by a hash of the id).
@@ -211,7 +211,7 @@ def learn(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
     def counted(batches):
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in in_slices(batches):
             for text, lang in zip(byte_texts(batch.column("text")), batch.column("lang").to_pylist()):
                 counts.setdefault(lang, np.zeros(1 << CELL_BITS, np.int64))
                 counts[lang] += gram_counts([_prepared(text)])
@@ -230,7 +230,7 @@ def learn(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     model.weights = _bit_weights(counts, code)
 
     def measured(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             margin = margins([_prepared(t) for t in byte_texts(batch.column("text"))], model.weights)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("lang"), pa.array(list(margin.astype(float)), pa.list_(pa.float64()))], ["lang", "margin"])
@@ -253,7 +253,7 @@ def learn(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, lang_pred, score, ambiguous) of every whole text."""
     def decoded(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = byte_texts(batch.column("_text"))
             some = [i for i, t in enumerate(texts) if _LETTER.search(t.decode("utf-8", "replace"))]
             names, score, gap = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetwright.llm.common import materialise
+from fleetwright.llm.common import in_slices, materialise
 from fleetwright.llm.tokens import encoder, vocabulary_path
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
@@ -70,7 +70,7 @@ def token_pieces(docs: DataFrame, limit: int = SEQUENCE_TOKENS, vocabulary: str
 
     def pieces(batches):
         encode = encoder(path, blank_joins=True).encode
-        for batch in batches:
+        for batch in in_slices(batches):
             rows, columns = [], ([], [], [], [])
             for row, ids in enumerate(encode([t or "" for t in batch.column("_text").to_pylist()])):
                 view = memoryview(ids + end)

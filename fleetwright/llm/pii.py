@@ -31,6 +31,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fleetwright.llm.common import in_slices
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("iban", "ssn", "account")
 KINDS = BASE_KINDS + MORE_KINDS
@@ -196,7 +198,7 @@ def find_spans(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
     One pass in the tasks that read the texts, without a shuffle.
     """
     def found(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             rows = [spans_of(t or "") for t in batch.column("_text").to_pylist()]
             base = [[s for s in row if s[0] in BASE_KINDS] for row in rows]
             counts = [pa.array([sum(s[0] == kind for s in row) for row in base], pa.int64()) for kind in BASE_KINDS]

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fleetwright.llm.common import byte_texts, materialise, sorted_runs
+from fleetwright.llm.common import byte_texts, in_slices, materialise, sorted_runs
 from fleetwright.llm.components import component_roots
 
 SHINGLE_WORDS, MAX_DISTANCE = 3, 3
@@ -69,7 +69,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS, carry=("doc_id",)) -> DataFrame:
     """The carried columns and `fp`, the fingerprint as a signed bigint."""
     def hashed(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             marks = np.array([fingerprint(t, shingle) for t in byte_texts(batch.column("_text"))], dtype=np.uint64)
             columns = [batch.column(c) for c in carry]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(marks.view(np.int64))], [*carry, "fp"])

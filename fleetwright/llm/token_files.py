@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetwright.llm import range_coder
-from fleetwright.llm.common import materialise
+from fleetwright.llm.common import in_slices, materialise
 from fleetwright.llm.tokens import encoder, vocabulary_path
 from fleetwright.session import scratch_path
 
@@ -153,16 +153,14 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_
                 place += len(data)
                 keys, held, total = [], [], 0
 
-            for batch in batches:
-                ids = batch.column("_key").to_pylist()
-                texts = batch.column("_text").to_pylist()
-                for k in range(0, len(texts), 256):
-                    for key_, found in zip(ids[k:k + 256], encode([t or "" for t in texts[k:k + 256]])):
-                        keys.append(key_)
-                        held.append(found + end)
-                        total += len(held[-1]) // 4
-                        if total >= SEGMENT_IDS:
-                            flush()
+            for batch in in_slices(batches):
+                texts = [t or "" for t in batch.column("_text").to_pylist()]
+                for key_, found in zip(batch.column("_key").to_pylist(), encode(texts)):
+                    keys.append(key_)
+                    held.append(found + end)
+                    total += len(held[-1]) // 4
+                    if total >= SEGMENT_IDS:
+                        flush()
             if keys:
                 flush()
         if not segments:

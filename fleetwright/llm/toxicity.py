@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetwright.llm.common import byte_texts, held_out, materialise
+from fleetwright.llm.common import byte_texts, held_out, in_slices, materialise
 
 # Bounds of learning: rows (expected; drawn by a hash of the id), and terms.
 SAMPLE_ROWS, MAX_TERMS = 12_000, 700
@@ -187,7 +187,7 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     """(term, rows, toxic_rows), added up in each task first."""
     def counted(batches):
         rows, toxic = Counter(), Counter()
-        for batch in batches:
+        for batch in in_slices(batches):
             for text, label in zip(byte_texts(batch.column("text")), batch.column("toxic").to_pylist()):
                 terms = {t for word in words(text) for t in word_terms(word)}
                 rows.update(terms)
@@ -223,7 +223,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     def vectorised(batches):
         vectors = Vectors(terms, idf)
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [vectors.of(t) for t in byte_texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"),
@@ -260,7 +260,7 @@ def scores(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id
     """(key, score, nearest): the probability and the ids of the neighbours, most similar first."""
     def scored(batches):
         vectors = Vectors(model.terms, model.idf)
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [model.score(vectors.of(t)) for t in byte_texts(batch.column("_text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_key"), pa.array([s for s, _ in found], pa.float64()),
