@@ -33,8 +33,9 @@ from fleetwright.llm.common import byte_texts, held_out, in_slices, materialise
 
 # Bounds of learning: rows (expected; drawn by a hash of the id), and terms.
 SAMPLE_ROWS, MAX_TERMS = 12_000, 700
-# About one in ten million by chance; and rows a term must be in.
-MIN_CHI2, MIN_ROWS = 28.0, 3
+# Far beyond chance, and more rows than a few copies of one document: where one in nine
+# is toxic, seven rows that all are. And rows a term must be in at least.
+MIN_CHI2, MIN_ROWS = 50.0, 3
 NEIGHBOURS, BLOCK_EXAMPLES = 15, 64
 THRESHOLD = 0.5
 _SEED = 5
