@@ -37,6 +37,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 _BYTE_LETTERS = _byte_letters()
+_BLANK = _BYTE_LETTERS[ord(" ")]
 
 
 class _WideSpace(Exception):
@@ -54,8 +55,6 @@ class _Known(dict):
         # What comes back passes on from the older generation to the younger.
         ids = self.older.get(piece)
         if ids is None:
-            if not piece or piece[0].isspace() or piece[-1].isspace():
-                raise _WideSpace
             ids = self.encoder.piece_ids(piece)
         # Two words around a line's end seldom come back together.
         if len(piece) <= LONGEST and "\n" not in piece:
@@ -80,19 +79,27 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.merge = self.tokenizer.model.tokenize
-        self.joins, self.blank = blank_joins, " " if blank_joins else ""
+        self.joins, self.blank, self.front = blank_joins, *((" ", _BLANK) if blank_joins else ("", ""))
         self.known = _Known(self, {})
         self.bare: dict[str, bytes] = {}
 
     def _alone(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _letters(self, unit: str) -> bytes:
-        unit = unit if self.joins else unit.lower()
-        return _packed([t.id for t in self.merge(unit.encode().decode("latin-1").translate(_BYTE_LETTERS))])
+    def _letters(self, word: str, front: str) -> bytes:
+        """The ids of a word of Latin letters; `front` is what the vocabulary writes before it."""
+        if not self.joins:
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return _packed([t.id for t in self.merge(front + word)])
 
     def piece_ids(self, piece: str) -> bytes:
         """The ids of a piece that has a lone blank in front."""
+        if piece.isalpha() and (piece.isascii() or max(piece) < "Ā"):
+            return self._letters(piece, self.front)
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _WideSpace
         if "\n" in piece:
             first, *rest = piece.split("\n")
             if any(not part or part[0].isspace() or part[-1].isspace() for part in (first, *rest)):
@@ -105,14 +112,14 @@ class Encoder:
         if len(core) < len(piece):
             # The word without marks comes by itself as well.
             return self.known[core] + self._bare(piece[len(core):])
-        return self._letters(self.blank + core)
+        return self._letters(core, self.front)
 
     def _bare(self, part: str) -> bytes:
         """The ids of marks, a line's end, or a piece behind one: nothing in front."""
         ids = self.bare.get(part)
         if ids is None:
             plain = part.isalpha() and (part.isascii() or max(part) < "Ā")
-            ids = self._letters(part) if plain else self._alone(part)
+            ids = self._letters(part, "") if plain else self._alone(part)
             if len(self.bare) > REMEMBERED:
                 self.bare.clear()
             if len(part) <= LONGEST:
