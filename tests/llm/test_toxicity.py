@@ -109,3 +109,26 @@ def test_without_labels_or_documents(spark):
     assert [r.score for r in toxicity.scores(docs, model).collect()] == [0.0]
     assert toxicity.scores(docs.limit(0), model).collect() == []
     assert toxicity.without_toxic(docs.limit(0), model).collect() == []
+
+
+def test_every_word_counts(spark):
+    # Each toxic text has words of its own and of one other; none is in as many rows as chance asks for.
+    pairs = [(i, f"vile{i // 2} mean{i // 2} day", int(i % 20 < 2)) for i in range(400)]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string, toxic int")
+    model = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert {b"vile0", b"mean1", b"day"} <= set(model.terms) and len(model.ids) == 400
+    unseen = spark.createDataFrame([(1000, "so vile0 mean0"), (1001, "so vile1 mean1"), (1002, "so day")], "doc_id long, text string")
+    found = {r.doc_id: r for r in toxicity.scores(unseen, model).collect()}
+    assert set(found[1000].nearest[:2]) == {0, 1} and set(found[1001].nearest[:2]) == {2, 3}
+    assert found[1000].score > 0.5 > found[1001].score and len(found[1002].nearest) == toxicity.NEIGHBOURS
+
+
+def test_model_comes_back_whole():
+    import pickle
+
+    idf = np.array([1.0, 2.0, 1.5])
+    rows = [(7, True, [0, 2], [1, 300]), (8, False, [1], [70_000]), (9, False, [], [])]
+    model = toxicity._model(toxicity.joined([b"a", b"^b", b"c"]), idf, [(*r[:2], *(np.array(x, np.int32) for x in r[2:])) for r in rows])
+    back = pickle.loads(pickle.dumps(model))
+    assert back.terms == model.terms == {b"a": 0, b"^b": 1, b"c": 2} and back.ids == model.ids
+    assert (back.index.terms == model.index.terms).all() and (back.index.values == model.index.values).all()
