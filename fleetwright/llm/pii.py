@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 An Aho-Corasick automaton finds the few places of a text where personal data can
-lie: at-signs, plus signs, digits and identifier cues. From each anchor a
+lie: at-signs, plus signs, digits, schemes and identifier cues. From each anchor a
 small parser reads outwards, decides where the span begins and ends, and checks
 it. Nothing backtracks, and what one parser has read is not read again, so the
 time grows with the length of the text.
@@ -16,7 +16,9 @@ is dropped):
 
 Further kinds, only behind a cue: `iban` (country, check digits, mod 97), `ssn`
 (3-2-4 digits with hyphens after "ssn" or "social security"), `account` (6 to 17
-digits after "account", "acct" or "konto"). Cues are matched without regard to
+digits after "account", "acct" or "konto"), `link` (what a scheme leads to: user and
+host behind "://" where there is a user, an address behind "mailto:", "sip:", "sips:"
+or "xmpp:" whose host needs no dot, 5 to 15 digits behind "tel:", "sms:" or "callto:"). Cues are matched without regard to
 the case of A-Z.
 
 Spans are in code points, the end excluded. Defined cases: a NULL text is empty
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from fleetwright.llm.common import in_slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("iban", "ssn", "account")
+MORE_KINDS = ("iban", "ssn", "account", "link")
 KINDS = BASE_KINDS + MORE_KINDS
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -46,18 +48,26 @@ _IBAN = re.compile(r"[ :#]{0,4}([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30})(?![
 _SSN = re.compile(r"[ :#]{0,4}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
 _ACCOUNT = re.compile(r"(?: ?(?:number|no\.?|nr\.?))?[ :#]{1,4}([0-9](?:[ -]?[0-9]){5,16})(?![0-9])", re.IGNORECASE)
 
+# A scheme's user and host up to the path; an address, its host of one name or more; a number.
+_AUTHORITY = re.compile(r"[^\s/?#<>\"']+")
+_HOST = re.compile(r"\[[0-9A-Fa-f:.]+\]|[^\W_](?:[\w-]|\.(?=\w))*")
+_ADDRESS = re.compile(r" {0,2}([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*)")
+_NUMBER = re.compile(r" {0,2}([+(]?[0-9][ ().0-9-]*)")
+
+_SCHEMES = {"://": "user", "mailto:": "address", "sip:": "address", "sips:": "address", "xmpp:": "address",
+            "tel:": "number", "sms:": "number", "callto:": "number"}
 _CUES = {"iban": "iban", "ssn": "ssn", "social security": "ssn", "account": "account", "acct": "account",
          "konto": "account"}
 
 
 def _automaton():
-    """Anchors: a digit stands for addresses and card numbers, the cues for the rest."""
+    """Anchors: a digit stands for addresses and card numbers, cues and schemes for the rest."""
     found = ahocorasick.Automaton()
     for digit in "0123456789":
         found.add_word(digit, ("digit", 1))
     found.add_word("@", ("at", 1))
     found.add_word("+", ("plus", 1))
-    for cue, kind in _CUES.items():
+    for cue, kind in (_CUES | _SCHEMES).items():
         found.add_word(cue, (kind, len(cue)))
     found.make_automaton()
     return found
@@ -161,6 +171,25 @@ def _behind_cue(text: str, kind: str, end: int) -> tuple[int, int] | None:
     return start, stop
 
 
+def _behind_scheme(text: str, what: str, end: int) -> tuple[int, int] | None:
+    """The user and host, the address or the number behind the scheme that ends at `end`."""
+    if what == "user":
+        run = _AUTHORITY.match(text, end)
+        at = text.rfind("@", end, run.end()) if run else -1
+        host = _HOST.match(text, at + 1) if at > end else None
+        return (end, host.end()) if host else None
+    match = (_ADDRESS if what == "address" else _NUMBER).match(text, end)
+    if not match:
+        return None
+    start, stop = match.span(1)
+    if what == "number":
+        body = match.group(1).rstrip(" ().-")
+        if not 5 <= sum(c.isdigit() for c in body) <= 15:
+            return None
+        stop = start + len(body)
+    return start, stop
+
+
 def spans_of(text: str) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) by kind as in KINDS, then start."""
     spans: list[tuple[str, int, int]] = []
@@ -179,6 +208,13 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
         elif anchor == "plus":
             if start >= done["phone"]:
                 done["phone"] = _phone(text, start, spans)
+        elif anchor in ("user", "address", "number"):
+            # "://" stands behind its scheme's name, the others are the name.
+            named = start > 0 and text[start - 1].isalnum()
+            if start >= done["link"] and named == (anchor == "user"):
+                if span := _behind_scheme(text, anchor, last + 1):
+                    spans.append(("link", *span))
+                    done["link"] = span[1]
         elif start >= done[anchor] and not (start and text[start - 1].isalnum()):
             if span := _behind_cue(text, anchor, last + 1):
                 spans.append((anchor, *span))

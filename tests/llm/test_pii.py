@@ -103,3 +103,24 @@ def test_odd_rows(spark):
 def test_redaction_of_overlapping_spans():
     assert pii.redacted("+12345678.1.2.3 x") == "[PHONE] x"
     assert pii.redacted("nothing here") == "nothing here"
+
+
+@pytest.mark.parametrize("text,found,redacted", [
+    ("see https://anna:geheim@intranet/x now", "anna:geheim@intranet", "see https://[LINK]/x now"),
+    ("FTP://bob@files.example.org:21/a", "bob@files.example.org", "FTP://[EMAIL]:21/a"),
+    ("ring tel:0301234567.", "0301234567", "ring tel:[LINK]."),
+    ("tel:+49 (30) 1234567, ok", "+49 (30) 1234567", "tel:[PHONE], ok"),
+    ("mailto:root@localhost?subject=x", "root@localhost", "mailto:[LINK]?subject=x"),
+    ("SIP:anna@pbx", "anna@pbx", "SIP:[LINK]"),
+    ("https://example.org/a@b", None, "https://example.org/a@b"),
+    ("hotel:0301234567 tel:123 ://a@b", None, "hotel:0301234567 tel:123 ://a@b"),
+])
+def test_spans_behind_schemes(text, found, redacted):
+    assert [text[a:b] for k, a, b in pii.spans_of(text) if k == "link"] == ([found] if found else [])
+    assert pii.redacted(text) == redacted
+
+
+def test_long_runs_behind_schemes_take_linear_time():
+    for text in ("a://" * 100_000, "a://" + "a@" * 200_000, "tel:1" * 100_000, "mailto:" * 100_000, "a://" + "@" * 300_000,
+                 "mailto:" + "a" * 300_000, "tel:" + "1 " * 200_000):
+        pii.spans_of(text)
