@@ -36,3 +36,39 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
             OR word_chars < 2 * n_words OR word_chars > 12 * n_words) AS kept
 FROM measured
 """
+
+ORACLE["op12_lexical"] = r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), wanted AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), asked AS (
+    SELECT item_id, term, count(*) AS times FROM wanted GROUP BY ALL
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), corpus AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths
+), held AS (
+    SELECT doc_id, term, count(*) AS tf FROM words
+    WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+    FROM held CROSS JOIN corpus GROUP BY term
+), norms AS (
+    SELECT doc_id, 75 + (25 * n * docs) // total AS m FROM lengths CROSS JOIN corpus
+), scored AS (
+    SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN norms USING (doc_id)
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 20
+"""

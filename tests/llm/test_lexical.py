@@ -1,0 +1,140 @@
+"""Ranked search against sums over every document."""
+
+import math
+import re
+from collections import Counter
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from fleetwright.llm import lexical
+
+DOCS = "doc_id bigint, text string, rank int, score string"
+ITEMS = "item_id bigint, text string, doc_id string"
+
+
+def plain_terms(text):
+    lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def plain_search(docs, items, k):
+    """Every document scored for every item, by the definition."""
+    counts = [(doc, Counter(plain_terms(text))) for doc, text in docs]
+    counts = [(doc, c) for doc, c in counts if c]
+    n_docs, total = len(counts), sum(sum(c.values()) for _, c in counts)
+    holding = Counter(term for _, c in counts for term in c)
+    rows = []
+    for item, text in items:
+        scored = []
+        for doc, c in counts:
+            m = 75 + (25 * sum(c.values()) * n_docs) // total
+            score = 0
+            for term in plain_terms(text):
+                if term in c:
+                    w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * holding[term] + 1)))
+                    score += w * (1000000000 * c[term] // (1000 * c[term] + 12 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0))
+        for rank, (score, absent, doc) in enumerate(sorted(scored)[:k], 1):
+            rows.append((item, rank, None if absent else doc, -score))
+    return sorted(rows, key=str)
+
+
+def found(spark, docs, items, k):
+    docs = spark.createDataFrame([(*d, 7, "x") for d in docs], DOCS).repartition(3)
+    items = spark.createDataFrame([(*i, "y") for i in items], ITEMS)
+    result = lexical.search(docs, items, k)
+    assert dict(result.dtypes) == {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"}
+    return sorted(map(tuple, result.collect()), key=str)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
+def test_terms(text):
+    assert [t.decode() for t in lexical.terms_of(text.encode())] == plain_terms(text)
+
+
+def test_defined_cases(spark):
+    docs = [(1, "The cat. the CAT 42"), (2, None), (3, ""), (4, "-- !!"), (5, "a cat"), (5, "a cat"),
+            (None, "dog cat"), (6, "Éclair cat cat cat"), (7, "word " * 40_000 + "cat")]
+    items = [(1, "cat the"), (2, None), (3, "unknown"), (4, "éclair Éclair"), (None, "dog"), (8, "cat"), (8, "cat"), (9, "")]
+    asked = sorted(set(items), key=str)
+    assert found(spark, docs, items, 3) == plain_search(docs, asked, 3)
+    # Of several texts of one id the smallest is asked.
+    assert found(spark, docs, [(1, "dog"), (1, "cat")], 9) == plain_search(docs, [(1, "cat")], 9)
+
+
+def test_empty_tables(spark):
+    assert found(spark, [], [(1, "cat")], 3) == []
+    assert found(spark, [(1, "cat")], [], 3) == []
+    assert found(spark, [(1, None)], [(1, "cat")], 3) == []
+
+
+def _random_tables(seed, n_docs, n_items):
+    rng = np.random.default_rng(seed)
+    words = np.array([f"w{i}" for i in range(400)])
+    shares = 1 / np.arange(1, 401)
+    shares /= shares.sum()
+    docs = [(int(d), " ".join(rng.choice(words, rng.integers(0, 60), p=shares))) for d in rng.permutation(n_docs)]
+    docs += docs[:n_docs // 3]
+    items = [(i, " ".join(rng.choice(words, rng.integers(1, 25), p=shares))) for i in range(n_items)]
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_many_segments_and_windows(spark, monkeypatch, seed):
+    monkeypatch.setattr(lexical, "BLOCK_ITEMS", 5)
+    monkeypatch.setattr(lexical, "SEGMENT_DOCUMENTS", 64)
+    docs, items = _random_tables(seed, 400, 12)
+    assert found(spark, docs, items, 4) == plain_search(docs, items, 4)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 30), st.sampled_from([40, 300, 2500]))
+def test_a_segment_finds_its_best(seed, k, size):
+    """Over short and long lists: the k best, whatever is skipped; nothing below the floor."""
+    docs, items = _random_tables(seed, size, 4)
+    asked = lexical.Items.of(items)
+    builder = lexical._Builder()
+    for doc, text in docs:
+        builder.add(doc, text.encode(), asked.numbers)
+    row = builder.row()
+    corpus = lexical.Corpus(row["documents"], row["total"], dict(zip(row["terms"], row["sizes"])))
+    segment = lexical.Segment(row, corpus)
+    plain = plain_search(docs, items, len(docs))
+    for item, wanted in zip(asked.ids, asked.wanted):
+        factors = {t: n * corpus.weight(t) for t, n in wanted.items() if t in corpus.holding}
+        best = lexical._Best(k)
+        best.take(segment.ids, *segment.best(factors, k, 1))
+        every = sorted(((score, doc) for i, _, doc, score in plain if i == item), key=lambda e: (-e[0], e[1]))
+        assert best.entries == every[:k]
+        if len(every) > k:
+            floor = every[k - 1][0]
+            positions, scores = segment.best(factors, k, floor)
+            assert scores.min() >= floor and len(scores) >= k
+
+
+def test_hopeless_blocks_are_skipped():
+    """A rare term in one document: of the others only its block is looked into."""
+    docs = [(d, "common " * (1 + d % 3) + ("rare" if d == 5000 else "")) for d in range(8000)]
+    asked = lexical.Items.of([(1, "rare common")])
+    builder = lexical._Builder()
+    for doc, text in docs:
+        builder.add(doc, text.encode(), asked.numbers)
+    row = builder.row()
+    corpus = lexical.Corpus(row["documents"], row["total"], dict(zip(row["terms"], row["sizes"])))
+    segment = lexical.Segment(row, corpus)
+    factors = {t: corpus.weight(t) for t in (asked.numbers[b"rare"],)} | {asked.numbers[b"common"]: 1}
+    positions, scores = segment.best(factors, 1, 1)
+    assert [row["ids"][p] for p in positions] == [5000]
+
+
+def test_weights_are_those_of_exact_arithmetic():
+    for docs in (1, 7, 1000, 10**9):
+        corpus = lexical.Corpus(docs, 3 * docs, {0: docs, 1: 1})
+        for term in (0, 1):
+            ratio = Fraction(2 * docs + 2, 2 * corpus.holding[term] + 1)
+            assert corpus.weight(term) == math.floor(1000 * math.log(ratio.numerator / ratio.denominator))
