@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import ann, language, language_model, lexical, mixing, packing, pii, quality_rules, simhash, token_files, toxicity
+from fleetwright.llm import alignment, ann, language, language_model, lexical, mixing, packing, pii, quality_rules, simhash, token_files, toxicity
 from fleetwright.llm.common import documents, held_out
 from fleetwright.llm.sql import ORACLE
 from fleetwright.session import ship_package
@@ -72,6 +72,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(documents(spark, folder))
+
+
 def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
     items = parquet_table(spark, folder, "benchmark", "item_id bigint, text string")
     return lexical.search(documents(spark, folder), items, k=20)
@@ -88,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
     "op12_lexical": op12_lexical,
 }

@@ -69,15 +69,18 @@ class Encoder:
     A new piece of Latin letters, maybe with marks behind, is one unit of letters and
     one of marks, which go to the vocabulary's merges directly. A piece with a line's
     end inside is two pieces, the second without a blank in front. Other new pieces go
-    through the whole tokenizer.
+    through the whole tokenizer, and so does a text that holds the string of an added
+    token, which is that one id, unless `plain_specials` makes it ordinary text.
     """
 
-    def __init__(self, path: str, blank_joins: bool):
+    def __init__(self, path: str, blank_joins: bool, plain_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.specials = [] if plain_specials else [token.content for token in added]
         self.merge = self.tokenizer.model.tokenize
         self.joins, self.blank, self.front = blank_joins, *((" ", _BLANK) if blank_joins else ("", ""))
         self.known = _Known(self, {})
@@ -126,22 +129,36 @@ class Encoder:
                 self.bare[part] = ids
         return ids
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, four bytes each."""
-        ids = []
+    def encode(self, texts: list[str], behind_blank: bool = False) -> list[bytes]:
+        """The ids of each text, four bytes each; `behind_blank`: of a blank and the text."""
+        ids, front = [], " " if behind_blank else ""
         for text in texts:
             if len(self.known) > REMEMBERED:
                 self.known = _Known(self, dict(self.known))
+            if any(special in text for special in self.specials):
+                ids.append(self._alone(front + text))
+                continue
             head, *rest = text.split(" ")
             try:
-                if head != head.strip() or rest and not head:
+                if head != head.strip() or not head and (rest or front):
                     raise _WideSpace
-                # The first piece of a text has no blank before it.
-                ids.append(self._alone(head) + b"".join(map(self.known.__getitem__, rest)))
+                # The first piece of a text has no blank before it but for that of `behind_blank`.
+                first = self.known[head] if front else self._alone(head)
+                ids.append(first + b"".join(map(self.known.__getitem__, rest)))
             except _WideSpace:
-                ids.append(self._wide(text))
+                ids.append(self._wide(front + text))
         return ids
 
+    def token_bytes(self) -> list[bytes]:
+        """The bytes that each id of a byte-level vocabulary stands for."""
+        letters = {letter: byte for byte, letter in _BYTE_LETTERS.items()}
+        added = {i: token.content.encode() for i, token in self.tokenizer.get_added_tokens_decoder().items()}
+        names = sorted((i, name) for name, i in self.tokenizer.get_vocab(with_added_tokens=True).items())
+        table = [b""] * (names[-1][0] + 1)
+        for i, name in names:
+            table[i] = added[i] if i in added else bytes(letters[c] for c in name)
+        return table
+
     def _wide(self, text: str) -> bytes:
         """The ids of a text with white space of any kind and number."""
         head, *rest = _LONE_BLANK.split(text)
@@ -151,14 +168,66 @@ class Encoder:
         return self._alone(head) + b"".join(map(self.known.__getitem__, rest[:-1])) + self._alone(self.blank + rest[-1])
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_MARK = "\u2581"  # how pieces write a blank
+
+
+class PieceEncoder:
+    """Ids by a piece model, which puts a blank before every text and keeps all else.
+
+    Where no piece has a blank behind another character, as in models that merge within
+    words, a lone blank always begins a token, and words are encoded by themselves.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.wordwise = not any(_MARK in piece.lstrip(_MARK) for piece in self.pieces)
+        self.known = _Known(self, {})
+
+    def piece_ids(self, piece: str) -> bytes:
+        if not piece:
+            raise _WideSpace
+        return _packed(self.model.encode(piece))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each."""
+        ids = []
+        for text in texts:
+            if len(self.known) > REMEMBERED:
+                self.known = _Known(self, dict(self.known))
+            try:
+                if not self.wordwise or _MARK in text:
+                    raise _WideSpace
+                ids.append(b"".join(map(self.known.__getitem__, text.split(" "))))
+            except _WideSpace:
+                ids.append(_packed(self.model.encode(text)))
+        return ids
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes that each id stands for: its piece, marks as blanks, or its one byte."""
+        return [
+            bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(_MARK, " ").encode()
+            for i, piece in enumerate(self.pieces)
+        ]
+
 
+_ENCODERS: dict[tuple, Encoder | PieceEncoder] = {}
 
-def encoder(path: str, blank_joins: bool) -> Encoder:
+
+def encoder(path: str, blank_joins: bool, plain_specials: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    if (path, blank_joins) not in _ENCODERS:
-        _ENCODERS[path, blank_joins] = Encoder(path, blank_joins)
-    return _ENCODERS[path, blank_joins]
+    if (path, blank_joins, plain_specials) not in _ENCODERS:
+        _ENCODERS[path, blank_joins, plain_specials] = Encoder(path, blank_joins, plain_specials)
+    return _ENCODERS[path, blank_joins, plain_specials]
+
+
+def piece_encoder(path: str) -> PieceEncoder:
+    """The worker's encoder for a piece model."""
+    if (path,) not in _ENCODERS:
+        _ENCODERS[path,] = PieceEncoder(path)
+    return _ENCODERS[path,]
 
 
 def vocabulary_path(name: str) -> str:

@@ -22,12 +22,13 @@ COLUMNS = {
     8: ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     9: ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     10: ["doc_id", "fingerprint", "component_id"],
+    11: ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     12: ["item_id", "rank", "doc_id", "score"],
 }
 KINDS = {
     "held_out": "boolean", "score": "double", "lang_pred": "string", "predicted": "int", "rank": "int", "piece": "int",
     "target": "double", "base_score": "double", "kept": "boolean", "base_failed": "boolean", "fingerprint": "string",
-    "base_sha256": "string", "spans": "string",
+    "base_sha256": "string", "spans": "string", "groups_sha256": "string",
 }
 
 
