@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetwright.session import scratch_path, ship_package
@@ -56,6 +57,18 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa
             yield batch.slice(start, rows)
 
 
+def sized(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, most_rows: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows and bytes of text; a longer text is a part of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        until, start = np.cumsum(sizes, dtype=np.int64), 0
+        while start < batch.num_rows:
+            before = until[start - 1] if start else 0
+            end = min(max(int(np.searchsorted(until, before + most_bytes, "right")), start + 1), start + most_rows)
+            yield batch.slice(start, end - start)
+            start = min(end, batch.num_rows)
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Whole runs of equal `key` of a partition sorted by it.
 

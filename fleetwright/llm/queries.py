@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetwright.llm import alignment, ann, language, language_model, lexical, mixing, packing, pii, quality_rules, simhash, token_files, toxicity
+from fleetwright.llm import alignment, ann, language, language_model, lexical, line_quality, mixing, packing, pii, quality_rules, simhash, token_files, toxicity
 from fleetwright.llm.common import documents, held_out
 from fleetwright.llm.sql import ORACLE
 from fleetwright.session import ship_package
@@ -81,6 +81,15 @@ def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(documents(spark, folder), items, k=20)
 
 
+def op13_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    labels = parquet_table(spark, folder, "labels").select("doc_id", "quality")
+    model = line_quality.learn(docs, line_quality.learning_rows(labels, 5, 0))
+    return line_quality.scores(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score",
+        line_quality.predicted(F.col("score")).alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_mixing": op2_mixing,
@@ -94,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_alignment": op11_alignment,
     "op12_lexical": op12_lexical,
+    "op13_line_quality": op13_line_quality,
 }

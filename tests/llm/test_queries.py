@@ -24,6 +24,7 @@ COLUMNS = {
     10: ["doc_id", "fingerprint", "component_id"],
     11: ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     12: ["item_id", "rank", "doc_id", "score"],
+    13: ["doc_id", "held_out", "score", "predicted"],
 }
 KINDS = {
     "held_out": "boolean", "score": "double", "lang_pred": "string", "predicted": "int", "rank": "int", "piece": "int",
