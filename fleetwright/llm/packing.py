@@ -12,7 +12,7 @@ is one task's work, and only its last sequences are less full. Full pieces are a
 sequence each and are not moved.
 
 Defined cases: a NULL or empty text is its end id alone; equal rows are packed
-each by itself; a NULL id is carried. Other columns are not read, and an empty
+each by itself; of equally good sequences the fullest one, or the first one found, is taken; a NULL id is carried. Other columns are not read, and an empty
 table gives an empty result. A text of any length is cut, never shortened.
 """
 
@@ -33,7 +33,7 @@ SEQUENCE_TOKENS = 1024
 # Pieces packed by one task together.
 GROUP_PIECES = 50_000
 
-# The attention cost is counted in this many parts of its capacity, rounded up.
+# Where no cost capacity is asked for, the cost counts in the choice only, in this many parts.
 _COST_PARTS = 256
 
 
@@ -41,7 +41,8 @@ _COST_PARTS = 256
 class Capacity:
     """What a sequence holds, and the weight of each dimension in the choice.
 
-    `documents` and `cost` default to what `tokens` allows anyway.
+    `documents` and `cost` default to what `tokens` allows anyway: they then shut no
+    sequence. A cost that is stated is counted exactly, in squares of tokens.
     """
 
     tokens: int = SEQUENCE_TOKENS
@@ -99,12 +100,14 @@ class _Open:
     def __init__(self, capacity: Capacity):
         self.limits = capacity.limits()
         self.weights, self.rule = capacity.weights, capacity.rule
+        self.costly = capacity.cost is not None
+        self.scale = capacity.cost if self.costly else _COST_PARTS
         self.rooms: dict[int, dict[tuple[int, int], list[int]]] = {}
         self.filled = 0  # bit r is set if a sequence has r tokens left
 
     def add(self, sequence: int, room: tuple[int, int, int]) -> None:
         tokens, documents, cost = room
-        if tokens and documents and cost:
+        if tokens and documents and (cost or not self.costly):
             self.rooms.setdefault(tokens, {}).setdefault((documents, cost), []).append(sequence)
             self.filled |= 1 << tokens
 
@@ -115,7 +118,7 @@ class _Open:
             if best is not None and self._bound(left, tokens) >= best:
                 break
             for documents, parts in self.rooms[left]:
-                if parts >= cost:
+                if parts >= cost or not self.costly:
                     value = self._value(left, documents, parts, tokens, cost)
                     if best is None or value < best:
                         best, chosen = value, (left, documents, parts)
@@ -150,8 +153,8 @@ class _Open:
         (wt, wd, wc), (lt, ld, _) = self.weights, self.limits
         if self.rule == "norm":
             return (wt * ((left - tokens) / lt) ** 2 + wd * ((documents - 1) / ld) ** 2
-                    + wc * ((parts - cost) / _COST_PARTS) ** 2)
-        return -(wt * left * tokens / lt ** 2 + wd * documents / ld ** 2 + wc * parts * cost / _COST_PARTS ** 2)
+                    + wc * ((parts - cost) / self.scale) ** 2)
+        return -(wt * left * tokens / lt ** 2 + wd * documents / ld ** 2 + wc * parts * cost / self.scale ** 2)
 
     def _bound(self, left, tokens):
         """No sequence with `left` tokens, or with more in the order of search, does better."""
@@ -165,14 +168,14 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
     """Sequence and offset of each piece; lengths are at most the capacity's tokens."""
     most_tokens, most_documents, most_cost = capacity.limits()
     lengths = np.asarray(lengths, dtype=np.int64)
-    costs = np.minimum(-(-lengths ** 2 * _COST_PARTS // most_cost), _COST_PARTS)
+    costs = lengths ** 2 if capacity.cost is not None else lengths ** 2 * _COST_PARTS // most_cost
     sequences, offsets = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
     opened, open_ones = 0, _Open(capacity)
     for item in np.argsort(-lengths, kind="stable").tolist():
         tokens, cost = int(lengths[item]), int(costs[item])
         found = open_ones.take(tokens, cost)
         if found is None:
-            sequence, (left, documents, parts) = opened, (most_tokens, most_documents, _COST_PARTS)
+            sequence, (left, documents, parts) = opened, (most_tokens, most_documents, open_ones.scale)
             opened += 1
         else:
             sequence, (left, documents, parts) = found

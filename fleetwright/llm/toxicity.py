@@ -1,11 +1,10 @@
 """Toxicity by the nearest labelled examples.
 
-Learning, on a bounded sample of labelled rows: every word and word beginning in it
-is a term, and every example with a word is in the index. Examples become unit
-TF-IDF vectors over the terms, a term weighing more the further its presence goes
-with or against the label beyond chance (root of chi-square). They go into an
-inverted index whose example range is cut into blocks; for the terms many examples
-share the largest weight in each block is kept.
+Learning, on a bounded sample of labelled rows: every word in it is a term, and every
+example with a word is in the index. Examples become unit TF-IDF vectors over the terms,
+a term weighing more the further its presence goes with or against the label beyond
+chance (root of chi-square). They go into an inverted index whose example range is cut
+into blocks; for the terms many examples share the largest weight in each block is kept.
 
 Scoring: sums over the rarer terms' postings are exact, and with the block maxima of
 the others they bound what a block can reach. The blocks that can reach the k-th best
@@ -42,25 +41,23 @@ SAMPLE_ROWS = 12_000
 NEIGHBOURS, BLOCK_EXAMPLES = 15, 64
 THRESHOLD = 0.5
 _SEED = 5
-# Lengths of word beginnings, in bytes, and what is stripped off a word.
-_BEGINNINGS, _EDGES = (5, 6, 7, 8), b".,;:!?\"'()[]|#*$%&<>"
+# What is stripped off a word.
+_EDGES = b".,;:!?\"'()[]|#*$%&<>"
 # The distance two equal vectors count as having, and the prior's weight in a vote.
 _NEAR, _PRIOR = 0.05, 0.5
 # A term in more than one of so many examples is kept by blocks; the others by postings.
 _COMMON = 16
-# Documents searched together; more than single precision can be wrong by; words a
-# worker remembers the terms of.
-_TOGETHER, _SLACK, _REMEMBERED = 128, 1e-5, 100_000
-
-
-def word_terms(word: bytes) -> list[bytes]:
-    """The word without marks at its edges, and its beginnings, marked as such."""
-    word = word.strip(_EDGES)
-    return [word, *(b"^" + word[:n] for n in _BEGINNINGS if len(word) > n)] if word else []
+# Documents whose vectors are held together, those searched together; more than single precision can be wrong by.
+SLICE_ROWS, _TOGETHER, _SLACK = 512, 128, 1e-5
 
 
 def words(text: bytes) -> Counter:
-    return Counter(text.lower().split())
+    """The words of a text, without marks at their edges, and how often each is there."""
+    found = Counter()
+    for word, n in Counter(text.lower().split()).items():
+        if bare := word.strip(_EDGES):
+            found[bare] += n
+    return found
 
 
 # ---- index ------------------------------------------------------------------
@@ -267,33 +264,14 @@ def _unpacked(packed: bytes, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 class Vectors:
-    """Unit vectors of texts by the weights of the terms; remembers which terms a word has.
-
-    A word's terms all begin as the word does, so a look at its first bytes passes
-    over words that have none.
-    """
+    """Unit vectors of texts by the weights of the terms."""
 
     def __init__(self, terms: dict[bytes, int], idf: np.ndarray):
         self.terms, self.idf = terms, idf
-        self.heads = frozenset(t.removeprefix(b"^")[:_BEGINNINGS[0]] for t in terms)
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def numbers(self, word: bytes) -> tuple[int, ...]:
-        if word.strip(_EDGES)[:_BEGINNINGS[0]] not in self.heads:
-            return ()
-        return tuple([n for t in word_terms(word) if (n := self.terms.get(t)) is not None])
 
     def counts(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the text's terms, ascending, and how often each is there."""
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        known, counts = self.known, {}
-        for word, n in words(text).items():
-            numbers = known.get(word)
-            if numbers is None:
-                numbers = known[word] = self.numbers(word)
-            for number in numbers:
-                counts[number] = counts.get(number, 0) + n
+        counts = {number: n for word, n in words(text).items() if (number := self.terms.get(word)) is not None}
         terms = np.fromiter(counts, np.int32, len(counts))
         order = np.argsort(terms)
         return terms[order], np.fromiter(counts.values(), np.int32, len(counts))[order]
@@ -338,7 +316,7 @@ def _term_counts(sample: DataFrame) -> DataFrame:
         rows, toxic = Counter(), Counter()
         for batch in in_slices(batches):
             for text, label in zip(byte_texts(batch.column("text")), batch.column("toxic").to_pylist()):
-                terms = {t for word in words(text) for t in word_terms(word)}
+                terms = words(text).keys()
                 rows.update(terms)
                 if label > 0:
                     toxic.update(terms)
@@ -460,8 +438,11 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFram
         model.curve = curve
         vectors = Vectors(model.terms, model.idf)
         for texts in parts:
-            found = model.scores(vectors, [t.encode() for t in texts])
-            yield pd.Series([score for score, _ in found], dtype="float64")
+            found = []
+            for start in range(0, len(texts), SLICE_ROWS):
+                some = [t.encode() for t in texts.iloc[start:start + SLICE_ROWS]]
+                found += [score for score, _ in model.scores(vectors, some)]
+            yield pd.Series(found, dtype="float64")
 
     return docs.filter(score(F.coalesce(F.col(text), F.lit(""))) < THRESHOLD)
 

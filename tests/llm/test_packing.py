@@ -16,7 +16,6 @@ from fleetwright.llm.tokens import Encoder, vocabulary_path
 
 def plain_ids(name, texts):
     tokenizer = Tokenizer.from_file(vocabulary_path(name))
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
@@ -35,7 +34,6 @@ ENCODERS, TOKENIZERS = {}, {}
 def plain_ids_cached(name, texts):
     if name not in TOKENIZERS:
         TOKENIZERS[name] = Tokenizer.from_file(vocabulary_path(name))
-        TOKENIZERS[name].encode_special_tokens = True
     return [TOKENIZERS[name].encode(t, add_special_tokens=False).ids for t in texts]
 
 
@@ -74,10 +72,10 @@ def test_query_places_every_token_once(spark, testdata):
 def plain_choice(rooms, item, capacity):
     """The best open sequence by looking at all of them."""
     lt, ld, _ = capacity.limits()
-    parts = packing._COST_PARTS
+    parts = capacity.cost or packing._COST_PARTS
     best = None
     for number, (t, d, c) in enumerate(rooms):
-        if t >= item[0] and d >= 1 and c >= item[1]:
+        if t >= item[0] and d >= 1 and (capacity.cost is None or c >= item[1]):
             if capacity.rule == "norm":
                 value = sum(w * x * x for w, x in zip(capacity.weights, (
                     (t - item[0]) / lt, (d - 1) / ld, (c - item[1]) / parts)))
@@ -91,17 +89,17 @@ def plain_choice(rooms, item, capacity):
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=60), st.sampled_from(["norm", "dot"]),
-       st.sampled_from([None, 3]), st.sampled_from([None, 1500]))
+       st.sampled_from([None, 3]), st.sampled_from([None, 4096, 4500]))
 def test_choice_is_the_best_of_all(lengths, rule, documents, cost):
-    capacity = Capacity(64, documents, cost and 4096, (1.0, 0.3, 0.2), rule)
+    capacity = Capacity(64, documents, cost, (1.0, 0.3, 0.2), rule)
     sequences, offsets = best_fit(np.array(lengths, dtype=np.int64), capacity)
     most_tokens, most_documents, most_cost = capacity.limits()
     rooms, numbers = [], {}
     for item in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
-        need = lengths[item], min(-(-lengths[item] ** 2 * packing._COST_PARTS // most_cost), packing._COST_PARTS)
+        need = lengths[item], lengths[item] ** 2 if cost else lengths[item] ** 2 * packing._COST_PARTS // most_cost
         best = plain_choice(rooms, need, capacity)
         if best is None:
-            rooms.append([most_tokens, most_documents, packing._COST_PARTS])
+            rooms.append([most_tokens, most_documents, cost or packing._COST_PARTS])
             numbers[sequences[item]] = len(rooms) - 1
             chosen = len(rooms) - 1
         else:
@@ -154,3 +152,27 @@ def test_groups_are_packed_apart(spark, monkeypatch, rows):
         ends[r.sequence_id].append((r.offset, r.offset + r.length))
     assert sum(map(len, ends.values())) == 40
     assert all(a[1] == b[0] for places in ends.values() for a, b in zip(sorted(places), sorted(places)[1:]))
+
+
+def test_strings_of_added_tokens_are_those_tokens():
+    text = "hello <|endoftext|> world <|startoftext|> a"
+    plain = Encoder(vocabulary_path("word_bpe_49k.json"), False, plain_specials=True)
+    usual = Encoder(vocabulary_path("word_bpe_49k.json"), False)
+    assert np.frombuffer(usual.encode([text])[0], "<u4").tolist() == [3306, 49407, 1002, 49406, 320]
+    assert len(plain.encode([text])[0]) == 4 * 16
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_small_pieces_fill_whole_sequences(rule):
+    for lengths in ([1] * 1024, [3] * 300 + [1] * 124, [1000] + [1] * 24, [1] * 3000):
+        sequences, _ = best_fit(np.array(lengths), Capacity(rule=rule))
+        assert len(set(sequences.tolist())) == -(-sum(lengths) // 1024)
+
+
+def test_a_stated_cost_is_kept_exactly():
+    lengths = np.random.default_rng(4).integers(1, 200, 400)
+    sequences, _ = best_fit(lengths, Capacity(cost=40_000))
+    for sequence in set(sequences.tolist()):
+        assert (lengths[sequences == sequence] ** 2).sum() <= 40_000
+    # Two pieces whose squares are exactly the capacity share a sequence.
+    assert len(set(best_fit(np.array([120, 160]), Capacity(cost=40_000))[0].tolist())) == 1

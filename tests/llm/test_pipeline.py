@@ -42,14 +42,14 @@ def test_toxic_documents_go(spark, stages):
     labels = parquet_table(spark, folder, "labels").select("doc_id", "toxic")
     model = toxicity.learn(documents(spark, folder), toxicity.learning_rows(labels, 5, 0))
     vectors = toxicity.Vectors(model.terms, model.idf)
-    dense = np.zeros((model.index.size, len(model.terms)))
-    for term, (examples, weights) in enumerate(zip(model.index.examples, model.index.weights)):
-        dense[examples, term] = weights
+    index = model.index
+    dense = np.zeros((index.size, len(model.terms)))
+    dense[np.repeat(np.arange(index.size), index.sizes), index.terms] = index.values
     kept = set()
     for r in rows[0]:
         vector = vectors.of((r.text or "").encode())
         query = np.zeros(len(model.terms))
-        query[list(vector)] = list(vector.values())
+        query[vector[0]] = vector[1]
         cosines = dense @ query
         near = sorted(((-c, e) for e, c in enumerate(cosines) if c > 0))[:toxicity.NEIGHBOURS]
         score = model.plain_rate

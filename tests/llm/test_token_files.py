@@ -74,7 +74,6 @@ def test_query_against_the_tokenizer(spark, testdata):
     rows = sorted(QUERIES["op5_token_files"](spark, folder).collect(), key=lambda r: r.doc_id)
     docs = sorted(spark.read.parquet(f"{folder}/documents.parquet").collect(), key=lambda r: r.doc_id)
     tokenizer = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     start = 0
     assert len(rows) == len(docs)
     for r, d in zip(rows, docs):

@@ -77,7 +77,7 @@ def test_query_separates_held_out_documents(spark, testdata):
     score = np.array([rows[i].score for i in unseen])
     better = (score[truth == 1][:, None] > score[truth == 0]).mean()
     same = (score[truth == 1][:, None] == score[truth == 0]).mean()
-    assert better + same / 2 > 0.94
+    assert better + same / 2 > 0.98
     guess = score >= 0.5
     assert (guess & (truth == 0)).sum() <= 0.02 * (truth == 0).sum()
     assert (guess & (truth == 1)).sum() >= 0.8 * (truth == 1).sum()
@@ -128,7 +128,7 @@ def test_model_comes_back_whole():
 
     idf = np.array([1.0, 2.0, 1.5])
     rows = [(7, True, [0, 2], [1, 300]), (8, False, [1], [70_000]), (9, False, [], [])]
-    model = toxicity._model(toxicity.joined([b"a", b"^b", b"c"]), idf, [(*r[:2], *(np.array(x, np.int32) for x in r[2:])) for r in rows])
+    model = toxicity._model(toxicity.joined([b"a", b"b", b"c"]), idf, [(*r[:2], *(np.array(x, np.int32) for x in r[2:])) for r in rows])
     back = pickle.loads(pickle.dumps(model))
-    assert back.terms == model.terms == {b"a": 0, b"^b": 1, b"c": 2} and back.ids == model.ids
+    assert back.terms == model.terms == {b"a": 0, b"b": 1, b"c": 2} and back.ids == model.ids
     assert (back.index.terms == model.index.terms).all() and (back.index.values == model.index.values).all()
