@@ -1,6 +1,12 @@
-"""Byte-exact canonical JSON of a manifest: sorted keys, no blanks, ASCII only."""
+"""Byte-exact canonical JSON: sorted keys, no blanks, ASCII only.
 
-from pyspark.sql import Column, functions as F
+Two writers make the same text. `typed_json` goes by a column's type, `variant_json` by
+what a VARIANT holds, so that a document may have any fields, nested in any way. Keys are
+sorted as text, so "10" comes before "2". All within one row: the text of a document is
+bounded by the document.
+"""
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Text that needs no escape: printable ASCII without quote and backslash.
 _PLAIN = r"\A[ !#-\[\]-~]*\z"
@@ -9,6 +15,16 @@ _PLAIN = r"\A[ !#-\[\]-~]*\z"
 _SHORT_ESCAPES = [("\\", "\\\\"), ('"', '\\"'), ("\b", "\\b"), ("\f", "\\f"),
                   ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]
 
+# Levels of nesting that are written; Spark's expressions may not nest without end.
+LEVELS = 12
+# Stands for a value that cannot be written. No JSON text holds it, as it would be escaped.
+_UNWRITABLE = "\0"
+
+# Columns of a manifest record that are not part of the manifest, and the column that
+# holds the canonical text of one that came as a document.
+NOT_IN_MANIFEST = ("firmware_id", "signature_valid")
+DOCUMENT_JSON = "manifest_json"
+
 
 def _unit(code: Column) -> Column:
     return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
@@ -35,41 +51,156 @@ def json_string(text: Column) -> Column:
     return F.concat(F.lit('"'), body, F.lit('"'))
 
 
-def _member(name: str, value: Column) -> Column:
-    """`"name":value`, or NULL for an absent field."""
-    return F.concat(F.lit(f'"{name}":'), value)
+def json_float(number: Column) -> Column:
+    """The shortest decimal that reads back as the same double, with a point or an exponent."""
+    sixteen = F.format_string("%.15e", number)
+    fifteen = F.format_string("%.14e", number)
+    # Java's own text may have a digit more than needed; without it it may read back as well.
+    longest = F.format_string("%.16e", number)
+    cut = F.regexp_replace(longest, "[0-9]e", "e")
+    text = (
+        F.when(fifteen.try_cast("double") == number, fifteen)
+        .when(sixteen.try_cast("double") == number, sixteen)
+        .when(cut.try_cast("double") == number, cut).otherwise(longest)
+    )
+    sign = F.when(number < 0, "-").otherwise("")
+    digits = F.regexp_replace(F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)e", 1), r"\.", ""), "0+$", "")
+    digits = F.when(digits == "", "0").otherwise(digits)
+    exponent = F.regexp_extract(text, r"e([+-][0-9]+)$", 1).cast("int")
+    count = F.length(digits)
+    first, rest = F.substring(digits, 1, 1), F.substring(digits, F.lit(2), count)
+    # lpad and rpad would cut longer texts, which these conditions rule out.
+    whole = F.concat(F.rpad(digits, exponent + 1, "0"), F.lit(".0"))
+    inside = F.concat(F.substring(digits, F.lit(1), exponent + 1), F.lit("."), F.substring(digits, exponent + 2, count))
+    below = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    plain = F.when(exponent >= count - 1, whole).when(exponent >= 0, inside).otherwise(below)
+    wide = F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0"))
+    scientific = F.concat(
+        first, F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.when(exponent < 0, "e-").otherwise("e+"), wide)
+    return (
+        F.when(F.isnan(number), "NaN").when(F.abs(number) == float("inf"), F.concat(sign, F.lit("Infinity")))
+        .otherwise(F.concat(sign, F.when(exponent.between(-4, 15), plain).otherwise(scientific)))
+    )
+
 
+def _by_key(a: Column, b: Column) -> Column:
+    return F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+
+
+# ---- by type ----------------------------------------------------------------
 
 def _object(members: list[Column]) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*members)), ","), F.lit("}"))
 
 
-def _chunk_entry(key: Column, entry: Column) -> Column:
-    return F.concat(json_string(key), F.lit(":"), _object([
-        _member("hash", json_string(entry["hash"])),
-        _member("index", entry["index"].cast("string")),
-        _member("size", entry["size"].cast("string")),
-    ]))
+def typed_json(value: Column, kind: T.DataType) -> Column:
+    """JSON of a column of any type; NULL for NULL.
+
+    A NULL field of a struct is absent; a NULL in an array or map is `null`.
+    """
+    if isinstance(kind, T.StructType):
+        members = [
+            F.concat(json_string(F.lit(field.name)), F.lit(":"), typed_json(value[field.name], field.dataType))
+            for field in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), _object(members))
+    if isinstance(kind, T.MapType):
+        def member(entry: Column) -> Column:
+            inner = F.coalesce(typed_json(entry["value"], kind.valueType), F.lit("null"))
+            return F.concat(json_string(entry["key"].cast("string")), F.lit(":"), inner)
+
+        entries = F.map_entries(value)
+        # The plain sort needs values that have an order, but is much quicker.
+        ordered = F.array_sort(entries, _by_key) if _holds_variant(kind) else F.sort_array(entries)
+        return F.concat(F.lit("{"), F.array_join(F.transform(ordered, member), ","), F.lit("}"))
+    if isinstance(kind, T.ArrayType):
+        items = F.transform(value, lambda e: F.coalesce(typed_json(e, kind.elementType), F.lit("null")))
+        return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+    if isinstance(kind, T.VariantType):
+        return variant_json(value)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return json_float(value.cast("double"))
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        return value.cast("string")
+    if isinstance(kind, T.DecimalType):
+        return value.cast("string") if kind.scale == 0 else json_float(value.cast("double"))
+    return json_string(value.cast("string"))
+
+
+def _holds_variant(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_variant(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.MapType):
+        return True if isinstance(kind.valueType, T.MapType) else _holds_variant(kind.valueType)
+    if isinstance(kind, T.ArrayType):
+        return _holds_variant(kind.elementType)
+    return isinstance(kind, T.VariantType)
+
+
+# ---- by content -------------------------------------------------------------
+
+def _scalar(value: Column) -> Column:
+    """JSON of a variant that is neither object nor array."""
+    kind = F.schema_of_variant(value)
+    double = value.try_cast("double")
+    # A decimal without places that fits a long was written with a point, as integers come as longs.
+    whole = value.try_cast("decimal(38,0)")
+    is_long = whole.between(F.lit(-(1 << 63)).cast("decimal(38,0)"), F.lit((1 << 63) - 1).cast("decimal(38,0)"))
+    return (
+        F.when(kind == "STRING", json_string(value.try_cast("string")))
+        .when(kind == "BIGINT", value.try_cast("bigint").cast("string"))
+        .when(kind == "BOOLEAN", value.try_cast("boolean").cast("string"))
+        .when(kind == "VOID", "null")
+        .when(kind.rlike(r"^DECIMAL\(\d+,\s*0\)$") & ~is_long, whole.cast("string"))
+        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), json_float(double))
+    )
 
 
-def manifest_json(manifest_columns=F.col) -> Column:
-    """Canonical JSON of the manifest columns; absent (NULL) fields are left out.
+def _node(value: Column, levels: int) -> Column:
+    if levels < 0:
+        return F.lit(None).cast("string")
+    members = value.try_cast("map<string,variant>")
+    items = value.try_cast("array<variant>")
+    named = F.transform(F.array_sort(F.map_entries(members), _by_key),
+                        lambda e: F.struct(F.concat(json_string(e["key"]), F.lit(":")).alias("front"), e["value"].alias("value")))
+    plain = F.transform(items, lambda e: F.struct(F.lit("").alias("front"), e.alias("value")))
+    inner = F.transform(F.coalesce(named, plain), lambda e: F.concat(e["front"], _node(e["value"], levels - 1)))
+    open_, close = (F.when(members.isNotNull(), a).otherwise(b) for a, b in (("{", "["), ("}", "]")))
+    return F.coalesce(F.concat(open_, F.array_join(inner, ",", _UNWRITABLE), close), _scalar(value))
 
-    Entries are sorted by their key as text, so "10" comes before "2". Built
-    from one row: the JSON of a manifest is bounded by the manifest record.
+
+def variant_json(value: Column, levels: int = LEVELS) -> Column:
+    """JSON of whatever a VARIANT holds; NULL where it is nested deeper than `levels`.
+
+    Integers of any size up to 38 digits are written as they are, other numbers as the
+    shortest text of the double.
     """
-    col = manifest_columns
-    entries = F.sort_array(F.map_entries(col("chunks")))
-    chunks = F.concat(
-        F.lit("{"),
-        F.array_join(F.transform(entries, lambda e: _chunk_entry(e["key"], e["value"])), ","),
-        F.lit("}"),
-    )
-    return _object([
-        _member("algorithm", json_string(col("algorithm"))),
-        _member("chunks", chunks),
-        _member("device_model", json_string(col("device_model"))),
-        _member("firmware_version", json_string(col("firmware_version"))),
-        _member("total_chunks", col("total_chunks").cast("string")),
-        _member("total_size", col("total_size").cast("string")),
-    ])
+    text = _node(value, levels)
+    return F.when(~text.contains(_UNWRITABLE), text)
+
+
+def nesting(text: Column) -> Column:
+    """How deep objects and arrays of a JSON text are nested."""
+    outside = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', "")
+    brackets = F.regexp_extract_all(outside, F.lit(r"[\[\]{}]"), F.lit(0))
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(at: Column, bracket: Column) -> Column:
+        now = at["now"] + F.when(bracket.isin("{", "["), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(at["most"], now).alias("most"))
+
+    return F.aggregate(brackets, zero, step)["most"]
+
+
+# ---- manifests --------------------------------------------------------------
+
+def manifest_json(records: DataFrame) -> Column:
+    """Canonical JSON of each manifest record: of all its fields, but the columns that are
+    not part of it; absent (NULL) fields are left out. The canonical text of a manifest
+    that came as a document is taken as it is."""
+    if DOCUMENT_JSON in records.columns:
+        return F.col(DOCUMENT_JSON)
+    fields = [f for f in records.schema.fields if f.name not in NOT_IN_MANIFEST]
+    members = [
+        F.concat(json_string(F.lit(f.name)), F.lit(":"), typed_json(F.col(f"`{f.name}`"), f.dataType))
+        for f in sorted(fields, key=lambda f: f.name)]
+    return _object(members)

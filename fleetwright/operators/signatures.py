@@ -30,7 +30,7 @@ def load_public_key(path: str | None) -> pss.PublicKey | None:
 
 def manifest_digests(records: DataFrame) -> DataFrame:
     """(firmware_id, digest) of the canonical manifests, made within their rows."""
-    return records.select("firmware_id", F.unhex(F.sha2(manifest_json(), 256)).alias("digest"))
+    return records.select("firmware_id", F.unhex(F.sha2(manifest_json(records), 256)).alias("digest"))
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -44,33 +44,45 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(max(stated, spark.sparkContext.defaultParallelism), "firmware_id")
 
 
-def audit_signatures(records: DataFrame, signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
-    """(firmware_id, signature_valid, signature_error) of the records, by the
-    signatures in `signed` (firmware_id, signature).
+def _answers(records: DataFrame, signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
+    """(firmware_id, digest, signature_valid): one row per different manifest of an image.
 
-    Without a key every signature is invalid, and so is a missing signature. Of a
-    record only its digest meets its signature; the manifest stays where it is read.
+    Copies of a manifest meet first, and copies of a signature. A manifest is signed if one
+    of the signatures of its image is right for it. Of a record only its digest meets
+    signatures; the manifest stays where it is read.
     """
-    digests = manifest_digests(records)
+    digests = manifest_digests(records).distinct()
     if key is None:
-        return digests.select(
-            "firmware_id", F.lit(False).alias("signature_valid"),
-            F.lit(NO_PUBLIC_KEY).alias("signature_error"))
+        return digests.withColumn("signature_valid", F.lit(False))
 
     @F.pandas_udf(BooleanType())
     def valid(digests: pd.Series, signatures: pd.Series) -> pd.Series:
         return pd.Series([d is not None and s is not None and pss.verify(key, d, s)
                           for d, s in zip(digests, signatures)], dtype=bool)
 
-    rows = spread(digests.join(signed.select("firmware_id", "signature"), "firmware_id", "left"))
-    checked = rows.select("firmware_id", valid("digest", "signature").alias("signature_valid"))
-    return checked.withColumn("signature_error", F.when(~F.col("signature_valid"), BAD_SIGNATURE))
+    rows = spread(digests.join(signed.select("firmware_id", "signature").distinct(), "firmware_id", "left"))
+    checked = rows.select("firmware_id", "digest", valid("digest", "signature").alias("signature_valid"))
+    return checked.groupBy("firmware_id", "digest").agg(F.bool_or("signature_valid").alias("signature_valid"))
+
+
+def audit_signatures(records: DataFrame, signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
+    """(firmware_id, signature_valid, signature_error): one answer per image of the records,
+    by the signatures in `signed` (firmware_id, signature).
+
+    Without a key every signature is invalid, and so is a missing one. Of several
+    manifests of an image all must be signed.
+    """
+    image = _answers(records, signed, key).groupBy("firmware_id").agg(F.bool_and("signature_valid").alias("signature_valid"))
+    error = F.lit(NO_PUBLIC_KEY if key is None else BAD_SIGNATURE)
+    return image.withColumn("signature_error", F.when(~F.col("signature_valid"), error))
 
 
 def signature_verdicts(records: DataFrame, signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
-    """(firmware_id, signature_valid): the audit as `firmware_verdicts` takes it.
+    """(firmware_id, manifest_digest, signature_valid): the audit as `firmware_verdicts` takes it,
+    an answer for what was signed.
 
     Runs a job: verdicts and errors both read it, so the audit, one boolean per
-    image, is checkpointed rather than computed again each time.
+    manifest, is checkpointed rather than computed again each time.
     """
-    return cut_lineage(audit_signatures(records, signed, key).select("firmware_id", "signature_valid"))
+    digest = F.lower(F.hex("digest")).alias("manifest_digest")
+    return cut_lineage(_answers(records, signed, key).select("firmware_id", digest, "signature_valid"))

@@ -55,7 +55,9 @@ def update_errors(targets: DataFrame, verdicts: DataFrame, errors: DataFrame) ->
     """
     hit = targets.groupBy("firmware_id").agg(F.count("*").alias("device_count"))
     found = errors.join(hit, "firmware_id").select("firmware_id", "position", "message", "device_count")
-    missing = hit.join(verdicts.select("firmware_id"), "firmware_id", "left_anti").select(
+    # The verdict itself is asked for, which comes from the plan that the errors come from.
+    judged = hit.join(verdicts.select("firmware_id", "verdict"), "firmware_id", "left")
+    missing = judged.filter(F.col("verdict").isNull()).select(
         "firmware_id", F.lit(0).cast("bigint").alias("position"), F.lit(NO_IMAGE).alias("message"),
         "device_count")
     return found.unionByName(missing)

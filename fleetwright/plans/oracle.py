@@ -359,6 +359,21 @@ ORACLE: dict[str, str] = {
                  || '","total_chunks":' || total_chunks || ',"total_size":' || total_size || '}' AS manifest_json
           FROM manifest LEFT JOIN part USING (firmware_id))""", """
         SELECT firmware_id, manifest_json, sha256(manifest_json) AS manifest_digest FROM document"""),
+    "manifest_canonical": _sql(CHUNK, """
+        part AS (
+          SELECT firmware_id, string_agg(
+                   '"' || chunk_index || '":{"hash":"' || hash || '","index":' || chunk_index
+                   || ',"size":' || size || '}', ',' ORDER BY chunk_index::varchar) AS chunks
+          FROM hashed GROUP BY 1)""", r"""
+        document AS (
+          SELECT firmware_id, '{"algorithm":"' || algorithm || '","chunks":{' || coalesce(chunks, '')
+                 || '},"device_model":"' || device_model || '","firmware_version":"' || firmware_version
+                 || '","release":{"build":{"number":' || total_size || ',"ratio":' || (total_size / 8.0::double)
+                 || ',"signed":true},"channels":[null,"' || firmware_version || '"],"notes":"' || device_model
+                 || ' \u2013 \u00fcn\u00ef \"code\" \ud83d\ude00\n' || firmware_version
+                 || '"},"total_chunks":' || total_chunks || ',"total_size":' || total_size || '}' AS manifest_json
+          FROM manifest LEFT JOIN part USING (firmware_id))""", """
+        SELECT firmware_id, manifest_json, sha256(manifest_json) AS manifest_digest FROM document"""),
     "manifest_structure_check": _sql(FAULTY, """
         SELECT firmware_id, CASE WHEN NOT has_chunks THEN 'Manifest missing ''chunks'' field'
                                  WHEN total_chunks IS NULL THEN 'Manifest missing ''total_chunks'' field'
@@ -388,6 +403,11 @@ ORACLE: dict[str, str] = {
     "firmware_verdict": _sql(FAULTY, "SELECT firmware_id, verdict, error_count FROM counted"),
     "firmware_verdict_landed": _sql(LANDED, "SELECT firmware_id, verdict, error_count FROM counted"),
     "firmware_verdict_signed": _sql(FAULTY, "SELECT firmware_id, verdict, error_count FROM counted"),
+    "firmware_verdict_contested": _sql(FAULTY, """
+        SELECT firmware_id, CASE firmware_id % 20 WHEN 10 THEN 'CONFLICTING_MANIFESTS' ELSE verdict END AS verdict,
+               CASE firmware_id % 20 WHEN 10 THEN 1 ELSE error_count END AS error_count
+        FROM counted"""),
+    "firmware_verdict_documents": _sql(FAULTY, "SELECT firmware_id, verdict, error_count FROM counted"),
     "verdict_counts": _sql(FAULTY, "SELECT verdict, count(*) AS firmware_count FROM verdict GROUP BY 1"),
     "signature_audit": """
         SELECT doc_id AS firmware_id, doc_id % 20 NOT IN (5, 7, 9, 11) AS signature_valid,
@@ -417,6 +437,8 @@ ORACLE: dict[str, str] = {
                     WHEN verdict IS NULL OR verdict = 'MALFORMED_MANIFEST' THEN update_status
                     ELSE 'SECURITY_HOLD' END AS update_status
         FROM fleet LEFT JOIN verdict ON firmware_id = home"""),
+    "image_stream_verdict": _sql(FAULTY, """
+        SELECT firmware_id, verdict, error_count FROM counted WHERE firmware_id IN (SELECT firmware_id FROM received)"""),
     "chunk_stream_verify": _sql(FAULTY, """
         SELECT DISTINCT r.firmware_id, r.chunk_index, r.actual_hash, e.expected_hash,
                CASE WHEN e.chunk_key IS NULL THEN 'MISSING_IN_MANIFEST'

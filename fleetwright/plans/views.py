@@ -30,6 +30,9 @@ BAD_SIGNAL = -999
 BAD_VOLTAGE = "UNKNOWN"
 # ---- end of fixed values ----------------------------------------------------
 
+# What a forger delivers, and lists in a manifest of their own.
+FORGED_CHUNK = "forged"
+
 
 # ---- fleet ------------------------------------------------------------------
 
@@ -199,6 +202,39 @@ def faulty_manifests(spark: SparkSession, folder: str) -> DataFrame:
     })
 
 
+def contested_manifests(spark: SparkSession, folder: str) -> DataFrame:
+    """`faulty_manifests`, some of them published twice by firmware number modulo 20:
+    3 as a copy, 10 with another first hash, that of the chunk delivered in its place."""
+    records = faulty_manifests(spark, folder)
+    fault = F.col("firmware_id") % 20
+    altered = F.sha2(F.lit(FORGED_CHUNK), 256)
+    forged = records.filter(fault.isin(3, 10)).withColumns({
+        "chunks": F.when(fault == 10, _first_entry(lambda v: v.withField("hash", altered))).otherwise(F.col("chunks")),
+        "total_size": F.col("total_size") + F.when(fault == 10, 1).otherwise(0),
+    })
+    return records.union(forged)
+
+
+def contested_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """`faulty_chunks`, and chunk 0 of the forged manifests' images in the forger's version."""
+    forged = (F.col("firmware_id") % 20 == 10) & (F.col("chunk_index") == 0)
+    return faulty_chunks(received_chunks(spark, folder)).withColumn(
+        "payload", F.when(forged, F.lit(FORGED_CHUNK).cast("binary")).otherwise(F.col("payload")))
+
+
+def published_documents(records: DataFrame) -> DataFrame:
+    """(firmware_id, document): the manifests as JSON documents, their fields in no order, with
+    fields that the verification does not know."""
+    model, version = F.col("device_model"), F.col("firmware_version")
+    release = F.struct(
+        F.concat(model, F.lit(" \u2013 \u00fcn\u00ef \"code\" \U0001f600\n"), version).alias("notes"),
+        F.array(F.lit(None).cast("string"), version).alias("channels"),
+        F.struct(F.lit(True).alias("signed"), (F.col("total_size") / 8).alias("ratio"),
+                 F.col("total_size").alias("number")).alias("build"))
+    fields = ["total_size", release.alias("release"), "firmware_version", "chunks", "device_model", "total_chunks", "algorithm"]
+    return records.select("firmware_id", F.to_json(F.struct(*fields)).alias("document"))
+
+
 def received_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """(firmware_id, chunk_index, payload) as sent."""
     return firmware.chunk_images(images(spark, folder), CHUNK_SIZE)

@@ -34,6 +34,7 @@ CORRUPT_TYPE = "CORRUPT_TYPE"
 OUT_OF_RANGE = "OUT_OF_RANGE"
 
 # Firmware verdicts, in the order the stages are checked.
+CONFLICTING_MANIFESTS = "CONFLICTING_MANIFESTS"
 SIGNATURE_FAILED = "SIGNATURE_FAILED"
 STRUCTURE_ERROR = "STRUCTURE_ERROR"
 COUNT_MISMATCH = "COUNT_MISMATCH"
@@ -41,7 +42,7 @@ MALFORMED_MANIFEST = "MALFORMED_MANIFEST"
 CHUNK_ERROR = "CHUNK_ERROR"
 SEQUENCE_ERROR = "SEQUENCE_ERROR"
 OK = "OK"
-VIOLATIONS = [SIGNATURE_FAILED, STRUCTURE_ERROR, COUNT_MISMATCH, CHUNK_ERROR, SEQUENCE_ERROR]
+VIOLATIONS = [CONFLICTING_MANIFESTS, SIGNATURE_FAILED, STRUCTURE_ERROR, COUNT_MISMATCH, CHUNK_ERROR, SEQUENCE_ERROR]
 
 FLEET = T.StructType([
     T.StructField("device_id", T.StringType(), False),

@@ -8,7 +8,7 @@ and a batch reads the folders its chunks fall into, there only the range of its
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from fleetwright.operators.firmware import delivered_hashes, match_chunks
+from fleetwright.operators.firmware import HEADS, delivered_hashes, match_chunks
 
 IMAGES_PER_FOLDER = 10_000
 # A landed file is read however much older than the newest one it is.
@@ -33,19 +33,36 @@ def save_entries(entries: DataFrame, path: str, images: int = IMAGES_PER_FOLDER)
     )
 
 
-def entries_of(batch: DataFrame, path: str, images: int = IMAGES_PER_FOLDER) -> DataFrame:
-    """The stored entries among which those of the batch's images are.
+def _pruned(stored: DataFrame, batch: DataFrame, images: int) -> DataFrame:
+    """The rows of a table stored in folders of images among which those of the batch's images are.
 
-    One row per folder the batch falls into comes to the driver.
+    The numbers of the folders the batch falls into, and the range of its images, come to
+    the driver and prune folders and files before anything is read.
     """
     hit = batch.groupBy(image_folder(images).alias("folder")).agg(
-        F.min("firmware_id").alias("low"), F.max("firmware_id").alias("high")).collect()
-    wanted = F.lit(False)
-    for folder, low, high in hit:
-        wanted = wanted | ((F.col("folder") == folder) & F.col("firmware_id").between(low, high))
+        F.min("firmware_id").alias("low"), F.max("firmware_id").alias("high")).filter("folder IS NOT NULL").collect()
+    if not hit:
+        return stored.filter("false").drop("folder")
+    # One list, read as SQL: a condition for each folder would nest without end.
+    listed = F.expr(f"folder IN ({', '.join(str(row['folder']) for row in hit)})")
+    within = F.col("firmware_id").between(min(row["low"] for row in hit), max(row["high"] for row in hit))
+    return stored.filter(listed & within).drop("folder")
+
+
+def entries_of(batch: DataFrame, path: str, images: int = IMAGES_PER_FOLDER) -> DataFrame:
+    """The stored entries among which those of the batch's images are."""
     stored = batch.sparkSession.read.schema(
         "firmware_id bigint, chunk_index int, expected_hash string, folder bigint").parquet(path)
-    return stored.filter(wanted).drop("folder")
+    return _pruned(stored, batch, images)
+
+
+def save_heads(heads: DataFrame, path: str, images: int = IMAGES_PER_FOLDER) -> None:
+    """Store `firmware.manifest_heads`, a folder for every `images` image numbers."""
+    (
+        heads.withColumn("folder", image_folder(images)).repartitionByRange("firmware_id")
+        .sortWithinPartitions("folder", "firmware_id")
+        .write.mode("errorifexists").partitionBy("folder").parquet(path)
+    )
 
 
 def chunk_stream(
@@ -81,17 +98,25 @@ def new_hashes(chunks: DataFrame, late: str = "1 hour") -> DataFrame:
 
 def verify_available(
     hashes: DataFrame, entries_path: str, results_path: str, checkpoint: str, images: int = IMAGES_PER_FOLDER,
+    heads_path: str | None = None,
 ) -> None:
     """Check what has arrived since the last call, store the results, and return.
 
-    Runs the stream. Each micro-batch fills a folder of its own, and fills it
-    anew when it is repeated after a failure, so every chunk appears once.
+    Runs the stream. Each micro-batch fills a folder of its own; when it is repeated after a
+    failure a folder that was filled stays as it is, so every chunk appears once. With
+    `heads_path` a row also has `arrived_at` and what `image_verify` needs of its image.
     """
     def check(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.drop("arrived_at").persist()
+        path = f"{results_path}/batch={batch_id}"
+        if _complete(batch.sparkSession, path):
+            return
+        batch = (batch if heads_path else batch.drop("arrived_at")).persist()
         try:
             results = match_chunks(batch, entries_of(batch, entries_path, images))
-            results.write.mode("overwrite").parquet(f"{results_path}/batch={batch_id}")
+            if heads_path:
+                stored = batch.sparkSession.read.schema(f"{HEADS}, folder bigint").parquet(heads_path)
+                results = results.join(_pruned(stored, batch, images), "firmware_id", "left")
+            results.write.mode("overwrite").parquet(path)
         finally:
             batch.unpersist()
 
@@ -102,3 +127,9 @@ def verify_available(
         .start()
     )
     query.awaitTermination()
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to the end."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
 from pyspark.sql import functions as F
 
-from fleetwright.functions.canonical_json import json_string
+from fleetwright.functions.canonical_json import json_float, json_string
 from fleetwright.operators import firmware
 from fleetwright.schemas import MANIFEST
 from tests.firmware_cases import CASES, manifest, sha, tables
@@ -248,3 +248,139 @@ def test_all_errors_of_a_huge_image_are_kept(spark):
     top = firmware.first_errors(errors).collect()
     assert [r["firmware_id"] for r in top] == [1000]
     assert [m.split(":")[0] for m in top[0]["errors"]] == ["Chunk 0", "Chunk 1", "Chunk 2"]
+
+
+# ---- manifests that come twice ----------------------------------------------
+
+def _forged(record, chunk, **changes):
+    """The record with another hash for chunk 0."""
+    entry = {**record["chunks"]["0"], "hash": sha(chunk)}
+    return {**record, "chunks": {**record["chunks"], "0": entry}, **changes}
+
+
+TRUE = manifest([b"one", b"two"])
+PAIRS = {
+    "a copy": ([TRUE, TRUE], [b"one", b"two"], "OK"),
+    "a copy and a bad chunk": ([TRUE, TRUE], [b"ONE", b"two"], "CHUNK_ERROR"),
+    "forged, the forged chunk delivered": ([TRUE, _forged(TRUE, b"ONE")], [b"ONE", b"two"], "CONFLICTING_MANIFESTS"),
+    "forged, the true chunk delivered": ([TRUE, _forged(TRUE, b"ONE")], [b"one", b"two"], "CONFLICTING_MANIFESTS"),
+    "another size only": ([TRUE, {**TRUE, "total_size": 7}], [b"one", b"two"], "CONFLICTING_MANIFESTS"),
+    "another model only": ([TRUE, {**TRUE, "device_model": "x"}], [b"one", b"two"], "CONFLICTING_MANIFESTS"),
+    "one without chunks": ([TRUE, {**TRUE, "chunks": None}], [b"one", b"two"], "CONFLICTING_MANIFESTS"),
+    "three": ([TRUE, TRUE, _forged(TRUE, b"ONE")], [b"ONE", b"two"], "CONFLICTING_MANIFESTS"),
+}
+
+
+@pytest.mark.parametrize("answers", ["column", "by image", "by digest"])
+def test_manifests_that_come_twice(spark, answers):
+    records = spark.createDataFrame(
+        [{"firmware_id": n, **record} for n, (records, _, _) in enumerate(PAIRS.values()) for record in records], MANIFEST)
+    received = spark.createDataFrame(
+        [(n, i, bytearray(c)) for n, (_, chunks, _) in enumerate(PAIRS.values()) for i, c in enumerate(chunks)],
+        "firmware_id long, chunk_index int, payload binary")
+    signatures = None
+    if answers == "column":
+        records = records.withColumn("signature_valid", F.lit(True))
+    elif answers == "by image":
+        signatures = records.select("firmware_id", F.lit(True).alias("signature_valid"))
+    else:
+        signatures = firmware.manifest_documents(records).select("firmware_id", "manifest_digest", F.lit(True).alias("signature_valid"))
+    rows = firmware.firmware_verdicts(records, received, signatures).collect()
+    assert [r["verdict"] for r in sorted(rows, key=lambda r: r["firmware_id"])] == [v for _, _, v in PAIRS.values()]
+    messages = firmware.firmware_errors(records, received, signatures=signatures).groupBy("firmware_id").count().collect()
+    assert {r[0]: r[1] for r in messages} == {r["firmware_id"]: r["error_count"] for r in rows if r["error_count"]}
+
+
+def test_an_answer_is_for_the_manifest_that_was_signed(spark):
+    """The true manifest is signed; what is verified is another one."""
+    images = spark.createDataFrame([(1, "v", "m", "x" * 700), (2, "v", "m", "y" * 700)], IMAGES + "string")
+    true = firmware.manifest_records(images)
+    answers = firmware.manifest_documents(true).select("firmware_id", "manifest_digest", F.lit(True).alias("signature_valid"))
+    other = true.withColumn("total_size", F.when(F.col("firmware_id") == 2, 1).otherwise(F.col("total_size")))
+    rows = firmware.firmware_verdicts(other, firmware.chunk_images(images), answers).collect()
+    assert {r["firmware_id"]: r["verdict"] for r in rows} == {1: "OK", 2: "SIGNATURE_FAILED"}
+    no = answers.withColumn("signature_valid", F.col("firmware_id") == 2)
+    both = firmware.firmware_verdicts(true, firmware.chunk_images(images), answers.union(no)).collect()
+    assert {r["firmware_id"]: r["verdict"] for r in both} == {1: "SIGNATURE_FAILED", 2: "OK"}
+
+
+RECORDS = st.lists(st.sampled_from([TRUE, _forged(TRUE, b"ONE"), {**TRUE, "total_size": 1}, {**TRUE, "total_chunks": 1}]),
+                   min_size=1, max_size=3)
+ARRIVING = st.lists(st.tuples(st.sampled_from([0, 0, 1, 2]), st.sampled_from([b"one", b"ONE", b"two"])), max_size=4)
+
+
+@hypothesis_settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(RECORDS, ARRIVING), min_size=80, max_size=80))
+def test_no_tampered_chunk_is_ever_ok(spark, cases):
+    """Whatever manifests and chunks arrive: one row per image, OK only for one manifest and its chunks."""
+    cases = [*cases, ([TRUE], [(0, b"one"), (1, b"two")])]
+    records = spark.createDataFrame(
+        [{"firmware_id": n, **record} for n, (records, _) in enumerate(cases) for record in records], MANIFEST)
+    received = spark.createDataFrame([(n, i, bytearray(c)) for n, (_, chunks) in enumerate(cases) for i, c in chunks],
+                                     "firmware_id long, chunk_index int, payload binary")
+    rows = firmware.firmware_verdicts(records.withColumn("signature_valid", F.lit(True)), received).collect()
+    assert sorted(r["firmware_id"] for r in rows) == list(range(len(cases)))
+    for row in rows:
+        manifests, chunks = cases[row["firmware_id"]]
+        first = manifests[0]
+        intact = all(m == first for m in manifests) and sorted(chunks) == sorted(
+            (i, next(c for c in (b"one", b"ONE", b"two") if sha(c) == first["chunks"][str(i)]["hash"])) for i in (0, 1)
+        ) and first["total_chunks"] == 2
+        assert (row["verdict"] == "OK") == intact
+
+
+# ---- documents ---------------------------------------------------------------
+
+VALUES = st.recursive(
+    st.one_of(st.none(), st.booleans(), st.integers(-2**62, 2**62), st.integers(10**20, 10**30),
+              st.floats(-1e15, 1e15).filter(lambda f: f != 0), st.text(st.characters(exclude_categories=["Cs"]), max_size=8)),
+    lambda inner: st.one_of(st.lists(inner, max_size=3), st.dictionaries(st.text("ab\"é10😀", max_size=3), inner, max_size=3)),
+    max_leaves=12)
+
+
+@hypothesis_settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.text("abé😀\n", max_size=3), VALUES, max_size=4), min_size=40, max_size=40))
+def test_documents_of_any_shape_are_byte_exact(spark, documents):
+    rows = spark.createDataFrame([(i, json.dumps(d, ensure_ascii=i % 2 == 0, indent=i % 3 or None)) for i, d in enumerate(documents)],
+                                 "firmware_id long, document string")
+    found = {r["firmware_id"]: r["manifest_json"] for r in firmware.records_of_documents(rows).collect()}
+    for i, document in enumerate(documents):
+        assert found[i] == json.dumps(document, sort_keys=True, separators=(",", ":"))
+
+
+def test_documents_as_records(spark):
+    record = manifest([b"one", b"two"])
+    extra = {"build": {"host": "h", "tags": ["a", None, 1.50]}, "é": True}
+    broken = {
+        1: record, 2: {**record, **extra}, 3: {k: v for k, v in record.items() if k != "chunks"}, 4: {**record, "chunks": [1]},
+        5: {**record, "total_chunks": "2"}, 6: {**record, "chunks": {**record["chunks"], "1": {"index": 1}}},
+        7: {**record, "chunks": {**record["chunks"], "x": {"hash": "h"}}}}
+    texts = {n: json.dumps(d) for n, d in broken.items()} | {8: "{", 9: '{"a": 1, "a": 2}', 10: None, 11: '{"a":' * 30 + "1" + "}" * 30}
+    rows = spark.createDataFrame(list(texts.items()), "firmware_id long, document string")
+    records = firmware.records_of_documents(rows)
+    canonical = {r["firmware_id"]: r["manifest_json"] for r in records.collect()}
+    for n, document in broken.items():
+        assert canonical[n] == json.dumps(document, sort_keys=True, separators=(",", ":"))
+    assert all(canonical[n] is None for n in (8, 9, 10, 11))
+    received = spark.createDataFrame([(n, i, bytearray(c)) for n in texts for i, c in enumerate([b"one", b"two"])],
+                                     "firmware_id long, chunk_index int, payload binary")
+    verdicts = firmware.firmware_verdicts(records.withColumn("signature_valid", F.lit(True)), received)
+    assert {r["firmware_id"]: r["verdict"] for r in verdicts.collect()} == {
+        1: "OK", 2: "OK", 3: "STRUCTURE_ERROR", 4: "STRUCTURE_ERROR", 5: "STRUCTURE_ERROR", 6: "MALFORMED_MANIFEST",
+        7: "MALFORMED_MANIFEST", **{n: "STRUCTURE_ERROR" for n in (8, 9, 10, 11)}}
+
+
+def test_records_with_more_fields_are_signed_with_them(spark):
+    record = manifest([b"x"]) | {"device_model": "m"}
+    df = spark.createDataFrame([{"firmware_id": 1, **record}], MANIFEST).withColumns({
+        "zone": F.lit(3), "build": F.struct(F.lit("é").alias("host"), F.array(F.lit(0.5), F.lit(1e20)).alias("ratios"))})
+    extra = record | {"zone": 3, "build": {"host": "é", "ratios": [0.5, 1e20]}}
+    expected = json.dumps(extra, sort_keys=True, separators=(",", ":"))
+    assert firmware.manifest_documents(df).first()["manifest_json"] == expected
+
+
+def test_floats_are_written_as_the_shortest_text(spark):
+    numbers = [0.0, 0.1, 1e16, 1e15, 123456789012345680.0, 1e-4, 1e-5, 5e-324, 1.7976931348623157e308, 2.0**-44, 1e23, -2.5, 1 / 3,
+               5.521910708222611e18]
+    rows = spark.createDataFrame([(n,) for n in numbers], "d double").select("d", json_float(F.col("d")).alias("j")).collect()
+    assert [r["j"] for r in rows] == [json.dumps(r["d"]) for r in rows]
