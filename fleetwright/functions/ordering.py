@@ -1,6 +1,5 @@
 """Global row numbers and ordered slices without a single-task sort."""
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetwright.session import cut_lineage
@@ -47,10 +46,10 @@ def ordered_slice(df: DataFrame, keys: list[str], limit: int, offset: int = 0) -
     The rows are dealt to range partitions, which are counted; only those that
     hold rows of the slice are sorted, so neither a deep page nor a long one
     passes through one task. Runs a job for the counts, one number per partition;
-    the dealt rows stay on the executors' disks for the second reading, and a lost
-    part of them is dealt again by the same ranges.
+    the dealt rows are checkpointed for the second reading. Where many pages are read of
+    one table, `sources.ranged` keeps it dealt.
     """
-    ranged = df.repartitionByRange(*keys).persist(StorageLevel.DISK_ONLY)
+    ranged = cut_lineage(df.repartitionByRange(*keys))
     part, position = _place()
     counts = sorted(ranged.groupBy(F.spark_partition_id().alias("part")).count().collect())
     first, before = {}, 0

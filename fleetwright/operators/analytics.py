@@ -113,3 +113,19 @@ def failure_rank(fleet: DataFrame, status: str = PARTIAL, weight: str | None = N
             F.rank().over(by_count).cast("bigint").alias("failure_rank"),
         )
     )
+
+
+def updated_counts(counts: DataFrame, log: DataFrame) -> DataFrame:
+    """(region, update_status, device_count) after a merge: `region_status_counts` from before it and its
+    log (region, before, update_status), without the fleet.
+
+    Every changed device leaves one group and enters another.
+    """
+    one = F.lit(1).cast("bigint")
+    moved = log.select("region", F.explode(F.array(
+        F.struct(F.col("before").alias("update_status"), (-one).alias("device_count")),
+        F.struct(F.col("update_status").alias("update_status"), one.alias("device_count")))).alias("_m")).select("region", "_m.*")
+    return (
+        counts.select("region", "update_status", "device_count").union(moved).groupBy("region", "update_status")
+        .agg(F.sum("device_count").alias("device_count")).filter(F.col("device_count") != 0)
+    )

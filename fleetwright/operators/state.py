@@ -1,6 +1,6 @@
 """Fleet state changes. Each returns the new fleet (or a report) as a DataFrame."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetwright.functions.columns import shard_of, shuffled_rank
 from fleetwright.functions.ordering import ordered_slice, with_row_index
@@ -60,30 +60,56 @@ def recovery_tally(report: DataFrame) -> DataFrame:
     )
 
 
-def last_status(changes: DataFrame, order: str | None = None) -> DataFrame:
-    """One change per device: the last by `order`.
+def _last_known(changes: DataFrame, order: str | None) -> DataFrame:
+    """(device_id, _known, _known_at): the last of the fleet's own statuses for each device.
 
-    Without an order the changes of one device have no last; they collapse to
-    the greatest status, so that a join on the result never multiplies rows.
-    Statuses are aggregated as their numbers in `STATUSES`: with an order that is
-    a number, Spark then combines by hash, before the shuffle and without a sort,
-    however often a device reports. A status that is none of them stops the job.
+    Aggregated as their numbers in `STATUSES`: with an order that is a number, Spark then
+    combines by hash, before the shuffle and without a sort, however often a device reports.
     """
     known = F.array(*[F.lit(s) for s in STATUSES])
-    number = F.array_position(known, F.col("status")).cast("int")
-    checked = F.when(number == 0, F.raise_error(F.concat(F.lit("no update status: "), "status")).cast("int")).otherwise(number)
-    numbered = changes.withColumn("_number", checked)
+    numbered = changes.filter(F.col("status").isin(STATUSES)).withColumn(
+        "_number", F.array_position(known, F.col("status")).cast("int"))
     pick = F.max("_number") if order is None else F.max_by("_number", order)
-    return numbered.groupBy("device_id").agg(pick.alias("_number")).select(
-        "device_id", F.get(known, F.col("_number") - 1).alias("status"))
+    at = F.lit(None).cast("int") if order is None else F.max(order)
+    return numbered.groupBy("device_id").agg(pick.alias("_number"), at.alias("_known_at")).select(
+        "device_id", F.get(known, F.col("_number") - 1).alias("_known"), "_known_at")
+
+
+def _last_other(changes: DataFrame, order: str | None) -> DataFrame:
+    """(device_id, _other, _other_at): the last status that is none of the fleet's own.
+
+    Reports of one device and text combine by hash first; what is left is ordered.
+    """
+    others = changes.filter(F.col("status").isNotNull() & ~F.col("status").isin(STATUSES))
+    at = F.lit(0) if order is None else F.col(order)
+    each = others.groupBy("device_id", F.col("status").alias("_other")).agg(F.max(at).alias("_other_at"))
+    last = Window.partitionBy("device_id").orderBy(F.desc("_other_at"), F.desc("_other"))
+    return each.withColumn("_n", F.row_number().over(last)).filter(F.col("_n") == 1).drop("_n")
+
+
+def _newer(order: str | None) -> Column:
+    """The later of the two; where both are as late, or nothing tells, the one that is not the fleet's own."""
+    if order is None:
+        return F.coalesce("_other", "_known")
+    return F.when(F.col("_other").isNull() | (F.col("_known_at") > F.col("_other_at")), F.col("_known")).otherwise(F.col("_other"))
+
+
+def last_status(changes: DataFrame, order: str | None = None) -> DataFrame:
+    """(device_id, status): one change per device, the last by `order`.
+
+    Any text may be a status; a NULL one is no change. Without an order the changes of one
+    device have no last; they collapse to the greatest status, so that a join on the result never
+    multiplies rows.
+    """
+    met = _last_known(changes, order).join(_last_other(changes, order), "device_id", "full_outer")
+    return met.select("device_id", _newer(order).alias("status"))
 
 
 def apply_status(fleet: DataFrame, changes: DataFrame, order: str | None = None) -> DataFrame:
     """Set the status of the listed devices; ids the fleet does not know change nothing."""
-    latest = last_status(changes, order)
     return (
-        fleet.join(latest, "device_id", "left")
-        .withColumn("update_status", F.coalesce("status", "update_status"))
+        fleet.join(_last_known(changes, order), "device_id", "left").join(_last_other(changes, order), "device_id", "left")
+        .withColumn("update_status", F.coalesce(_newer(order), "update_status"))
         .select(*fleet.columns)
     )
 
@@ -127,9 +153,29 @@ def key_violations(fleet: DataFrame, key: str = "device_id") -> DataFrame:
     return rows.filter((F.col("row_count") > 1) | F.col(key).isNull())
 
 
+# Sample ranks are numbers below this.
+_RANKS = 1 << 60
+
+
+def sample_candidates(keys: DataFrame, n: int, seed, key: str, rows: int) -> DataFrame:
+    """Keys with a rank below the bound that, of `rows` of them, some more than `n` have; no shuffle.
+
+    A rank is a hash of the key, so a key is in or not wherever it is read.
+    """
+    wanted = n + 8 * int(n ** 0.5) + 32
+    bound = _RANKS if wanted >= rows else _RANKS * wanted // rows
+    rank = F.conv(F.substring(shuffled_rank(F.col(key), seed), 1, 15), 16, 10).cast("bigint")
+    return keys.select(key, rank.alias("_rank")).filter(F.col("_rank") < F.lit(bound).cast("bigint"))
+
+
 def _sampled_keys(keys: DataFrame, n: int, seed, key: str) -> DataFrame:
-    ranked = keys.select(key, shuffled_rank(F.col(key), seed).alias("_rank"))
-    return ordered_slice(ranked, ["_rank", key], n).select(key)
+    """The `n` keys of the lowest ranks. Only keys below a bound are moved, a few more than `n`;
+    should there be fewer, which is next to impossible, all are."""
+    rows = keys.agg(F.count(key)).first()[0]
+    few = sample_candidates(keys, n, seed, key, rows)
+    if few.count() < min(n, rows):
+        few = sample_candidates(keys, rows, seed, key, rows)
+    return ordered_slice(few, ["_rank", key], n).select(key)
 
 
 def sample_exact_n(
@@ -138,8 +184,8 @@ def sample_exact_n(
     """Exactly `n` devices (or all, if fewer), every one equally likely.
 
     Keys are drawn first, from the key column alone; the rows follow by semi-join.
-    `keys` may give the fleet's keys from a cheaper source than the fleet. Runs a
-    job, see `ordered_slice`.
+    `keys` may give the fleet's keys from a cheaper source than the fleet. Runs jobs
+    that count, see `ordered_slice`.
     """
     return fleet.join(_sampled_keys(fleet if keys is None else keys, n, seed, key), key, "left_semi")
 

@@ -6,6 +6,7 @@ text, so that any SQL engine can compare them.
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -13,7 +14,7 @@ from fleetwright.operators import analytics, firmware, quality, signatures, stat
 from fleetwright.plans import signing, views
 from fleetwright.schemas import CHUNK_SIZE, FLEET, PARTIAL, RECOVERY_ACTIONS
 from fleetwright.session import scratch_path
-from fleetwright.sources import sinks, tables
+from fleetwright.sources import ranged, sinks, tables
 from fleetwright.streaming import chunk_verify, image_verify
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,7 @@ SHARDS = 4
 SAMPLE_ROWS, SAMPLE_SEED = 50, 7
 MIN_ROWS = 10_000
 IMAGES_PER_FOLDER = 100
+ID_FOLDERS = 16
 EVENT_TIME = "2024-01-01 00:00:00"
 FAR_LATER = "2100-01-01 00:00:00"
 
@@ -111,6 +113,42 @@ def fleet_replaced(spark, folder):
     return spark.table(name)
 
 
+def status_update_any(spark, folder):
+    """`status_update_by_key` of a feed that also reports statuses the fleet does not have."""
+    return state.apply_status(views.fleet(spark, folder), views.mixed_feed(spark, folder), order="reported_at")
+
+
+def recovery_pages(spark, folder):
+    """The pages of all shards from one index; each reads the folders it lies in."""
+    path = scratch_path(spark, "partial_ids")
+    partial = views.devices(spark, folder).filter(F.col("update_status") == PARTIAL).select("device_id")
+    ranged.save_ranged(partial, path, "device_id", ID_FOLDERS)
+    pages = [ranged.read_page(spark, path, "device_id", PAGE_ROWS, n * PAGE_ROWS).select(
+        F.lit(n).cast("bigint").alias("page"), "device_id") for n in range(SHARDS)]
+    return reduce(DataFrame.unionByName, pages)
+
+
+def _merged(spark, folder):
+    """A stored fleet after three change sets, one after the other, and the counts kept up by their logs."""
+    path = scratch_path(spark, "ranged_fleet")
+    ranged.save_ranged(views.fleet(spark, folder), path, "device_id", ID_FOLDERS)
+    counts = analytics.region_status_counts(views.regional_status(spark, folder), weight="devices")
+    feed = views.status_feed(spark, folder)
+    line = F.shiftright(F.col("reported_at") % (1 << 20), 1)
+    for n in range(3):
+        log = ranged.merge_status(spark, path, feed.filter(line % 3 == n), n, order="reported_at")
+        counts = analytics.updated_counts(counts, log)
+    return path, counts
+
+
+def fleet_merged(spark, folder):
+    return ranged.read_ranged(spark, _merged(spark, folder)[0])
+
+
+def region_status_counts_kept(spark, folder):
+    return _merged(spark, folder)[1]
+
+
 # ---- data quality -----------------------------------------------------------
 
 def corruption_classify(spark, folder):
@@ -381,7 +419,11 @@ QUERIES: dict[str, Query] = {
     "recovery_shard_report": recovery_shard_report,
     "recovery_tally": recovery_tally,
     "status_update_by_key": status_update_by_key,
+    "status_update_any": status_update_any,
     "security_hold": security_hold,
+    "recovery_pages": recovery_pages,
+    "fleet_merged": fleet_merged,
+    "region_status_counts_kept": region_status_counts_kept,
     "fleet_replaced": fleet_replaced,
     "batch_ledger": batch_ledger,
     "batch_assignment": batch_assignment,

@@ -220,6 +220,16 @@ report AS (
   LEFT JOIN (SELECT {_SHARD} AS shard_id, count(*) AS found
              FROM device WHERE update_status = 'Partial' GROUP BY 1) f USING (shard_id))"""
 
+# Three change sets in turn, by line number: the last one that names a device counts.
+_THREE_SETS = f"""
+last_word AS (
+  SELECT device_id, status FROM feed
+  QUALIFY row_number() OVER (PARTITION BY device_id
+    ORDER BY l_linenumber % 3 DESC, l_shipdate DESC, l_linenumber DESC, l_linestatus DESC) = 1),
+merged AS (
+  SELECT {_FLEET_COLUMNS}, coalesce(status, update_status) AS update_status
+  FROM fleet LEFT JOIN last_word USING (device_id))"""
+
 ORACLE: dict[str, str] = {
     "fleet_projection": _sql(FLEET, f"SELECT {_FLEET_COLUMNS}, update_status FROM fleet"),
     "failure_rank": _sql(FLEET, """
@@ -287,6 +297,20 @@ ORACLE: dict[str, str] = {
             PARTITION BY device_id ORDER BY l_shipdate DESC, l_linenumber DESC, l_linestatus DESC) = 1)""", f"""
         SELECT {_FLEET_COLUMNS}, coalesce(status, update_status) AS update_status
         FROM fleet LEFT JOIN latest USING (device_id)"""),
+    "status_update_any": _sql(FLEET, FEED, """
+        latest AS (
+          SELECT device_id, CASE WHEN l_linenumber % 3 = 1 THEN 'Rolled back from ' || status ELSE status END AS status FROM feed
+          QUALIFY row_number() OVER (
+            PARTITION BY device_id ORDER BY l_shipdate DESC, l_linenumber DESC, l_linestatus DESC) = 1)""", f"""
+        SELECT {_FLEET_COLUMNS}, coalesce(status, update_status) AS update_status
+        FROM fleet LEFT JOIN latest USING (device_id)"""),
+    "recovery_pages": _sql(DEVICE, """
+        listed AS (
+          SELECT device_id, (row_number() OVER (ORDER BY device_id) - 1) // 2500 AS page
+          FROM device WHERE update_status = 'Partial')""", "SELECT page, device_id FROM listed WHERE page < 4"),
+    "fleet_merged": _sql(FLEET, FEED, _THREE_SETS, f"SELECT {_FLEET_COLUMNS}, update_status FROM merged"),
+    "region_status_counts_kept": _sql(FLEET, FEED, _THREE_SETS, """
+        SELECT region, update_status, count(*) AS device_count FROM merged GROUP BY 1, 2"""),
     "security_hold": _sql(FLEET, FEED, f"""
         SELECT {_FLEET_COLUMNS},
                CASE WHEN device_id IN (SELECT device_id FROM feed WHERE status = 'Partial')

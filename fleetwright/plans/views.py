@@ -149,6 +149,13 @@ def status_feed(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def mixed_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """`status_feed` with statuses that the fleet does not have from every third line."""
+    feed = status_feed(spark, folder)
+    odd = F.shiftright(F.col("reported_at") % (1 << 20), 1) % 3 == 1
+    return feed.withColumn("status", F.when(odd, F.concat(F.lit("Rolled back from "), "status")).otherwise(F.col("status")))
+
+
 # ---- firmware ---------------------------------------------------------------
 
 def images(spark: SparkSession, folder: str) -> DataFrame:

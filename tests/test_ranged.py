@@ -1,0 +1,106 @@
+"""Tables in key ranges: pages, merges that write what they hit, reports kept up by logs."""
+
+import bisect
+import glob
+import os
+
+import pytest
+from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
+from pyspark.sql import functions as F
+
+from fleetwright.operators import analytics, state
+from fleetwright.schemas import STATUSES
+from fleetwright.sources import ranged
+
+
+def fleet_rows(spark, n):
+    status = F.element_at(F.array(*[F.lit(s) for s in STATUSES]), (F.col("id") % 4 + 1).cast("int"))
+    return spark.range(0, n, 1, 4).select(
+        F.format_string("DEV-%08x", F.col("id") * 7).alias("device_id"), F.format_string("R%d", F.col("id") % 3).alias("region"),
+        status.alias("update_status"))
+
+
+@pytest.fixture()
+def stored(spark, tmp_path):
+    path = str(tmp_path / "fleet")
+    ranged.save_ranged(fleet_rows(spark, 4_000), path, "device_id", 20)
+    return path
+
+
+def files(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/rows/folder=*/part-*")}
+
+
+def by_id(df):
+    return {r["device_id"]: (r["region"], r["update_status"]) for r in df.collect()}
+
+
+def test_fifty_changes_write_the_folders_they_fall_into(spark, stored):
+    before, old = files(stored), ranged.read_ranged(spark, stored)
+    changes = spark.range(50).select(
+        F.format_string("DEV-%08x", (F.col("id") + 1_000) * 7).alias("device_id"), F.lit("Rolled back").alias("status"))
+    unknown = spark.createDataFrame([("DEV-unknown", "Success"), ("", "Success"), (None, "Success")], "device_id string, status string")
+    wanted = by_id(state.apply_status(old, changes.union(unknown)))
+    log = ranged.merge_status(spark, stored, changes.union(unknown), 0)
+    after = files(stored)
+    assert by_id(ranged.read_ranged(spark, stored)) == wanted and len(wanted) == 4_000
+    kept = {f for f in before if after.get(f) == before[f]}
+    # The changes lie together; the unknown ids fall into the first and the last folder.
+    assert len(before) == 20 and len(before) - len(kept) <= 4 and len(after) == 20
+    assert log.count() == 50 and {r["update_status"] for r in log.collect()} == {"Rolled back"}
+
+
+def test_a_repeated_merge_changes_nothing_and_keeps_its_log(spark, stored):
+    changes = spark.createDataFrame([("DEV-00000000", "Success", 1), ("DEV-00000000", "Partial", 2)], "device_id string, status string, at int")
+    first = sorted(map(tuple, ranged.merge_status(spark, stored, changes, 7, order="at").collect()))
+    rows = by_id(ranged.read_ranged(spark, stored))
+    again = sorted(map(tuple, ranged.merge_status(spark, stored, changes, 7, order="at").collect()))
+    assert again == first and by_id(ranged.read_ranged(spark, stored)) == rows
+
+
+def test_a_merge_of_nothing(spark, stored):
+    none = spark.createDataFrame([], "device_id string, status string")
+    before = files(stored)
+    assert ranged.merge_status(spark, stored, none, 0).collect() == [] and files(stored) == before
+
+
+def test_reports_follow_from_the_logs(spark, stored):
+    counts = analytics.region_status_counts(ranged.read_ranged(spark, stored))
+    counts = spark.createDataFrame(counts.collect(), counts.schema)
+    for n in range(4):
+        changes = fleet_rows(spark, 4_000).filter(F.xxhash64("device_id", F.lit(n)) % 40 == 0).select(
+            "device_id", F.lit(["Success", "Rolled back", "Partial", None][n]).alias("status"))
+        counts = analytics.updated_counts(counts, ranged.merge_status(spark, stored, changes, n))
+        told = sorted(map(tuple, counts.collect()))
+        fresh = sorted(map(tuple, analytics.region_status_counts(ranged.read_ranged(spark, stored)).collect()))
+        assert told == fresh
+    # Nothing but the logs is read.
+    assert len(counts.inputFiles()) >= 4 and all("/log/merge=" in file for file in counts.inputFiles())
+
+
+def test_pages_read_their_ranges(spark, stored):
+    ids = [f"DEV-{i * 7:08x}" for i in range(4_000)]
+    for limit, offset in ((100, 0), (100, 1_950), (1_000, 500), (5_000, 3_900), (10, 9_999)):
+        page = ranged.read_page(spark, stored, "device_id", limit, offset)
+        assert sorted(r["device_id"] for r in page.collect()) == ids[offset:offset + limit]
+        folders = page.select(F.input_file_name()).distinct().count()
+        assert folders <= len(ids[offset:offset + limit]) / 200 * 2 + 2
+
+
+def test_ranged_tables_without_rows_or_keys(spark, tmp_path):
+    path = str(tmp_path / "few")
+    ranged.save_ranged(spark.createDataFrame([("b", "R", "Partial"), (None, "R", "Success")], "device_id string, region string, update_status string"),
+                       path, "device_id", 4)
+    assert [r["device_id"] for r in ranged.read_page(spark, path, "device_id", 1, 1).collect()] == ["b"]
+    changes = spark.createDataFrame([("b", "Success"), (None, "Partial")], "device_id string, status string")
+    ranged.merge_status(spark, path, changes, 0)
+    assert sorted(map(str, by_id(ranged.read_ranged(spark, path)).items())) == sorted(map(str, {"b": ("R", "Success"), None: ("R", "Success")}.items()))
+
+
+@hypothesis_settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text("abc", max_size=4), min_size=1, max_size=120, unique=True), st.lists(st.text("abc", max_size=4), min_size=1, max_size=60))
+def test_folder_of_a_key(spark, lows, keys):
+    lows = sorted(lows)
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    found = df.select("k", ranged.folder_of(F.col("k"), lows, [10 * i for i in range(len(lows))]).alias("f")).collect()
+    assert all(r["f"] == 10 * max(bisect.bisect_right(lows, r["k"]) - 1, 0) for r in found)

@@ -85,3 +85,17 @@ def test_jdbc_options(spark, monkeypatch):
     monkeypatch.setattr(writer, "jdbc", lambda self, url, table, **kw: calls.update(write=(url, table)))
     sinks.append_jdbc(spark.range(1), "jdbc:postgresql://db/postgres", "ota_logs")
     assert calls["write"][1] == "ota_logs" and calls["batchsize"] == 500
+
+
+def test_a_cluster_has_to_name_a_shared_folder():
+    class Other:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Other)

@@ -60,6 +60,22 @@ def test_apply_status_takes_the_last_change_of_a_device(spark, fleet):
     assert unordered.count() == fleet.count()
 
 
+def test_any_text_may_be_a_status(spark, fleet):
+    changes = spark.createDataFrame(
+        [("DEV-00000000", "Rolled back", 3), ("DEV-00000000", "Partial", 2), ("DEV-00000001", "Rolled back", 1),
+         ("DEV-00000001", "Success", 5), ("DEV-00000002", "a", 4), ("DEV-00000002", "b", 4), ("DEV-00000003", None, 9),
+         ("DEV-00000004", "Success", 1), ("DEV-00000004", "Rolled back", 1), ("DEV-unknown", "x", 1)],
+        "device_id string, status string, at int")
+    before, after = statuses(fleet), statuses(state.apply_status(fleet, changes, order="at"))
+    assert {k: v for k, v in after.items() if k <= "DEV-00000004"} == {
+        "DEV-00000000": "Rolled back", "DEV-00000001": "Success", "DEV-00000002": "b", "DEV-00000003": before["DEV-00000003"],
+        "DEV-00000004": "Rolled back"}
+    last = {r["device_id"]: r["status"] for r in state.last_status(changes, "at").collect()}
+    assert last == {"DEV-00000000": "Rolled back", "DEV-00000001": "Success", "DEV-00000002": "b", "DEV-00000004": "Rolled back",
+                    "DEV-unknown": "x"}
+    assert statuses(state.apply_status(fleet, changes.drop("at")))["DEV-00000001"] == "Rolled back"
+
+
 def test_security_hold(spark, fleet):
     after = statuses(state.security_hold(fleet, spark.createDataFrame([("DEV-00000003",)], "device_id string")))
     assert after["DEV-00000003"] == "SECURITY_HOLD"
@@ -123,6 +139,16 @@ def test_sample_is_exact_and_repeatable(spark, testdata):
     assert state.sample_exact_n(fleet, 10**6).count() == fleet.count()
 
 
+def test_sample_moves_only_keys_below_a_bound(spark):
+    keys = spark.range(0, 200_000, 1, 8).select(F.format_string("DEV-%08x", "id").alias("device_id"))
+    few = state.sample_candidates(keys, 50, 7, "device_id", 200_000)
+    assert 50 <= few.count() <= 300
+    assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+    lowest = keys.withColumn("r", F.md5(F.concat("device_id", F.lit("#7")))).orderBy("r").limit(50)
+    drawn = {r[0] for r in state.sample_exact_n(keys, 50, 7).collect()}
+    assert drawn == {r["device_id"] for r in lowest.collect()}
+
+
 def test_sample_update_changes_exactly_n(fleet):
     after = state.sample_update(fleet, 3, "battery_voltage", None, seed=1)
     assert after.schema == fleet.schema or after.dtypes == fleet.dtypes
