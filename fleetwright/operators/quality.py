@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetwright.schemas import (
     CORRUPT_TYPE, MANUAL_TRIAGE, MISSING, NO_ACTION, OUT_OF_RANGE, PARTIAL, RECOVER, SECURITY_HOLD,
-    SIGNAL_MAX, SIGNAL_MIN,
+    SIGNAL_MAX, SIGNAL_MIN, UNREADABLE_LINE,
 )
+from fleetwright.sources.tables import UNREADABLE
 
 
 def _defects(signal_min: int, signal_max: int) -> Column:
@@ -24,9 +25,14 @@ def classify(raw: DataFrame, signal_min: int = SIGNAL_MIN, signal_max: int = SIG
     """Add `defects`: the kinds of corruption of a row, empty when it is clean.
 
     The voltage is text here; text that is no finite number is a defect, not a
-    failure. A reading that is missing, voltage or signal, is one as well.
+    failure. A reading that is missing, voltage or signal, is one as well. A row of a line
+    that could not be read (see `tables.csv_lines`) has that one defect, as its readings tell
+    nothing.
     """
-    return raw.withColumn("defects", _defects(signal_min, signal_max))
+    defects = _defects(signal_min, signal_max)
+    if UNREADABLE in raw.columns:
+        defects = F.when(F.col(UNREADABLE).isNotNull(), F.array(F.lit(UNREADABLE_LINE))).otherwise(defects)
+    return raw.withColumn("defects", defects)
 
 
 def corruption_counts(raw: DataFrame) -> DataFrame:
@@ -43,7 +49,7 @@ def quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     To store both, `sinks.write_quarantine` writes them in one pass.
     """
     rows = classify(raw)
-    clean = rows.filter(F.size("defects") == 0).drop("defects")
+    clean = rows.filter(F.size("defects") == 0).drop("defects", UNREADABLE)
     clean = clean.withColumn("battery_voltage", F.col("battery_voltage").try_cast("double"))
     return clean, rows.filter(F.size("defects") > 0)
 

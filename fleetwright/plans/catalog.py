@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetwright.operators import analytics, firmware, quality, signatures, state, updates
 from fleetwright.plans import signing, views
-from fleetwright.schemas import CHUNK_SIZE, FLEET, PARTIAL, RECOVERY_ACTIONS
+from fleetwright.schemas import CHUNK_SIZE, FLEET, PARTIAL, RAW_FLEET, RECOVERY_ACTIONS
 from fleetwright.session import scratch_path
-from fleetwright.sources import ranged, sinks, tables
+from fleetwright.sources import loads, ranged, sinks, tables
 from fleetwright.streaming import chunk_verify, image_verify
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,16 @@ def batch_ledger(spark, folder):
     return state.batch_ledger(views.devices(spark, folder), "device_id")
 
 
+def load_resumed(spark, folder):
+    """A load that stopped after its tenth batch, left half a part behind, and was started again."""
+    path = scratch_path(spark, "load")
+    rows = views.devices(spark, folder).select("device_id", "update_status")
+    loads.load(rows, path, "device_id", until=9)
+    rows.withColumn("batch_id", F.lit(10).cast("bigint")).write.parquet(f"{path}/rows/part=1")
+    loads.load(rows, path, "device_id")
+    return loads.read_load(spark, path, "batch_id bigint, device_id string, update_status string")
+
+
 def batch_assignment(spark, folder):
     rows = views.devices(spark, folder).select("device_id", "update_status")
     return state.assign_batches(rows, "device_id").drop("row_index")
@@ -169,6 +179,14 @@ def quarantine_bad(spark, folder):
     return bad.withColumn("defects", _text("defects"))
 
 
+def quarantine_lines(spark, folder):
+    """What is quarantined of devices that arrive as lines, some of them broken."""
+    path = scratch_path(spark, "raw_lines")
+    views.raw_lines(spark, folder).write.text(path)
+    bad = quality.quarantine(tables.csv_lines(spark, path, RAW_FLEET, header=False))[1]
+    return bad.select("device_id", _text("defects").alias("defects"), tables.UNREADABLE)
+
+
 def recovery_actions(spark, folder):
     return quality.recovery_actions(views.raw_fleet(spark, folder))
 
@@ -427,6 +445,7 @@ QUERIES: dict[str, Query] = {
     "fleet_replaced": fleet_replaced,
     "batch_ledger": batch_ledger,
     "batch_assignment": batch_assignment,
+    "load_resumed": load_resumed,
     "key_violations": key_violations,
     "key_violations_feed": key_violations_feed,
     "sample_exact_n": sample_exact_n,
@@ -435,6 +454,7 @@ QUERIES: dict[str, Query] = {
     "corruption_counts": corruption_counts,
     "quarantine_clean": quarantine_clean,
     "quarantine_bad": quarantine_bad,
+    "quarantine_lines": quarantine_lines,
     "recovery_actions": recovery_actions,
     "recovery_actions_csv": recovery_actions_csv,
     "triage_count": triage_count,

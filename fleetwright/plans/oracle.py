@@ -326,6 +326,9 @@ ORACLE: dict[str, str] = {
     "batch_assignment": _sql(DEVICE, """
         SELECT device_id, update_status, (row_number() OVER (ORDER BY device_id) - 1) // 500 AS batch_id
         FROM device"""),
+    "load_resumed": _sql(DEVICE, """
+        SELECT device_id, update_status, (row_number() OVER (ORDER BY device_id) - 1) // 500 AS batch_id
+        FROM device"""),
     "key_violations": _sql(DEVICE, """
         SELECT device_id, count(*) AS row_count FROM device
         GROUP BY 1 HAVING count(*) > 1 OR device_id IS NULL"""),
@@ -351,6 +354,16 @@ ORACLE: dict[str, str] = {
         FROM classified WHERE defects = ''"""),
     "quarantine_bad": _sql(RAW, f"""
         SELECT {_FLEET_COLUMNS}, update_status, defects FROM classified WHERE defects <> ''"""),
+    "quarantine_lines": _sql(RAW, """
+        read_line AS (
+          SELECT c.device_id, c.defects, number % 200 AS fault,
+                 c.device_id || ',,' || coalesce(c.battery_voltage, '') AS head,
+                 CASE number % 200 WHEN 11 THEN 'weak' ELSE c.signal_strength::varchar END || ',' || c.update_status AS tail
+          FROM classified c JOIN device USING (device_id))""", """
+        SELECT device_id, CASE WHEN fault IN (7, 9, 11) THEN 'UNREADABLE_LINE' ELSE defects END AS defects,
+               CASE fault WHEN 7 THEN head WHEN 9 THEN head || ',' || tail || ',more' WHEN 11 THEN head || ',' || tail END
+                 AS unreadable_line
+        FROM read_line WHERE defects <> '' OR fault IN (7, 9, 11)"""),
     "recovery_actions": _sql(ACTIONS, "SELECT * FROM actions"),
     "recovery_actions_csv": _sql(ACTIONS, "SELECT * FROM actions"),
     "triage_count": _sql(ACTIONS, """

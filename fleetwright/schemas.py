@@ -32,6 +32,7 @@ NO_ACTION = "NONE"
 MISSING = "MISSING"
 CORRUPT_TYPE = "CORRUPT_TYPE"
 OUT_OF_RANGE = "OUT_OF_RANGE"
+UNREADABLE_LINE = "UNREADABLE_LINE"
 
 # Firmware verdicts, in the order the stages are checked.
 CONFLICTING_MANIFESTS = "CONFLICTING_MANIFESTS"

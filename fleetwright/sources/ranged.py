@@ -95,7 +95,7 @@ def merge_status(
     between = scratch_path(spark, "merge")
     merged.write.parquet(between)
     merged = spark.read.schema(merged.schema).parquet(between)
-    if not _written(spark, log_path):
+    if not written(spark, log_path):
         changed = merged.filter(~F.col("before").eqNullSafe(F.col(column))).select(*schema.names)
         changed.write.mode("overwrite").parquet(log_path)
     if hit:
@@ -106,6 +106,7 @@ def merge_status(
     return spark.read.schema(schema).parquet(log_path)
 
 
-def _written(spark: SparkSession, path: str) -> bool:
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a folder was written to the end."""
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)

@@ -1,7 +1,10 @@
 """Readers: parquet tables, CSV with a stated schema, partitioned JDBC."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+# The column for lines that could not be read, see `csv_lines`.
+UNREADABLE = "unreadable_line"
 
 
 def parquet_table(
@@ -25,6 +28,18 @@ def csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     )
 
 
+def csv_lines(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
+    """CSV whose lines may be broken: `unreadable_line` holds the text of a line with too few or too many
+    fields, or with a field that is not of its type, and is NULL for the others."""
+    kept = StructType([*schema.fields, StructField(UNREADABLE, StringType())])
+    return (
+        # A line read in part would not be found broken.
+        spark.read.schema(kept).option("columnPruning", False)
+        .option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", UNREADABLE)
+        .csv(path)
+    )
+
+
 def key_range_predicates(column: str, prefix: str, parts: int) -> list[str]:
     """`parts` WHERE clauses that split hexadecimal ids below `prefix` into ranges.
 

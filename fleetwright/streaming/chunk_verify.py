@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from fleetwright.operators.firmware import HEADS, delivered_hashes, match_chunks
+from fleetwright.sources.ranged import written
 
 IMAGES_PER_FOLDER = 10_000
 # A landed file is read however much older than the newest one it is.
@@ -108,7 +109,7 @@ def verify_available(
     """
     def check(batch: DataFrame, batch_id: int) -> None:
         path = f"{results_path}/batch={batch_id}"
-        if _complete(batch.sparkSession, path):
+        if written(batch.sparkSession, path):
             return
         batch = (batch if heads_path else batch.drop("arrived_at")).persist()
         try:
@@ -128,8 +129,3 @@ def verify_available(
     )
     query.awaitTermination()
 
-
-def _complete(spark: SparkSession, path: str) -> bool:
-    """Whether a folder was written to the end."""
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)

@@ -17,7 +17,8 @@ from tests.test_firmware import huge_image
 # verdicts, run before and are checkpointed.
 WITH_PYTHON = {"signature_audit"}
 # Built on a written result, so the plan read back is a bare scan.
-WRITTEN = {"recovery_actions_csv", "chunk_stream_verify", "image_stream_verdict", "fleet_replaced", "security_events_stored", "fleet_merged"}
+WRITTEN = {"recovery_actions_csv", "chunk_stream_verify", "image_stream_verdict", "fleet_replaced", "security_events_stored", "fleet_merged",
+           "load_resumed", "quarantine_lines"}
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +36,7 @@ def test_no_cross_join_and_python_only_for_signatures(spark, folder, settings, n
 
 
 @pytest.mark.parametrize("name", sorted(
-    set(QUERIES) - {"batch_ledger", "batch_assignment", "chunk_renumber", "firmware_verdict_landed"}))
+    set(QUERIES) - {"batch_ledger", "batch_assignment", "load_resumed", "chunk_renumber", "firmware_verdict_landed"}))
 def test_only_size_checked_broadcasts(spark, folder, settings, name):
     """With automatic broadcasts off nothing is broadcast; those left out
     broadcast one row per partition, see `with_row_index`."""

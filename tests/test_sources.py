@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetwright import session
-from fleetwright.operators import firmware
-from fleetwright.sources import sinks, tables
+from fleetwright.operators import firmware, quality
+from fleetwright.schemas import RAW_FLEET
+from fleetwright.sources import loads, sinks, tables
 from tests.plan import plan_of
 
 
@@ -99,3 +100,28 @@ def test_a_cluster_has_to_name_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Other)
+
+
+def test_a_load_goes_on_where_it_was_cut_off(spark, tmp_path):
+    path, schema = str(tmp_path / "load"), "batch_id bigint, device_id bigint"
+    rows = spark.range(1_234).withColumnRenamed("id", "device_id")
+    assert loads.read_load(spark, path, schema).collect() == []
+    for until in (0, 0, 1, None, None):
+        loads.load(rows, path, "device_id", batch_rows=100, until=until)
+        found = loads.read_load(spark, path, schema).collect()
+        wanted = 1_234 if until is None else 100 * (until + 1)
+        assert sorted((r["device_id"], r["batch_id"]) for r in found) == [(i, i // 100) for i in range(wanted)]
+
+
+def test_broken_lines_are_kept(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text("device_id,region,battery_voltage,signal_strength,update_status\n"
+                    "a,R,12.0,50,Partial\nb,R,12.0\nc,R,12.0,strong,Partial\n\nd,R,12.0,50,Success,more\ne,R,UNKNOWN,50,Success\n"
+                    '"f,R,12.0,50,Success\n')
+    rows = tables.csv_lines(spark, str(path), RAW_FLEET)
+    clean, bad = quality.quarantine(rows)
+    assert [r["device_id"] for r in clean.collect()] == ["a"]
+    found = {r["device_id"]: (r["defects"], r["unreadable_line"]) for r in bad.collect()}
+    assert found["b"] == (["UNREADABLE_LINE"], "b,R,12.0") and found["c"][1] == "c,R,12.0,strong,Partial"
+    assert found["d"][1] == "d,R,12.0,50,Success,more" and found["e"] == (["CORRUPT_TYPE"], None)
+    assert len(found) == 5 and clean.count() + bad.count() == rows.count() == 6
