@@ -6,6 +6,8 @@ sorted as text, so "10" comes before "2". All within one row: the text of a docu
 bounded by the document.
 """
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Text that needs no escape: printable ASCII without quote and backslash.
@@ -89,6 +91,15 @@ def _by_key(a: Column, b: Column) -> Column:
 
 # ---- by type ----------------------------------------------------------------
 
+def _front(name: str) -> Column:
+    return F.lit(json.dumps(name) + ":")
+
+
+def _apart(value: Column, written) -> Column:
+    """`written(value)` within a lambda, so that a long expression is not compiled."""
+    return F.get(F.transform(F.array(value), written), F.lit(0))
+
+
 def _object(members: list[Column]) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*members)), ","), F.lit("}"))
 
@@ -100,7 +111,7 @@ def typed_json(value: Column, kind: T.DataType) -> Column:
     """
     if isinstance(kind, T.StructType):
         members = [
-            F.concat(json_string(F.lit(field.name)), F.lit(":"), typed_json(value[field.name], field.dataType))
+            F.concat(_front(field.name), typed_json(value[field.name], field.dataType))
             for field in sorted(kind.fields, key=lambda f: f.name)]
         return F.when(value.isNotNull(), _object(members))
     if isinstance(kind, T.MapType):
@@ -118,11 +129,11 @@ def typed_json(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.VariantType):
         return variant_json(value)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return json_float(value.cast("double"))
+        return _apart(value.cast("double"), json_float)
     if isinstance(kind, (T.IntegralType, T.BooleanType)):
         return value.cast("string")
     if isinstance(kind, T.DecimalType):
-        return value.cast("string") if kind.scale == 0 else json_float(value.cast("double"))
+        return value.cast("string") if kind.scale == 0 else _apart(value.cast("double"), json_float)
     return json_string(value.cast("string"))
 
 
@@ -155,17 +166,26 @@ def _scalar(value: Column) -> Column:
     )
 
 
-def _node(value: Column, levels: int) -> Column:
+def _token(mark: Column | str | None = None, key: Column | None = None, leaf: Column | None = None) -> Column:
+    """A part of a JSON text: a mark as it is, then a key, then a value that is no container."""
+    return F.struct(
+        (F.lit(mark) if not isinstance(mark, Column) else mark).cast("string").alias("mark"),
+        (F.lit(None) if key is None else key).cast("string").alias("key"),
+        (F.lit(None).cast("variant") if leaf is None else leaf).alias("leaf"))
+
+
+def _tokens(value: Column, levels: int) -> Column:
+    """The parts of a variant's text in order. Few expressions for each level, as there is one copy for each."""
     if levels < 0:
-        return F.lit(None).cast("string")
+        return F.array(_token(_UNWRITABLE))
     members = value.try_cast("map<string,variant>")
-    items = value.try_cast("array<variant>")
-    named = F.transform(F.array_sort(F.map_entries(members), _by_key),
-                        lambda e: F.struct(F.concat(json_string(e["key"]), F.lit(":")).alias("front"), e["value"].alias("value")))
-    plain = F.transform(items, lambda e: F.struct(F.lit("").alias("front"), e.alias("value")))
-    inner = F.transform(F.coalesce(named, plain), lambda e: F.concat(e["front"], _node(e["value"], levels - 1)))
+    plain = F.transform(value.try_cast("array<variant>"),
+                        lambda e: F.struct(F.lit(None).cast("string").alias("key"), e.alias("value")))
+    entries = F.coalesce(F.array_sort(F.map_entries(members), _by_key), plain)
+    inner = F.flatten(F.transform(entries, lambda e, i: F.concat(
+        F.array(_token(F.when(i > 0, ","), e["key"])), _tokens(e["value"], levels - 1))))
     open_, close = (F.when(members.isNotNull(), a).otherwise(b) for a, b in (("{", "["), ("}", "]")))
-    return F.coalesce(F.concat(open_, F.array_join(inner, ",", _UNWRITABLE), close), _scalar(value))
+    return F.coalesce(F.concat(F.array(_token(open_)), inner, F.array(_token(close))), F.array(_token(leaf=value)))
 
 
 def variant_json(value: Column, levels: int = LEVELS) -> Column:
@@ -174,8 +194,13 @@ def variant_json(value: Column, levels: int = LEVELS) -> Column:
     Integers of any size up to 38 digits are written as they are, other numbers as the
     shortest text of the double.
     """
-    text = _node(value, levels)
-    return F.when(~text.contains(_UNWRITABLE), text)
+    none = F.lit("")
+    texts = F.transform(_tokens(value, levels), lambda t: F.concat(
+        F.coalesce(t["mark"], none), F.coalesce(F.concat(json_string(t["key"]), F.lit(":")), none),
+        F.when(t["leaf"].isNull(), none).otherwise(F.coalesce(_scalar(t["leaf"]), F.lit(_UNWRITABLE)))))
+    # One pass over the tokens, whose text is then looked at twice.
+    text = F.transform(F.array(F.array_join(texts, "")), lambda t: F.when(~t.contains(_UNWRITABLE), t))
+    return F.when(value.isNotNull(), F.get(text, F.lit(0)))
 
 
 def nesting(text: Column) -> Column:
@@ -201,6 +226,6 @@ def manifest_json(records: DataFrame) -> Column:
         return F.col(DOCUMENT_JSON)
     fields = [f for f in records.schema.fields if f.name not in NOT_IN_MANIFEST]
     members = [
-        F.concat(json_string(F.lit(f.name)), F.lit(":"), typed_json(F.col(f"`{f.name}`"), f.dataType))
+        F.concat(_front(f.name), typed_json(F.col(f"`{f.name}`"), f.dataType))
         for f in sorted(fields, key=lambda f: f.name)]
     return _object(members)

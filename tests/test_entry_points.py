@@ -5,11 +5,14 @@ import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 ROOT = Path(__file__).resolve().parents[1]
 
 
-def test_entry_points_without_the_corpus_operators(tmp_path):
-    left_out = shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", "spark-warehouse", ".hypothesis")
+@pytest.mark.parametrize("also", ["corpus_pipeline.py", "no other file"])
+def test_entry_points_without_the_corpus_operators(tmp_path, also):
+    left_out = shutil.ignore_patterns(".git", "llm", also, "__pycache__", "spark-warehouse", ".hypothesis")
     shutil.copytree(ROOT, tmp_path / "repo", ignore=left_out)
     code = ("import __spark_entry__ as e; q, s = e.queries(), e.oracle_sql(); assert set(q) == set(s) and len(q) > 50; "
             "assert 'pipeline' not in q")
