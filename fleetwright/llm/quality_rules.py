@@ -130,11 +130,16 @@ def failed_rule(order: list[Rule]) -> Column:
 
 
 def cascade(docs: DataFrame, rules=RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per document: key, all features, the rule that rejected it, and `kept`."""
+    """One row per document: key, all features, the rule that rejected it, and `kept`.
+
+    Whether a rule rejects is asked in the measured order; the name is that of the first one in
+    the order of `rules`, the same in every run.
+    """
     order = measured_order(docs, rules, text)
     rows = features(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
-    rows = rows.withColumn("failed_rule", failed_rule(order))
-    return rows.withColumn("kept", F.col("failed_rule").isNull()).withColumnRenamed("doc_id", key)
+    rows = rows.withColumn("kept", failed_rule(order).isNull())
+    named = F.when(~F.col("kept"), failed_rule(list(rules)))
+    return rows.select("*", named.alias("failed_rule")).withColumnRenamed("doc_id", key)
 
 
 def survivors(docs: DataFrame, rules=RULES, text: str = "text", key: str = "doc_id") -> DataFrame:
