@@ -56,15 +56,17 @@ def ship_package(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names for checkpoints and scratch tables.
 
-    Where none is named a local session takes a folder of its warehouse. On a cluster
-    that may be a folder of one machine, so there the setting has to be made.
+    Where none is named it is a folder of the warehouse. A warehouse on a disk of one
+    machine serves a local session only: on a cluster the setting has to be made.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir") or ""
+    on_one_machine = "://" not in warehouse or warehouse.startswith("file:")
+    if on_one_machine and not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors reach")
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
