@@ -5,6 +5,7 @@ the 32-byte digest and the signature and does the modular arithmetic.
 """
 
 import os
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -33,7 +34,7 @@ def manifest_digests(records: DataFrame) -> DataFrame:
     return records.select("firmware_id", F.unhex(F.sha2(manifest_json(records), 256)).alias("digest"))
 
 
-def spread(rows: DataFrame) -> DataFrame:
+def spread(rows: DataFrame, *more: str) -> DataFrame:
     """Even partitions: the rows are small, but each costs a modular power.
 
     The number is stated, or the adaptive planner would merge them again by
@@ -41,7 +42,7 @@ def spread(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     stated = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(max(stated, spark.sparkContext.defaultParallelism), "firmware_id")
+    return rows.repartition(max(stated, spark.sparkContext.defaultParallelism), "firmware_id", *more)
 
 
 def _answers(records: DataFrame, signed: DataFrame, key: pss.PublicKey | None) -> DataFrame:
@@ -56,11 +57,14 @@ def _answers(records: DataFrame, signed: DataFrame, key: pss.PublicKey | None) -
         return digests.withColumn("signature_valid", F.lit(False))
 
     @F.pandas_udf(BooleanType())
-    def valid(digests: pd.Series, signatures: pd.Series) -> pd.Series:
-        return pd.Series([d is not None and s is not None and pss.verify(key, d, s)
-                          for d, s in zip(digests, signatures)], dtype=bool)
-
-    rows = spread(digests.join(signed.select("firmware_id", "signature").distinct(), "firmware_id", "left"))
+    def valid(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        power = pss.power_of(key.exponent, key.modulus)
+        for digests, found in batches:
+            yield pd.Series([d is not None and s is not None and pss.verify(key, d, s, power)
+                             for d, s in zip(digests, found)], dtype=bool)
+
+    # By the digest as well: a shuffle like the join's own would be left out, and its partitions merged by size.
+    rows = spread(digests.join(signed.select("firmware_id", "signature").distinct(), "firmware_id", "left"), "digest")
     checked = rows.select("firmware_id", "digest", valid("digest", "signature").alias("signature_valid"))
     return checked.groupBy("firmware_id", "digest").agg(F.bool_or("signature_valid").alias("signature_valid"))
 

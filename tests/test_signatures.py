@@ -83,3 +83,41 @@ def test_every_changed_byte_is_noticed(public):
         changed = bytearray(good)
         changed[i] ^= 0x10
         assert not pss.verify(public, digest, bytes(changed))
+
+
+@pytest.mark.parametrize("found", [True, False], ids=["openssl", "pow"])
+def test_powers(monkeypatch, found):
+    if not found:
+        monkeypatch.setattr(pss, "_big_numbers", lambda: None)
+    key = signing.sample_private_key()
+    for exponent, modulus in [(key.exponent, key.modulus), (key.secret, key.modulus), (5, 91), (0, 91), (3, 64), (3, 1)]:
+        power = pss.power_of(exponent, modulus)
+        for number in (0, 1, 2, modulus - 1, modulus, modulus + 1, 3 << 2050):
+            assert power(number) == pow(number, exponent, modulus)
+
+
+def test_signatures_are_the_same_however_powers_are_made(monkeypatch):
+    key = signing.sample_private_key()
+    digests = [hashlib.sha256(bytes([n])).digest() for n in range(8)]
+    power = signing.private_power(key)
+    quick = [signing.sign(key, d, power) for d in digests]
+    monkeypatch.setattr(pss, "_big_numbers", lambda: None)
+    assert quick == [signing.sign(key, d) for d in digests]
+    public_power = pss.power_of(key.exponent, key.modulus)
+    assert all(pss.verify(key.public, d, s, public_power) for d, s in zip(digests, quick))
+
+
+def test_signatures_are_verified_in_even_partitions(record, public):
+    """The join's own partitions are merged by size, and a signature takes time whatever its size."""
+    spark = record.sparkSession
+    stated = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    signed = record.select("firmware_id", F.lit(bytearray(vectors.VALID)).alias("signature"))
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        answers = signatures.audit_signatures(record, signed, public)
+        assert answers.count() == 1
+        text = answers._jdf.queryExecution().executedPlan().toString()
+        assert f"{stated}), REPARTITION_BY_NUM" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
