@@ -20,18 +20,22 @@ def image_folder(images: int) -> Column:
     return F.floor(F.col("firmware_id") / images)
 
 
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Sorted ranges of `keys`, to be written in folders. Their number is stated: the files take the
+    time, and the adaptive planner would merge small rows into few tasks whatever the number of folders."""
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartitionByRange(parts, *keys).sortWithinPartitions("folder", *keys)
+
+
 def save_entries(entries: DataFrame, path: str, images: int = IMAGES_PER_FOLDER) -> None:
     """Store manifest entries that name a chunk, a folder for every `images` image numbers.
 
     Dealt by ranges of image and chunk: a huge image is written by several tasks,
     and every file holds a narrow range of images.
     """
-    (
-        entries.filter(F.col("chunk_index").isNotNull()).drop("chunk_key")
-        .withColumn("folder", image_folder(images))
-        .repartitionByRange("firmware_id", "chunk_index").sortWithinPartitions("folder", "firmware_id", "chunk_index")
-        .write.mode("errorifexists").partitionBy("folder").parquet(path)
-    )
+    named = entries.filter(F.col("chunk_index").isNotNull()).drop("chunk_key").withColumn("folder", image_folder(images))
+    _dealt(named, "firmware_id", "chunk_index").write.mode("errorifexists").partitionBy("folder").parquet(path)
 
 
 def _pruned(stored: DataFrame, batch: DataFrame, images: int) -> DataFrame:
@@ -59,11 +63,8 @@ def entries_of(batch: DataFrame, path: str, images: int = IMAGES_PER_FOLDER) ->
 
 def save_heads(heads: DataFrame, path: str, images: int = IMAGES_PER_FOLDER) -> None:
     """Store `firmware.manifest_heads`, a folder for every `images` image numbers."""
-    (
-        heads.withColumn("folder", image_folder(images)).repartitionByRange("firmware_id")
-        .sortWithinPartitions("folder", "firmware_id")
-        .write.mode("errorifexists").partitionBy("folder").parquet(path)
-    )
+    placed = heads.withColumn("folder", image_folder(images))
+    _dealt(placed, "firmware_id").write.mode("errorifexists").partitionBy("folder").parquet(path)
 
 
 def chunk_stream(

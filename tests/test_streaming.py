@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from hypothesis import given, settings as hypothesis_settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from fleetwright.operators import firmware
 from fleetwright.schemas import RECEIVED_CHUNKS
@@ -193,3 +193,62 @@ def test_progress_counts_like_the_batch(arrivals, total, cut):
         expected = ("CHUNK_ERROR", bad) if bad else ("OK", 0)
     assert progress.verdict() == expected
     assert progress.certain == (len(rows) >= total)
+
+
+class CountedHandle:
+    """The state of one image, with the names of the calls made."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], []
+
+    def getValueState(self, *_):
+        return self
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def listTimers(self):
+        self.calls.append("listTimers")
+        return iter(list(self.timers))
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_an_image_that_is_complete_at_once_asks_little_of_the_store():
+    handle = CountedHandle()
+    images = image_verify._Images(1_000)
+    images.init(handle)
+
+    def chunk(index, at, result="OK"):
+        return Row(firmware_id=7, chunk_index=index, arrived_ms=at, result=result, firmware_version="v", total_chunks=3,
+                   bad_key=None, in_sequence=True, early=None)
+
+    told = list(images.handleInputRows((7,), iter([chunk(n, 5) for n in range(3)]), None))
+    assert [tuple(r) for r in told] == [(7, "v", "OK", 0, 3)] and handle.calls == ["get", "update"]
+    assert list(images.handleInputRows((7,), iter([chunk(0, 9)]), None)) == []
+    handle.value = None
+    assert list(images.handleInputRows((7,), iter([chunk(0, 5), chunk(None, 6, None)]), None)) == [] and handle.timers == [1_006]
+    assert [tuple(r) for r in images.handleInputRows((7,), iter([chunk(1, 8)]), None)] == [(7, "v", "CHUNK_ERROR", 1, 3)]
+    assert handle.timers == []
+
+
+def test_small_heads_of_many_folders_are_written_by_many_tasks(spark, tmp_path):
+    heads = spark.range(400).select(
+        F.col("id").alias("firmware_id"), F.lit("v").alias("firmware_version"), F.lit(1).alias("total_chunks"),
+        F.lit(None).cast("string").alias("bad_key"), F.lit(True).alias("in_sequence"), F.lit(None).cast("string").alias("early"))
+    chunk_verify.save_heads(heads, str(tmp_path / "heads"), 10)
+    parts = {f.name.split("-")[1] for f in (tmp_path / "heads").rglob("part-*.parquet")}
+    assert len(parts) >= min(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
