@@ -13,6 +13,8 @@ from fleetwright.session import scratch_path
 
 # Bounds compared at once while the folder of a key is looked for.
 _STEP = 32
+# Rows of a folder that a merge writes into one file, about.
+_FILE_ROWS = 1_000_000
 
 
 def save_ranged(df: DataFrame, path: str, key: str, folders: int) -> None:
@@ -85,10 +87,15 @@ def merge_status(
     rows = _rows(spark, path)
     schema = rows.drop("folder").schema.add("before", "string")
     hit = []
-    if index:
-        placed = latest.select(folder_of(F.col("device_id"), [r["low"] for r in index], [r["folder"] for r in index]).alias("folder"))
-        hit = [row[0] for row in placed.distinct().collect()]  # at most one for each folder
+    # The changes are read and reduced once: both the folders and the join need the last ones.
     named = latest.select(F.col("device_id").alias(key), F.col("status").alias("_status"))
+    if index:
+        placed = latest.withColumn("folder", folder_of(F.col("device_id"), [r["low"] for r in index], [r["folder"] for r in index]))
+        last = scratch_path(spark, "changes")
+        placed.write.parquet(last)
+        placed = spark.read.schema(placed.schema).parquet(last)
+        hit = [row[0] for row in placed.select("folder").distinct().collect()]  # at most one for each folder
+        named = placed.select(F.col("device_id").alias(key), F.col("status").alias("_status"))
     merged = _in_folders(rows, hit).join(named, key, "left").withColumn("before", F.col(column)).withColumn(
         column, F.coalesce("_status", column)).drop("_status")
     # Rows are read from the folders that are written, so they are put down in between.
@@ -99,8 +106,10 @@ def merge_status(
         changed = merged.filter(~F.col("before").eqNullSafe(F.col(column))).select(*schema.names)
         changed.write.mode("overwrite").parquet(log_path)
     if hit:
+        # A folder is written by as many tasks as its rows ask for, not by one.
+        parts = 1 + max(row["rows"] for row in index) // _FILE_ROWS
         (
-            merged.drop("before").repartition("folder").sortWithinPartitions("folder", key)
+            merged.drop("before").repartition("folder", F.pmod(F.xxhash64(key), F.lit(parts))).sortWithinPartitions("folder", key)
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("folder").parquet(f"{path}/rows")
         )
     return spark.read.schema(schema).parquet(log_path)

@@ -78,6 +78,35 @@ def test_reports_follow_from_the_logs(spark, stored):
     assert len(counts.inputFiles()) >= 4 and all("/log/merge=" in file for file in counts.inputFiles())
 
 
+def test_changes_are_reduced_once(spark, stored, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(key):
+        seen.add(1)
+        return key
+
+    counted = F.udf(look, "string").asNondeterministic()
+    reduce = ranged.last_status
+    monkeypatch.setattr(ranged, "last_status", lambda *given: reduce(*given).withColumn("device_id", counted("device_id")))
+    changes = spark.range(50).select(F.format_string("DEV-%08x", F.col("id") * 7).alias("device_id"), F.lit("Rolled back").alias("status"))
+    assert ranged.merge_status(spark, stored, changes, 0).count() == 50
+    assert seen.value == 50
+
+
+def test_a_large_folder_is_written_by_several_tasks(spark, stored, monkeypatch):
+    monkeypatch.setattr(ranged, "_FILE_ROWS", 20)
+    merged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        changes = spark.createDataFrame([("DEV-00000000", "Rolled back")], "device_id string, status string")
+        before = files(stored)
+        wanted = by_id(state.apply_status(ranged.read_ranged(spark, stored), changes))
+        ranged.merge_status(spark, stored, changes, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+    assert len(files(stored)) >= len(before) + 2 and by_id(ranged.read_ranged(spark, stored)) == wanted
+
+
 def test_pages_read_their_ranges(spark, stored):
     ids = [f"DEV-{i * 7:08x}" for i in range(4_000)]
     for limit, offset in ((100, 0), (100, 1_950), (1_000, 500), (5_000, 3_900), (10, 9_999)):
