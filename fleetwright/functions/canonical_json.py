@@ -11,7 +11,8 @@ import json
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Text that needs no escape: printable ASCII without quote and backslash.
-_PLAIN = r"\A[ !#-\[\]-~]*\z"
+_PLAIN_CHAR = r"[ !#-\[\]-~]"
+_PLAIN = rf"\A{_PLAIN_CHAR}*\z"
 
 # The two-character escapes of JSON.
 _SHORT_ESCAPES = [("\\", "\\\\"), ('"', '\\"'), ("\b", "\\b"), ("\f", "\\f"),
@@ -47,44 +48,57 @@ def _escaped(char: Column) -> Column:
 
 def json_string(text: Column) -> Column:
     """A JSON string literal; anything outside printable ASCII becomes \\uXXXX."""
-    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    slow = F.array_join(F.transform(chars, _escaped), "")
+    parts = F.regexp_extract_all(text, F.lit(f"(?s){_PLAIN_CHAR}+|."), F.lit(0))
+    slow = F.array_join(F.transform(parts, _escaped), "")
     body = F.when(text.rlike(_PLAIN), text).otherwise(slow)
     return F.concat(F.lit('"'), body, F.lit('"'))
 
 
 def json_float(number: Column) -> Column:
-    """The shortest decimal that reads back as the same double, with a point or an exponent."""
-    sixteen = F.format_string("%.15e", number)
-    fifteen = F.format_string("%.14e", number)
-    # Java's own text may have a digit more than needed; without it it may read back as well.
-    longest = F.format_string("%.16e", number)
-    cut = F.regexp_replace(longest, "[0-9]e", "e")
-    text = (
-        F.when(fifteen.try_cast("double") == number, fifteen)
-        .when(sixteen.try_cast("double") == number, sixteen)
-        .when(cut.try_cast("double") == number, cut).otherwise(longest)
-    )
+    """The shortest decimal that reads back as the same double, with a point or an exponent.
+
+    Each step is made once and read from there, as text of a number is slow to make.
+    """
+    def shortest(longest: Column) -> Column:
+        sixteen = F.format_string("%.15e", number)
+        fifteen = F.format_string("%.14e", number)
+        # Java's own text may have a digit more than needed; without it it may read back as well.
+        cut = F.regexp_replace(longest, "[0-9]e", "e")
+        return F.coalesce(*[
+            _apart(text, lambda t: F.when(t.try_cast("double") == number, t)) for text in (fifteen, sixteen, cut)], longest)
+
+    def parts(text: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)e", 1), r"\.", ""), "0+$", "")
+        return F.struct(digits.alias("digits"), F.regexp_extract(text, r"e([+-][0-9]+)$", 1).cast("int").alias("exponent"))
+
     sign = F.when(number < 0, "-").otherwise("")
-    digits = F.regexp_replace(F.regexp_replace(F.regexp_extract(text, r"^-?([0-9.]+)e", 1), r"\.", ""), "0+$", "")
-    digits = F.when(digits == "", "0").otherwise(digits)
-    exponent = F.regexp_extract(text, r"e([+-][0-9]+)$", 1).cast("int")
-    count = F.length(digits)
-    first, rest = F.substring(digits, 1, 1), F.substring(digits, F.lit(2), count)
-    # lpad and rpad would cut longer texts, which these conditions rule out.
-    whole = F.concat(F.rpad(digits, exponent + 1, "0"), F.lit(".0"))
-    inside = F.concat(F.substring(digits, F.lit(1), exponent + 1), F.lit("."), F.substring(digits, exponent + 2, count))
-    below = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    plain = F.when(exponent >= count - 1, whole).when(exponent >= 0, inside).otherwise(below)
-    wide = F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0"))
-    scientific = F.concat(
-        first, F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.when(exponent < 0, "e-").otherwise("e+"), wide)
+
+    def written(at: Column) -> Column:
+        digits, exponent = F.when(at["digits"] == "", "0").otherwise(at["digits"]), at["exponent"]
+        count = F.length(digits)
+        first, rest = F.substring(digits, 1, 1), F.substring(digits, F.lit(2), count)
+        # lpad and rpad would cut longer texts, which these conditions rule out.
+        whole = F.concat(F.rpad(digits, exponent + 1, "0"), F.lit(".0"))
+        inside = F.concat(F.substring(digits, F.lit(1), exponent + 1), F.lit("."), F.substring(digits, exponent + 2, count))
+        below = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+        plain = F.when(exponent >= count - 1, whole).when(exponent >= 0, inside).otherwise(below)
+        wide = F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0"))
+        scientific = F.concat(
+            first, F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.when(exponent < 0, "e-").otherwise("e+"), wide)
+        return F.concat(sign, F.when(exponent.between(-4, 15), plain).otherwise(scientific))
+
+    finite = _apart(_apart(_apart(F.format_string("%.16e", number), shortest), parts), written)
     return (
         F.when(F.isnan(number), "NaN").when(F.abs(number) == float("inf"), F.concat(sign, F.lit("Infinity")))
-        .otherwise(F.concat(sign, F.when(exponent.between(-4, 15), plain).otherwise(scientific)))
+        .otherwise(finite)
     )
 
 
+def _apart(value: Column, written) -> Column:
+    """`written(value)` within a lambda, so that the value is made once and a long expression is not compiled."""
+    return F.get(F.transform(F.array(value), written), F.lit(0))
+
+
 def _by_key(a: Column, b: Column) -> Column:
     return F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
 
@@ -95,11 +109,6 @@ def _front(name: str) -> Column:
     return F.lit(json.dumps(name) + ":")
 
 
-def _apart(value: Column, written) -> Column:
-    """`written(value)` within a lambda, so that a long expression is not compiled."""
-    return F.get(F.transform(F.array(value), written), F.lit(0))
-
-
 def _object(members: list[Column]) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*members)), ","), F.lit("}"))
 
@@ -162,7 +171,7 @@ def _scalar(value: Column) -> Column:
         .when(kind == "BOOLEAN", value.try_cast("boolean").cast("string"))
         .when(kind == "VOID", "null")
         .when(kind.rlike(r"^DECIMAL\(\d+,\s*0\)$") & ~is_long, whole.cast("string"))
-        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), json_float(double))
+        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), _apart(double, json_float))
     )
 
 
@@ -174,18 +183,47 @@ def _token(mark: Column | str | None = None, key: Column | None = None, leaf: Co
         (F.lit(None).cast("variant") if leaf is None else leaf).alias("leaf"))
 
 
-def _tokens(value: Column, levels: int) -> Column:
-    """The parts of a variant's text in order. Few expressions for each level, as there is one copy for each."""
+def _simple(levels: int) -> str:
+    """Pattern of a JSON text without blanks of at most so many levels, in which no string needs an escape and
+    no number has a point. Possessive, so it takes one pass and no stack."""
+    scalar = pattern = rf'"{_PLAIN_CHAR}*+"|[a-z0-9-]++'
+    for _ in range(levels):
+        pattern = rf"{scalar}|[\[{{](?:[:,]|{pattern})*+[\]}}]"
+    return rf"\A(?:{pattern})\z"
+
+
+def _whole(value: Column, levels: int) -> Column:
+    """Spark's own text of a variant, whose keys are sorted as well, where it is the canonical one; else NULL.
+
+    Other numbers than integers are told by the type, as 1.0 comes out as 1; a type that stands for several may hide them.
+    """
+    other = F.schema_of_variant(value).rlike("DECIMAL|DOUBLE|FLOAT|VARIANT")
+    return _apart(F.to_json(value), lambda t: F.when(t.rlike(_simple(levels)) & ~other, t))
+
+
+def _tokens(value: Column, levels: int, inner: bool = False) -> Column:
+    """The parts of a variant's text in order; an inner object or array that Spark writes alike is one part.
+    Few expressions for each level, as there is one copy for each."""
     if levels < 0:
         return F.array(_token(_UNWRITABLE))
-    members = value.try_cast("map<string,variant>")
-    plain = F.transform(value.try_cast("array<variant>"),
-                        lambda e: F.struct(F.lit(None).cast("string").alias("key"), e.alias("value")))
-    entries = F.coalesce(F.array_sort(F.map_entries(members), _by_key), plain)
-    inner = F.flatten(F.transform(entries, lambda e, i: F.concat(
-        F.array(_token(F.when(i > 0, ","), e["key"])), _tokens(e["value"], levels - 1))))
-    open_, close = (F.when(members.isNotNull(), a).otherwise(b) for a, b in (("{", "["), ("}", "]")))
-    return F.coalesce(F.concat(F.array(_token(open_)), inner, F.array(_token(close))), F.array(_token(leaf=value)))
+
+    def expanded(members: Column, items: Column) -> Column:
+        plain = F.transform(items, lambda e: F.struct(F.lit(None).cast("string").alias("key"), e.alias("value")))
+        entries = F.coalesce(F.array_sort(F.map_entries(members), _by_key), plain)
+        within = F.flatten(F.transform(entries, lambda e, i: F.concat(
+            F.array(_token(F.when(i > 0, ","), e["key"])), _tokens(e["value"], levels - 1, True))))
+        open_, close = (F.when(members.isNotNull(), a).otherwise(b) for a, b in (("{", "["), ("}", "]")))
+        return F.concat(F.array(_token(open_)), within, F.array(_token(close)))
+
+    def parts(inside: Column) -> Column:
+        members, items = inside["members"], inside["items"]
+        text = expanded(members, items)
+        if inner:
+            text = _apart(_whole(value, levels), lambda t: F.when(t.isNotNull(), F.array(_token(t))).otherwise(text))
+        return F.when(members.isNull() & items.isNull(), F.array(_token(leaf=value))).otherwise(text)
+
+    return _apart(F.struct(
+        value.try_cast("map<string,variant>").alias("members"), value.try_cast("array<variant>").alias("items")), parts)
 
 
 def variant_json(value: Column, levels: int = LEVELS) -> Column:

@@ -329,16 +329,26 @@ def manifest_canonical(spark, folder):
     return firmware.manifest_documents(firmware.records_of_documents(documents))
 
 
+def _landed(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder, and read from there."""
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def firmware_verdict_documents(spark, folder):
     """`firmware_verdict_signed` of manifests that came as documents: one in twenty has a
-    nested field changed after it was signed that the verification does not read."""
+    nested field changed after it was signed that the verification does not read.
+
+    Documents are published once, and read once as they were found: signature and verdict read the same records.
+    """
     records, received = _delivery(spark, folder)
-    documents = views.published_documents(records)
+    documents = _landed(views.published_documents(records), "published")
     signed = signing.signatures_of(firmware.records_of_documents(documents))
     changed = F.regexp_replace("document", '"signed":true', '"signed":false')
     tampered = documents.withColumn(
         "document", F.when(F.col("firmware_id") % 20 == 11, changed).otherwise(F.col("document")))
-    found = firmware.records_of_documents(tampered)
+    found = _landed(firmware.records_of_documents(tampered), "found")
     valid = signatures.signature_verdicts(found, signed, signing.sample_public_key())
     return firmware.firmware_verdicts(found, received, valid).select("firmware_id", "verdict", "error_count")
 

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings as hypothesis_settings, strategies as st
 from pyspark.sql import functions as F
 
-from fleetwright.functions.canonical_json import json_float, json_string
+from fleetwright.functions.canonical_json import _tokens, json_float, json_string, variant_json
 from fleetwright.operators import firmware
 from fleetwright.schemas import MANIFEST
 from tests.firmware_cases import CASES, manifest, sha, tables
@@ -348,6 +348,36 @@ def test_documents_of_any_shape_are_byte_exact(spark, documents):
         assert found[i] == json.dumps(document, sort_keys=True, separators=(",", ":"))
 
 
+INNER = [
+    {"b": 1.0}, [1, 1.0], ["x", 1.0], [True, 100.0, None], {"k": "\u00e9"}, {"k": 'a\\"'}, {"k": "\x7f"}, [[{"x": 1}, {"x": 2.0}]],
+    {"x": 10**25}, [10**25, 1], {"\U0001f600": 1, "\uffff": 2}, {"DOUBLE": 1}, {"b": "{[", "a": "]}"}, [], {}, [[], {}], {"": ""},
+    {"10": {"hash": "ab", "index": -1}, "9": {"hash": None, "index": 2}}, [1e300, 1], ["1.0", "1e5"]]
+
+
+def test_inner_parts_are_written_alike_whole_or_not(spark):
+    texts = [json.dumps({"z": inner, "a": inner}, ensure_ascii=i % 2 == 0) for i, inner in enumerate(INNER)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n long, document string")
+    found = dict(rows.select("n", variant_json(F.try_parse_json("document"), 5)).collect())
+    for n, text in enumerate(texts):
+        assert found[n] == json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"))
+
+
+def test_whole_parts_are_no_deeper_than_stated(spark):
+    texts = ['{"a":[[1]]}', '{"a":[[]]}', '{"a":{"b":{"c":{}}}}', '{"a":["[[1]]",2]}']
+    rows = spark.createDataFrame([(t,) for t in texts], "document string")
+    value = F.try_parse_json("document")
+    for levels, written in {3: [0, 1, 2, 3], 2: [1, 3], 1: []}.items():
+        found = [r[0] for r in rows.coalesce(1).select(variant_json(value, levels)).collect()]
+        assert found == [t if i in written else None for i, t in enumerate(texts)]
+
+
+def test_plain_inner_parts_are_one_part(spark):
+    """However many entries a manifest has, Spark writes them in one go."""
+    chunks = {str(i): {"hash": "ab", "index": i, "size": 500} for i in range(1_000)}
+    rows = spark.createDataFrame([(json.dumps({"chunks": chunks, "ratio": 0.5}),)], "document string")
+    assert rows.select(F.size(_tokens(F.try_parse_json("document"), 3))).first()[0] < 10
+
+
 def test_documents_as_records(spark):
     record = manifest([b"one", b"two"])
     extra = {"build": {"host": "h", "tags": ["a", None, 1.50]}, "é": True}

@@ -182,6 +182,13 @@ def test_manifests_and_deliveries_are_read_once(spark, folder, settings, name):
     assert "Generate explode(sequence" not in plan and "SortAggregate" not in plan
 
 
+def test_manifests_that_came_as_documents_are_made_once(spark, folder):
+    """The images are read for their chunks only: manifests are read as they were found, with their text."""
+    plan = run_plan(QUERIES["firmware_verdict_documents"](spark, folder))
+    assert len(re.findall(r"FileScan parquet [^\n]*documents\.parquet", plan)) == 1
+    assert len(re.findall(r"FileScan parquet [^\n]*/found-", plan)) == 1 and "parse_json" not in plan
+
+
 def test_errors_of_a_hot_image_are_split(spark, settings):
     """200,000 bad chunks of one image find its verdict by an adaptive skew join."""
     records, received = huge_image(spark, 200_000)
