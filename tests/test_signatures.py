@@ -96,6 +96,28 @@ def test_powers(monkeypatch, found):
             assert power(number) == pow(number, exponent, modulus)
 
 
+@pytest.mark.parametrize("found", ["two at a time", "one at a time", "pow"])
+def test_two_powers(monkeypatch, found):
+    if found == "pow":
+        monkeypatch.setattr(pss, "_big_numbers", lambda: None)
+    if found == "one at a time":
+        monkeypatch.setattr(pss, "_TWO_POWERS", "not there")
+    key = signing.sample_private_key()
+    p, q = key.primes
+    for pairs in [((key.secret % (p - 1), p), (key.secret % (q - 1), q)), ((3, 91), (key.secret, key.modulus)), ((5, 64), (2, 9)), ((0, 7), (1, 1))]:
+        powers = pss.powers_of(*pairs)
+        for number in (0, 1, 2, p - 1, p, q + 1, key.modulus - 1, 3 << 2050):
+            assert powers(number) == tuple(pow(number, e, m) for e, m in pairs)
+
+
+def test_signing_asks_for_both_powers_at_once(monkeypatch):
+    asked = []
+    monkeypatch.setattr(pss, "power_of", lambda *pair: pytest.fail("one at a time"))
+    monkeypatch.setattr(pss, "powers_of", lambda *pairs: asked.append(pairs) or (lambda number: (number % pairs[0][1], number % pairs[1][1])))
+    key = signing.sample_private_key()
+    assert signing.private_power(key)(12345) == 12345 and [m for _, m in asked[0]] == list(key.primes)
+
+
 def test_signatures_are_the_same_however_powers_are_made(monkeypatch):
     key = signing.sample_private_key()
     digests = [hashlib.sha256(bytes([n])).digest() for n in range(8)]
