@@ -2,16 +2,19 @@
 
 A file is a run of segments; a segment holds whole documents in ascending id order:
 
-    header     magic "FTI1", then little-endian: documents (u32), blocks (u32),
-               ids per block (u32), groups of four bits per id (u32), ids (u64), bytes of
-               the directory (u32), crc32 of all this and the directory (u32)
+    header     magic "FTI2", then little-endian: documents (u32), blocks (u32),
+               ids per block (u32), groups of four bits per id (u32), distinct ids (u32,
+               0 if too many to be told), ids (u64), bytes of the directory (u32), crc32
+               of all this and the directory (u32)
     directory  zlib: per document its id (i64), whether it has one (u8) and its number
                of ids (u64); per block its payload's bytes (u32), the crc32 of its
-               payload (u32) and of its ids (u32), column by column
+               payload (u32) and of its ids (u32); per distinct id itself (u32) and its
+               share of the segment's (u32), column by column
     payloads   one after the other
 
 Blocks have the stated number of ids, the last one what is left; each is coded from a
-fresh start, so any of them can be checked and read alone (`read_blocks`).
+fresh start and the directory's shares, so any of them can be checked and read alone
+(`read_blocks`).
 
 Writing sorts the documents by range partitions: a task writes one file in one pass.
 Its name follows from the partition and it appears under that name when whole, so a
@@ -37,8 +40,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetwright.llm import range_coder
-from fleetwright.llm.common import in_slices, materialise
-from fleetwright.llm.tokens import encoder, vocabulary_path
+from fleetwright.llm.common import materialise, sized
+from fleetwright.llm.tokens import column_encoder, vocabulary_path
 from fleetwright.session import scratch_path
 
 VOCABULARY, END_ID = "word_bpe_49k.json", 1
@@ -47,8 +50,11 @@ VOCABULARY, END_ID = "word_bpe_49k.json", 1
 SEGMENT_IDS = 1 << 22
 SHORTEST_BLOCK, LONGEST_BLOCK = 256, 1_024
 
-_MAGIC = b"FTI1"
-_HEADER, _CRC = struct.Struct("<4sIIIIQI"), struct.Struct("<I")
+# Texts encoded at a time.
+TEXT_BYTES, TEXT_ROWS = 16 << 20, 1 << 14
+
+_MAGIC = b"FTI2"
+_HEADER, _CRC = struct.Struct("<4sIIIIIQI"), struct.Struct("<I")
 
 
 # ---- segments ---------------------------------------------------------------
@@ -61,6 +67,7 @@ class Segment:
     sizes: np.ndarray
     block_sizes: np.ndarray
     groups: int
+    shares: tuple
     bytes: np.ndarray
     payload_crcs: np.ndarray
     id_crcs: np.ndarray
@@ -72,19 +79,21 @@ def write_segment(keys: list, sizes: np.ndarray, ids: np.ndarray) -> bytes:
     block = int(np.clip(-(-len(ids) // range_coder.LANES), SHORTEST_BLOCK, LONGEST_BLOCK))
     block_sizes = np.minimum(len(ids) - np.arange(0, len(ids), block), block)
     groups = max(1, -(-int(ids.max()).bit_length() // 4))
-    payloads = range_coder.encode(ids, block_sizes, groups)
+    shares = range_coder.shares(ids)
+    payloads = range_coder.encode(ids, block_sizes, groups, shares)
     plain = np.ascontiguousarray(ids, "<u4")
     crcs = [zlib.crc32(plain[k:k + block]) for k in range(0, len(plain), block)]
     directory = zlib.compress(b"".join([
         np.array([k or 0 for k in keys], "<i8").tobytes(), np.array([k is not None for k in keys], "u1").tobytes(),
         np.asarray(sizes).astype("<u8").tobytes(), np.array([len(p) for p in payloads], "<u4").tobytes(),
-        np.array([zlib.crc32(p) for p in payloads], "<u4").tobytes(), np.array(crcs, "<u4").tobytes()]))
-    header = _HEADER.pack(_MAGIC, len(keys), len(payloads), block, groups, len(ids), len(directory))
+        np.array([zlib.crc32(p) for p in payloads], "<u4").tobytes(), np.array(crcs, "<u4").tobytes(),
+        *(column.astype("<u4").tobytes() for column in shares)]))
+    header = _HEADER.pack(_MAGIC, len(keys), len(payloads), block, groups, len(shares[0]), len(ids), len(directory))
     return b"".join([header, _CRC.pack(zlib.crc32(header + directory)), directory, *payloads])
 
 
 def read_directory(data) -> Segment:
-    magic, documents, blocks, block, groups, total, length = _HEADER.unpack_from(data)
+    magic, documents, blocks, block, groups, distinct, total, length = _HEADER.unpack_from(data)
     begin = _HEADER.size + _CRC.size
     packed = data[begin:begin + length]
     if magic != _MAGIC or (zlib.crc32(data[:_HEADER.size] + packed),) != _CRC.unpack_from(data, _HEADER.size):
@@ -97,11 +106,12 @@ def read_directory(data) -> Segment:
         place += values.nbytes
         return values
 
-    ids, has_id = column("<i8", documents), column("u1", documents)
+    ids, has_id, sizes = column("<i8", documents), column("u1", documents), column("<u8", documents)
+    of_blocks = [column("<u4", blocks) for _ in range(3)]
     return Segment(
-        [i if h else None for i, h in zip(ids.tolist(), has_id.tolist())], column("<u8", documents).astype(np.int64),
+        [i if h else None for i, h in zip(ids.tolist(), has_id.tolist())], sizes.astype(np.int64),
         np.minimum(total - np.arange(0, total, block, dtype=np.int64), block), groups,
-        column("<u4", blocks), column("<u4", blocks), column("<u4", blocks), begin + length)
+        (column("<u4", distinct), column("<u4", distinct)), *of_blocks, begin + length)
 
 
 def read_blocks(data, segment: Segment, first: int = 0, last: int | None = None) -> np.ndarray:
@@ -112,7 +122,7 @@ def read_blocks(data, segment: Segment, first: int = 0, last: int | None = None)
     if any(zlib.crc32(p) != crc for p, crc in zip(payloads, segment.payload_crcs[first:last].tolist())):
         raise ValueError("a block of token ids is damaged")
     sizes = segment.block_sizes[first:last]
-    ids = range_coder.decode(payloads, sizes, segment.groups)
+    ids = range_coder.decode(payloads, sizes, segment.groups, segment.shares)
     starts = np.cumsum(sizes) - sizes
     for start, size, crc in zip(starts.tolist(), sizes.tolist(), segment.id_crcs[first:last].tolist()):
         if zlib.crc32(ids[start:start + size].astype("<u4")) != crc:
@@ -134,33 +144,37 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY, end_
     """Write all documents' ids below `folder`; returns the written segments as
     (part, path, offset, bytes, documents, ids), in the order part, offset."""
     path = vocabulary_path(vocabulary)
-    end = np.array([end_id], "<u4").tobytes()
 
     def written(batches: Iterator[pa.RecordBatch]):
-        encode = encoder(path, blank_joins=False).encode
+        encode = column_encoder(path).encode
         part = TaskContext.get().partitionId()
         system, root = _file_system(folder)
         system.create_dir(root, recursive=True)
         name = f"{root}/part-{part:06d}.ids"
         temporary = f"{name}.{uuid.uuid4().hex}"
-        segments, keys, held, total, place = [], [], [], 0, 0
+        segments, keys, sizes, held, total, place = [], [], [], [], 0, 0
         with system.open_output_stream(temporary) as out:
             def flush():
-                nonlocal keys, held, total, place
-                data = write_segment(keys, np.array([len(h) // 4 for h in held]), np.frombuffer(b"".join(held), "<u4"))
+                nonlocal keys, sizes, held, total, place
+                data = write_segment(keys, np.concatenate(sizes), np.concatenate(held))
                 out.write(data)
                 segments.append((place, len(data), len(keys), total))
                 place += len(data)
-                keys, held, total = [], [], 0
-
-            for batch in in_slices(batches):
-                texts = [t or "" for t in batch.column("_text").to_pylist()]
-                for key_, found in zip(batch.column("_key").to_pylist(), encode(texts)):
-                    keys.append(key_)
-                    held.append(found + end)
-                    total += len(held[-1]) // 4
+                keys, sizes, held, total = [], [], [], 0
+
+            for batch in sized(batches, "_text", TEXT_BYTES, TEXT_ROWS):
+                ids, counts = encode(batch.column("_text"), end_id)
+                ends, first = np.cumsum(counts), 0
+                while first < batch.num_rows:
+                    before = int(ends[first - 1]) if first else 0
+                    last = min(int(np.searchsorted(ends, before + SEGMENT_IDS - total)) + 1, batch.num_rows)
+                    keys += batch.column("_key")[first:last].to_pylist()
+                    sizes.append(counts[first:last])
+                    held.append(ids[before:ends[last - 1]])
+                    total += int(ends[last - 1]) - before
                     if total >= SEGMENT_IDS:
                         flush()
+                    first = last
             if keys:
                 flush()
         if not segments:

@@ -11,6 +11,10 @@ import re
 import sys
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # Python's \s holds every character a tokenizer takes for white space.
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
@@ -168,6 +172,130 @@ class Encoder:
         return self._alone(head) + b"".join(map(self.known.__getitem__, rest[:-1])) + self._alone(self.blank + rest[-1])
 
 
+# Units a column encoder remembers, and the bytes of their names; new units that go to
+# the tokenizer together; marks behind a word that are a unit of their own.
+UNITS, UNIT_BYTES = 1_000_000, 64 << 20
+_TOGETHER = 200
+_MOST_MARKS = 16
+
+
+class ColumnEncoder:
+    """Ids of columns of texts, by a vocabulary that drops white space and lower-cases.
+
+    White space ends every token and leaves nothing behind, so a text's ids are those of
+    its words. The distinct words of a column are encoded once: one of letters, maybe with
+    marks behind, is one unit of letters and one of marks, another is a unit itself. Units
+    met before are remembered, up to a bound. New ones of letters go to the tokenizer many
+    at a time, where the vocabulary marks the token that ends a unit. A text that holds the
+    string of an added token is encoded whole.
+    """
+
+    def __init__(self, path: str):
+        self.whole = Encoder(path, blank_joins=False)
+        self.tokenizer = self.whole.tokenizer
+        suffix, vocabulary = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for name, i in vocabulary.items() if name.endswith(suffix)]] = True
+        # The units known, all their ids, and how many each has.
+        self.names, self.flat, self.sizes = pa.array([], pa.string()), np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, each with `end_id` behind, and how
+        many each has. NULL is an empty text."""
+        texts, special = pc.fill_null(texts, "").cast(pa.string()), np.zeros(len(texts), bool)
+        for string in self.whole.specials:
+            special |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
+        lists = pc.ascii_split_whitespace(pc.if_else(pa.array(special), "", texts) if special.any() else texts)
+        words = lists.flatten().dictionary_encode()
+        flat, begins, sizes = self._words(words.dictionary)
+        word = words.indices.to_numpy()
+        sizes = sizes.take(word)
+        ids, until = _joined(flat, begins.take(word), sizes), np.concatenate([[0], np.cumsum(sizes)])
+        ends = until[np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)]
+        if special.any():
+            parts = np.split(ids, ends[:-1])
+            for row in np.flatnonzero(special).tolist():
+                parts[row] = np.frombuffer(self.whole.encode([texts[row].as_py()])[0], "<u4")
+            ids, ends = np.concatenate(parts), np.cumsum([len(part) for part in parts])
+        return np.insert(ids, ends, end_id).astype(np.uint32, copy=False), np.diff(ends, prepend=0) + 1
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each word where its own begin and how many they are."""
+        lower = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        letters = pc.ascii_rtrim(lower, characters=_MARKS)
+        trimmed = pc.subtract(pc.binary_length(lower), pc.binary_length(letters))
+        plain = pc.and_(pc.utf8_is_alpha(letters), pc.less_equal(trimmed, _MOST_MARKS))
+        units = pc.if_else(plain, letters, lower).dictionary_encode()
+        trimmed = np.where(plain.to_numpy(zero_copy_only=False), trimmed.to_numpy(), 0)
+        # Behind the units come no marks, and the marks of each length.
+        names, mark = [units.dictionary, pa.array([""])], np.full(len(words), len(units.dictionary))
+        for length in range(1, _MOST_MARKS + 1):
+            rows = np.flatnonzero(trimmed == length)
+            if len(rows):
+                marks = pc.utf8_slice_codeunits(lower.take(pa.array(rows)), start=-length, stop=None).dictionary_encode()
+                mark[rows] = marks.indices.to_numpy() + sum(map(len, names))
+                names.append(marks.dictionary)
+        place = self._units(pa.concat_arrays(names))
+        begins = np.cumsum(self.sizes) - self.sizes
+        pairs = place.take(np.stack([units.indices.to_numpy(), mark], axis=1).ravel())
+        sizes = self.sizes.take(pairs)
+        flat, sizes = _joined(self.flat, begins.take(pairs), sizes), sizes.reshape(-1, 2).sum(axis=1)
+        return flat, np.cumsum(sizes) - sizes, sizes
+
+    def _units(self, units: pa.Array) -> np.ndarray:
+        """Each unit's place among those known."""
+        place = pc.fill_null(pc.index_in(units, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(self.names) > UNITS or self.names.nbytes > UNIT_BYTES:
+            # Only what has come again is kept.
+            kept = np.unique(place[place >= 0])
+            place = np.where(place >= 0, np.searchsorted(kept, place), -1)
+            sizes = self.sizes.take(kept)
+            self.flat = _joined(self.flat, (np.cumsum(self.sizes) - self.sizes).take(kept), sizes)
+            self.names, self.sizes = self.names.take(pa.array(kept)), sizes
+        rows = np.flatnonzero(place < 0)
+        if len(rows):
+            place[rows] = len(self.names) + np.arange(len(rows))
+            new = units.take(pa.array(rows))
+            flat, sizes = self._new(new)
+            self.names = pa.concat_arrays([self.names, new])
+            self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+        return place
+
+    def _new(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of new units, and how many each has."""
+        alpha = pc.utf8_is_alpha(units).to_numpy(zero_copy_only=False)
+        sizes, parts, order = np.zeros(len(units), np.int64), [], []
+        for rows, together in (np.flatnonzero(alpha), True), (np.flatnonzero(~alpha), False):
+            for start in range(0, len(rows), _TOGETHER):
+                part = rows[start:start + _TOGETHER]
+                ids, counts = self._encoded(units.take(pa.array(part)).to_pylist(), together)
+                parts.append(ids)
+                order.append(part)
+                sizes[part] = counts
+        order = np.concatenate(order)
+        begins = np.empty(len(units), np.int64)
+        begins[order] = np.cumsum(sizes[order]) - sizes[order]
+        return _joined(np.concatenate(parts), begins, sizes), sizes
+
+    def _encoded(self, units: list[str], together: bool) -> tuple[np.ndarray, np.ndarray]:
+        if together:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends.take(ids)) + 1
+            # What is a letter here may be none to the tokenizer.
+            if len(ends) == len(units) and ends[-1] == len(ids):
+                return ids, np.diff(ends, prepend=0)
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        return np.array(sum(each, []), np.uint32), np.array(list(map(len, each)))
+
+
+def _joined(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The pieces of `flat` that begin there and have those sizes, one after the other."""
+    places = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
+    places += np.arange(len(places))
+    return flat.take(places)
+
+
 _MARK = "\u2581"  # how pieces write a blank
 
 
@@ -213,7 +341,7 @@ class PieceEncoder:
         ]
 
 
-_ENCODERS: dict[tuple, Encoder | PieceEncoder] = {}
+_ENCODERS: dict[tuple, Encoder | ColumnEncoder | PieceEncoder] = {}
 
 
 def encoder(path: str, blank_joins: bool, plain_specials: bool = False) -> Encoder:
@@ -223,6 +351,13 @@ def encoder(path: str, blank_joins: bool, plain_specials: bool = False) -> Encod
     return _ENCODERS[path, blank_joins, plain_specials]
 
 
+def column_encoder(path: str) -> ColumnEncoder:
+    """The worker's encoder of columns for a vocabulary file."""
+    if ("columns", path) not in _ENCODERS:
+        _ENCODERS["columns", path] = ColumnEncoder(path)
+    return _ENCODERS["columns", path]
+
+
 def piece_encoder(path: str) -> PieceEncoder:
     """The worker's encoder for a piece model."""
     if (path,) not in _ENCODERS:
