@@ -46,9 +46,11 @@ def _stretch(chance: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(256 * np.log(chance / (1 - chance))), -2_047, 2_047).astype(np.int32)
 
 
-# By hit and state; log odds by state; 12-bit probability by log odds, which the bounds
+# What is added to a state by hit and state, or that its follower makes room; log odds by state; 12-bit probability by log odds, which the bounds
 # of weights and inputs keep within the table.
+_GONE = 1 << _STATE_BITS
 _NEXT = np.concatenate([_after(0), _after(1)])
+_CHANGE = np.where(_NEXT == 0, _GONE, _NEXT - np.tile(np.arange(1 << _STATE_BITS), 2)).astype(np.int32)
 _STRETCH = _stretch((np.arange(1 << _STATE_BITS) // 16 + 0.5) / 256)
 _FAR = 1 << 15
 _SQUASH = np.clip(np.rint(4_096 / (1 + np.exp(-np.clip(np.arange(-_FAR, _FAR) / 256, -20, 20)))), 1, 4_095).astype(np.int32)
@@ -59,7 +61,12 @@ _MULTIPLIERS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE
 
 def shares(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ids and their shares of 2**SHARE_BITS; none if they are too many."""
-    values, counts = np.unique(ids, return_counts=True)
+    if len(ids) and ids.max() < MOST_SHARES:
+        counts = np.bincount(ids)
+        values = np.flatnonzero(counts)
+        counts = counts[values]
+    else:
+        values, counts = np.unique(ids, return_counts=True)
     if len(values) > MOST_SHARES:
         return np.empty(0, np.uint32), np.empty(0, np.uint32)
     share = 1 + counts.astype(np.int64) * ((1 << SHARE_BITS) - len(values)) // len(ids)
@@ -106,12 +113,16 @@ class _Lanes:
 
     def __init__(self, lanes: int, alphabet: _Alphabet):
         self.alphabet = alphabet
-        # By order (2, then 1), lane and slot: the follower and its state.
-        self.table = np.zeros(2 * lanes << SLOT_BITS, alphabet.kind)
-        self.origin = (np.arange(2 * lanes) << SLOT_BITS).reshape(2, lanes)
+        # By order (2, then 1), slot and lane, as lanes often need the same slots: the
+        # follower and its state. Not a power of two apart, which would share cache sets.
+        self.width = lanes + 16
+        self.table = np.zeros(2 * self.width << SLOT_BITS, alphabet.kind)
+        self.origin = (np.arange(2)[:, None] * self.width << SLOT_BITS) + np.arange(lanes)
         # By decision, kind of input and lane.
         self.weights = np.full((2, 3, lanes), _START_WEIGHT, np.int32)
         self.context = np.zeros((2, lanes), np.uint32)
+        # Written anew for every id.
+        self.inputs, self.sums = np.empty((2, 3, lanes), np.int32), np.empty((2, 3, lanes), np.int32)
 
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """The foretold ids by decision and lane, and 12-bit probabilities that they come
@@ -124,26 +135,27 @@ class _Lanes:
         mixed ^= mixed >> np.uint32(15)
         mixed *= c
         mixed >>= np.uint32(32 - SLOT_BITS)
-        self.place = mixed.astype(np.int64)
-        self.place += self.origin[:, :n]
-        held = self.table.take(self.place).astype(np.int64)
+        place = mixed.astype(np.int64)
+        place *= self.width
+        place += self.origin[:, :n]
+        self.place = place.ravel()
+        self.held = self.table[self.place].reshape(2, n)
+        held = self.held.astype(np.int64)
         self.state = held & ((1 << _STATE_BITS) - 1)
         held >>= _STATE_BITS
-        self.follower = held
         odds = _STRETCH.take(self.state)
         self.asked = (self.state != 0).astype(np.int32)
         same = (held[0] == held[1]).astype(np.int32)
-        inputs = np.empty((2, 3, n), np.int32)
+        inputs, sums = self.inputs[:, :, :n], self.sums[:, :, :n]
         inputs[:, 0] = odds
         # Where the orders differ, only one that is sure of itself speaks against the other.
         against = np.minimum(-odds[1], 0)
         inputs[0, 1] = against + same * (odds[1] - against)
         inputs[1, 1] = odds[0]
         inputs[:, 2] = self.alphabet.odds_of(held)
-        self.inputs = inputs
         # The second decision is about an id the first was not about.
         self.asked[1] -= self.asked[1] * same * self.asked[0]
-        sums = self.weights[:, :, :n] * inputs
+        np.multiply(self.weights[:, :, :n], inputs, out=sums)
         mixed_odds = sums[:, 0] + sums[:, 1]
         mixed_odds += sums[:, 2]
         mixed_odds >>= 16
@@ -153,8 +165,8 @@ class _Lanes:
         self.said *= self.asked
         return held, self.said.astype(np.uint64)
 
-    def learn(self, n: int, symbol: np.ndarray) -> None:
-        came = self.follower == symbol
+    def learn(self, n: int, symbol: np.ndarray, came: np.ndarray) -> None:
+        """`came`: by order and lane, whether its follower was the id."""
         wrong = came.astype(np.int32)
         # What the first decision settled is not asked again.
         self.asked[1] -= self.asked[1] * wrong[0] * self.asked[0]
@@ -162,15 +174,16 @@ class _Lanes:
         wrong -= self.said
         wrong *= self.asked
         wrong *= _MIX_RATE
-        self.inputs *= wrong[:, None]
-        self.inputs >>= 16
-        self.weights[:, :, :n] += self.inputs
+        inputs = self.inputs[:, :, :n]
+        inputs *= wrong[:, None]
+        inputs >>= 16
+        self.weights[:, :, :n] += inputs
         place = came.astype(np.int64)
         place <<= _STATE_BITS
         place += self.state
-        state = _NEXT.take(place)
-        held = np.where(state == 0, symbol << _STATE_BITS | _NEW, self.follower << _STATE_BITS | state)
-        self.table[self.place.ravel()] = held.astype(self.table.dtype, copy=False).ravel()
+        change = _CHANGE.take(place)
+        new = (symbol << _STATE_BITS | _NEW).astype(self.held.dtype)
+        self.table[self.place] = np.where(change == _GONE, new, self.held + change).ravel()
         self.context[1, :n] = self.context[0, :n]
         self.context[0, :n] = symbol
 
@@ -226,7 +239,8 @@ class _Interval:
             yield ready
             low, width = self.low.take(ready), self.range.take(ready)
             across = (low ^ low + width) >= _TOP
-            np.copyto(width, (~low + np.uint64(1)) & (_TOP - np.uint64(1)), where=across)
+            if across.any():
+                np.copyto(width, (~low + np.uint64(1)) & (_TOP - np.uint64(1)), where=across)
             low <<= _WORD
             width <<= _WORD
             self.low[ready], self.range[ready] = low, width
@@ -282,10 +296,10 @@ def _encode_lanes(symbols, starts, sizes, alphabet):
                 out = np.concatenate([out, np.empty_like(out)])
         symbol = matrix[token, :n].astype(np.int64)
         foretold, said = lanes.predict(n)
-        came = (foretold == symbol).astype(np.uint64)
-        came *= lanes.asked != 0
-        came[1] -= came[0] * came[1]
-        neither = interval.narrow(n, interval.parts(n, said), came)
+        came = foretold == symbol
+        yes = came & lanes.asked.astype(bool)
+        yes[1] &= ~yes[0]
+        neither = interval.narrow(n, interval.parts(n, said), yes.astype(np.uint64))
         if len(alphabet):
             unit = interval.range[:n] >> np.uint64(SHARE_BITS)
             interval.share(n, neither, unit, alphabet.before.take(symbol), alphabet.share.take(symbol))
@@ -298,7 +312,7 @@ def _encode_lanes(symbols, starts, sizes, alphabet):
                 interval.low[rest] += unit * (symbol.take(rest) >> begin & (1 << bits) - 1).astype(np.uint64)
                 interval.range[rest] = unit
                 shift(n)
-        lanes.learn(n, symbol)
+        lanes.learn(n, symbol, came)
         if token % _BOUND_EVERY == 0:
             lanes.bound()
     # Two words that lie in the interval whatever is read behind them.
@@ -326,11 +340,11 @@ def _decode_lanes(payloads, sizes, alphabet):
     count, longest = len(sizes), int(sizes.max())
     lanes, interval = _Lanes(count, alphabet), _Interval(count)
     lengths = np.array([len(p) for p in payloads]) // 2
-    data = np.frombuffer(b"".join(p[:len(p) & ~1] for p in payloads) + bytes(64), "<u2").astype(np.uint64)
+    data = np.frombuffer(b"".join(p[:len(p) & ~1] for p in payloads) + bytes(64), "<u2")
     read = np.cumsum(lengths) - lengths
     code = np.zeros(count, np.uint64)
     for _ in range(4):
-        code = code << _WORD | data.take(read, mode="clip")
+        code = code << _WORD | data.take(read, mode="clip").astype(np.uint64)
         read += 1
     matrix = np.zeros((longest, count), alphabet.kind)
 
@@ -338,7 +352,7 @@ def _decode_lanes(payloads, sizes, alphabet):
         for ready in interval.shift(n):
             at = read.take(ready)
             # A damaged block may ask for more words than there are.
-            code[ready] = code.take(ready) << _WORD | data.take(at, mode="clip")
+            code[ready] = code.take(ready) << _WORD | data.take(at, mode="clip").astype(np.uint64)
             read[ready] = at + 1
 
     for token in range(longest):
@@ -373,7 +387,7 @@ def _decode_lanes(payloads, sizes, alphabet):
                 shift(n)
         symbol = foretold[0] * first + foretold[1] * second + coded * third
         matrix[token, :n] = symbol
-        lanes.learn(n, symbol)
+        lanes.learn(n, symbol, foretold == symbol)
         if token % _BOUND_EVERY == 0:
             lanes.bound()
     return matrix

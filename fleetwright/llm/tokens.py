@@ -197,8 +197,8 @@ class ColumnEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends[[i for name, i in vocabulary.items() if name.endswith(suffix)]] = True
-        # The units known, all their ids, and how many each has.
-        self.names, self.flat, self.sizes = pa.array([], pa.string()), np.empty(0, np.uint32), np.empty(0, np.int64)
+        # The units known and the bytes of their ids.
+        self.names, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, each with `end_id` behind, and how
@@ -208,11 +208,9 @@ class ColumnEncoder:
             special |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
         lists = pc.ascii_split_whitespace(pc.if_else(pa.array(special), "", texts) if special.any() else texts)
         words = lists.flatten().dictionary_encode()
-        flat, begins, sizes = self._words(words.dictionary)
-        word = words.indices.to_numpy()
-        sizes = sizes.take(word)
-        ids, until = _joined(flat, begins.take(word), sizes), np.concatenate([[0], np.cumsum(sizes)])
-        ends = until[np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)]
+        found = self._words(words.dictionary).take(words.indices)
+        ids, until = _values(found)
+        ends = until[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)])][1:]
         if special.any():
             parts = np.split(ids, ends[:-1])
             for row in np.flatnonzero(special).tolist():
@@ -220,8 +218,8 @@ class ColumnEncoder:
             ids, ends = np.concatenate(parts), np.cumsum([len(part) for part in parts])
         return np.insert(ids, ends, end_id).astype(np.uint32, copy=False), np.diff(ends, prepend=0) + 1
 
-    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and for each word where its own begin and how many they are."""
+    def _words(self, words: pa.Array) -> pa.LargeBinaryArray:
+        """The bytes of the words' ids."""
         lower = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
         letters = pc.ascii_rtrim(lower, characters=_MARKS)
         trimmed = pc.subtract(pc.binary_length(lower), pc.binary_length(letters))
@@ -236,47 +234,41 @@ class ColumnEncoder:
                 marks = pc.utf8_slice_codeunits(lower.take(pa.array(rows)), start=-length, stop=None).dictionary_encode()
                 mark[rows] = marks.indices.to_numpy() + sum(map(len, names))
                 names.append(marks.dictionary)
-        place = self._units(pa.concat_arrays(names))
-        begins = np.cumsum(self.sizes) - self.sizes
-        pairs = place.take(np.stack([units.indices.to_numpy(), mark], axis=1).ravel())
-        sizes = self.sizes.take(pairs)
-        flat, sizes = _joined(self.flat, begins.take(pairs), sizes), sizes.reshape(-1, 2).sum(axis=1)
-        return flat, np.cumsum(sizes) - sizes, sizes
-
-    def _units(self, units: pa.Array) -> np.ndarray:
-        """Each unit's place among those known."""
-        place = pc.fill_null(pc.index_in(units, value_set=self.names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = self._units(pa.concat_arrays(names))
+        return pc.binary_join_element_wise(
+            ids.take(units.indices), ids.take(pa.array(mark)), pa.scalar(b"", pa.large_binary()))
+
+    def _units(self, units: pa.Array) -> pa.LargeBinaryArray:
+        """The bytes of the units' ids."""
+        place = pc.index_in(units, value_set=self.names)
         if len(self.names) > UNITS or self.names.nbytes > UNIT_BYTES:
             # Only what has come again is kept.
-            kept = np.unique(place[place >= 0])
-            place = np.where(place >= 0, np.searchsorted(kept, place), -1)
-            sizes = self.sizes.take(kept)
-            self.flat = _joined(self.flat, (np.cumsum(self.sizes) - self.sizes).take(kept), sizes)
-            self.names, self.sizes = self.names.take(pa.array(kept)), sizes
-        rows = np.flatnonzero(place < 0)
+            kept = place.drop_null().unique()
+            place, self.names, self.ids = pc.index_in(place, value_set=kept, skip_nulls=True), self.names.take(kept), self.ids.take(kept)
+        missing = place.is_null()
+        place = place.to_numpy(zero_copy_only=False).astype(np.float64)
+        rows = np.flatnonzero(missing.to_numpy(zero_copy_only=False))
         if len(rows):
             place[rows] = len(self.names) + np.arange(len(rows))
             new = units.take(pa.array(rows))
-            flat, sizes = self._new(new)
-            self.names = pa.concat_arrays([self.names, new])
-            self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
-        return place
+            self.names, self.ids = pa.concat_arrays([self.names, new]), pa.concat_arrays([self.ids, self._new(new)])
+        return self.ids.take(pa.array(place.astype(np.int64)))
 
-    def _new(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of new units, and how many each has."""
+    def _new(self, units: pa.Array) -> pa.LargeBinaryArray:
+        """The bytes of new units' ids."""
         alpha = pc.utf8_is_alpha(units).to_numpy(zero_copy_only=False)
-        sizes, parts, order = np.zeros(len(units), np.int64), [], []
+        sizes, parts, order = [], [], []
         for rows, together in (np.flatnonzero(alpha), True), (np.flatnonzero(~alpha), False):
             for start in range(0, len(rows), _TOGETHER):
                 part = rows[start:start + _TOGETHER]
                 ids, counts = self._encoded(units.take(pa.array(part)).to_pylist(), together)
                 parts.append(ids)
                 order.append(part)
-                sizes[part] = counts
-        order = np.concatenate(order)
-        begins = np.empty(len(units), np.int64)
-        begins[order] = np.cumsum(sizes[order]) - sizes[order]
-        return _joined(np.concatenate(parts), begins, sizes), sizes
+                sizes.append(counts)
+        until = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) * 4
+        encoded = pa.Array.from_buffers(
+            pa.large_binary(), len(units), [None, pa.py_buffer(until.astype(np.int64)), pa.py_buffer(np.concatenate(parts).astype("<u4"))])
+        return encoded.take(pa.array(np.argsort(np.concatenate(order))))
 
     def _encoded(self, units: list[str], together: bool) -> tuple[np.ndarray, np.ndarray]:
         if together:
@@ -289,11 +281,12 @@ class ColumnEncoder:
         return np.array(sum(each, []), np.uint32), np.array(list(map(len, each)))
 
 
-def _joined(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The pieces of `flat` that begin there and have those sizes, one after the other."""
-    places = np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
-    places += np.arange(len(places))
-    return flat.take(places)
+def _values(found: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids whose bytes these are, and how many there are up to each value's begin and the last one's end."""
+    _, offsets, data = found.buffers()
+    until = np.frombuffer(offsets, np.int64, len(found) + 1, 8 * found.offset) // 4
+    ids = np.frombuffer(data or b"", "<u4", int(until[-1] - until[0]), 4 * int(until[0]))
+    return ids, until - until[0]
 
 
 _MARK = "\u2581"  # how pieces write a blank
