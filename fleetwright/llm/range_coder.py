@@ -234,17 +234,25 @@ class _Interval:
     def shift(self, n: int):
         """Shift out settled words; yields the lanes of each shift, before it."""
         low, width = self.low[:n], self.range[:n]
-        ready = np.flatnonzero(((low ^ low + width) < _TOP) | (width < _LEAST_RANGE))
+        ready = np.flatnonzero(_settled(low, width))
         while ready.size:
             yield ready
             low, width = self.low.take(ready), self.range.take(ready)
-            across = (low ^ low + width) >= _TOP
-            if across.any():
-                np.copyto(width, (~low + np.uint64(1)) & (_TOP - np.uint64(1)), where=across)
+            # The others are narrow across an edge.
+            across = np.flatnonzero((low ^ low + width) >= _TOP)
+            if across.size:
+                width[across] = (~low[across] + np.uint64(1)) & (_TOP - np.uint64(1))
             low <<= _WORD
             width <<= _WORD
             self.low[ready], self.range[ready] = low, width
-            ready = ready[((low ^ low + width) < _TOP) | (width < _LEAST_RANGE)]
+            ready = ready[_settled(low, width)]
+
+
+def _settled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Whether an interval's leading word is settled, or the interval too narrow."""
+    edges = low + width
+    edges ^= low
+    return (edges < _TOP) | (width < _LEAST_RANGE)
 
 
 def _lane_groups(sizes: np.ndarray):
@@ -276,9 +284,10 @@ def _encode_lanes(symbols, starts, sizes, alphabet):
     out, written = np.empty((longest + 64, count), np.uint16), np.zeros(count, np.int64)
     everyone, most = np.arange(count), 0
     # By token and lane; what lies behind a shorter block is not looked at.
-    matrix = np.ascontiguousarray(
-        symbols.take(starts[:, None] + np.arange(longest)[None], mode="clip").T if len(set(sizes.tolist())) > 1
-        else symbols[starts[0]:starts[0] + count * longest].reshape(count, longest).T)
+    matrix, whole = np.zeros((longest, count), symbols.dtype), _active(sizes, longest - 1)
+    matrix[:, :whole] = symbols[starts[0]:starts[0] + whole * longest].reshape(whole, longest).T
+    for lane in range(whole, count):
+        matrix[:sizes[lane], lane] = symbols[starts[lane]:starts[lane] + sizes[lane]]
 
     def shift(n):
         for ready in interval.shift(n):
@@ -330,9 +339,12 @@ def decode(payloads: list[bytes], sizes: np.ndarray, groups: int, known: tuple |
     ids, start = np.empty(int(sizes.sum()), np.uint32), 0
     for first, last in _lane_groups(sizes):
         matrix = _decode_lanes(payloads[first:last], sizes[first:last], alphabet)
-        here = matrix.T[np.arange(matrix.shape[0])[None] < sizes[first:last, None]]
-        ids[start:start + len(here)] = alphabet.values.take(here) if len(alphabet) else here
-        start += len(here)
+        whole = _active(sizes[first:last], len(matrix) - 1)
+        parts = [matrix[:, :whole].T.ravel()]
+        parts += [matrix[:sizes[first + lane], lane] for lane in range(whole, last - first)]
+        for part in parts:
+            ids[start:start + len(part)] = alphabet.values.take(part) if len(alphabet) else part
+            start += len(part)
     return ids
 
 

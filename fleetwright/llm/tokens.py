@@ -177,6 +177,7 @@ class Encoder:
 UNITS, UNIT_BYTES = 1_000_000, 64 << 20
 _TOGETHER = 200
 _MOST_MARKS = 16
+_BESIDE_BLANKS = {byte: letter for byte, letter in _BYTE_LETTERS.items() if byte != ord(" ")}
 
 
 class ColumnEncoder:
@@ -192,8 +193,14 @@ class ColumnEncoder:
 
     def __init__(self, path: str):
         self.whole = Encoder(path, blank_joins=False)
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
         self.tokenizer = self.whole.tokenizer
         suffix, vocabulary = self.tokenizer.model.end_of_word_suffix, self.tokenizer.get_vocab()
+        # For letters as the vocabulary writes them, which need no other preparation.
+        self.prepared = Tokenizer(self.tokenizer.model)
+        self.prepared.pre_tokenizer = WhitespaceSplit()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.ends[[i for name, i in vocabulary.items() if name.endswith(suffix)]] = True
@@ -258,7 +265,9 @@ class ColumnEncoder:
         """The bytes of new units' ids."""
         alpha = pc.utf8_is_alpha(units).to_numpy(zero_copy_only=False)
         sizes, parts, order = [], [], []
-        for rows, together in (np.flatnonzero(alpha), True), (np.flatnonzero(~alpha), False):
+        ascii_ = pc.string_is_ascii(units).to_numpy(zero_copy_only=False)
+        for kind, together in (alpha & ascii_, True), (alpha & ~ascii_, True), (~alpha, False):
+            rows = np.flatnonzero(kind)
             for start in range(0, len(rows), _TOGETHER):
                 part = rows[start:start + _TOGETHER]
                 ids, counts = self._encoded(units.take(pa.array(part)).to_pylist(), together)
@@ -272,7 +281,10 @@ class ColumnEncoder:
 
     def _encoded(self, units: list[str], together: bool) -> tuple[np.ndarray, np.ndarray]:
         if together:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, np.uint32)
+            text, tokenizer = " ".join(units), self.tokenizer
+            if self.ends.any() and max(text) < "Ā":
+                text, tokenizer = text.lower().encode().decode("latin-1").translate(_BESIDE_BLANKS), self.prepared
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.ends.take(ids)) + 1
             # What is a letter here may be none to the tokenizer.
             if len(ends) == len(units) and ends[-1] == len(ids):
