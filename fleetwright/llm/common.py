@@ -1,6 +1,9 @@
 """What the corpus operators share: whole-text words, written tables, sorted runs."""
 
+import ctypes
+import gc
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +60,39 @@ def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa
             yield batch.slice(start, rows)
 
 
+@cache
+def _malloc_trim():
+    """What the C library has for returning freed memory; None if it has nothing."""
+    try:
+        return getattr(ctypes.CDLL(None), "malloc_trim", None)
+    except (OSError, TypeError):
+        return None
+
+
+_CACHES: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """What an operator keeps in a worker from one partition to the next, until another makes room."""
+    _CACHES.append({})
+    return _CACHES[-1]
+
+
+def make_room() -> None:
+    """Drop what other operators have left in this worker: it outlives their stages."""
+    for kept in _CACHES:
+        kept.clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Return to the system what a worker has freed, as it goes on to run other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim():
+        _malloc_trim()(0)
+
+
 def sized(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int, most_rows: int) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most so many rows and bytes of text; a longer text is a part of its own."""
     for batch in batches:

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetwright.llm.common import in_slices, materialise
+from fleetwright.llm.common import give_back, in_slices, materialise
 from fleetwright.llm.tokens import encoder, vocabulary_path
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 2
@@ -85,6 +85,7 @@ def token_pieces(docs: DataFrame, limit: int = SEQUENCE_TOKENS, vocabulary: str
                 [batch.column("_key").take(pa.array(rows, pa.int64())),
                  *(pa.array(column, kind) for column, kind in zip(columns, kinds))],
                 ["_key", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()

@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from fleetwright.llm.common import byte_texts, in_slices, materialise, sorted_runs
+from fleetwright.llm.common import byte_texts, give_back, in_slices, materialise, sorted_runs
 from fleetwright.llm.components import component_roots
 
 SHINGLE_WORDS, MAX_DISTANCE = 3, 3
@@ -73,6 +73,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WOR
             marks = np.array([fingerprint(t, shingle) for t in byte_texts(batch.column("_text"))], dtype=np.uint64)
             columns = [batch.column(c) for c in carry]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(marks.view(np.int64))], [*carry, "fp"])
+        give_back()
 
     rows = docs.select(*carry, F.col(text).alias("_text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("_text").schema.fields)

@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from fleetwright.llm.common import worker_cache
+
 # Python's \s holds every character a tokenizer takes for white space.
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
@@ -346,7 +348,7 @@ class PieceEncoder:
         ]
 
 
-_ENCODERS: dict[tuple, Encoder | ColumnEncoder | PieceEncoder] = {}
+_ENCODERS: dict[tuple, Encoder | ColumnEncoder | PieceEncoder] = worker_cache()
 
 
 def encoder(path: str, blank_joins: bool, plain_specials: bool = False) -> Encoder:

@@ -30,11 +30,10 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetwright.llm.common import byte_texts, held_out, in_slices, materialise
+from fleetwright.llm.common import byte_texts, give_back, held_out, in_slices, make_room, materialise
 
 # Bound of learning: rows (expected; drawn by a hash of the id).
 SAMPLE_ROWS = 12_000
@@ -84,16 +83,26 @@ class BlockMaxIndex:
 
     def __init__(self, vectors: list, terms: int, block: int = BLOCK_EXAMPLES):
         vectors = [_arrays(v) for v in vectors]
-        self.size, self.block = len(vectors), block
-        self.blocks = -(-len(vectors) // block)
-        self.sizes = np.array([len(t) for t, _ in vectors], np.int64)
+        self._fill(np.array([len(t) for t, _ in vectors], np.int64),
+                   np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)]),
+                   np.concatenate([np.zeros(0), *(w for _, w in vectors)]), terms, block)
+
+    @classmethod
+    def of_joined(cls, sizes: np.ndarray, numbers: np.ndarray, values: np.ndarray, terms: int) -> "BlockMaxIndex":
+        """The index of vectors that lie one after the other."""
+        index = cls.__new__(cls)
+        index._fill(sizes, numbers, values, terms, BLOCK_EXAMPLES)
+        return index
+
+    def _fill(self, sizes, numbers, values, terms, block):
+        self.size, self.block = len(sizes), block
+        self.blocks = -(-len(sizes) // block)
+        self.sizes, self.terms, self.values = sizes, numbers, values
         self.begins = np.cumsum(self.sizes) - self.sizes
-        self.terms = np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)])
-        self.values = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
         # Postings: the examples of each term, ascending.
         order = np.argsort(self.terms, kind="stable")
         self.examples = np.repeat(np.arange(self.size, dtype=np.int32), self.sizes)[order]
-        self.weights = self.values[order].astype(np.float32)
+        self.weights = self.values.astype(np.float32)[order]
         self.rows = np.bincount(self.terms, minlength=terms)
         self.first = np.cumsum(self.rows) - self.rows
         common = np.flatnonzero(self.rows > self.size // _COMMON)
@@ -205,8 +214,17 @@ class Model:
 
     @cached_property
     def index(self) -> "BlockMaxIndex":
-        rows = _unpacked(self.packed, len(self.ids)) if self.ids else []
-        return BlockMaxIndex([unit(t, n, self.idf) for t, n in rows], len(self.idf))
+        make_room()
+        if not self.ids:
+            return BlockMaxIndex([], len(self.idf))
+        sizes, terms, counts = _unpacked(self.packed, len(self.ids))
+        values, ends = np.empty(len(terms)), np.cumsum(sizes)
+        for a, b in zip((ends - sizes).tolist(), ends.tolist()):
+            values[a:b] = unit(terms[a:b], counts[a:b], self.idf)[1]
+        del counts
+        index = BlockMaxIndex.of_joined(sizes, terms, values, len(self.idf))
+        give_back()
+        return index
 
     def sent(self, spark):
         """The model at the workers, where its curve is not yet fitted."""
@@ -251,16 +269,20 @@ def _packed(rows: list[tuple[np.ndarray, np.ndarray]]) -> bytes:
     return zlib.compress(b"".join(c.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns), 1)
 
 
-def _unpacked(packed: bytes, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _unpacked(packed: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, term numbers and counts of all rows, one after the other: many small arrays
+    would leave the worker's memory in pieces."""
     plain = np.frombuffer(zlib.decompress(packed), np.uint8)
 
     def column(part):
-        return np.ascontiguousarray(part.reshape(4, -1).T).view("<i4").ravel()
+        return np.array(part.reshape(4, -1).T, order="C").view("<i4").ravel()
 
-    sizes, rest = column(plain[:4 * size]), plain[4 * size:]
-    ends = np.cumsum(sizes)[:-1]
-    steps, counts = (np.split(column(part), ends) for part in np.split(rest, 2))
-    return [(np.cumsum(t, dtype=np.int32), n) for t, n in zip(steps, counts)]
+    sizes, rest = column(plain[:4 * size]).astype(np.int64), plain[4 * size:]
+    ends = np.cumsum(sizes)
+    terms, counts = (column(part) for part in np.split(rest, 2))
+    for a, b in zip((ends - sizes).tolist(), ends.tolist()):
+        terms[a:b] = np.cumsum(terms[a:b], dtype=np.int32)
+    return sizes, terms, counts
 
 
 class Vectors:
@@ -418,6 +440,7 @@ def scores(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id
                 [batch.column("_key"), pa.array([s for s, _ in found], pa.float64()),
                  pa.array([[model.ids[e] for e in near] for _, near in found], pa.list_(pa.int64()))],
                 ["_key", "score", "nearest"])
+        give_back()
 
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()
@@ -432,17 +455,18 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     """The documents below the threshold, all columns as they are."""
     shared, curve = model.sent(docs.sparkSession), model.curve
 
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared.value
         model.curve = curve
         vectors = Vectors(model.terms, model.idf)
         for texts in parts:
             found = []
             for start in range(0, len(texts), SLICE_ROWS):
-                some = [t.encode() for t in texts.iloc[start:start + SLICE_ROWS]]
+                some = byte_texts(texts.slice(start, SLICE_ROWS))
                 found += [score for score, _ in model.scores(vectors, some)]
-            yield pd.Series(found, dtype="float64")
+            yield pa.array(found, pa.float64())
+        give_back()
 
     return docs.filter(score(F.coalesce(F.col(text), F.lit(""))) < THRESHOLD)
 

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from fleetwright.llm import packing
+from fleetwright.llm import packing, tokens
 from fleetwright.llm.packing import Capacity, best_fit
 from fleetwright.llm.queries import QUERIES
 from fleetwright.llm.tokens import Encoder, vocabulary_path
@@ -28,6 +28,17 @@ def test_ids_are_those_of_the_whole_text(texts):
         assert found == plain_ids_cached(name, texts)
 
 
+def test_a_model_makes_room_in_a_worker():
+    from fleetwright.llm import toxicity
+
+    kept = tokens.encoder(vocabulary_path("byte_bpe_50k.json"), True)
+    before = kept.encode(["ab cd"])
+    model = toxicity._model(toxicity.joined([b"a"]), np.ones(1), [(1, True, np.zeros(1, np.int32), np.ones(1, np.int32))])
+    assert tokens._ENCODERS and model.index.size == 1 and not tokens._ENCODERS
+    # A partition that is being encoded goes on.
+    assert kept.encode(["ab cd"]) == before
+
+
 ENCODERS, TOKENIZERS = {}, {}
 
 

@@ -123,6 +123,22 @@ def test_every_word_counts(spark):
     assert found[1000].score > 0.5 > found[1001].score and len(found[1002].nearest) == toxicity.NEIGHBOURS
 
 
+def test_index_is_built_in_little_more_memory_than_it_takes():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    rows = [(i, i % 2 == 0, np.sort(rng.choice(20_000, 300, replace=False)).astype(np.int32), np.ones(300, np.int32))
+            for i in range(2_000)]
+    model = toxicity._model(toxicity.joined([b"%d" % i for i in range(20_000)]), np.ones(20_000), rows)
+    tracemalloc.start()
+    index = model.index
+    now, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    plain = toxicity.BlockMaxIndex([toxicity.unit(*rows[i][2:], model.idf) for i in model.ids], 20_000)
+    assert all((getattr(index, k) == getattr(plain, k)).all() for k in ("sizes", "terms", "values", "examples", "weights"))
+    assert peak < 2.2 * now
+
+
 def test_model_comes_back_whole():
     import pickle
 
